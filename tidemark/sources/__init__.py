@@ -1,5 +1,14 @@
 from tidemark.sources.extract import extract_pages
-from tidemark.sources.pages import page_stream, read_lines, read_pages, unwrap
+from tidemark.sources.pages import in_sequence, page_stream, read_lines, read_pages, unwrap
 from tidemark.sources.paging import incremental, page
 
-__all__ = ["extract_pages", "incremental", "page", "page_stream", "read_lines", "read_pages", "unwrap"]
+__all__ = [
+    "extract_pages",
+    "in_sequence",
+    "incremental",
+    "page",
+    "page_stream",
+    "read_lines",
+    "read_pages",
+    "unwrap",
+]

@@ -1,8 +1,8 @@
 """Page files and JSON lines as records ``(rec VARIANT, ord)``.
 
 ``ord`` carries the arrival order as data, because Spark reads files in parallel. A page is
-bounded by the source's page cap, so one row per page is safe; dumps without that bound come
-as JSON lines, which Spark splits inside a file.
+bounded by the source's page cap, so one row per page is safe; a dump without that bound comes
+as lines (of pages or of single records), which Spark splits inside a file.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -18,27 +18,44 @@ def _sequence(file_name: Column) -> Column:
     )
 
 
-def _with_sequence(files: DataFrame) -> DataFrame:
-    return files.select(_sequence(F.col("_metadata.file_name")).alias("page_seq"), "value")
+def _landed(files: DataFrame) -> DataFrame:
+    return files.select(
+        _sequence(F.col("_metadata.file_name")).alias("file_seq"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        "value",
+    )
+
+
+def in_sequence(landed: DataFrame, per_line: bool = False) -> DataFrame:
+    """Rows of a text scan as pages ``(page_seq, value)``; blank lines are no pages."""
+    if not per_line:
+        return landed.select(F.col("file_seq").alias("page_seq"), "value")
+    # The generated id only ever compares lines of one split, where it grows with the line.
+    place = F.struct("file_seq", "split_start", F.monotonically_increasing_id().alias("line"))
+    return landed.select(place.alias("page_seq"), "value").where(F.trim("value") != "")
 
 
-def read_pages(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
-    """Page files as ``(page_seq, value)``, one row per page.
+def read_pages(
+    spark: SparkSession, path: str, per_line: bool = False, modified_after: str | None = None
+) -> DataFrame:
+    """Landed pages as ``(page_seq, value)``: one page per file, or one per line of a file.
 
     ``modified_after`` skips files landed before an instant without opening them.
     """
-    reader = spark.read.option("wholetext", True)
+    reader = spark.read.format("text").option("wholetext", not per_line)
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
-    return _with_sequence(reader.format("text").load(path))
+    return in_sequence(_landed(reader.load(path)), per_line)
 
 
-def page_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """The same pages as an unbounded stream that picks up new files."""
-    reader = spark.readStream.format("text").option("wholetext", True)
+def page_stream(
+    spark: SparkSession, path: str, per_line: bool = False, files_per_batch: int | None = None
+) -> DataFrame:
+    """The landed text as an unbounded stream; give each micro-batch to ``in_sequence``."""
+    reader = spark.readStream.format("text").option("wholetext", not per_line)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _with_sequence(reader.load(path))
+    return _landed(reader.load(path))
 
 
 def unwrap(pages: DataFrame, key: str = ENVELOPE_KEY) -> DataFrame:
@@ -57,17 +74,6 @@ def unwrap(pages: DataFrame, key: str = ENVELOPE_KEY) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines files, one record per line, split across tasks inside each file.
-
-    Order: file sequence, then the split's offset in the file, then the line within the split
-    (the generated id only ever compares lines of one split).
-    """
-    lines = spark.read.text(path).select(
-        F.struct(
-            _sequence(F.col("_metadata.file_name")).alias("file_seq"),
-            F.col("_metadata.file_block_start").alias("split_start"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias("ord"),
-        "value",
-    )
-    return lines.where(F.trim("value") != "").select(F.parse_json("value").alias("rec"), "ord")
+    """JSON-lines files, one record per line, split across tasks inside each file."""
+    lines = in_sequence(_landed(spark.read.text(path)), per_line=True)
+    return lines.select(F.parse_json("value").alias("rec"), F.col("page_seq").alias("ord"))

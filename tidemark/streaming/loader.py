@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.landing import ARRIVAL
 from tidemark.plans.cycle import ingest, publish, sync
 from tidemark.plans.snapshots import Commit, Snapshots
-from tidemark.sources.pages import page_stream, unwrap
+from tidemark.sources.pages import in_sequence, page_stream, unwrap
 
 
 def apply_batch(
@@ -42,6 +42,7 @@ def start_stream(
     pages: str,
     checkpoint: str,
     every: str | None = None,
+    per_line: bool = False,
     files_per_batch: int | None = None,
     **options,
 ) -> StreamingQuery:
@@ -52,11 +53,11 @@ def start_stream(
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(store, unwrap(batch), checkpoint, batch_id, **options)
+        apply_batch(store, unwrap(in_sequence(batch, per_line)), checkpoint, batch_id, **options)
 
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return (
-        page_stream(store.spark, pages, files_per_batch)
+        page_stream(store.spark, pages, per_line, files_per_batch)
         .writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
