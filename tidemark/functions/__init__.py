@@ -1,6 +1,6 @@
 from tidemark.functions.containment import contains
 from tidemark.functions.instants import from_micros, instant, iso_instant, later_of, start_of_day
-from tidemark.functions.members import member_text, refresh_instant, typed_member, usable_key
+from tidemark.functions.members import member_text, member_texts, refresh_instant, typed, usable_key
 
 __all__ = [
     "contains",
@@ -9,8 +9,9 @@ __all__ = [
     "iso_instant",
     "later_of",
     "member_text",
+    "member_texts",
     "refresh_instant",
     "start_of_day",
-    "typed_member",
+    "typed",
     "usable_key",
 ]

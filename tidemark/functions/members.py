@@ -13,9 +13,14 @@ def member_text(raw: Column, member: str) -> Column:
     return F.nullif(F.variant_get(raw, f"$.{member}", "string"), F.lit(""))
 
 
-def typed_member(raw: Column, field: Field, strict: bool = True) -> Column:
-    """The member cast to its column type; a bad value raises, or is NULL if not strict."""
-    text = member_text(raw, field.source)
+def member_texts(raw: Column, members: list[str]) -> Column:
+    """All the members as one struct of texts, read in one pass over the record."""
+    fields = ", ".join(f"`{m}`: string" for m in members)
+    return F.variant_get(raw, "$", f"struct<{fields}>")
+
+
+def typed(text: Column, field: Field, strict: bool = True) -> Column:
+    """A member's text cast to its column type; a bad value raises, or is NULL if not strict."""
     return text.cast(field.type) if strict else text.try_cast(field.type)
 
 

@@ -2,18 +2,26 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions import typed_member
+from tidemark.functions import member_text, member_texts, typed
 from tidemark.schema import FIELD_MAP
 
 
 def flatten(landing: DataFrame, strict: bool = True) -> DataFrame:
     """The typed projection. Strict: one bad value fails the job. Otherwise it becomes NULL.
 
-    Over stored landing rows the scan reads only the members that the query asks for.
+    Member by member, so a query over stored landing rows reads only the members it asks for.
     """
-    raw = F.col("raw")
-    typed = [typed_member(raw, f, strict).alias(f.column) for f in FIELD_MAP]
-    return landing.select("hash", "lastrefresh", *typed, "raw")
+    columns = [typed(member_text(F.col("raw"), f.source), f, strict).alias(f.column) for f in FIELD_MAP]
+    return landing.select("hash", "lastrefresh", *columns, "raw")
+
+
+def flatten_whole(landing: DataFrame, strict: bool = True) -> DataFrame:
+    """The same projection for a writer that keeps every column: all members in one pass."""
+    texts = landing.withColumn("member", member_texts(F.col("raw"), [f.source for f in FIELD_MAP]))
+    columns = [
+        typed(F.nullif(F.col("member")[f.source], F.lit("")), f, strict).alias(f.column) for f in FIELD_MAP
+    ]
+    return texts.select("hash", "lastrefresh", *columns, "raw")
 
 
 def changed_keys(landing: DataFrame, flat: DataFrame, null_is_oldest: bool = False) -> DataFrame:
@@ -40,7 +48,7 @@ def sync_parts(
     """``(kept, replaced)``: flat rows without the changed keys, and those keys flattened anew."""
     hashes = keys.select("hash")
     kept = flat.join(hashes, "hash", "left_anti")
-    return kept, flatten(landing.join(hashes, "hash", "left_semi"), strict)
+    return kept, flatten_whole(landing.join(hashes, "hash", "left_semi"), strict)
 
 
 def sync(flat: DataFrame, landing: DataFrame, keys: DataFrame, strict: bool = True) -> DataFrame:

@@ -13,10 +13,6 @@ from tidemark.operators import mark as mark_ops
 from tidemark.plans.snapshots import Commit, Snapshots
 from tidemark.session import broadcast_limit
 
-# A bucket of about this many records is rewritten as a unit.
-ROWS_PER_BUCKET = 2_000_000
-MIN_BUCKETS, MAX_BUCKETS = 8, 65_536
-
 # After this many loads that only added files to their buckets, the next one rebalances them.
 LIGHT_LOADS = 8
 
@@ -54,10 +50,17 @@ def ingest(
     store: Snapshots, base: Commit, records: DataFrame, policy: str = landing_ops.ARRIVAL
 ) -> tuple[Commit, dict[str, int]]:
     """Fold records ``(rec, ord)`` and upsert them; returns the unpublished commit and counts."""
+    buckets = base.buckets or store.buckets
     # Records without a key fold into one row with a NULL hash, which is counted and left out.
-    folded = store.stage(landing_ops.fold(landing_ops.keyed(records), policy, counted=True), "batch")
-    buckets = base.buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, -(-folded.count() // ROWS_PER_BUCKET)))
-    batch = folded.withColumn("bucket", bucket_of("hash", buckets))
+    folded = landing_ops.fold(landing_ops.keyed(records), policy, counted=True)
+    folded = folded.withColumn("bucket", bucket_of("hash", buckets))
+    first = not base.landing
+    if first:
+        # The first batch is the table: it is written once, straight into its buckets.
+        load = store.write("landing", _rebalanced(folded))
+        batch = store.read_load("landing", load, folded.schema)
+    else:
+        batch = store.stage(folded, "batch")
     per_bucket = (
         batch.groupBy("bucket")
         .agg(
@@ -76,13 +79,14 @@ def ingest(
     if not filled:
         return base, counts
 
-    batch = batch.where(F.col("hash").isNotNull()).drop("n_rows")
     touched = sorted(r.bucket for r in filled)
+    if first:
+        return replace(base, buckets=buckets, light_loads=0, landing=dict.fromkeys(touched, load)), counts
+
+    batch = batch.where(F.col("hash").isNotNull()).drop("n_rows")
     old = store.read("landing", base, touched)
     light = base.light_loads
-    if not any(b in base.landing for b in touched):
-        merged = _rebalanced(batch)
-    elif light < LIGHT_LOADS and _fits_broadcast(store, counts["distinct_keys"], sum(r.key_bytes for r in filled)):
+    if light < LIGHT_LOADS and _fits_broadcast(store, counts["distinct_keys"], sum(r.key_bytes for r in filled)):
         # The old rows stay in the task that read them: no shuffle of the table.
         kept, resolved = landing_ops.upsert_small(old, batch, policy)
         resolved = _rebalanced(resolved.withColumn("bucket", bucket_of("hash", buckets)))
@@ -90,11 +94,8 @@ def ingest(
     else:
         result = landing_ops.upsert(old, batch, policy)
         merged, light = _rebalanced(result.withColumn("bucket", bucket_of("hash", buckets))), 0
-    load = store.write("landing", merged)
-    return (
-        replace(base, buckets=buckets, light_loads=light, landing={**base.landing, **dict.fromkeys(touched, load)}),
-        counts,
-    )
+    landing = {**base.landing, **dict.fromkeys(touched, store.write("landing", merged))}
+    return replace(base, light_loads=light, landing=landing), counts
 
 
 def sync(
@@ -112,7 +113,7 @@ def sync(
     synced = {**base.synced, **{b: base.landing[b] for b in lagging}}
     if not any(b in base.flat for b in lagging):
         # Nothing to compare with: every row is new, and rows already lie in their buckets.
-        rows = flat_ops.flatten(landing, strict).withColumn("bucket", bucket_of("hash", base.buckets))
+        rows = flat_ops.flatten_whole(landing, strict).withColumn("bucket", bucket_of("hash", base.buckets))
         load = store.write("flat", rows)
         commit = replace(base, flat={**base.flat, **dict.fromkeys(lagging, load)}, synced=synced)
         return commit, {"inserted": landing.count(), "updated": 0}

@@ -57,9 +57,16 @@ class ConcurrentPublish(RuntimeError):
 
 
 class Snapshots:
-    def __init__(self, spark: SparkSession, root: str):
+    """The tables under ``root``.
+
+    ``buckets`` is fixed by the first load. A bucket is what one small update rewrites, so aim
+    at one to four gigabytes each: 64 suits a few hundred gigabytes, some 30,000 suit 100 TB.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     # -- reading ---------------------------------------------------------------------------
 
@@ -74,9 +81,11 @@ class Snapshots:
     def head(self) -> Commit:
         """The newest commit; an empty one if nothing was ever published."""
         commits = self._commits()
-        row = commits.orderBy(F.desc("version"), "attempt").first() if commits is not None else None
-        if row is None:
+        # The version column alone is read of all commits, the bucket maps only of the newest.
+        newest = commits.agg(F.max("version")).first()[0] if commits is not None else None
+        if newest is None:
             return Commit()
+        row = commits.where(F.col("version") == newest).orderBy("attempt").first()
         return Commit(**{k: v if v is not None else {} for k, v in row.asDict().items()})
 
     def read(self, table: str, commit: Commit | None = None, buckets: list[int] | None = None) -> DataFrame:
@@ -109,19 +118,28 @@ class Snapshots:
     # -- writing ---------------------------------------------------------------------------
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write an intermediate once and read it back, so that no later step recomputes it."""
+        """Write an intermediate once and read it back, so that no later step recomputes it.
+
+        Read through the store's own session: a stream hands its batches over in another one.
+        """
         path = f"{self.root}/staged/{name}-{uuid.uuid4().hex}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def write(self, table: str, df: DataFrame) -> str:
-        """Write rows (with a ``bucket`` column) as a new load and return its id."""
+        """Write rows (with a ``bucket`` column) as a new load and return its id.
+
+        Columns beyond the table's are written too; only ``read_load`` shows them.
+        """
         load = uuid.uuid4().hex
-        columns = [*TABLES[table].names, "bucket"]
-        rows = df.select(*columns).sortWithinPartitions("bucket", *LAYOUT[table])
+        rows = df.sortWithinPartitions("bucket", *LAYOUT[table])
         rows.write.partitionBy("bucket").parquet(f"{self.root}/{table}/load={load}")
         return load
 
+    def read_load(self, table: str, load: str, schema: T.StructType) -> DataFrame:
+        """One load as it was written, whether or not a commit names it."""
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/load={load}")
+
     def publish(self, commit: Commit) -> Commit:
         """Make a commit the newest version. Its single row appears in one file, or not at all."""
         mine = replace(commit, attempt=uuid.uuid4().hex)

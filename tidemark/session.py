@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Bad casts and overflows must raise instead of turning into NULL.
@@ -50,6 +50,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate once and read it back: no later step recomputes it, its size is known."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's broadcast threshold in bytes; -1 when broadcasting is off."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b").strip().lower()

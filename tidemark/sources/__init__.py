@@ -1,5 +1,5 @@
 from tidemark.sources.extract import extract_pages
-from tidemark.sources.pages import in_sequence, page_stream, read_lines, read_pages, unwrap
+from tidemark.sources.pages import in_sequence, page_folder, page_stream, parse_records, read_lines, read_pages, unwrap
 from tidemark.sources.paging import incremental, page
 
 __all__ = [
@@ -7,7 +7,9 @@ __all__ = [
     "in_sequence",
     "incremental",
     "page",
+    "page_folder",
     "page_stream",
+    "parse_records",
     "read_lines",
     "read_pages",
     "unwrap",

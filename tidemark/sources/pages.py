@@ -5,9 +5,13 @@ bounded by the source's page cap, so one row per page is safe; a dump without th
 as lines (of pages or of single records), which Spark splits inside a file.
 """
 
+from collections.abc import Callable
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.schema import ENVELOPE_KEY
+from tidemark.sources.paging import incremental
 
 
 def _sequence(file_name: Column) -> Column:
@@ -40,7 +44,7 @@ def read_pages(
 ) -> DataFrame:
     """Landed pages as ``(page_seq, value)``: one page per file, or one per line of a file.
 
-    ``modified_after`` skips files landed before an instant without opening them.
+    ``modified_after`` (UTC) skips files landed before an instant without opening them.
     """
     reader = spark.read.format("text").option("wholetext", not per_line)
     if modified_after is not None:
@@ -48,6 +52,24 @@ def read_pages(
     return in_sequence(_landed(reader.load(path)), per_line)
 
 
+def page_folder(
+    spark: SparkSession, path: str, per_line: bool = False, slack: timedelta = timedelta(days=1)
+) -> Callable[[datetime | None], DataFrame]:
+    """A folder of landed pages as the source of a load cycle.
+
+    A record lands after it was refreshed, so records at or after the mark can only be in files
+    landed since; older files are not opened. ``slack`` allows for clocks that disagree.
+    """
+
+    def since(mark: datetime | None) -> DataFrame:
+        if mark is None:
+            return unwrap(read_pages(spark, path, per_line))
+        landed = (mark - slack).strftime("%Y-%m-%dT%H:%M:%S")
+        return incremental(unwrap(read_pages(spark, path, per_line, landed)), mark)
+
+    return since
+
+
 def page_stream(
     spark: SparkSession, path: str, per_line: bool = False, files_per_batch: int | None = None
 ) -> DataFrame:
@@ -63,17 +85,25 @@ def unwrap(pages: DataFrame, key: str = ENVELOPE_KEY) -> DataFrame:
 
     A page without that member gives no records; a page that is not JSON raises.
     """
-    body = F.parse_json("value")
     records = F.coalesce(
-        F.try_variant_get(body, f"$.{key}", "array<variant>"),
-        F.try_variant_get(body, "$", "array<variant>"),
+        F.try_variant_get("body", f"$.{key}", "array<variant>"),
+        F.try_variant_get("body", "$", "array<variant>"),
     )
-    return pages.select("page_seq", F.posexplode(records).alias("pos", "rec")).select(
+    bodies = pages.select("page_seq", F.parse_json("value").alias("body"))
+    return bodies.select("page_seq", F.posexplode(records).alias("pos", "rec")).select(
         "rec", F.struct("page_seq", "pos").alias("ord")
     )
 
 
+def parse_records(texts: DataFrame, ord_column: str) -> DataFrame:
+    """Rows with one JSON record in ``value`` to records ``(rec, ord)``.
+
+    The one-element explode keeps later filters above the parse; pushed below it, a filter on
+    a member would parse every text a second time.
+    """
+    return texts.select(F.explode(F.array(F.parse_json("value"))).alias("rec"), F.col(ord_column).alias("ord"))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """JSON-lines files, one record per line, split across tasks inside each file."""
-    lines = in_sequence(_landed(spark.read.text(path)), per_line=True)
-    return lines.select(F.parse_json("value").alias("rec"), F.col("page_seq").alias("ord"))
+    return parse_records(in_sequence(_landed(spark.read.text(path)), per_line=True), "page_seq")

@@ -11,7 +11,7 @@ from tidemark.operators.landing import to_landing
 from tidemark.plans import Snapshots, run_cycle
 from tidemark.schema import PAGE_CAP
 from tidemark.session import scratch_path
-from tidemark.sources import incremental
+from tidemark.sources import incremental, parse_records
 
 AS_OF = datetime(2024, 1, 20, 10, 30)
 
@@ -63,7 +63,7 @@ def record_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _as_records(members: DataFrame, order: str) -> DataFrame:
+def as_records(members: DataFrame, order: str) -> DataFrame:
     """Rows to ``(seq, value)``: a JSON text per record; JSON null where a member is NULL."""
     return members.select(
         F.col(order).alias("seq"), F.to_json(F.struct(*members.columns), {"ignoreNullFields": "false"}).alias("value")
@@ -71,16 +71,11 @@ def _as_records(members: DataFrame, order: str) -> DataFrame:
 
 
 def record_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_records(record_members(spark, sf_dir), "gmProjectId")
-
-
-def parsed(texts: DataFrame) -> DataFrame:
-    """``(seq, value)`` to records ``(rec, ord)``."""
-    return texts.select(F.parse_json("value").alias("rec"), F.col("seq").alias("ord"))
+    return as_records(record_members(spark, sf_dir), "gmProjectId")
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parsed(record_texts(spark, sf_dir))
+    return parse_records(record_texts(spark, sf_dir), "seq")
 
 
 def flat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,11 +94,11 @@ def event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("decimal(18,2)").alias("amount"),
         F.from_json("props", "k int").alias("props"),
     )
-    return _as_records(members, "event_id")
+    return as_records(members, "event_id")
 
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parsed(event_texts(spark, sf_dir))
+    return parse_records(event_texts(spark, sf_dir), "seq")
 
 
 def event_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,12 +132,17 @@ def land_pages(pages: DataFrame, path: str) -> None:
 _stores: dict[tuple[str, str], str] = {}
 
 
+def buckets(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets for a store of the records: one per two million, from the row count in the footers."""
+    return max(8, table(spark, sf_dir, "orders").count() // 2_000_000)
+
+
 def published(spark: SparkSession, sf_dir: str) -> Snapshots:
     """A store holding the records after one load cycle, built once per session and data set."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stores:
         root = scratch_path(prepare(spark), "published")
         source = records(spark, sf_dir)
-        run_cycle(Snapshots(spark, root), lambda mark: incremental(source, mark), AS_OF)
+        run_cycle(Snapshots(spark, root, buckets(spark, sf_dir)), lambda mark: incremental(source, mark), AS_OF)
         _stores[key] = root
     return Snapshots(spark, _stores[key])

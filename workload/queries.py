@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidemark.functions import instant
 from tidemark.operators import checks, flat as flat_ops, landing as landing_ops, mark as mark_ops, serve
 from tidemark.plans import Snapshots, run_cycle
-from tidemark.session import prepare, scratch_path
-from tidemark.sources import incremental, page, unwrap
+from tidemark.session import prepare, scratch_path, written
+from tidemark.sources import incremental, page, parse_records, unwrap
 from tidemark.streaming import start_stream
 from workload import inputs
 from workload.inputs import AS_OF
@@ -50,7 +50,7 @@ def reject_counts(spark: SparkSession, sf: str) -> DataFrame:
         " else concat('\"', user_id, '\"') end"
     )
     texts = members.select(F.concat(F.lit('{"hash":'), key, F.lit("}")).alias("value"), F.col("event_id").alias("seq"))
-    keyed = landing_ops.keyed(inputs.parsed(texts).withColumn("rec", F.col("rec")))
+    keyed = landing_ops.keyed(parse_records(texts, "seq"))
     return keyed.agg(
         F.count(F.lit(1)).alias("received"),
         F.count("hash").alias("sent"),
@@ -68,7 +68,8 @@ def envelope_unwrap(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flatten_records(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(inputs.flat_records(spark, sf).drop("raw"))
+    """Every column of every record, in one pass per record."""
+    return plain(flat_ops.flatten_whole(landing_ops.to_landing(inputs.records(spark, sf))).drop("raw"))
 
 
 def fold_last_write(spark: SparkSession, sf: str) -> DataFrame:
@@ -177,7 +178,8 @@ def changed_rows_null_oldest(spark: SparkSession, sf: str) -> DataFrame:
 
 def flat_sync(spark: SparkSession, sf: str) -> DataFrame:
     landing, flat = _landing_and_old_flat(spark, sf)
-    return plain(flat_ops.sync(flat, landing, _changed(spark, sf)).drop("raw"))
+    keys = written(_changed(spark, sf), "changed")
+    return plain(flat_ops.sync(flat, landing, keys).drop("raw"))
 
 
 def sync_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -194,7 +196,7 @@ def cycle_published(spark: SparkSession, sf: str) -> DataFrame:
 
 def replace_load(spark: SparkSession, sf: str) -> DataFrame:
     """Load events, then replace everything by the records: nothing of the events remains."""
-    store = Snapshots(spark, scratch_path(prepare(spark), "replace"))
+    store = Snapshots(spark, scratch_path(prepare(spark), "replace"), inputs.buckets(spark, sf))
     events, records = inputs.event_records(spark, sf), inputs.records(spark, sf)
     run_cycle(store, lambda mark: incremental(events, mark), AS_OF)
     run_cycle(store, lambda mark: incremental(records, mark), AS_OF, mode="replace")
@@ -204,7 +206,7 @@ def replace_load(spark: SparkSession, sf: str) -> DataFrame:
 def cycle_replay(spark: SparkSession, sf: str) -> DataFrame:
     """Events land as page files in three drops; a stream loads each drop up to the present."""
     root = scratch_path(prepare(spark), "replay")
-    store = Snapshots(spark, f"{root}/store")
+    store = Snapshots(spark, f"{root}/store", buckets=8)
     drop = F.when(F.col("ts") < instant(DROPS[0]), 0).when(F.col("ts") < instant(DROPS[1]), 1).otherwise(2)
     times = inputs.table(spark, sf, "events").select(
         F.col("event_id").alias("seq"), drop.alias("drop"), F.col("ts").alias("event_ts")
@@ -371,7 +373,7 @@ def _bad_landing(spark: SparkSession, sf: str) -> DataFrame:
             "totalObligated": F.expr("concat(totalObligated, '123456789012')"),
         }
     )
-    return landing_ops.to_landing(inputs.parsed(inputs._as_records(bad, "gmProjectId")))
+    return landing_ops.to_landing(parse_records(inputs.as_records(bad, "gmProjectId"), "seq"))
 
 
 def cast_quarantine(spark: SparkSession, sf: str) -> DataFrame:
