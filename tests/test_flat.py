@@ -1,0 +1,122 @@
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from helpers import records, shown
+from pyspark.errors import PySparkException
+
+from tidemark import FIELD_MAP, FLAT_SCHEMA, LANDING_SCHEMA
+from tidemark.operators.checks import key_violations, null_violations, quarantine, rounded_amounts
+from tidemark.operators.flat import change_counts, changed_keys, flatten, flatten_whole, sync
+from tidemark.operators.landing import to_landing
+from tidemark.schema import create_tables
+
+
+def landing(spark, *rows):
+    return to_landing(records(spark, *rows)).drop("ord")
+
+
+def narrow(spark, *rows):
+    return spark.createDataFrame(rows, "hash string, day string").selectExpr(
+        "hash", "cast(day as timestamp) as lastrefresh"
+    )
+
+
+@pytest.mark.parametrize("project", [flatten, flatten_whole])
+def test_schema_and_empty_members(spark, project):
+    empty = {f.source: "" for f in FIELD_MAP}
+    null = {f.source: None for f in FIELD_MAP}
+    flat = project(landing(spark, {"hash": "e", **empty}, {"hash": "n", **null}, {"hash": "m"}))
+    assert [(f.name, f.dataType) for f in flat.schema] == [(f.name, f.dataType) for f in FLAT_SCHEMA]
+    for row in flat.drop("raw", "hash").collect():
+        assert set(row) == {None}
+
+
+@pytest.mark.parametrize("project", [flatten, flatten_whole])
+def test_values(spark, project):
+    big = "12345678901234567890.123456789"
+    row = project(
+        landing(
+            spark,
+            '{"hash":"h","projectAmount":%s,"totalObligated":"%s","mitigationAmount":"-1.50","federalShareObligated":1e2,'
+            '"declarationDate":"2020-01-01T23:30:00-05:00","firstObligationDate":"2020-01-01T23:30:00-05:00",'
+            '"disasterNumber":"4332","pwNumber":12.0,"countyCode":"007","county":{"a":1},"gmProjectId":9007199254740993}'
+            % (big, big),
+        )
+    ).selectExpr("*", "date_format(firstobligation, 'yyyy-MM-dd HH:mm') as first").first()
+    assert row.projectamount == row.totalobligated == Decimal(big)
+    assert row.mitigationamount == Decimal("-1.5") and row.federalshare == 100
+    assert row.declarationdate == date(2020, 1, 1) and row["first"] == "2020-01-02 04:30"
+    assert (row.disasternumber, row.pwnumber, row.countycode) == (4332, 12, "007")
+    assert row.county == '{"a":1}' and row.gmprojectid == 9007199254740993
+
+
+@pytest.mark.parametrize("value", ["40000", "abc", "12.0", 40000, 12.5])
+@pytest.mark.parametrize("project", [flatten, flatten_whole])
+def test_a_bad_value_fails_strict_and_is_reported_otherwise(spark, value, project):
+    rows = landing(spark, {"hash": "bad", "disasterNumber": value}, {"hash": "good", "disasterNumber": "5"})
+    with pytest.raises(PySparkException):
+        project(rows).collect()
+    assert {(r.hash, r.disasternumber) for r in project(rows, strict=False).collect()} == {("bad", None), ("good", 5)}
+    assert [tuple(r) for r in quarantine(rows).collect()] == [("bad", "disasternumber", str(value), "smallint")]
+
+
+def test_overlong_fractions_are_rounded_and_reported(spark):
+    rows = landing(spark, {"hash": "a", "projectAmount": "1.00000000005"}, {"hash": "b", "projectAmount": "1.0000000001"})
+    assert [tuple(r) for r in rounded_amounts(rows).collect()] == [("a", "projectamount", "1.00000000005")]
+    assert {r.projectamount for r in flatten(rows).collect()} == {Decimal("1.0000000001")}
+
+
+def test_change_rule(spark):
+    stored = narrow(
+        spark, ("older", "2024-01-01"), ("unknown", None), ("newer", "2024-03-01"), ("same", "2024-02-01"),
+        ("lost", "2024-01-01"), ("both", None),
+    )
+    current = narrow(
+        spark, ("older", "2024-02-01"), ("unknown", "2024-02-01"), ("newer", "2024-02-01"), ("same", "2024-02-01"),
+        ("lost", None), ("both", None), ("fresh", "2024-02-01"), ("fresh-unknown", None),
+    )
+    changed = changed_keys(current, stored)
+    assert {(r.hash, r.is_new) for r in changed.collect()} == {("older", False), ("fresh", True), ("fresh-unknown", True)}
+    assert tuple(change_counts(changed).first()) == (2, 1, 3)
+    optional = changed_keys(current, stored, null_is_oldest=True)
+    assert {r.hash for r in optional.collect()} == {"older", "fresh", "fresh-unknown", "unknown"}
+
+
+def test_sync_replaces_every_column_and_is_idempotent(spark):
+    before = landing(
+        spark,
+        {"hash": "a", "lastRefresh": "2024-01-01T00:00:00Z", "county": "X", "projectSize": "Small"},
+        {"hash": "b", "lastRefresh": "2024-01-01T00:00:00Z", "county": "Y"},
+    )
+    after = landing(
+        spark,
+        {"hash": "a", "lastRefresh": "2024-01-02T00:00:00Z", "county": "Z"},
+        {"hash": "b", "lastRefresh": "2024-01-01T00:00:00Z", "county": "changed without a refresh"},
+        {"hash": "c"},
+    )
+    flat = flatten(before)
+    once = sync(flat, after, changed_keys(after.select("hash", "lastrefresh"), flat))
+    got = {(r.hash, r.county, r.projectsize) for r in once.collect()}
+    assert got == {("a", "Z", None), ("b", "Y", None), ("c", None, None)}
+    assert changed_keys(after.select("hash", "lastrefresh"), once).count() == 0
+
+
+def test_checks(spark):
+    rows = spark.sql(
+        "SELECT * FROM VALUES ('a', parse_json('1')), ('a', parse_json('2')), ('b', NULL), (NULL, parse_json('3')) t(hash, raw)"
+    )
+    assert [tuple(r) for r in key_violations(rows).collect()] == [("a", 2)]
+    assert {r.hash for r in null_violations(rows).collect()} == {"b", None}
+
+
+def test_tables_are_created_once_with_comments(spark):
+    for _ in range(2):
+        create_tables(spark, "landing_t", "flat_t")
+    for name, schema in (("landing_t", LANDING_SCHEMA), ("flat_t", FLAT_SCHEMA)):
+        table = spark.table(name)
+        assert [(f.name, f.dataType) for f in table.schema] == [(f.name, f.dataType) for f in schema]
+        detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        assert "one row per hash" in detail["Comment"]
+    flatten(landing(spark, {"hash": "a"})).write.insertInto("flat_t")
+    assert shown(spark.table("flat_t").select("hash", "raw")) == {("a", '{"hash":"a"}')}

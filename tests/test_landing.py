@@ -1,0 +1,105 @@
+import random
+
+import pytest
+from helpers import records, shown
+
+from tidemark.operators.landing import ARRIVAL, LATEST_REFRESH, fold, keyed, to_landing, upsert, upsert_small
+
+
+def test_records_without_a_usable_key_are_rejected(spark):
+    rows = records(
+        spark, {}, {"hash": None}, {"hash": ""}, {"hash": 0}, {"hash": 0.0}, {"hash": False}, {"hash": []}, {"hash": {}},
+        {"hash": "0"}, {"hash": "false"}, {"hash": 7}, {"hash": True}, {"hash": "[]"}, "5", "null",
+    )
+    assert sorted(r.hash for r in to_landing(rows).collect()) == ["0", "7", "[]", "false", "true"]
+    assert keyed(rows).count() == 15
+
+
+def test_last_record_and_last_known_refresh_win(spark):
+    rows = records(
+        spark,
+        {"hash": "k", "lastRefresh": "2024-01-02T00:00:00Z", "v": 1},
+        {"hash": "k", "v": 2},
+        {"hash": "k", "lastRefresh": "", "v": 3},
+    )
+    assert shown(fold(to_landing(rows))) == {("k", '{"hash":"k","lastRefresh":"","v":3}', "2024-01-02 00:00:00")}
+
+
+def test_arrival_lets_an_older_record_win_and_the_option_does_not(spark):
+    newer = {"hash": "k", "lastRefresh": "2024-02-01T00:00:00Z"}
+    older = {"hash": "k", "lastRefresh": "2024-01-01T00:00:00Z"}
+    rows = to_landing(records(spark, newer, older))
+    assert {r[2] for r in shown(fold(rows))} == {"2024-01-01 00:00:00"}
+    assert {r[2] for r in shown(fold(rows, LATEST_REFRESH))} == {"2024-02-01 00:00:00"}
+
+
+def test_a_repeated_member_keeps_its_last_value(spark):
+    rows = fold(to_landing(records(spark, '{"hash":"a","hash":"b","v":1,"v":2}')))
+    assert shown(rows) == {("b", '{"hash":"b","v":2}', None)}
+
+
+def test_upsert_replaces_raw_and_keeps_the_known_refresh(spark):
+    old = fold(to_landing(records(spark, {"hash": "a", "lastRefresh": "2024-01-01T00:00:00Z", "v": 1}, {"hash": "b"})))
+    new = fold(to_landing(records(spark, {"hash": "a", "v": 2}, {"hash": "c"})))
+    assert shown(upsert(old, new)) == {
+        ("a", '{"hash":"a","v":2}', "2024-01-01 00:00:00"),
+        ("b", '{"hash":"b"}', None),
+        ("c", '{"hash":"c"}', None),
+    }
+
+
+def one_by_one(rows, policy):
+    """The table after executing the rows in order, one upsert each."""
+    table = {}
+    for n, (key, refresh) in enumerate(rows):
+        if key not in table:
+            table[key] = (n, refresh)
+            continue
+        old_n, old_refresh = table[key]
+        if policy == ARRIVAL:
+            table[key] = (n, refresh if refresh is not None else old_refresh)
+        else:
+            wins = old_refresh is None or (refresh is not None and refresh >= old_refresh)
+            known = [r for r in (refresh, old_refresh) if r is not None]
+            table[key] = (n if wins else old_n, max(known) if known else None)
+    return {(k, n, r) for k, (n, r) in table.items()}
+
+
+@pytest.mark.parametrize("policy", [ARRIVAL, LATEST_REFRESH])
+@pytest.mark.parametrize("small", [False, True])
+def test_batches_equal_one_by_one_execution(spark, policy, small):
+    chance = random.Random(11)
+    # One key holds a third of all rows.
+    keys = ["hot"] + [f"k{i}" for i in range(20)]
+    rows = [
+        (chance.choice(keys) if chance.random() > 0.33 else "hot", chance.choice([None, *range(1, 10)]))
+        for _ in range(400)
+    ]
+    frame = spark.createDataFrame(
+        [(k, n, None if r is None else f"2024-01-0{r}", n) for n, (k, r) in enumerate(rows)],
+        "hash string, n int, day string, ord long",
+    ).selectExpr("hash", "cast(n as variant) as raw", "cast(day as timestamp) as lastrefresh", "ord")
+    table = None
+    for low, high in ((0, 150), (150, 151), (151, 400)):
+        batch = fold(frame.where(f"ord >= {low} and ord < {high}"), policy)
+        if table is None:
+            table = batch
+        elif small:
+            kept, merged = upsert_small(table, batch, policy)
+            table = kept.unionByName(merged)
+        else:
+            table = upsert(table, batch, policy)
+    got = {(r.hash, r.n, r.d) for r in table.selectExpr("hash", "cast(raw as int) n", "day(lastrefresh) d").collect()}
+    assert got == one_by_one(rows, policy)
+
+
+def test_upserting_the_same_batch_again_changes_nothing(spark):
+    old = fold(to_landing(records(spark, {"hash": "a", "lastRefresh": "2024-01-01T00:00:00Z"}, {"hash": "b"})))
+    new = fold(to_landing(records(spark, {"hash": "a", "lastRefresh": "2024-01-03T00:00:00Z"}, {"hash": "c"})))
+    once = upsert(old, new)
+    assert shown(upsert(once, new)) == shown(once)
+
+
+def test_unknown_policy_is_refused(spark):
+    with pytest.raises(ValueError, match="unknown conflict policy"):
+        fold(to_landing(records(spark, {"hash": "a"})), "newest")

@@ -43,6 +43,10 @@ def _number(value: Column, path: str, number: int | float | Decimal) -> Column:
     return (numeric & (text == digits)) | (kind.isin("DOUBLE", "FLOAT") & as_double)
 
 
+def _in_some_element(value: Column, path: str, pattern) -> Column:
+    return F.exists(F.try_variant_get(value, path, "array<variant>"), lambda item: _matches(item, "$", pattern))
+
+
 def _matches(value: Column, path: str, pattern) -> Column:
     if pattern is None:
         return F.is_variant_null(F.try_variant_get(value, path, "variant"))
@@ -57,8 +61,7 @@ def _matches(value: Column, path: str, pattern) -> Column:
         members = [_matches(value, path + _step(k), v) for k, v in pattern.items()]
         return _all([_kind(value, path).startswith("OBJECT"), *members])
     if isinstance(pattern, (list, tuple)):
-        items = F.try_variant_get(value, path, "array<variant>")
-        found = [F.exists(items, lambda item, p=p: _matches(item, "$", p)) for p in pattern]
+        found = [_in_some_element(value, path, p) for p in pattern]
         return _all([_kind(value, path).startswith("ARRAY"), *found])
     raise TypeError(f"not a JSON value: {pattern!r}")
 
@@ -67,6 +70,6 @@ def contains(raw: Column, pattern) -> Column:
     """True where the variant contains the pattern (a Python dict, list or scalar)."""
     whole = _matches(raw, "$", pattern)
     if not isinstance(pattern, (dict, list, tuple)):
-        element = F.exists(F.try_variant_get(raw, "$", "array<variant>"), lambda item: _matches(item, "$", pattern))
+        element = _in_some_element(raw, "$", pattern)
         whole = F.coalesce(whole, F.lit(False)) | F.coalesce(element, F.lit(False))
     return F.coalesce(whole, F.lit(False))
