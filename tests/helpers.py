@@ -38,3 +38,9 @@ def shown(df):
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted(df) -> str:
+    """The plan with untruncated scan details."""
+    jvm = df.sparkSession._jvm
+    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")

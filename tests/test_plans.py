@@ -1,0 +1,121 @@
+"""The physical plans that scale depends on."""
+
+import json
+import re
+
+import pytest
+from helpers import formatted, plan, records
+from pyspark.sql import functions as F
+
+from tidemark.operators import flat as flat_ops, landing as landing_ops, serve
+from tidemark.session import SETTINGS, broadcast_limit, scratch_path, shared_dir
+from tidemark.sources import page as page_of
+from tidemark.sources import read_lines
+from workload import inputs, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize(
+    "name, filters, columns",
+    [
+        ("slice_state", ["EqualTo(stateabbr,NATION_3)"], 4),
+        ("slice_date_state", ["GreaterThanOrEqual(declarationdate,1998-01-01)", "EqualTo(stateabbr,NATION_20)"], 4),
+        ("slice_disaster", ["EqualTo(disasternumber,605)"], 4),
+        ("money_range", ["GreaterThanOrEqual(federalshare,200000", "LessThanOrEqual(federalshare,250000"], 3),
+        ("refresh_range", ["GreaterThanOrEqual(lastrefresh,1997", "LessThanOrEqual(lastrefresh,1997"], 2),
+    ],
+)
+def test_reports_push_filters_and_prune_columns(spark, name, filters, columns):
+    text = formatted(queries.QUERIES[name](spark, SF))
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+    for wanted in filters:
+        assert wanted in pushed
+    assert "Exchange" not in text
+    read = re.search(r"ReadSchema: struct<(.*)>", text).group(1)
+    assert len(re.findall(r"\w+:", read)) == columns
+
+
+def test_containment_reads_members_not_records(spark):
+    text = plan(queries.json_contains_landing(spark, SF))
+    assert "raw:struct<0:" in text and "parseJson" not in text
+
+
+def test_top_k_is_not_a_full_sort(spark):
+    for df in (queries.money_topk(spark, SF), page_of(spark.range(100), 10, 5, ["id"])):
+        assert "TakeOrderedAndProject" in plan(df) and "Exchange rangepartitioning" not in plan(df)
+
+
+def test_each_line_is_parsed_once(spark, tmp_path):
+    (tmp_path / "dump-0.jsonl").write_text(json.dumps({"hash": "a", "lastRefresh": "2024-01-01T00:00:00Z"}))
+    lines = read_lines(spark, str(tmp_path))
+    assert plan(landing_ops.to_landing(lines)).count("parseJson") == 1
+    assert plan(flat_ops.flatten(landing_ops.to_landing(lines))).count("parseJson") == 1
+
+
+def test_fold_reduces_before_its_only_shuffle(spark):
+    text = plan(landing_ops.fold(inputs.event_landing(spark, SF)))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.index("Exchange hashpartitioning") < text.index("partial_max_by")
+
+
+def test_rollups_reduce_before_the_shuffle(spark):
+    text = plan(queries.rollup_state_incident(spark, SF))
+    assert text.count("Exchange hashpartitioning") == 1 and "partial_sum" in text
+
+
+def test_change_detection_shuffles_keys_and_instants_only(spark, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan(queries.changed_rows(spark, SF))
+    assert text.count("Exchange hashpartitioning") == 2
+    assert set(re.findall(r"ReadSchema: struct<(.*?)>", text)) == {"hash:string,lastrefresh:timestamp"}
+
+
+def test_small_upsert_does_not_shuffle_the_table(spark, tmp_path):
+    table = landing_ops.fold(landing_ops.to_landing(records(spark, *({"hash": f"k{i}"} for i in range(50)))))
+    table.write.parquet(str(tmp_path / "old"))
+    kept, _ = landing_ops.upsert_small(
+        spark.read.parquet(str(tmp_path / "old")),
+        landing_ops.fold(landing_ops.to_landing(records(spark, {"hash": "k1"}))),
+    )
+    text = plan(kept)
+    table_side = text[: text.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in table_side and "Exchange hashpartitioning" not in table_side
+
+
+def test_hot_ids_are_split_in_lookups(spark, with_conf):
+    """One id holds a third of the rows; the join splits its partition and loses nothing."""
+    with_conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__shuffle__partitions="8",
+    )
+    rows = spark.range(0, 150000, 1, 16).select(
+        F.md5(F.col("id").cast("string").cast("binary")).alias("hash"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).cast("long").alias("gmapplicantid"),
+    )
+    people = spark.range(5000).select(F.col("id").alias("person"), F.concat(F.lit("n"), "id").alias("name"))
+    joined = serve.lookup(rows, people, "gmapplicantid", "person")
+    assert len(joined.collect()) == 150000
+    assert "skew=true" in plan(joined)
+
+
+def test_settings_are_applied(spark):
+    for key, value in SETTINGS.items():
+        assert spark.conf.get(key) == value
+
+
+@pytest.mark.parametrize("text, size", [("10485760b", 10 << 20), ("-1", -1), ("10m", 10 << 20), ("2GB", 2 << 30), ("512k", 512 << 10)])
+def test_broadcast_limit_reads_the_session(spark, with_conf, text, size):
+    with_conf(spark__sql__autoBroadcastJoinThreshold=text)
+    assert broadcast_limit(spark) == size
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert scratch_path(spark, "x").startswith(shared_dir(spark))

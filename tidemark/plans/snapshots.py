@@ -9,7 +9,7 @@ whole cycle or nothing of it, and a failed load leaves only folders that no comm
     <root>/flat/load=<id>/bucket=<n>/*.parquet
     <root>/commits/*.parquet         one row per commit
 
-One writer at a time is assumed; a second one that publishes the same version fails.
+One writer at a time is assumed; of two that publish the same version, the later one fails.
 """
 
 import uuid
@@ -78,6 +78,11 @@ class Snapshots:
                 return None
             raise
 
+    def _attempts(self, commits: DataFrame, version: int) -> DataFrame:
+        """Commit rows of one version, the one that counts first."""
+        published = F.col("_metadata.file_modification_time").alias("published")
+        return commits.where(F.col("version") == version).select("*", published).orderBy("published", "attempt")
+
     def head(self) -> Commit:
         """The newest commit; an empty one if nothing was ever published."""
         commits = self._commits()
@@ -85,7 +90,7 @@ class Snapshots:
         newest = commits.agg(F.max("version")).first()[0] if commits is not None else None
         if newest is None:
             return Commit()
-        row = commits.where(F.col("version") == newest).orderBy("attempt").first()
+        row = self._attempts(commits, newest).drop("published").first()
         return Commit(**{k: v if v is not None else {} for k, v in row.asDict().items()})
 
     def read(self, table: str, commit: Commit | None = None, buckets: list[int] | None = None) -> DataFrame:
@@ -145,8 +150,7 @@ class Snapshots:
         mine = replace(commit, attempt=uuid.uuid4().hex)
         row = self.spark.createDataFrame([tuple(vars(mine).values())], _COMMIT_ROW)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
-        first = self._commits().where(F.col("version") == mine.version).agg(F.min("attempt")).first()[0]
-        if first != mine.attempt:
+        if self._attempts(self._commits(), mine.version).select("attempt", "published").first().attempt != mine.attempt:
             raise ConcurrentPublish(f"version {mine.version} of {self.root} was published by another writer")
         return mine
 
