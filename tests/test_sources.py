@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.schema import ENVELOPE_KEY, PAGE_CAP
 from tidemark.sources import extract_pages, incremental, page as page_of
-from tidemark.sources import page_folder, read_lines, read_pages, unwrap
+from tidemark.sources import numbered, page_folder, pages, paging, read_lines, read_pages, unwrap
 
 
 def hashes(recs):
@@ -86,6 +86,26 @@ def test_page_window_clamps_to_the_cap(spark):
     assert page_of(rows, 2500, 1000, ["same", "id"]).collect() == []
 
 
+def test_deep_pages_are_found_by_position(spark, monkeypatch):
+    rows = spark.range(0, 5000, 1, 7).select((F.col("id") * 37 % 5000).alias("id"))
+    monkeypatch.setattr(paging, "TOP_K_ROWS", 1000)
+    got = sorted(r.id for r in page_of(rows, 3210, 40, ["id"]).collect())
+    assert got == list(range(3210, 3250))
+    assert page_of(rows, 5000, 40, ["id"]).collect() == []
+
+
+def test_every_row_gets_its_position_and_page(spark, with_conf):
+    with_conf(
+        spark__sql__shuffle__partitions="9",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__files__maxRecordsPerFile="100",
+    )
+    rows = spark.range(0, 4321, 1, 5).select((F.col("id") * 7 % 4321).alias("id"), F.lit("x").alias("other"))
+    assert sorted((r.position, r.id) for r in numbered(rows, ["id"]).collect()) == [(i, i) for i in range(4321)]
+    placed = {(r.page_seq, r.pos): r.id for r in pages(rows, 1000, ["id"]).collect()}
+    assert placed == {(i // 1000, i % 1000): i for i in range(4321)}
+
+
 def test_page_folder_opens_only_files_landed_since_the_mark(spark, tmp_path):
     page(tmp_path, 0, {"hash": "before", "lastRefresh": "2024-03-01T00:00:00Z"})
     page(tmp_path, 1, {"hash": "after", "lastRefresh": "2024-05-01T00:00:00Z"})

@@ -13,19 +13,23 @@ One writer at a time is assumed; of two that publish the same version, the later
 """
 
 import uuid
+from contextlib import nullcontext
 from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.schema import FLAT_SCHEMA, LANDING_SCHEMA
-from tidemark.session import prepare
+from tidemark.session import prepare, whole_variants
 
 TABLES = {"landing": LANDING_SCHEMA, "flat": FLAT_SCHEMA}
 
 # Order inside each file, so that row-group statistics prune the common ranges and slices.
 LAYOUT = {"landing": ["lastrefresh"], "flat": ["stateabbr", "declarationdate"]}
 
+# Tables whose records are searched by member: their members are stored as columns too.
+SEARCHED = {"landing"}
+
 _COMMIT_ROW = (
     "version long, attempt string, buckets int, light_loads int,"
     " landing map<int,string>, flat map<int,string>, synced map<int,string>,"
@@ -128,7 +132,8 @@ class Snapshots:
         Read through the store's own session: a stream hands its batches over in another one.
         """
         path = f"{self.root}/staged/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        with whole_variants(df.sparkSession):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def write(self, table: str, df: DataFrame) -> str:
@@ -138,7 +143,8 @@ class Snapshots:
         """
         load = uuid.uuid4().hex
         rows = df.sortWithinPartitions("bucket", *LAYOUT[table])
-        rows.write.partitionBy("bucket").parquet(f"{self.root}/{table}/load={load}")
+        with nullcontext() if table in SEARCHED else whole_variants(self.spark):
+            rows.write.partitionBy("bucket").parquet(f"{self.root}/{table}/load={load}")
         return load
 
     def read_load(self, table: str, load: str, schema: T.StructType) -> DataFrame:

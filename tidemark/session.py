@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +51,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def whole_variants(spark: SparkSession):
+    """Within this block Parquet writes keep each variant as one value.
+
+    By default Spark also stores frequent members as columns of their own: reads of single
+    members get much cheaper, writes about twice as dear. Not worth it for records that are
+    only carried along.
+    """
+    key = "spark.sql.variant.writeShredding.enabled"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate once and read it back: no later step recomputes it, its size is known."""
     path = scratch_path(df.sparkSession, name)

@@ -1,14 +1,16 @@
 from tidemark.sources.extract import extract_pages
 from tidemark.sources.pages import in_sequence, page_folder, page_stream, parse_records, read_lines, read_pages, unwrap
-from tidemark.sources.paging import incremental, page
+from tidemark.sources.paging import incremental, numbered, page, pages
 
 __all__ = [
     "extract_pages",
     "in_sequence",
     "incremental",
+    "numbered",
     "page",
     "page_folder",
     "page_stream",
+    "pages",
     "parse_records",
     "read_lines",
     "read_pages",

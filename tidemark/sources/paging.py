@@ -2,18 +2,51 @@
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions import instant, refresh_instant
 from tidemark.schema import PAGE_CAP
+from tidemark.session import written
 
+# Up to this many rows a window is a top-k, which one task merges; beyond it, rows are numbered.
+TOP_K_ROWS = 100_000
 
-def page(df: DataFrame, skip: int, top: int, by: list[str], cap: int = PAGE_CAP) -> DataFrame:
-    """Rows ``skip .. skip+min(top, cap)`` in the order of ``by``, which must be a total order.
 
-    Planned as one top-k (each task keeps skip+top rows), not as a full sort.
+def numbered(df: DataFrame, by: list[str]) -> DataFrame:
+    """Every row with its ``position`` (from 0) in the order of ``by``, which must be total.
+
+    One range-partitioned sort is written out; the position is the row's place in its file plus
+    the rows of the files before it. Nothing but the row count per file meets in one task.
     """
-    return df.orderBy(*by).offset(skip).limit(min(top, cap))
+    rows = written(df.orderBy(*by), "numbered")
+    name = F.col("_metadata.file_name")
+    file_no = F.regexp_extract(name, r"part-(\d+)", 1).cast("long")
+    piece = F.regexp_extract(name, r"-c(\d+)\.", 1).cast("long")
+    placed = rows.select(
+        "*", F.struct(file_no.alias("no"), piece.alias("piece")).alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    starts = starts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    position = (F.col("_start") + F.col("_row")).alias("position")
+    return placed.join(starts, "_file").select(*df.columns, position)
+
+
+def page(df: DataFrame, skip: int, top: int, by: list[str], cap: int = PAGE_CAP) -> DataFrame:
+    """Rows ``skip .. skip+min(top, cap)`` in the order of ``by``, which must be a total order."""
+    size = min(top, cap)
+    if skip + size <= TOP_K_ROWS:
+        return df.orderBy(*by).offset(skip).limit(size)
+    position = F.col("position")
+    return numbered(df, by).where((position >= skip) & (position < skip + size)).select(*df.columns)
+
+
+def pages(df: DataFrame, top: int, by: list[str], cap: int = PAGE_CAP) -> DataFrame:
+    """Every row with its ``page_seq`` and ``pos``: all the pages a reader gets until a short one."""
+    size = min(top, cap)
+    position = F.col("position")
+    page_seq = F.expr(f"position div {size}").alias("page_seq")
+    return numbered(df, by).select(*df.columns, page_seq, (position % size).cast("int").alias("pos"))
 
 
 def incremental(records: DataFrame, mark: datetime | None) -> DataFrame:

@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that has fewer splits than cores; larger scans pass as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _iso(instant_ntz: str) -> Column:
     """ISO text of a zone-less timestamp, read as UTC."""
     return iso_instant(F.expr(f"cast({instant_ntz} as timestamp)"))
@@ -28,7 +34,7 @@ def _iso(instant_ntz: str) -> Column:
 def record_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order, with the members of a source record as columns."""
     base = (
-        table(spark, sf_dir, "orders")
+        spread(table(spark, sf_dir, "orders"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .withColumn("amt", F.col("o_totalprice").cast("decimal(18,2)"))
@@ -85,7 +91,7 @@ def flat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per event, keyed by user, so that keys repeat; errors carry no refresh."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     members = events.select(
         F.col("user_id").cast("string").alias("hash"),
         F.when(F.col("event_type") != "error", _iso("ts")).alias("lastRefresh"),

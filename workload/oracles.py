@@ -186,6 +186,9 @@ WHERE event_type <> 'error' AND ts < TIMESTAMP '2024-01-16'""",
 WHERE event_type <> 'error' AND ts >= TIMESTAMP '2024-01-16'""",
     "page_window": f"""WITH{_FOLD}
 SELECT hash, lastrefresh FROM landing WHERE lastrefresh IS NOT NULL ORDER BY lastrefresh, hash LIMIT 25 OFFSET 40""",
+    "paged_dump": _flat("""SELECT hash, lastrefresh, (place - 1) // 1000 AS page_seq,
+  CAST((place - 1) % 1000 AS INTEGER) AS pos
+FROM (SELECT hash, lastrefresh, row_number() OVER (ORDER BY lastrefresh NULLS FIRST, hash) AS place FROM flat)"""),
     "changed_rows": f"WITH{_CHANGED} SELECT * FROM changed",
     "changed_rows_null_oldest": f"""WITH{_OLD_FLAT}
 SELECT f.hash, f.lastrefresh, o.hash IS NULL AS is_new

@@ -11,7 +11,7 @@ from tidemark.functions import instant
 from tidemark.operators import checks, flat as flat_ops, landing as landing_ops, mark as mark_ops, serve
 from tidemark.plans import Snapshots, run_cycle
 from tidemark.session import prepare, scratch_path, written
-from tidemark.sources import incremental, page, parse_records, unwrap
+from tidemark.sources import incremental, page, pages, parse_records, unwrap
 from tidemark.streaming import start_stream
 from workload import inputs
 from workload.inputs import AS_OF
@@ -134,6 +134,12 @@ def page_window(spark: SparkSession, sf: str) -> DataFrame:
     return plain(page(ordered.select("hash", "lastrefresh"), 40, 25, ["lastrefresh", "hash"]))
 
 
+def paged_dump(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages of the whole landing table, in refresh order."""
+    landing = inputs.published(spark, sf).landing().select("hash", "lastrefresh")
+    return plain(pages(landing, 1000, ["lastrefresh", "hash"]))
+
+
 # -- change propagation ------------------------------------------------------------------------
 
 _sync_tables: dict[tuple[str, str], tuple[str, str]] = {}
@@ -406,6 +412,7 @@ QUERIES = {
         next_mark_resume,
         incremental_scan,
         page_window,
+        paged_dump,
         changed_rows,
         changed_rows_null_oldest,
         flat_sync,
