@@ -8,9 +8,11 @@ from helpers import formatted, plan, records
 from pyspark.sql import functions as F
 
 from tidemark.operators import flat as flat_ops, landing as landing_ops, serve
+from tidemark.plans import Snapshots
 from tidemark.session import SETTINGS, broadcast_limit, scratch_path, shared_dir
 from tidemark.sources import page as page_of
 from tidemark.sources import read_lines
+from tidemark.streaming import apply_batch
 from workload import inputs, queries
 
 SF = "/root/testdata/sf0.001"
@@ -83,6 +85,28 @@ def test_small_upsert_does_not_shuffle_the_table(spark, tmp_path):
     assert "BroadcastHashJoin" in table_side and "Exchange hashpartitioning" not in table_side
 
 
+def test_large_upsert_shuffles_each_side_once_and_writes_whole_buckets(spark, tmp_path, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    store = Snapshots(spark, str(tmp_path / "store"), buckets=6)
+    written, write = [], store.write
+
+    def keep(table, df):
+        written.append((table, plan(df)))
+        return write(table, df)
+
+    store.write = keep
+    for n in (1, 2):
+        rows = [{"hash": f"k{i}", "lastRefresh": f"2024-01-0{n}T00:00:00Z", "pwNumber": n} for i in range(300)]
+        apply_batch(store, records(spark, *rows), "s", n)
+    (table, landing), (_, flat) = written[2:]
+    assert table == "landing" and landing.count("Exchange hashpartitioning(hash") == 2
+    assert "rebalance" not in (landing + flat).lower() and flat.count("Exchange hashpartitioning(hash") <= 4
+    head = store.head()
+    files = store.landing().inputFiles()
+    assert len(files) == len(head.landing) == 6
+    assert {r.pwnumber for r in store.flat().collect()} == {2} and store.flat().count() == 300
+
+
 def test_hot_ids_are_split_in_lookups(spark, with_conf):
     """One id holds a third of the rows; the join splits its partition and loses nothing."""
     with_conf(

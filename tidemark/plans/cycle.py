@@ -13,7 +13,7 @@ from tidemark.operators import mark as mark_ops
 from tidemark.plans.snapshots import Commit, Snapshots
 from tidemark.session import broadcast_limit
 
-# After this many loads that only added files to their buckets, the next one rebalances them.
+# After this many loads that only added files to their buckets, the next one rewrites them together.
 LIGHT_LOADS = 8
 
 # Memory of one broadcast (hash, refresh) row beside the text of its key: row header, pointers, map slot.
@@ -34,7 +34,7 @@ class CycleReport:
 
 
 def bucket_of(key: str, buckets: int) -> Column:
-    return F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    return F.when(F.col(key).isNotNull(), F.pmod(F.hash(key), F.lit(buckets)))
 
 
 def _rebalanced(df: DataFrame) -> DataFrame:
@@ -42,6 +42,16 @@ def _rebalanced(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "bucket")
 
 
+def _by_key(df: DataFrame, buckets: int) -> DataFrame:
+    """One partition per bucket, for both sides of a join on the key.
+
+    ``repartition`` places a row by the same hash as ``bucket_of``, so the joined rows already lie
+    in their buckets and are written without another shuffle. Keys are unique on either side,
+    hence partitions are even. The result does not depend on it: rows carry their bucket.
+    """
+    return df.repartition(buckets, "hash")
+
+
 def _fits_broadcast(store: Snapshots, rows: int, key_bytes: int) -> bool:
     return rows * _ROW_OVERHEAD + key_bytes <= broadcast_limit(store.spark)
 
@@ -92,8 +102,9 @@ def ingest(
         resolved = _rebalanced(resolved.withColumn("bucket", bucket_of("hash", buckets)))
         merged, light = kept.unionByName(resolved), light + 1
     else:
-        result = landing_ops.upsert(old, batch, policy)
-        merged, light = _rebalanced(result.withColumn("bucket", bucket_of("hash", buckets))), 0
+        # One shuffle of each side, and none for the write.
+        result = landing_ops.upsert(_by_key(old, buckets), _by_key(batch, buckets), policy)
+        merged, light = result.withColumn("bucket", bucket_of("hash", buckets)), 0
     landing = {**base.landing, **dict.fromkeys(touched, store.write("landing", merged))}
     return replace(base, light_loads=light, landing=landing), counts
 
@@ -135,16 +146,15 @@ def sync(
     if not per_bucket:
         return replace(base, synced=synced), counts
     dirty = sorted(r.bucket for r in per_bucket)
-    small = _fits_broadcast(store, sum(counts.values()), sum(r.key_bytes for r in per_bucket))
-    keys = F.broadcast(keys) if small else keys
-    kept, replaced = flat_ops.sync_parts(
-        store.read("flat", base, dirty), store.read("landing", base, dirty), keys, strict
-    )
-    replaced = replaced.withColumn("bucket", bucket_of("hash", base.buckets))
-    if small and base.light_loads:
-        rows = kept.unionByName(_rebalanced(replaced))
+    flat, landing = store.read("flat", base, dirty), store.read("landing", base, dirty)
+    bucket = bucket_of("hash", base.buckets)
+    if base.light_loads and _fits_broadcast(store, sum(counts.values()), sum(r.key_bytes for r in per_bucket)):
+        kept, replaced = flat_ops.sync_parts(flat, landing, F.broadcast(keys), strict)
+        rows = kept.unionByName(_rebalanced(replaced.withColumn("bucket", bucket)))
     else:
-        rows = _rebalanced(kept.unionByName(replaced))
+        flat, landing, keys = (_by_key(df, base.buckets) for df in (flat, landing, keys))
+        kept, replaced = flat_ops.sync_parts(flat, landing, keys, strict)
+        rows = kept.unionByName(replaced.withColumn("bucket", bucket))
     load = store.write("flat", rows)
     return replace(base, flat={**base.flat, **dict.fromkeys(dirty, load)}, synced=synced), counts
 
