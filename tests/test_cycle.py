@@ -249,6 +249,30 @@ def test_stream_resumes_after_a_failure(spark, tmp_path, monkeypatch):
     assert store.head().version == 1 and store.landing().count() == 7
 
 
+def test_stream_on_an_interval_keeps_picking_up_pages(spark, tmp_path):
+    store = Snapshots(spark, str(tmp_path / "store"), buckets=4)
+    drop(tmp_path / "pages", 0)
+    query = start_stream(store, str(tmp_path / "pages"), str(tmp_path / "checkpoint"), every="1 second")
+    try:
+        query.processAllAvailable()
+        assert store.head().version == 1
+        drop(tmp_path / "pages", 1)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert store.head().version == 2 and store.landing().count() == 7
+
+
+def test_landing_published_first_is_not_loaded_twice(spark, store):
+    bad = records(spark, {"hash": "a", "lastRefresh": day(1), "pwNumber": "one"})
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        apply_batch(store, bad, "s", 0, landing_first=True)
+    assert store.head().streams == {"s": 0} and store.flat().count() == 0
+    done = apply_batch(store, bad, "s", 0, strict=False, landing_first=True)
+    assert done.version == 2 and store.landing().count() == store.flat().count() == 1
+    assert [(r.version, r.sent, r.inserted, r.total_sent) for r in store.history().collect()] == [(1, 1, 0, 1), (2, 0, 1, 1)]
+
+
 def test_stream_takes_a_bounded_number_of_files_per_batch(spark, tmp_path):
     store = Snapshots(spark, str(tmp_path / "store"), buckets=4)
     drop(tmp_path / "pages", 0)

@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.schema import ENVELOPE_KEY, PAGE_CAP
-from tidemark.sources import extract_pages, incremental, page as page_of
+from tidemark.sources import extract_all, extract_pages, incremental, page as page_of
 from tidemark.sources import numbered, page_folder, pages, paging, read_lines, read_pages, unwrap
 
 
@@ -127,7 +127,20 @@ def test_extract_pages_fetches_every_offset_range(spark):
         rows = [{"hash": str(i)} for i in range(skip, min(skip + top, total))]
         return json.dumps({"PublicAssistanceFundedProjectsDetails": rows})
 
-    pages = extract_pages(spark, fetch, total, top=100, pages_per_task=4)
-    assert pages.rdd.getNumPartitions() == 6
-    assert hashes(unwrap(pages)) == [str(i) for i in range(total)]
-    assert extract_pages(spark, fetch, total, top=99999).count() == 3
+    fetched = extract_pages(spark, fetch, 0, 24, top=100, pages_per_task=4)
+    assert fetched.rdd.getNumPartitions() == 6
+    assert hashes(unwrap(fetched)) == [str(i) for i in range(total)]
+    # The cap of the source clamps a larger page size.
+    assert hashes(unwrap(extract_pages(spark, fetch, 1, 1, top=99999))) == [str(i) for i in range(1000, 2000)]
+
+
+@pytest.mark.parametrize("total, wave, waves", [(0, 2, 1), (150, 2, 1), (400, 2, 3), (450, 3, 2)])
+def test_extract_all_stops_at_a_short_page(spark, tmp_path, total, wave, waves):
+    def fetch(skip, top):
+        rows = [{"hash": str(i)} for i in range(skip, min(skip + top, total))]
+        return json.dumps({"PublicAssistanceFundedProjectsDetails": rows})
+
+    path = tmp_path / "pages"
+    found = extract_all(spark, fetch, str(path), top=100, wave=wave)
+    assert hashes(unwrap(found)) == [str(i) for i in range(total)]
+    assert len(list(path.glob("wave=*"))) == waves

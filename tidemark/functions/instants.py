@@ -27,6 +27,11 @@ def iso_instant(instant: Column) -> Column:
     return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
+def quoted_iso(instant: Column) -> Column:
+    """The same text in single quotes, as a source's filter expression takes an instant."""
+    return F.concat(F.lit("'"), iso_instant(instant), F.lit("'"))
+
+
 def later_of(*instants: Column) -> Column:
     """The latest of the given instants, ignoring NULLs. Compared as instants, never as text."""
     return F.greatest(*instants)

@@ -17,7 +17,7 @@ from contextlib import nullcontext
 from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.schema import FLAT_SCHEMA, LANDING_SCHEMA
 from tidemark.session import prepare, whole_variants
@@ -160,6 +160,16 @@ class Snapshots:
             raise ConcurrentPublish(f"version {mine.version} of {self.root} was published by another writer")
         return mine
 
+    def history(self) -> DataFrame:
+        """One row per version: its counts, and the running total of records sent."""
+        commits = self._commits()
+        if commits is None:
+            commits = self.spark.createDataFrame([], _COMMIT_ROW)
+        names = ("sent", "rejected", "distinct_keys", "inserted", "updated")
+        counts = [F.coalesce(F.col("counts")[n], F.lit(0).cast("long")).alias(n) for n in names]
+        so_far = Window.orderBy("version").rowsBetween(Window.unboundedPreceding, 0)
+        return commits.select("version", *counts).withColumn("total_sent", F.sum("sent").over(so_far))
+
     def unreferenced(self, keep: int = 2) -> DataFrame:
         """Load ids that older commits name and none of the newest ``keep`` does, per table.
 

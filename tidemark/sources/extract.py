@@ -1,4 +1,8 @@
-"""Paged extract of a remote source: every offset range is a Spark task."""
+"""Paged extract of a remote source: offset ranges are Spark tasks, pages are written as they come.
+
+``fetch(skip, top)`` returns the body of one page. It runs on executors, so it must be picklable,
+and a lost task repeats it, so it must be safe to call again.
+"""
 
 from collections.abc import Callable, Iterator
 
@@ -6,28 +10,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.schema import PAGE_CAP
+from tidemark.sources.pages import unwrap
+
+Fetch = Callable[[int, int], str]
 
 
 def extract_pages(
-    spark: SparkSession,
-    fetch: Callable[[int, int], str],
-    total: int,
-    top: int = PAGE_CAP,
-    pages_per_task: int = 16,
+    spark: SparkSession, fetch: Fetch, first_page: int, n_pages: int, top: int = PAGE_CAP, pages_per_task: int = 16
 ) -> DataFrame:
-    """Pages ``(page_seq, value)`` of a source holding ``total`` records.
+    """Pages ``first_page .. first_page + n_pages`` as ``(page_seq, value)``.
 
-    ``fetch(skip, top)`` returns one page body and runs on executors, so it must be picklable
-    and safe to repeat. Write the result before use: each evaluation fetches again.
+    Write the result before use: each evaluation fetches again.
     """
     size = min(top, PAGE_CAP)
-    page_count = -(-total // size)
 
     def fetch_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for seq in batch.column("page_seq").to_pylist():
                 yield pa.RecordBatch.from_pydict({"page_seq": [seq], "value": [fetch(seq * size, size)]})
 
-    tasks = max(1, -(-page_count // pages_per_task))
-    sequence = spark.range(0, page_count, 1, tasks).select(F.col("id").alias("page_seq"))
+    tasks = max(1, -(-n_pages // pages_per_task))
+    sequence = spark.range(first_page, first_page + n_pages, 1, tasks).select(F.col("id").alias("page_seq"))
     return sequence.mapInArrow(fetch_all, "page_seq long, value string")
+
+
+def extract_all(
+    spark: SparkSession, fetch: Fetch, path: str, top: int = PAGE_CAP, wave: int = 256, pages_per_task: int = 16
+) -> DataFrame:
+    """Every page until a short or empty one, without knowing the total: waves of pages, each in parallel.
+
+    The pages are kept under ``path``, which must be new and shared; read them back as often as needed.
+    """
+    size = min(top, PAGE_CAP)
+    first = 0
+    while True:
+        folder = f"{path}/wave={first}"
+        extract_pages(spark, fetch, first, wave, top, pages_per_task).write.parquet(folder)
+        per_page = unwrap(spark.read.parquet(folder)).groupBy("ord.page_seq").count()
+        if per_page.where(F.col("count") >= size).count() < wave:
+            return spark.read.parquet(path).select("page_seq", "value")
+        first += wave

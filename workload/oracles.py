@@ -182,6 +182,9 @@ FROM base""",
 WHERE event_type <> 'error' AND ts < TIMESTAMP '2024-01-16'""",
     "next_mark_resume": """SELECT max(ts) AS mark FROM events
 WHERE event_type <> 'error' AND ts < TIMESTAMP '2024-01-16'""",
+    "mark_filter": f"""WITH{_FOLD}
+SELECT  || strftime(greatest(max(lastrefresh), TIMESTAMP '2024-01-20 00:00:00'), '%Y-%m-%dT%H:%M:%S.%fZ') || 
+  AS mark_text FROM landing""",
     "incremental_scan": """SELECT event_id, CAST(user_id AS VARCHAR) AS hash, ts AS lastrefresh FROM events
 WHERE event_type <> 'error' AND ts >= TIMESTAMP '2024-01-16'""",
     "page_window": f"""WITH{_FOLD}
@@ -206,6 +209,14 @@ SELECT count(*) FILTER (WHERE is_new) AS inserted, count(*) FILTER (WHERE NOT is
   CAST(arg_max(props ->> '$.k', event_id) AS INTEGER) AS k,
   arg_max(ts, event_id) FILTER (WHERE event_type <> 'error') AS lastrefresh
 FROM events GROUP BY user_id""",
+    "load_totals": """WITH e AS (
+  SELECT user_id, 1 + CAST(ts >= TIMESTAMP '2024-01-11' AS BIGINT) + CAST(ts >= TIMESTAMP '2024-01-21' AS BIGINT) AS version
+  FROM events
+), firsts AS (SELECT user_id, min(version) AS version FROM e GROUP BY user_id)
+SELECT version, count(*) AS sent, CAST(0 AS BIGINT) AS rejected, count(DISTINCT user_id) AS distinct_keys,
+  (SELECT count(*) FROM firsts f WHERE f.version = e.version) AS inserted,
+  CAST(sum(count(*)) OVER (ORDER BY version) AS BIGINT) AS total_sent
+FROM e GROUP BY version""",
     "refresh_range": _flat("""SELECT hash, lastrefresh FROM flat
 WHERE lastrefresh BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-12-31 12:00:00'"""),
     "json_contains": """SELECT event_id, CAST(user_id AS VARCHAR) AS hash FROM events

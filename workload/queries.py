@@ -7,7 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions import instant
+from tidemark.functions import instant, quoted_iso
 from tidemark.operators import checks, flat as flat_ops, landing as landing_ops, mark as mark_ops, serve
 from tidemark.plans import Snapshots, run_cycle
 from tidemark.session import prepare, scratch_path, written
@@ -117,6 +117,12 @@ def next_mark_resume(spark: SparkSession, sf: str) -> DataFrame:
     return plain(mark_ops.next_mark(landing, AS_OF, mark_ops.RESUME))
 
 
+def mark_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """The mark as the text a remote source is asked with."""
+    landing = landing_ops.fold(inputs.event_landing(spark, sf))
+    return mark_ops.next_mark(landing, AS_OF, mark_ops.TODAY_GUARD).select(quoted_iso(F.col("mark")).alias("mark_text"))
+
+
 def incremental_scan(spark: SparkSession, sf: str) -> DataFrame:
     found = incremental(inputs.event_records(spark, sf), SPLIT)
     return plain(
@@ -209,10 +215,10 @@ def replace_load(spark: SparkSession, sf: str) -> DataFrame:
     return plain(store.landing().join(store.flat().select("hash", "stateabbr", "projectamount"), "hash").drop("raw"))
 
 
-def cycle_replay(spark: SparkSession, sf: str) -> DataFrame:
+def _replay(spark: SparkSession, sf: str) -> Snapshots:
     """Events land as page files in three drops; a stream loads each drop up to the present."""
     root = scratch_path(prepare(spark), "replay")
-    store = Snapshots(spark, f"{root}/store", buckets=8)
+    store = Snapshots(spark, f"{root}/store", inputs.buckets(spark, sf))
     drop = F.when(F.col("ts") < instant(DROPS[0]), 0).when(F.col("ts") < instant(DROPS[1]), 1).otherwise(2)
     times = inputs.table(spark, sf, "events").select(
         F.col("event_id").alias("seq"), drop.alias("drop"), F.col("ts").alias("event_ts")
@@ -222,8 +228,13 @@ def cycle_replay(spark: SparkSession, sf: str) -> DataFrame:
         part = texts.where(F.col("drop") == number)
         inputs.land_pages(inputs.pages_of(part.select("seq", "value")), f"{root}/pages")
         start_stream(store, f"{root}/pages", f"{root}/checkpoint", per_line=True).awaitTermination()
+    return store
+
+
+def cycle_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Landing after the replay: the same as one fold over all events."""
     return plain(
-        store.landing().select(
+        _replay(spark, sf).landing().select(
             "hash",
             F.variant_get("raw", "$.event_id", "bigint").alias("event_id"),
             F.variant_get("raw", "$.props.k", "int").alias("k"),
@@ -232,6 +243,11 @@ def cycle_replay(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def load_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """What each version of the replay loaded, with the running total."""
+    return _replay(spark, sf).history().select("version", "sent", "rejected", "distinct_keys", "inserted", "total_sent")
+
+
 # -- reports -----------------------------------------------------------------------------------
 
 
@@ -410,6 +426,7 @@ QUERIES = {
         high_water_mark,
         next_mark_guard,
         next_mark_resume,
+        mark_filter,
         incremental_scan,
         page_window,
         paged_dump,
@@ -420,6 +437,7 @@ QUERIES = {
         cycle_published,
         replace_load,
         cycle_replay,
+        load_totals,
         refresh_range,
         json_contains,
         json_contains_landing,
