@@ -183,7 +183,7 @@ WHERE event_type <> 'error' AND ts < TIMESTAMP '2024-01-16'""",
     "next_mark_resume": """SELECT max(ts) AS mark FROM events
 WHERE event_type <> 'error' AND ts < TIMESTAMP '2024-01-16'""",
     "mark_filter": f"""WITH{_FOLD}
-SELECT  || strftime(greatest(max(lastrefresh), TIMESTAMP '2024-01-20 00:00:00'), '%Y-%m-%dT%H:%M:%S.%fZ') || 
+SELECT chr(39) || strftime(greatest(max(lastrefresh), TIMESTAMP '2024-01-20 00:00:00'), '%Y-%m-%dT%H:%M:%S.%fZ') || chr(39)
   AS mark_text FROM landing""",
     "incremental_scan": """SELECT event_id, CAST(user_id AS VARCHAR) AS hash, ts AS lastrefresh FROM events
 WHERE event_type <> 'error' AND ts >= TIMESTAMP '2024-01-16'""",
