@@ -2,6 +2,7 @@ import json
 import random
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import page, records, shown, utc
 from pyspark.sql import functions as F
@@ -105,6 +106,26 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     assert gone == set()  # the first load still holds the other buckets
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_files_are_ordered_and_carry_statistics(spark, tmp_path, with_conf, threshold):
+    with_conf(spark__sql__autoBroadcastJoinThreshold=threshold)
+    store = Snapshots(spark, str(tmp_path / "s"), buckets=2)
+    states = ["TX", "CA", "NY", "FL"]
+    for first in (1, 11):
+        rows = [
+            {"hash": f"k{i}", "lastRefresh": day(first + i % 9), "stateAbbreviation": states[i * 7 % 4]} for i in range(90)
+        ]
+        apply_batch(store, records(spark, *rows), "s", first)
+    for table, column in (("landing", "lastrefresh"), ("flat", "stateabbr")):
+        for path in store.read(table).inputFiles():
+            file = pq.ParquetFile(path.removeprefix("file://"))
+            group = file.metadata.row_group(0)
+            leaves = {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
+            assert leaves[column].statistics.has_min_max
+            values = file.read([column]).column(0).to_pylist()
+            assert values == sorted(values)
+
+
 def test_loads_nothing_needs_are_listed(spark, tmp_path):
     store = Snapshots(spark, str(tmp_path / "s"), buckets=1)
     for n in (1, 2, 3):
