@@ -158,14 +158,18 @@ def test_cycles_equal_one_fold(spark, tmp_path, with_conf, threshold, policy):
     landing, flat = tables(store)
     assert landing == shown(fold(to_landing(records(spark, *rows)), policy))
     assert {r[0] for r in flat} == {r[0] for r in landing}
-    assert store.head().light_loads == (0 if threshold == "-1" else 2)
+    assert max(store.head().light_loads.values()) == (0 if threshold == "-1" else 2)
 
 
 def test_files_are_rebalanced_after_some_light_loads(spark, store, monkeypatch):
     monkeypatch.setattr(cycle, "LIGHT_LOADS", 2)
-    for n in range(5):
-        apply_batch(store, records(spark, *({"hash": f"k{i}", "lastRefresh": day(n + 1)} for i in range(9))), "s", n)
-    assert store.head().light_loads == 1
+    everything = [f"k{i}" for i in range(9)]
+    for n, keys in enumerate([everything, everything, ["k1"], everything, everything]):
+        apply_batch(store, records(spark, *({"hash": k, "lastRefresh": day(n + 1)} for k in keys)), "s", n)
+        counts = store.head().light_loads
+    # The third load touched one bucket, so the fourth found it due and rewrote all buckets it touched.
+    assert set(counts.values()) == {1}
+    assert len(store.landing().inputFiles()) <= 2 * len(counts)
     assert {r[2] for r in shown(store.landing())} == {"2024-01-05 00:00:00"}
     assert store.flat().count() == 9
 

@@ -13,7 +13,7 @@ from tidemark.operators import mark as mark_ops
 from tidemark.plans.snapshots import Commit, Snapshots
 from tidemark.session import broadcast_limit
 
-# After this many loads that only added files to their buckets, the next one rewrites them together.
+# After this many loads that left a bucket with more files than before, the next one rewrites them together.
 LIGHT_LOADS = 8
 
 # Memory of one broadcast (hash, refresh) row beside the text of its key: row header, pointers, map slot.
@@ -91,22 +91,22 @@ def ingest(
 
     touched = sorted(r.bucket for r in filled)
     if first:
-        return replace(base, buckets=buckets, light_loads=0, landing=dict.fromkeys(touched, load)), counts
+        return replace(base, buckets=buckets, light_loads={}, landing=dict.fromkeys(touched, load)), counts
 
     batch = batch.where(F.col("hash").isNotNull()).drop("n_rows")
     old = store.read("landing", base, touched)
-    light = base.light_loads
-    if light < LIGHT_LOADS and _fits_broadcast(store, counts["distinct_keys"], sum(r.key_bytes for r in filled)):
+    loads = {b: base.light_loads.get(b, 0) for b in touched}
+    if max(loads.values()) < LIGHT_LOADS and _fits_broadcast(store, counts["distinct_keys"], sum(r.key_bytes for r in filled)):
         # The old rows stay in the task that read them: no shuffle of the table.
         kept, resolved = landing_ops.upsert_small(old, batch, policy)
         resolved = _rebalanced(resolved.withColumn("bucket", bucket_of("hash", buckets)))
-        merged, light = kept.unionByName(resolved), light + 1
+        merged, loads = kept.unionByName(resolved), {b: n + 1 for b, n in loads.items()}
     else:
         # One shuffle of each side, and none for the write.
         result = landing_ops.upsert(_by_key(old, buckets), _by_key(batch, buckets), policy)
-        merged, light = result.withColumn("bucket", bucket_of("hash", buckets)), 0
+        merged, loads = result.withColumn("bucket", bucket_of("hash", buckets)), dict.fromkeys(touched, 0)
     landing = {**base.landing, **dict.fromkeys(touched, store.write("landing", merged))}
-    return replace(base, light_loads=light, landing=landing), counts
+    return replace(base, light_loads={**base.light_loads, **loads}, landing=landing), counts
 
 
 def sync(
@@ -148,7 +148,8 @@ def sync(
     dirty = sorted(r.bucket for r in per_bucket)
     flat, landing = store.read("flat", base, dirty), store.read("landing", base, dirty)
     bucket = bucket_of("hash", base.buckets)
-    if base.light_loads and _fits_broadcast(store, sum(counts.values()), sum(r.key_bytes for r in per_bucket)):
+    light = all(base.light_loads.get(b) for b in dirty)
+    if light and _fits_broadcast(store, sum(counts.values()), sum(r.key_bytes for r in per_bucket)):
         kept, replaced = flat_ops.sync_parts(flat, landing, F.broadcast(keys), strict)
         rows = kept.unionByName(_rebalanced(replaced.withColumn("bucket", bucket)))
     else:
@@ -185,7 +186,7 @@ def run_cycle(
     ``landing_first`` publishes landing before the sync, so a refused value holds back flat alone.
     """
     head = store.head()
-    base = replace(head, landing={}, flat={}, synced={}, buckets=0, light_loads=0) if mode == "replace" else head
+    base = replace(head, landing={}, flat={}, synced={}, buckets=0, light_loads={}) if mode == "replace" else head
     totals = {"sent": 0, "rejected": 0, "distinct_keys": 0}
 
     def load(commit: Commit, records: DataFrame) -> Commit:

@@ -31,7 +31,7 @@ LAYOUT = {"landing": ["lastrefresh"], "flat": ["stateabbr", "declarationdate"]}
 SEARCHED = {"landing"}
 
 _COMMIT_ROW = (
-    "version long, attempt string, buckets int, light_loads int,"
+    "version long, attempt string, buckets int, light_loads map<int,int>,"
     " landing map<int,string>, flat map<int,string>, synced map<int,string>,"
     " streams map<string,long>, counts map<string,long>"
 )
@@ -44,7 +44,7 @@ class Commit:
     version: int = 0
     attempt: str = ""
     buckets: int = 0
-    light_loads: int = 0  # loads since the files of a bucket were last rewritten together
+    light_loads: dict[int, int] = field(default_factory=dict)  # since a bucket's files were rewritten together
     landing: dict[int, str] = field(default_factory=dict)
     flat: dict[int, str] = field(default_factory=dict)
     synced: dict[int, str] = field(default_factory=dict)  # landing load each flat bucket reflects
