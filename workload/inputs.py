@@ -89,10 +89,9 @@ def flat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(to_landing(records(spark, sf_dir)))
 
 
-def event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_texts(events: DataFrame) -> DataFrame:
     """One record per event, keyed by user, so that keys repeat; errors carry no refresh."""
-    events = spread(table(spark, sf_dir, "events"))
-    members = events.select(
+    members = spread(events).select(
         F.col("user_id").cast("string").alias("hash"),
         F.when(F.col("event_type") != "error", _iso("ts")).alias("lastRefresh"),
         "event_id",
@@ -104,7 +103,7 @@ def event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_records(event_texts(spark, sf_dir), "seq")
+    return parse_records(event_texts(table(spark, sf_dir, "events")), "seq")
 
 
 def event_landing(spark: SparkSession, sf_dir: str) -> DataFrame:

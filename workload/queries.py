@@ -219,14 +219,10 @@ def _replay(spark: SparkSession, sf: str) -> Snapshots:
     """Events land as page files in three drops; a stream loads each drop up to the present."""
     root = scratch_path(prepare(spark), "replay")
     store = Snapshots(spark, f"{root}/store", inputs.buckets(spark, sf))
-    drop = F.when(F.col("ts") < instant(DROPS[0]), 0).when(F.col("ts") < instant(DROPS[1]), 1).otherwise(2)
-    times = inputs.table(spark, sf, "events").select(
-        F.col("event_id").alias("seq"), drop.alias("drop"), F.col("ts").alias("event_ts")
-    )
-    texts = inputs.event_texts(spark, sf).join(times, "seq")
-    for number in range(len(DROPS) + 1):
-        part = texts.where(F.col("drop") == number)
-        inputs.land_pages(inputs.pages_of(part.select("seq", "value")), f"{root}/pages")
+    events, ts = inputs.table(spark, sf, "events"), F.col("ts")
+    first, second = (F.lit(str(t)).cast("timestamp_ntz") for t in DROPS)
+    for drop in (ts < first, (ts >= first) & (ts < second), ts >= second):
+        inputs.land_pages(inputs.pages_of(inputs.event_texts(events.where(drop))), f"{root}/pages")
         start_stream(store, f"{root}/pages", f"{root}/checkpoint", per_line=True).awaitTermination()
     return store
 
