@@ -42,7 +42,8 @@ def containing(df: DataFrame, pattern) -> DataFrame:
     if isinstance(pattern, dict):
         for field in FIELD_MAP:
             wanted = pattern.get(field.source)
-            if field.column in df.columns and isinstance(field.type, T.StringType) and isinstance(wanted, str) and wanted:
+            is_text = isinstance(field.type, T.StringType) and isinstance(wanted, str) and wanted != ""
+            if is_text and field.column in df.columns:
                 df = df.where(F.col(field.column) == F.lit(wanted))
     return df.where(contains(F.col("raw"), pattern))
 

@@ -96,7 +96,8 @@ def ingest(
     batch = batch.where(F.col("hash").isNotNull()).drop("n_rows")
     old = store.read("landing", base, touched)
     loads = {b: base.light_loads.get(b, 0) for b in touched}
-    if max(loads.values()) < LIGHT_LOADS and _fits_broadcast(store, counts["distinct_keys"], sum(r.key_bytes for r in filled)):
+    small = _fits_broadcast(store, counts["distinct_keys"], sum(r.key_bytes for r in filled))
+    if small and max(loads.values()) < LIGHT_LOADS:
         # The old rows stay in the task that read them: no shuffle of the table.
         kept, resolved = landing_ops.upsert_small(old, batch, policy)
         resolved = _rebalanced(resolved.withColumn("bucket", bucket_of("hash", buckets)))

@@ -22,9 +22,8 @@ def numbered(df: DataFrame, by: list[str]) -> DataFrame:
     name = F.col("_metadata.file_name")
     file_no = F.regexp_extract(name, r"part-(\d+)", 1).cast("long")
     piece = F.regexp_extract(name, r"-c(\d+)\.", 1).cast("long")
-    placed = rows.select(
-        "*", F.struct(file_no.alias("no"), piece.alias("piece")).alias("_file"), F.col("_metadata.row_index").alias("_row")
-    )
+    place = F.struct(file_no.alias("no"), piece.alias("piece")).alias("_file")
+    placed = rows.select("*", place, F.col("_metadata.row_index").alias("_row"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     starts = starts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
