@@ -1,9 +1,24 @@
 """The registered queries of this subpackage and the SQL of those that SQL can express."""
 
+from tidemark.llm import licenses
+from tidemark.llm.decontaminate import op7_fm_index
+from tidemark.llm.licenses import op6_license_sentences
+from tidemark.llm.packing import op9_best_two_fit
+from tidemark.llm.quality import op5_line_frequency
+from tidemark.llm.shards import op3_virtual_slots
 from tidemark.llm.token_blocks import op1_token_blocks
+from tidemark.llm.url_filter import op10_url_filter
 
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
+    "op3_virtual_slots": op3_virtual_slots,
+    "op5_line_frequency": op5_line_frequency,
+    "op6_license_sentences": op6_license_sentences,
+    "op7_fm_index": op7_fm_index,
+    "op9_best_two_fit": op9_best_two_fit,
+    "op10_url_filter": op10_url_filter,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_license_sentences": licenses.SQL,
+}
