@@ -5,6 +5,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -66,7 +67,7 @@ def texts_of(column) -> tuple[np.ndarray, np.ndarray]:
 def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of each piece have at most ``limit`` bytes, or are one text."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes)
         at = 0
         while at < batch.num_rows:
