@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.common import ready, sliced, table
-from tidemark.llm.tokens import encoder, with_end
+from tidemark.llm.tokens import SLICE, encoder, with_end
 from tidemark.session import written
 
 CAPACITY = 2048
@@ -114,7 +114,7 @@ def plan_bins(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[tuple[n
 def _pieces(path: str, spaced: bool, end: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             coder = encoder(path, spaced)
             ids, counts = with_end(*coder.encode(batch.column("text")), end)
             kind = "<u2" if max(end, coder.tokenizer.get_vocab_size()) < 1 << 16 else "<u4"

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.common import ready, sliced, table
-from tidemark.llm.tokens import encoder, with_end
+from tidemark.llm.tokens import SLICE, encoder, with_end
 from tidemark.session import scratch_path
 
 BLOCK = 256
@@ -118,7 +118,7 @@ def _segments(path: str, spaced: bool, end: int):
             }
             return pa.RecordBatch.from_pydict(row)
 
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             flat, counts = with_end(*encoder(path, spaced).encode(batch.column("text")), end)
             ends = np.cumsum(counts)
             keys, at = batch.column("doc_id").to_pylist(), 0

@@ -6,6 +6,7 @@ text's ids are the ids of its pieces in order. Texts for which that is not certa
 """
 
 import os
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +14,12 @@ import pyarrow.compute as pc
 
 #: A space before more white space, in the widest sense: the byte-level rule joins such runs.
 ODD = r"[ \x01][\x01\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200F}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]|\x01"
-#: Pieces that a worker remembers, and the longest that it does.
-REMEMBERED, LONGEST = 400_000, 64
+#: Pieces that a worker remembers, at most; the longest of them; and how many are encoded in one call.
+REMEMBERED, LONGEST, JOINED = 700_000, 64, 500
+#: Bytes of text for one call of ``encode``: the more at once, the fewer distinct pieces.
+SLICE = 8 << 20
+#: Stands between pieces that are encoded in one call and drop their spaces.
+MARK = "\x01"
 
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
@@ -34,9 +39,14 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
-        self._forget()
-
-    def _forget(self) -> None:
+        vocabulary = self.tokenizer.get_vocab()
+        # Ids that begin a piece (byte-level: those with a leading space), or that stand between two.
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        if spaced:
+            self.edge[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        else:
+            mark = self._encode([MARK])[0]
+            self.edge[mark[:1]] = len(mark) == 1
         self.slots: dict[str, int] = {}
         self.starts = np.zeros(1024, np.int64)
         self.sizes = np.zeros(1024, np.int64)
@@ -46,25 +56,43 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _put(self, encoded: list[list[int]]) -> np.ndarray:
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        total = int(sizes.sum())
-        while self.n_slots + len(encoded) > len(self.starts):
+    def _put(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        while self.n_slots + len(sizes) > len(self.starts):
             self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
-        while self.n_ids + total > len(self.ids):
+        while self.n_ids + len(ids) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        slots = np.arange(self.n_slots, self.n_slots + len(encoded))
+        slots = np.arange(self.n_slots, self.n_slots + len(sizes))
         self.sizes[slots] = sizes
         self.starts[slots] = self.n_ids + np.cumsum(sizes) - sizes
-        self.ids[self.n_ids : self.n_ids + total] = np.fromiter((i for x in encoded for i in x), np.uint32, total)
-        self.n_slots += len(encoded)
-        self.n_ids += total
+        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+        self.n_slots += len(sizes)
+        self.n_ids += len(ids)
         return slots
 
+    def _put_each(self, texts: list[str]) -> np.ndarray:
+        encoded = self._encode(texts)
+        return self._put(np.array([i for x in encoded for i in x], np.uint32), np.array([len(x) for x in encoded], np.int64))
+
+    def _put_joined(self, pieces: list[str]) -> np.ndarray:
+        """Many pieces in one text; their ids fall apart again at the edges, or each piece is encoded alone."""
+        out = []
+        for at in range(0, len(pieces), JOINED):
+            some = pieces[at : at + JOINED]
+            ids = np.array(self._encode([("" if self.spaced else f" {MARK} ").join(some)])[0], np.uint32)
+            edge = self.edge[ids]
+            if self.spaced:
+                sizes = np.diff(np.append(np.flatnonzero(edge), len(ids)))
+                right = len(sizes) == len(some) and bool(edge[0])
+            else:
+                ends = np.append(np.flatnonzero(edge), len(ids))
+                sizes = np.diff(ends, prepend=-1) - 1
+                ids, right = ids[~edge], len(sizes) == len(some)
+            out.append(self._put(ids, sizes) if right else self._put_each(some))
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) and the number of ids of each text. NULL counts as empty."""
-        if self.n_slots > REMEMBERED:
-            self._forget()
+        frozen = (self.n_slots, self.n_ids) if self.n_slots >= REMEMBERED else None
         texts = texts.cast(pa.string()).fill_null("")
         pieces = texts
         if self.spaced:
@@ -74,21 +102,33 @@ class Encoder:
         offsets = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
         coded = pieces.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
-        known = [self.slots.get(w, -1) for w in words]
-        new = [i for i, slot in enumerate(known) if slot < 0]
-        for i, slot in zip(new, self._put(self._encode([words[i] for i in new])).tolist(), strict=True):
-            known[i] = slot
-            if len(words[i]) <= LONGEST:
-                self.slots[words[i]] = slot
-        slots = np.array(known, np.int64)[coded.indices.to_numpy()]
+        slots = np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(slots < 0).tolist()
+        if self.spaced:
+            joined = [i for i in new if words[i][:1] == " " and not words[i][-1:].isspace()]
+            alone = [i for i in new if words[i][:1] != " " or words[i][-1:].isspace()]
+        else:
+            joined, alone = [i for i in new if words[i] and MARK not in words[i]], [i for i in new if not words[i] or MARK in words[i]]
+        slots[joined] = self._put_joined([words[i] for i in joined])
+        slots[alone] = self._put_each([words[i] for i in alone])
+        if frozen is None:
+            self.slots.update((words[i], slot) for i, slot in zip(new, slots[new].tolist(), strict=True) if len(words[i]) <= LONGEST)
+        indices = coded.indices
         if self.spaced and pc.any(odd).as_py():
             whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
-            slots[offsets[whole]] = self._put(self._encode(texts.take(pa.array(whole)).to_pylist()))
+            slots = np.concatenate([slots, self._put_each(texts.take(pa.array(whole)).to_pylist())])
+            indices = indices.to_numpy().copy()
+            indices[offsets[whole]] = np.arange(len(words), len(words) + len(whole))
+            indices = pa.array(indices)
         sizes = self.sizes[slots]
         ends = np.cumsum(sizes)
         take = np.repeat(self.starts[slots] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
-        ends = np.concatenate([[0], ends])
-        return self.ids[take], np.diff(ends[offsets])
+        distinct = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], ends])), pa.array(self.ids[take]))
+        if frozen:
+            self.n_slots, self.n_ids = frozen
+        taken = distinct.take(indices)
+        ends = taken.offsets.to_numpy()
+        return taken.flatten().to_numpy(), np.diff(ends[offsets])
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
