@@ -115,7 +115,7 @@ def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0
         return np.zeros(0, np.uint64)
     eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
     sizes = (ends - starts).astype(np.int64)
-    out = mixed(sizes.astype(np.uint64) + np.uint64(seed * 2 + 1) * np.uint64(0x9E3779B97F4A7C15))
+    out = mixed(sizes.astype(np.uint64) + np.uint64((seed * 2 + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
     left = np.flatnonzero(sizes > 0)
     at = 0
     while len(left):
