@@ -5,12 +5,16 @@ from tidemark.llm.decontaminate import op7_fm_index
 from tidemark.llm.licenses import op6_license_sentences
 from tidemark.llm.packing import op9_best_two_fit
 from tidemark.llm.partenum import op2_partenum
+from tidemark.llm.katz import op8_katz
+from tidemark.llm.suffixes import op4_suffix_dedup
 from tidemark.llm.quality import op5_line_frequency
 from tidemark.llm.shards import op3_virtual_slots
 from tidemark.llm.token_blocks import op1_token_blocks
 from tidemark.llm.url_filter import op10_url_filter
 
 QUERIES = {
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op8_katz": op8_katz,
     "op2_partenum": op2_partenum,
     "op1_token_blocks": op1_token_blocks,
     "op3_virtual_slots": op3_virtual_slots,
