@@ -12,8 +12,9 @@ parts, so that similar sets agree on one more part than the spare ones; a set wi
 spare parts keeps its empty signatures, so no pair is lost.
 
 Equal sets are one node. The sets of a signature are first compared with the least of them; after components
-are formed, only members of different components are paired. Signatures that many share are refined by a
-second, independent partition of the hashes first.
+are formed, only members of different components are paired. Where a signature's members are in many components,
+as after a line that many texts have, each looks for partners by its rarest elements only: of two similar sets,
+the rarest ``size - ceil(threshold * size) + 1`` elements of each, in one common order, have one in common.
 
 NULL and empty texts have empty sets and link with nothing; repeated rows are all returned; an empty table gives
 no rows. Other columns are not read.
@@ -26,7 +27,7 @@ from math import ceil, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.common import LOWER, PRINTED, hashed, keyed, mixed, ready, runs, sliced, table, texts_of, windows
 from tidemark.llm.components import components
@@ -34,8 +35,8 @@ from tidemark.session import written
 
 #: Texts whose signatures go out together, in bytes.
 FLUSH = 24 << 20
-#: Members from which a signature is refined instead of paired.
-REFINED = 256
+#: Components that the members of a signature may be in and still be paired one by one.
+PAIRED = 16
 
 
 def sets_of(column, size: int) -> list[np.ndarray]:
@@ -91,11 +92,9 @@ class Bands:
                 spare = 0 if empty < 0.05 else ceil(empty + 3 * sqrt(empty))
         return n1 + spare, n2, choices, spare
 
-    def signatures(self, own: np.ndarray, seed: int = 0) -> np.ndarray:
+    def signatures(self, own: np.ndarray) -> np.ndarray:
         """All signatures of a set of sorted hashes."""
         band, out = self.band(len(own)), []
-        if seed:
-            own = np.sort(mixed(own ^ mixed(np.array([seed], np.uint64))))
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(own))])
         self.band(self.highs[band] + 1)
         for pair in (band, band + 1):
@@ -106,7 +105,7 @@ class Bands:
             cuts = np.concatenate([[0], cuts, [len(own)]])
             part_sums, part_sizes = np.diff(sums[cuts]).reshape(n1, n2), np.diff(cuts).reshape(n1, n2)
             total, sizes = part_sums[:, choices].sum(axis=2), part_sizes[:, choices].sum(axis=2)
-            tags = (np.arange(n1 * len(choices), dtype=np.uint64) + np.uint64(pair << 40) + np.uint64(seed << 56)).reshape(total.shape)
+            tags = (np.arange(n1 * len(choices), dtype=np.uint64) + np.uint64(pair << 40)).reshape(total.shape)
             found = mixed(mixed(total + sizes.astype(np.uint64)) ^ mixed(tags))
             out.append(found.reshape(-1) if (sizes == 0).any(axis=1).sum() > spare else found[sizes > 0])
         return np.concatenate(out)
@@ -233,20 +232,13 @@ def _similar(num: int, den: int):
     return run
 
 
-def _refined(num: int, den: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(num, den)
-        for batch in batches:
-            for node, root, own, shared in zip(*(batch.column(c).to_pylist() for c in ("node", "root", "own", "shared")), strict=True):
-                second = mixed(bands.signatures(np.frombuffer(own, np.uint64), seed=1))
-                for first in shared:
-                    refined = mixed(second ^ np.array([first], np.int64).view(np.uint64))
-                    n = len(refined)
-                    yield pa.RecordBatch.from_pydict(
-                        {"signature": pa.array(refined.view(np.int64)), "node": pa.array([node] * n, pa.binary()), "root": pa.array([root] * n, pa.binary())}
-                    )
-
-    return run
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        own = [np.frombuffer(x, np.int64) for x in batch.column("own").to_pylist()]
+        sizes = np.array([len(x) for x in own], np.int64)
+        which = pa.array(np.repeat(np.arange(len(own)), sizes))
+        columns = {"element": pa.array(np.concatenate(own)), "size": pa.array(np.repeat(sizes, sizes))}
+        yield pa.RecordBatch.from_pydict({**columns, **{c: batch.column(c).take(which) for c in ("node", "root")}})
 
 
 def _across(members: DataFrame) -> DataFrame:
@@ -292,16 +284,27 @@ class Join:
         # Members of one signature that the first comparisons left in different components.
         labelled = self.members.join(roots, "node", "left").select("signature", "node", F.coalesce("root", "node").alias("root"))
         labelled = written(labelled, "members")
-        mixed_groups = labelled.groupBy("signature").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("n"))
-        mixed_groups = mixed_groups.where("a != b").select("signature", (F.col("n") > REFINED).alias("large"))
-        open_ = written(labelled.join(mixed_groups, "signature"), "open")
-        shared = open_.where("large").groupBy("node", "root").agg(F.collect_set("signature").alias("shared"))
-        refined = shared.join(self.sets, "node").select("node", "root", "own", "shared")
-        refined = refined.mapInArrow(_refined(self.num, self.den), "signature long, node binary, root binary")
-        pairs = _across(open_.where("NOT large")).union(_across(refined)).distinct()
-        more = written(self._linked(pairs.join(self.candidates, ["u", "v"], "left_anti")), "links")
+        parted = labelled.groupBy("signature", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("signature").agg(F.count("n").alias("parts"))
+        open_ = labelled.join(parted.where("parts > 1"), "signature")
+        open_ = written(open_.select("signature", "node", "root", (F.col("parts") > PAIRED).alias("many")), "open")
+        few = _across(open_.where("NOT many"))
+        many = _across(self._rarest(open_.where("many").select("node", "root").distinct()))
+        pairs = few.union(many).distinct().join(self.candidates, ["u", "v"], "left_anti")
+        more = written(self._linked(pairs), "links")
         return components(links.union(more)) if not more.isEmpty() else roots
 
+    def _rarest(self, nodes: DataFrame) -> DataFrame:
+        """``(signature, node, root)``: of each node the rarest elements that another of them may share."""
+        rows = written(self.sets.join(nodes, "node").mapInArrow(_elements, "element long, size long, node binary, root binary"), "elements")
+        held = rows.groupBy("element").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+        # Elements that no other node has come first; only the places they leave need a look.
+        by_node = Window.partitionBy("node")
+        ranked = rows.join(held, "element").select(
+            "*", F.row_number().over(by_node.orderBy("held", "element")).alias("at"), F.count(F.lit(1)).over(by_node).alias("shared")
+        )
+        looked = F.expr(f"size - (size * {self.num} + {self.den - 1}) div {self.den} + 1 - (size - shared)")
+        return ranked.where(F.col("at") <= looked).select(F.col("element").alias("signature"), "node", "root")
+
     def linked(self) -> DataFrame:
         """Per row: ``row_file, row_at, doc_id, n_shingles, component_id``."""
         rows = self.rows.join(self.roots(), "node", "left").withColumn("root", F.coalesce("root", "node"))
