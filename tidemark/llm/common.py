@@ -16,14 +16,14 @@ ROOT = str(Path(__file__).resolve().parents[2])
 
 SETTINGS = {
     # Batches that cross to Python hold whole texts: bound them by bytes as well as by rows.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     # Shuffle files of a finished job go at its end, not when the driver next collects garbage.
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 #: Bytes of text that numpy works on at a time; a longer text makes a slice of its own.
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:

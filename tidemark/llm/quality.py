@@ -33,8 +33,10 @@ FACTS = (
 
 
 def _per_text(marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(marks, dtype=np.int64)])
-    return np.diff(total[offsets])
+    out, some = np.zeros(len(offsets) - 1, np.int64), np.diff(offsets) > 0
+    if some.any():
+        out[some] = np.add.reduceat(marks, offsets[:-1][some], dtype=np.int64)
+    return out
 
 
 def repeated(hashes: np.ndarray, first: np.ndarray, size: int = REPEAT_WINDOW) -> np.ndarray:
@@ -68,13 +70,11 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Lines: each begins at its text's start or after a line feed.
         breaks = np.flatnonzero(body == 10)
         line_starts = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
-        line_text = np.searchsorted(offsets[1:], line_starts, side="right")
-        # Where texts begin, the list of starts is stable: empty texts and trailing line feeds make empty lines.
         line_ends = np.append(line_starts[1:], offsets[-1])
         from_, to = np.searchsorted(starts, line_starts), np.searchsorted(starts, line_ends)
         worded = np.flatnonzero(to > from_)
-        line_text, from_, to = np.minimum(line_text, n - 1)[worded], from_[worded], to[worded]
-        # A line's words lie in its text; the bytes up to the line feed, or the text's end, are compared.
+        from_, to = from_[worded], to[worded]
+        # Empty texts and trailing line feeds make lines without words. Others are compared up to the line feed or the text's end.
         line_text = np.searchsorted(first, from_, side="right") - 1
         stop = line_ends[worded] - (body[np.maximum(line_ends[worded] - 1, 0)] == 10)
         exact = mixed(hashed(data, line_starts[worded], stop) ^ mixed(line_text.astype(np.uint64)))
