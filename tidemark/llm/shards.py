@@ -9,6 +9,8 @@ too. NULL texts have size 1 and the checksum of no bytes. Repeated rows are all
 gives no rows.
 """
 
+from bisect import bisect_right
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.common import ready, table
@@ -71,13 +73,18 @@ def grow(placed: dict[int, int], loads: dict[int, tuple[int, int]], shards: int)
     for slot, shard in placed.items():
         total[shard] += loads[slot][0]
     share = sum(total) / (shards + 1)
-    for slot in sorted(placed, key=lambda s: (-loads[s][0], s)):
-        size = loads[slot][0]
-        if total[new] + size <= share and total[placed[slot]] - size >= share - size / 2:
-            total[placed[slot]] -= size
-            total[new] += size
-            placed[slot] = new
-    return placed
+    held = [sorted((loads[s][0], s) for s, k in placed.items() if k == shard) for shard in range(shards)]
+    while True:
+        shard = max(range(shards), key=lambda k: total[k])
+        # The largest slot that does not overfill the new shard.
+        room = min(share, total[shard]) - total[new]
+        at = bisect_right(held[shard], (room, float("inf"))) - 1
+        if at < 0:
+            return placed
+        size, slot = held[shard].pop(at)
+        total[shard] -= size
+        total[new] += size
+        placed[slot] = new
 
 
 def store(spark: SparkSession, path: str, version: int, placed: dict[int, int], loads: dict[int, tuple[int, int]]) -> DataFrame:
