@@ -1,4 +1,4 @@
-"""Tokenizer ids of whole texts, quickly: each distinct piece between spaces is encoded once per worker.
+"""Tokenizer ids of whole texts, quickly: a worker encodes each distinct piece between spaces once.
 
 Both tokenizers cut a text before any rule joins characters, and never join across a space that a
 non-space follows (byte-level: the space belongs to the next piece; word ends: spaces are dropped). So a
@@ -6,20 +6,25 @@ text's ids are the ids of its pieces in order. Texts for which that is not certa
 """
 
 import os
-from itertools import repeat
+import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tidemark.llm.common import hashed, texts_of
+
 #: A space before more white space, in the widest sense: the byte-level rule joins such runs.
 ODD = r"[ \x01][\x01\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200F}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]|\x01"
-#: Pieces that a worker remembers, at most; the longest of them; and how many are encoded in one call.
-REMEMBERED, LONGEST, JOINED = 700_000, 64, 500
+#: Pieces that a worker remembers, at most, and how many are encoded in one call.
+REMEMBERED, JOINED = 1_400_000, 500
 #: Bytes of text for one call of ``encode``: the more at once, the fewer distinct pieces.
 SLICE = 8 << 20
 #: Stands between pieces that are encoded in one call and drop their spaces.
 MARK = "\x01"
+#: Words that are letters before U+0180 and then marks: one or two parts for the word tokenizer, and lower case is all that its
+#: normaliser makes of them.
+SIMPLE = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ſ]+([.,!?;:]*)")
 
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
@@ -31,6 +36,38 @@ def encoder(path: str, spaced: bool) -> "Encoder":
     return _encoders[path, spaced]
 
 
+class Memory:
+    """An open hash table from pieces, known by two hashes, to the numbers of their encodings; whole arrays at a time."""
+
+    def __init__(self, bits: int = 21):
+        self.mask = np.uint64((1 << bits) - 1)
+        self.keys, self.checks = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint64)
+        self.slots = np.full(1 << bits, -1, np.int32)
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """The number of each piece, or -1."""
+        out, left, at = np.full(len(keys), -1, np.int64), np.arange(len(keys)), (keys & self.mask).astype(np.int64)
+        while len(left):
+            there = at[left]
+            slots = self.slots[there]
+            same = (slots >= 0) & (self.keys[there] == keys[left]) & (self.checks[there] == checks[left])
+            out[left[same]] = slots[same]
+            left = left[(slots >= 0) & ~same]
+            at[left] = (at[left] + 1) & int(self.mask)
+        return out
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, slots: np.ndarray) -> None:
+        left, at = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
+        while len(left):
+            free = left[self.slots[at[left]] < 0]
+            first = free[np.unique(at[free], return_index=True)[1]]
+            self.keys[at[first]], self.checks[at[first]], self.slots[at[first]] = keys[first], checks[first], slots[first]
+            done = np.zeros(len(keys), bool)
+            done[first] = True
+            left = left[~done[left]]
+            at[left] = (at[left] + (self.slots[at[left]] >= 0)) & int(self.mask)
+
+
 class Encoder:
     def __init__(self, path: str, spaced: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -47,10 +84,15 @@ class Encoder:
         else:
             mark = self._encode([MARK])[0]
             self.edge[mark[:1]] = len(mark) == 1
-        self.slots: dict[str, int] = {}
+            self.ends = np.zeros(len(self.edge), bool)
+            self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+            self.bare = Tokenizer.from_file(path)
+            self.bare.encode_special_tokens = True
+            self.bare.normalizer = None
+        self.memory = Memory()
         self.starts = np.zeros(1024, np.int64)
-        self.sizes = np.zeros(1024, np.int64)
-        self.ids = np.zeros(8192, np.uint32)
+        self.sizes = np.zeros(1024, np.int32)
+        self.ids = np.zeros(8192, np.uint16 if len(self.edge) <= 1 << 16 else np.uint32)
         self.n_slots = self.n_ids = 0
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
@@ -90,6 +132,17 @@ class Encoder:
             out.append(self._put(ids, sizes) if right else self._put_each(some))
         return np.concatenate(out) if out else np.zeros(0, np.int64)
 
+    def _put_simple(self, words: list[str], parts: list[int]) -> np.ndarray:
+        """Simple words with their numbers of parts, many in one text, without the normaliser."""
+        out = []
+        for at in range(0, len(words), JOINED):
+            some = words[at : at + JOINED]
+            ids = np.array(self.bare.encode(" ".join(some).lower(), add_special_tokens=False).ids, np.uint32)
+            ends, wanted = np.flatnonzero(self.ends[ids]) + 1, np.cumsum(parts[at : at + JOINED])
+            right = len(ends) == wanted[-1] and ends[-1] == len(ids)
+            out.append(self._put(ids, np.diff(ends[wanted - 1], prepend=0)) if right else self._put_each(some))
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) and the number of ids of each text. NULL counts as empty."""
         frozen = (self.n_slots, self.n_ids) if self.n_slots >= REMEMBERED else None
@@ -101,26 +154,33 @@ class Encoder:
         pieces = pc.split_pattern(pieces, "\x01" if self.spaced else " ")
         offsets = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
         coded = pieces.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        slots = np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
-        new = np.flatnonzero(slots < 0).tolist()
+        data, ends = texts_of(coded.dictionary)
+        keys, checks = (hashed(data, ends[:-1], ends[1:], seed) for seed in (11, 12))
+        slots = self.memory.find(keys, checks)
+        new = np.flatnonzero(slots < 0)
+        words = coded.dictionary.take(pa.array(new)).to_pylist()
         if self.spaced:
-            joined = [i for i in new if words[i][:1] == " " and not words[i][-1:].isspace()]
-            alone = [i for i in new if words[i][:1] != " " or words[i][-1:].isspace()]
+            apart = [k for k, w in enumerate(words) if w[:1] != " " or w[-1:].isspace()]
         else:
-            joined, alone = [i for i in new if words[i] and MARK not in words[i]], [i for i in new if not words[i] or MARK in words[i]]
-        slots[joined] = self._put_joined([words[i] for i in joined])
-        slots[alone] = self._put_each([words[i] for i in alone])
+            apart = [k for k, w in enumerate(words) if not w or MARK in w]
+        together = np.ones(len(new), bool)
+        together[apart] = False
+        if not self.spaced:
+            simple = [k for k, w in enumerate(words) if w[-1:] < "\u0180" and SIMPLE.fullmatch(w)]
+            slots[new[simple]] = self._put_simple([words[k] for k in simple], [1 + (words[k][-1] in ".,!?;:") for k in simple])
+            together[simple] = False
+        slots[new[together]] = self._put_joined([words[k] for k in np.flatnonzero(together).tolist()])
+        slots[new[apart]] = self._put_each([words[k] for k in apart])
         if frozen is None:
-            self.slots.update((words[i], slot) for i, slot in zip(new, slots[new].tolist(), strict=True) if len(words[i]) <= LONGEST)
+            self.memory.add(keys[new], checks[new], slots[new])
         indices = coded.indices
         if self.spaced and pc.any(odd).as_py():
             whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
             slots = np.concatenate([slots, self._put_each(texts.take(pa.array(whole)).to_pylist())])
             indices = indices.to_numpy().copy()
-            indices[offsets[whole]] = np.arange(len(words), len(words) + len(whole))
+            indices[offsets[whole]] = np.arange(len(keys), len(slots))
             indices = pa.array(indices)
-        sizes = self.sizes[slots]
+        sizes = self.sizes[slots].astype(np.int64)
         ends = np.cumsum(sizes)
         take = np.repeat(self.starts[slots] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
         distinct = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], ends])), pa.array(self.ids[take]))
@@ -128,7 +188,7 @@ class Encoder:
             self.n_slots, self.n_ids = frozen
         taken = distinct.take(indices)
         ends = taken.offsets.to_numpy()
-        return taken.flatten().to_numpy(), np.diff(ends[offsets])
+        return taken.flatten().to_numpy().astype(np.uint32), np.diff(ends[offsets])
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
