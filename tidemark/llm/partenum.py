@@ -12,8 +12,9 @@ parts, so that similar sets agree on one more part than the spare ones; a set wi
 spare parts keeps its empty signatures, so no pair is lost.
 
 Equal sets are one node. The sets of a signature are first compared with the least of them; after components
-are formed, only members of different components are paired. Where a signature's members are in many components,
-as after a line that many texts have, each looks for partners by its rarest elements only: of two similar sets,
+are formed, only members of different components are paired. A set's own elements, which no other such
+member has, bound how similar it can be to any: most members drop out by that, and most pairs. Where a signature's members
+are in many components, each looks for partners by its rarest elements: of two similar sets,
 the rarest ``size - ceil(threshold * size) + 1`` elements of each, in one common order, have one in common.
 
 NULL and empty texts have empty sets and link with nothing; repeated rows are all returned; an empty table gives
@@ -241,11 +242,14 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({**columns, **{c: batch.column(c).take(which) for c in ("node", "root")}})
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs ``(u, v)`` of one signature's members that are in different components."""
-    left = members.select("signature", F.col("node").alias("u"), F.col("root").alias("u_root"))
-    right = members.select("signature", F.col("node").alias("v"), F.col("root").alias("v_root"))
-    return left.join(right, "signature").where("u < v AND u_root != v_root").select("u", "v").distinct()
+def _across(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs ``(u, v)`` of one signature's members that are in different components and may be similar by what they share."""
+    columns = ("node", "root", "size", "shared")
+    left, right = (members.select("signature", *(F.col(c).alias(f"{side}_{c}") for c in columns)) for side in "uv")
+    both = F.least("u_shared", "v_shared")
+    may = den * both >= num * (F.col("u_size") + F.col("v_size") - both)
+    met = (left["signature"] == right["signature"]) & (F.col("u_node") < F.col("v_node")) & (F.col("u_root") != F.col("v_root"))
+    return left.join(right, met & may).select(F.col("u_node").alias("u"), F.col("v_node").alias("v")).distinct()
 
 
 class Join:
@@ -284,26 +288,42 @@ class Join:
         # Members of one signature that the first comparisons left in different components.
         labelled = self.members.join(roots, "node", "left").select("signature", "node", F.coalesce("root", "node").alias("root"))
         labelled = written(labelled, "members")
-        parted = labelled.groupBy("signature", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("signature").agg(F.count("n").alias("parts"))
-        open_ = labelled.join(parted.where("parts > 1"), "signature")
-        open_ = written(open_.select("signature", "node", "root", (F.col("parts") > PAIRED).alias("many")), "open")
-        few = _across(open_.where("NOT many"))
-        many = _across(self._rarest(open_.where("many").select("node", "root").distinct()))
-        pairs = few.union(many).distinct().join(self.candidates, ["u", "v"], "left_anti")
+        open_ = self._parted(labelled).where("parts > 1").select("signature", "node", "root")
+        open_ = written(open_, "open")
+        elements = self._elements(open_.select("node", "root").distinct())
+        held = elements.groupBy("element").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+        shares = elements.join(held, "element").groupBy("node").agg(F.first("size").alias("size"), F.count(F.lit(1)).alias("shared"))
+        able = shares.where(F.col("shared") * self.den >= F.col("size") * self.num)
+        live = self._parted(open_.join(able, "node")).withColumn("many", F.col("parts") > PAIRED)
+        live = written(live, "live")
+        few = _across(live.where("NOT many"), self.num, self.den)
+        many = live.where("many").select("node", "root", "size", "shared").distinct()
+        pairs = few.union(_across(self._rarest(many), self.num, self.den)).distinct().join(self.candidates, ["u", "v"], "left_anti")
         more = written(self._linked(pairs), "links")
         return components(links.union(more)) if not more.isEmpty() else roots
 
+    def _parted(self, members: DataFrame) -> DataFrame:
+        """Add the number of components that the members of each signature are in."""
+        roots = members.groupBy("signature", "root").agg(F.count(F.lit(1)).alias("n"))
+        return members.join(roots.groupBy("signature").agg(F.count("n").alias("parts")), "signature")
+
+    def _elements(self, nodes: DataFrame) -> DataFrame:
+        """``(element, size, node, root)`` of the sets of some nodes."""
+        rows = self.sets.join(nodes, "node").select("node", "root", "own")
+        return written(rows.mapInArrow(_elements, "element long, size long, node binary, root binary"), "elements")
+
     def _rarest(self, nodes: DataFrame) -> DataFrame:
-        """``(signature, node, root)``: of each node the rarest elements that another of them may share."""
-        rows = written(self.sets.join(nodes, "node").mapInArrow(_elements, "element long, size long, node binary, root binary"), "elements")
+        """``(signature, node, root, size, shared)``: of each node the rarest elements that another of them may share."""
+        rows = self._elements(nodes.select("node", "root"))
         held = rows.groupBy("element").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
         # Elements that no other node has come first; only the places they leave need a look.
         by_node = Window.partitionBy("node")
         ranked = rows.join(held, "element").select(
-            "*", F.row_number().over(by_node.orderBy("held", "element")).alias("at"), F.count(F.lit(1)).over(by_node).alias("shared")
+            "*", F.row_number().over(by_node.orderBy("held", "element")).alias("at"), F.count(F.lit(1)).over(by_node).alias("common")
         )
-        looked = F.expr(f"size - (size * {self.num} + {self.den - 1}) div {self.den} + 1 - (size - shared)")
-        return ranked.where(F.col("at") <= looked).select(F.col("element").alias("signature"), "node", "root")
+        looked = F.expr(f"size - (size * {self.num} + {self.den - 1}) div {self.den} + 1 - (size - common)")
+        found = ranked.where(F.col("at") <= looked).select(F.col("element").alias("signature"), "node")
+        return found.join(nodes, "node")
 
     def linked(self) -> DataFrame:
         """Per row: ``row_file, row_at, doc_id, n_shingles, component_id``."""
