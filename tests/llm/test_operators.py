@@ -168,6 +168,16 @@ def test_op8_scores(spark, folder):
         assert all(a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-6, abs=1e-5) for a, b in pairs)
 
 
+def test_op8_packets_do_not_matter(spark, monkeypatch):
+    from tidemark.llm import katz
+
+    columns = ("doc_id", "n_known", "score")
+    whole = {r[0]: r for r in result(spark, "op8_katz", SF, *columns)}
+    monkeypatch.setattr(katz, "PACKET", 3)
+    for doc_id, known, score in result(spark, "op8_katz", SF, *columns):
+        assert (known, score) == (whole[doc_id][1], pytest.approx(whole[doc_id][2]))
+
+
 def test_op8_model_beats_the_base_on_held_out_documents(spark):
     rows = result(spark, "op8_katz", SF, "held_out", "base_score", "score")
     assert sum(r[2] for r in rows if r[0]) > sum(r[1] for r in rows if r[0])

@@ -1,9 +1,9 @@
 """Operator 8: a Katz backoff model over words, learned and applied where the data lies.
 
 Documents come in packets of neighbouring rows. A packet sends its distinct words and bigrams, with their
-training counts, to ranges of their hashes; there counts are added up and stored as tables, and every packet is
-told the counts of what it asked for. Words are told their backoff weight as well. Nothing of the vocabulary
-goes through the driver or to all tasks: only how many n-grams have each small count.
+training counts, to buckets by their hashes; there counts are added up and stored as tables, and every packet is
+told the counts of what it asked for, in the order in which it asked. Words are told their backoff weight as well.
+Nothing of the vocabulary goes through the driver or to all tasks: only how many n-grams have each small count.
 
 Counts up to ``LARGE`` are discounted by Good-Turing, as Katz has it; bigrams seen fewer than ``LEAST`` times count as
 unseen. The words seen and one unknown word share probability 1; so do they after any word:
@@ -82,88 +82,118 @@ def risen(x: bytes) -> np.ndarray:
     return np.cumsum(numbers(x, "<u8"))
 
 
-SENT = "kind int, bucket int, packet long, a binary, b binary, c binary, d binary"
+@dataclass
+class Asked:
+    """The distinct words and bigrams of a stretch of texts, in an order that their bytes alone decide."""
+
+    words: np.ndarray
+    codes: np.ndarray  # of the tokens, in words
+    start: int  # the code of the start
+    distinct: np.ndarray  # bigrams, as the codes of two words
+    grams: np.ndarray  # of the tokens, in distinct
+    word_deal: tuple[np.ndarray, np.ndarray]  # order by bucket, and where each bucket begins
+    gram_deal: tuple[np.ndarray, np.ndarray]
+
+    def pairs(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the first and second words of bigrams."""
+        own = self.distinct[which]
+        return self.words[(own >> np.uint64(32)).astype(np.int64)], self.words[(own & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+
+    def before(self) -> np.ndarray:
+        """The code of the word before each token."""
+        return (self.distinct[self.grams] >> np.uint64(32)).astype(np.int64)
+
+
+def asked_by(tokens: np.ndarray, before: np.ndarray, buckets: int) -> Asked:
+    words, codes = np.unique(np.concatenate([tokens, [START]]), return_inverse=True)
+    codes, start = codes[:-1], int(codes[-1])
+    # The token before is the one before it in the stretch, or the start.
+    codes_before = np.where(before == START, start, np.concatenate([[start], codes[:-1]]))
+    grams = (codes_before.astype(np.uint64) << np.uint64(32)) | codes.astype(np.uint64)
+    distinct, which = np.unique(grams, return_inverse=True)
+
+    def dealt(deal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(deal, kind="stable")
+        return order, np.searchsorted(deal[order], np.arange(buckets + 1))
+
+    out = Asked(words, codes, start, distinct, which, dealt(bucket_of(words, buckets)), (codes, codes))
+    h, w = out.pairs(np.arange(len(distinct)))
+    out.gram_deal = dealt(bucket_of(mixed(h + (w % np.uint64(SALTS))), buckets))
+    return out
+
+
+SENT = "kind int, bucket int, packet long, row_from long, row_to long, a binary, b binary, c binary, d binary"
 
 
 def _sent(buckets: int):
     """What each packet sends: its words, and its bigrams by the hash of the first word and a salt."""
 
-    def flush(packet: int, parts: list) -> pa.RecordBatch:
+    def flush(packet: int, rows_: list[np.ndarray], parts: list) -> pa.RecordBatch:
         tokens, before, training = (np.concatenate(x) for x in zip(*parts, strict=True))
-        words, codes = np.unique(np.concatenate([tokens, [START]]), return_inverse=True)
-        codes, start = codes[:-1], codes[-1]
-        # The token before is the one before it in the packet, or the start.
-        first = before == START
-        codes_before = np.where(first, start, np.concatenate([[start], codes[:-1]]))
-        counts = np.bincount(codes[training], minlength=len(words))
-        counts[start] = int((first & training).sum())
-        rows, deal = [], bucket_of(words, buckets)
-        order = np.argsort(deal, kind="stable")
-        cuts = np.searchsorted(deal[order], np.arange(buckets + 1))
+        own = asked_by(tokens, before, buckets)
+        counts = np.bincount(own.codes[training], minlength=len(own.words))
+        counts[own.start] = int(((before == START) & training).sum())
+        times = np.bincount(own.grams[training], minlength=len(own.distinct))
+        head, rows = (packet, int(rows_[0][0]), int(rows_[-1][-1])), []
+        order, cuts = own.word_deal
         for k in np.flatnonzero(np.diff(cuts)).tolist():
-            own = order[cuts[k] : cuts[k + 1]]
-            rows.append((ASKED, k, packet, rising(words[own]), planes(counts[own].astype("<u4")), b"", b""))
-        grams = (codes_before.astype(np.uint64) << np.uint64(32)) | codes.astype(np.uint64)
-        distinct = np.unique(grams)
-        trained, times = np.unique(grams[training], return_counts=True)
-        counts = np.zeros(len(distinct), np.int64)
-        counts[np.searchsorted(distinct, trained)] = times
-        h, w = words[(distinct >> np.uint64(32)).astype(np.int64)], words[(distinct & np.uint64(0xFFFFFFFF)).astype(np.int64)]
-        deal = bucket_of(mixed(h + (w % np.uint64(SALTS))), buckets)
-        order = np.argsort(deal, kind="stable")
-        cuts = np.searchsorted(deal[order], np.arange(buckets + 1))
+            some = order[cuts[k] : cuts[k + 1]]
+            rows.append((ASKED, k, *head, rising(own.words[some]), planes(counts[some].astype("<u4")), b"", b""))
+        order, cuts = own.gram_deal
         for k in np.flatnonzero(np.diff(cuts)).tolist():
-            own = order[cuts[k] : cuts[k + 1]]
-            heads, sizes = np.unique(h[own], return_counts=True)
-            rows.append((TOLD, k, packet, rising(heads), planes(sizes.astype("<u4")), planes(w[own].astype("<u8")), planes(counts[own].astype("<u4"))))
-        kinds = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4)
-        names = ("kind", "bucket", "packet", "a", "b", "c", "d")
+            some = order[cuts[k] : cuts[k + 1]]
+            h, w = own.pairs(some)
+            heads, sizes = np.unique(h, return_counts=True)
+            rows.append((TOLD, k, *head, rising(heads), planes(sizes.astype("<u4")), planes(w.astype("<u8")), planes(times[some].astype("<u4"))))
+        kinds = (pa.int32(), pa.int32(), *[pa.int64()] * 3, *[pa.binary()] * 4)
+        names = ("kind", "bucket", "packet", "row_from", "row_to", "a", "b", "c", "d")
         return pa.RecordBatch.from_pydict({n: pa.array(x, t) for n, x, t in zip(names, zip(*rows, strict=True), kinds, strict=True)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packet, parts = None, []
+        packet, rows, parts = None, [], []
         for batch in sliced(batches, "text"):
-            packets = batch.column("packet").to_numpy()
+            packets, at = batch.column("packet").to_numpy(), batch.column("row_at").to_numpy()
             cuts = np.flatnonzero(np.diff(packets)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(packets)], strict=True):
                 if parts and packets[a] != packet:
-                    yield flush(packet, parts)
-                    parts = []
+                    yield flush(packet, rows, parts)
+                    rows, parts = [], []
                 packet = int(packets[a])
                 tokens, before, first = tokens_of(batch.column("text").slice(a, b - a))
                 training = ~batch.column("held_out").slice(a, b - a).to_numpy(zero_copy_only=False)
+                rows.append(at[a:b])
                 parts.append((tokens, before, np.repeat(training, np.diff(first))))
         if parts:
-            yield flush(packet, parts)
+            yield flush(packet, rows, parts)
 
     return run
 
 
-COUNTED = "kind int, bucket int, packet long, h long, w long, n long, a binary, b binary"
+COUNTED = "kind int, bucket int, packet long, row_from long, row_to long, h long, w long, n long, a binary"
 
 
 def _rows(kind: int, size: int, **columns) -> pa.Table:
     """Rows of the table of counts; columns that are not given are NULL."""
-    types = {"kind": pa.int32(), "bucket": pa.int32(), "packet": pa.int64(), "h": pa.int64(), "w": pa.int64(), "n": pa.int64(), "a": pa.binary(), "b": pa.binary()}
+    types = {"kind": pa.int32(), "bucket": pa.int32(), **dict.fromkeys(("packet", "row_from", "row_to", "h", "w", "n"), pa.int64()), "a": pa.binary()}
     given = {"kind": np.full(size, kind, np.int32), **columns}
     return pa.table({c: pa.array(given[c], t) if c in given else pa.nulls(size, t) for c, t in types.items()})
 
 
 def _counted(group: pa.Table) -> pa.Table:
     """Add up one bucket of one kind: counts as rows, and per packet what it asked for."""
-    sent = [group.column(c).to_pylist() for c in ("packet", "a", "b", "c", "d")]
+    sent = {c: group.column(c).to_pylist() for c in ("packet", "row_from", "row_to", "a", "b", "c", "d")}
     kind, bucket = group.column("kind")[0].as_py(), group.column("bucket")[0].as_py()
+    asker = {"bucket": np.full(group.num_rows, bucket, np.int32), **{c: sent[c] for c in ("packet", "row_from", "row_to")}}
     if kind == ASKED:
-        words = np.concatenate([risen(a) for a in sent[1]])
-        counts = np.concatenate([numbers(b, "<u4") for b in sent[2]]).astype(np.int64)
+        words = np.concatenate([risen(a) for a in sent["a"]])
+        counts = np.concatenate([numbers(b, "<u4") for b in sent["b"]]).astype(np.int64)
         distinct, which = np.unique(words, return_inverse=True)
         total = np.bincount(which, weights=counts, minlength=len(distinct)).astype(np.int64)
-        asked = _rows(ASKED, group.num_rows, bucket=np.full(group.num_rows, bucket, np.int32), packet=sent[0], a=sent[1])
-        return pa.concat_tables([_rows(WORD, len(distinct), h=distinct.view(np.int64), n=total), asked])
-    heads = [np.repeat(risen(a), numbers(b, "<u4")) for a, b in zip(sent[1], sent[2], strict=True)]
+        return pa.concat_tables([_rows(WORD, len(distinct), h=distinct.view(np.int64), n=total), _rows(ASKED, group.num_rows, a=sent["a"], **asker)])
+    heads = [np.repeat(risen(a), numbers(b, "<u4")) for a, b in zip(sent["a"], sent["b"], strict=True)]
     sizes = [len(x) for x in heads]
-    h, w = np.concatenate(heads), np.concatenate([numbers(c, "<u8") for c in sent[3]])
-    counts = np.concatenate([numbers(d, "<u4") for d in sent[4]]).astype(np.int64)
+    h, w = np.concatenate(heads), np.concatenate([numbers(c, "<u8") for c in sent["c"]])
+    counts = np.concatenate([numbers(d, "<u4") for d in sent["d"]]).astype(np.int64)
     pairs = pair(h, w)
     order = np.argsort(pairs)
     pairs, counts = pairs[order], counts[order]
@@ -177,17 +207,10 @@ def _counted(group: pa.Table) -> pa.Table:
     ]
     # Back to the order in which they came, to tell each packet about its own.
     every = np.empty(len(order), np.int64)
-    every[order] = np.repeat(total, np.diff(np.append(first, len(order))))
-    own = np.empty(len(order), np.uint64)
-    own[order] = pairs
-    told, at = [], 0
-    for packet, size in zip(sent[0], sizes, strict=True):
-        have = np.flatnonzero(every[at : at + size] >= LEAST) + at
-        have = have[np.argsort(own[have])]
-        told.append((packet, rising(own[have]), planes(every[have].astype("<u4"))))
-        at += size
-    packets, a, b = zip(*told, strict=True)
-    return pa.concat_tables([*out, _rows(TOLD, len(told), packet=list(packets), a=list(a), b=list(b))])
+    every[order] = np.repeat(np.where(total >= LEAST, total, 0), np.diff(np.append(first, len(order))))
+    ends = np.cumsum(sizes).tolist()
+    told = [planes(every[e - n : e].astype("<u4")) for e, n in zip(ends, sizes, strict=True)]
+    return pa.concat_tables([*out, _rows(TOLD, len(told), a=told, **asker)])
 
 
 def discounts(small: dict[int, int], least: int = 1) -> list[float]:
@@ -266,81 +289,91 @@ def learned(counts: DataFrame) -> Model:
 
 
 def _answers(asked: pa.Table, words: pa.Table) -> pa.Table:
-    """Per packet of one bucket: its words known in training, their counts, backoff weights and scales."""
+    """Per packet of one bucket: the training counts of its words, and which have a weight and a scale other than 1."""
     known = words.column("word").to_numpy().view(np.uint64) if words.num_rows else np.zeros(0, np.uint64)
     order = np.argsort(known)
-    known = known[order]
-    values = [words.column(c).to_numpy()[order] for c in ("n", "weight", "scale")] if words.num_rows else [np.zeros(0)] * 3
+    known = np.append(known[order], np.uint64(0))
+    n, weight, scale = (np.append(words.column(c).to_numpy()[order], v) if words.num_rows else np.array([v]) for c, v in (("n", 0), ("weight", 1.0), ("scale", 1.0)))
     out = []
-    for packet, a in zip(asked.column("packet").to_pylist(), asked.column("a").to_pylist(), strict=True):
+    for a in asked.column("a").to_pylist():
         own = risen(a)
-        at = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
-        at = at[known[at] == own] if len(known) else at[:0]
-        out.append((packet, rising(known[at]), *(planes(v[at].astype("<f8")) for v in values)))
-    columns = list(zip(*out, strict=True)) or [()] * 5
-    kinds = (pa.int64(), *[pa.binary()] * 4)
-    return pa.table({n: pa.array(c, t) for n, c, t in zip(("packet", "a", "b", "c", "d"), columns, kinds, strict=True)})
-
-
-def _look_up(keys: np.ndarray, wanted: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
-    """Values of wanted keys among sorted ones; 0 where there are none."""
-    if not len(keys):
-        return [np.zeros(len(wanted)) for _ in values]
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    have = keys[at] == wanted
-    return [np.where(have, v[at], 0) for v in values]
+        at = np.searchsorted(known[:-1], own)
+        at = np.where(known[at] == own, at, len(known) - 1) if len(known) > 1 else np.zeros(len(own), np.int64)
+        special = np.flatnonzero((weight[at] != 1) | (scale[at] != 1))
+        out.append((planes(n[at].astype("<u8")), planes(special.astype("<u4")), planes(weight[at][special].astype("<f8")), planes(scale[at][special].astype("<f8"))))
+    columns = list(zip(*out, strict=True)) or [()] * 4
+    answers = {n: pa.array(c, pa.binary()) for n, c in zip("abcd", columns, strict=True)}
+    return pa.table({**{c: asked.column(c) for c in ("bucket", "packet", "row_from", "row_to")}, **answers})
 
 
-def _scores(tokens: int, types: int, by_word: list[float], word_scale: float, unknown: float, by_pair: list[float]):
+def _scores(buckets: int, tokens: int, types: int, by_word: list[float], word_scale: float, unknown: float, by_pair: list[float]):
     def discount(counts: np.ndarray, by: list[float]) -> np.ndarray:
         return np.where(counts > LARGE, counts, np.array(by)[np.minimum(counts, LARGE).astype(np.int64)] * counts)
 
-    def score(batch: pa.RecordBatch, words: list[np.ndarray], pairs: list[np.ndarray]) -> pa.RecordBatch:
-        own, before, first = tokens_of(batch.column("text"))
-        distinct, codes = np.unique(np.concatenate([own, before]), return_inverse=True)
-        values = _look_up(words[0], distinct, *words[1:])
-        n, n_before, weight, scale = values[0][codes[: len(own)]], *(v[codes[len(own) :]] for v in values)
-        (both,) = _look_up(pairs[0], pair(before, own), pairs[1])
-        lower = np.where(n > 0, discount(n, by_word) * (word_scale / max(1, tokens)), unknown)
-        higher = discount(both, by_pair) * scale / np.maximum(1, n_before)
-        p = np.where(both >= LEAST, higher, np.where(n_before > 0, weight, 1.0) * lower)
-        base = np.log10((n + 0.5) / (tokens + 0.5 * (types + 1)))
-        return pa.RecordBatch.from_pydict(
-            {
-                "doc_id": batch.column("doc_id"),
-                "held_out": batch.column("held_out"),
-                "n_tokens": pa.array(np.diff(first)),
-                "n_known": pa.array(np.add.reduceat((n > 0).astype(np.int64), first[:-1])),
-                "train_tokens": pa.array(np.full(batch.num_rows, tokens)),
-                "base_score": pa.array(np.add.reduceat(base, first[:-1])),
-                "score": pa.array(np.add.reduceat(np.log10(p), first[:-1])),
-            }
-        )
+    def score(batches: list[pa.RecordBatch], told: dict[tuple[int, int], tuple]) -> Iterator[pa.RecordBatch]:
+        parts = [tokens_of(b.column("text")) for b in batches]
+        own = asked_by(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), buckets)
+        n, weight, scale = np.zeros(len(own.words), np.int64), np.ones(len(own.words)), np.ones(len(own.words))
+        both = np.zeros(len(own.distinct), np.int64)
+        for (kind, bucket), (a, b, c, d) in told.items():
+            order, cuts = own.word_deal if kind == ASKED else own.gram_deal
+            some = order[cuts[bucket] : cuts[bucket + 1]]
+            if kind == TOLD:
+                both[some] = numbers(a, "<u4")
+            else:
+                n[some] = numbers(a, "<u8")
+                special = some[numbers(b, "<u4").astype(np.int64)]
+                weight[special], scale[special] = numbers(c, "<f8"), numbers(d, "<f8")
+        before = own.before()
+        lower = np.where(n > 0, discount(n, by_word) * (word_scale / max(1, tokens)), unknown)[own.codes]
+        seen = both[own.grams]
+        higher = discount(seen, by_pair) * scale[before] / np.maximum(1, n[before])
+        p = np.log10(np.where(seen >= LEAST, higher, weight[before] * lower))
+        base = np.log10((n + 0.5) / (tokens + 0.5 * (types + 1)))[own.codes]
+        known = (n > 0).astype(np.int64)[own.codes]
+        at = 0
+        for batch, (own_tokens, _, first) in zip(batches, parts, strict=True):
+            starts, end = first[:-1] + at, at + len(own_tokens)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": batch.column("doc_id"),
+                    "held_out": batch.column("held_out"),
+                    "n_tokens": pa.array(np.diff(first)),
+                    "n_known": pa.array(np.add.reduceat(known[:end], starts)),
+                    "train_tokens": pa.array(np.full(batch.num_rows, tokens)),
+                    "base_score": pa.array(np.add.reduceat(base[:end], starts)),
+                    "score": pa.array(np.add.reduceat(p[:end], starts)),
+                }
+            )
+            at = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come by packet: first what it is told about words, then about bigrams, then its documents.
-        packet, told, tables = None, {ASKED: [], TOLD: []}, None
-
-        def sorted_table(rows: list[list[np.ndarray]], width: int) -> list[np.ndarray]:
-            columns = [np.concatenate(c) for c in zip(*rows, strict=True)] if rows else [np.zeros(0, np.uint64), *[np.zeros(0)] * width]
-            order = np.argsort(columns[0])
-            return [c[order] for c in columns]
-
+        # Rows come by packet: first what it is told, by the rows that asked together, then its documents.
+        packet, told, held, upto = None, {}, [], -1
         for batch in sliced(batches, "text"):
-            kinds, packets = batch.column("kind").to_numpy(), batch.column("packet").to_numpy()
+            kinds, packets, rows = (batch.column(c).to_numpy() for c in ("kind", "packet", "row_from"))
             cuts = np.flatnonzero((np.diff(kinds) != 0) | (np.diff(packets) != 0)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(kinds)], strict=True):
                 if packets[a] != packet:
-                    packet, told, tables = packets[a], {ASKED: [], TOLD: []}, None
-                some = batch.slice(a, b - a)
-                if kinds[a] in told:
-                    for key, *values in zip(*(some.column(c).to_pylist() for c in "abcd"), strict=True):
-                        values = [numbers(v, "<f8") for v in values] if kinds[a] == ASKED else [numbers(values[0], "<u4").astype(np.float64)]
-                        told[kinds[a]].append([risen(key), *values])
+                    if held:
+                        yield from score(held, told[upto])
+                    packet, told, held, upto = packets[a], {}, [], -1
+                if kinds[a] != SMALL:
+                    some = batch.slice(a, b - a)
+                    for to, kind, bucket, *blobs in zip(*(some.column(c).to_pylist() for c in ("row_to", "kind", "bucket", *"abcd")), strict=True):
+                        told.setdefault(to, {})[kind, bucket] = blobs
                     continue
-                if tables is None:
-                    tables = sorted_table(told[ASKED], 3), sorted_table(told[TOLD], 1)
-                yield score(some, *tables)
+                while a < b:
+                    # Rows that asked together end with the first row_to that is not before them.
+                    if held and rows[a] > upto:
+                        yield from score(held, told[upto])
+                        held = []
+                    upto = min(to for to in told if to >= rows[a])
+                    end = a + int(np.searchsorted(rows[a:b], upto, side="right"))
+                    held.append(batch.slice(a, end - a))
+                    a = end
+        if held:
+            yield from score(held, told[upto])
 
     return run
 
@@ -351,23 +384,26 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 def scored(docs: DataFrame) -> DataFrame:
     """Learn from the documents that are not held out, and score every one."""
     spark = ready(docs.sparkSession)
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
     packet = F.xxhash64("row_file", F.expr(f"row_at div {PACKET}")).alias("packet")
-    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", "text", held_out.alias("held_out"), packet)
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = rows.select("doc_id", "text", held_out.alias("held_out"), packet, "row_at")
     sent = rows.mapInArrow(_sent(buckets), SENT)
     counts = written(sent.groupBy("kind", "bucket").applyInArrow(_counted, COUNTED), "katz-counts")
     model = learned(counts)
-    asked = counts.where(F.col("kind") == ASKED).select("bucket", "packet", "a")
+    asker = ("bucket", "packet", "row_from", "row_to")
+    asked = counts.where(F.col("kind") == ASKED).select(*asker, "a")
     words = model.words.withColumn("bucket", bucket_column("word", buckets))
-    answers = asked.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(_answers, "packet long, a binary, b binary, c binary, d binary")
-    empty, kind = F.lit(None).cast("binary"), F.lit
-    told = counts.where(F.col("kind") == TOLD).select("packet", "kind", "a", "b", empty.alias("c"), empty.alias("d"))
-    told = answers.select("packet", kind(ASKED).alias("kind"), "a", "b", "c", "d").unionByName(told)
-    texts = rows.select("packet", kind(SMALL).alias("kind"), "doc_id", "held_out", "text")
-    both = told.unionByName(texts, allowMissingColumns=True).repartition("packet").sortWithinPartitions("packet", "kind")
+    answers = asked.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(
+        _answers, "bucket int, packet long, row_from long, row_to long, a binary, b binary, c binary, d binary"
+    )
+    told = counts.where(F.col("kind") == TOLD).select(*asker, "a", F.lit(TOLD).alias("kind"))
+    told = answers.withColumn("kind", F.lit(ASKED)).unionByName(told, allowMissingColumns=True)
+    texts = rows.select("packet", F.lit(SMALL).alias("kind"), F.col("row_at").alias("row_from"), "doc_id", "held_out", "text")
+    both = told.unionByName(texts, allowMissingColumns=True).repartition("packet").sortWithinPartitions("packet", "kind", "row_from")
     parts = (model.tokens, model.types, model.word_discounts, model.word_scale, model.unknown, model.bigram_discounts)
-    return both.mapInArrow(_scores(*parts), SCORED)
+    return both.mapInArrow(_scores(buckets, *parts), SCORED)
 
 
 def op8_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
