@@ -1,12 +1,15 @@
 import json
 import random
-from datetime import datetime
+from dataclasses import replace
+from datetime import datetime, timezone
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
 from helpers import page, records, shown, utc
 from pyspark.sql import functions as F
 
+from tidemark.operators.checks import quarantine
 from tidemark.operators.landing import LATEST_REFRESH, fold, to_landing
 from tidemark.operators.mark import TODAY_GUARD
 from tidemark.plans import Commit, Snapshots, cycle, run_cycle
@@ -102,8 +105,44 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     assert sum(before.landing[b] != after.landing[b] for b in before.landing) == 1
     assert sum(before.flat[b] != after.flat[b] for b in before.flat) == 1
     assert store.landing().count() == store.flat().count() == 200
-    gone = {(r.table, r.load) for r in store.unreferenced(keep=1).collect()}
-    assert gone == set()  # the first load still holds the other buckets
+    assert all(len(loads) <= 3 for loads in after.landing.values())
+    # The first loads still hold the other buckets; only what was staged is not needed any more.
+    assert {r.table for r in store.unreferenced(keep=1).collect()} == {"staged"}
+
+
+def written_bytes(store, table, load):
+    return sum(f.stat().st_size for f in Path(store.root, table, f"load={load}").rglob("*.parquet"))
+
+
+def test_a_small_batch_writes_and_compares_only_its_own_keys(spark, tmp_path, monkeypatch):
+    store = Snapshots(spark, str(tmp_path / "s"), buckets=4)
+    rows = [{"hash": f"k{i}", "lastRefresh": day(1), "text": f"{i:09d}" * 40} for i in range(2000)]
+    run_cycle(store, source_of(spark, *rows), AS_OF)
+    before, reads, read = store.head(), [], Snapshots.read
+
+    def noted(self, table, commit=None, buckets=None):
+        reads.append((table, read(self, table, commit, buckets)))
+        return reads[-1][1]
+
+    monkeypatch.setattr(Snapshots, "read", noted)
+    run_cycle(store, source_of(spark, *({"hash": f"k{i}", "lastRefresh": day(9), "county": "X"} for i in range(0, 2000, 200))), AS_OF)
+    monkeypatch.undo()
+    after = store.head()
+    (new,) = {loads[-1] for loads in after.landing.values()} - {loads[-1] for loads in before.landing.values()}
+    assert written_bytes(store, "landing", new) < 0.2 * written_bytes(store, "landing", before.landing[0][0])
+    assert [t for t, _ in reads].count("landing") == 1  # the rows that the batch replaces; no scan for the mark, none for the sync
+    assert after.mark() == utc(2024, 1, 9) and store.landing().count() == store.flat().count() == 2000
+    assert store.flat().where("county = 'X'").count() == store.landing().where("lastrefresh > '2024-01-02'").count() == 10
+
+
+def test_the_mark_is_the_latest_refresh_in_landing(spark, store):
+    run_cycle(store, source_of(spark, {"hash": "a", "lastRefresh": day(9)}, {"hash": "b", "lastRefresh": day(3)}), AS_OF)
+    assert store.head().mark() == utc(2024, 1, 9)
+    # A record that comes again with an older refresh takes its refresh back.
+    apply_batch(store, records(spark, {"hash": "a", "lastRefresh": day(2)}), "s", 0)
+    assert store.head().mark() == utc(2024, 1, 3)
+    apply_batch(store, records(spark, {"hash": "a"}, {"hash": "c"}), "s", 1)
+    assert store.head().mark() == utc(2024, 1, 3) == max(r.t for r in store.landing().selectExpr("lastrefresh as t").collect() if r.t).astimezone(timezone.utc)
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10485760"])
@@ -126,14 +165,26 @@ def test_files_are_ordered_and_carry_statistics(spark, tmp_path, with_conf, thre
             assert values == sorted(values)
 
 
-def test_loads_nothing_needs_are_listed(spark, tmp_path):
+def test_loads_nothing_needs_are_listed(spark, tmp_path, monkeypatch):
     store = Snapshots(spark, str(tmp_path / "s"), buckets=1)
     for n in (1, 2, 3):
         run_cycle(store, source_of(spark, {"hash": "k", "lastRefresh": day(n)}), AS_OF)
-    assert store.unreferenced(keep=3).count() == 0
-    assert sorted(r.table for r in store.unreferenced(keep=1).collect()) == ["flat", "flat", "landing", "landing"]
-    live = set(store.head().landing.values()) | set(store.head().flat.values())
-    assert not live & {r.load for r in store.unreferenced(keep=1).collect()}
+    listed = sorted(r.table for r in store.unreferenced(keep=3).collect() if r.table != "staged")
+    assert listed == []
+    # Landing's newest version is made of all three loads; of flat only the newest counts.
+    assert [r.table for r in store.unreferenced(keep=1).collect() if r.table != "staged"] == ["flat", "flat"]
+    staged = {p.name for p in Path(store.root, "staged").iterdir()}
+    assert {r.load for r in store.unreferenced().collect() if r.table == "staged"} == staged
+
+    def crash(*_):
+        raise OSError("lost the connection")
+
+    monkeypatch.setattr(Snapshots, "publish", crash)
+    before = {(r.table, r.load) for r in store.unreferenced().collect()}
+    with pytest.raises(OSError):
+        run_cycle(store, source_of(spark, {"hash": "k", "lastRefresh": day(4)}), AS_OF)
+    left = {(r.table, r.load) for r in store.unreferenced().collect()} - before
+    assert {table for table, _ in left} == {"landing", "flat", "staged"}
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10485760"])
@@ -158,18 +209,17 @@ def test_cycles_equal_one_fold(spark, tmp_path, with_conf, threshold, policy):
     landing, flat = tables(store)
     assert landing == shown(fold(to_landing(records(spark, *rows)), policy))
     assert {r[0] for r in flat} == {r[0] for r in landing}
-    assert max(store.head().light_loads.values()) == (0 if threshold == "-1" else 2)
+    assert max(map(len, store.head().landing.values())) == (1 if threshold == "-1" else 3)
 
 
-def test_files_are_rebalanced_after_some_light_loads(spark, store, monkeypatch):
+def test_loads_are_merged_after_some_light_ones(spark, store, monkeypatch):
     monkeypatch.setattr(cycle, "LIGHT_LOADS", 2)
     everything = [f"k{i}" for i in range(9)]
     for n, keys in enumerate([everything, everything, ["k1"], everything, everything]):
         apply_batch(store, records(spark, *({"hash": k, "lastRefresh": day(n + 1)} for k in keys)), "s", n)
-        counts = store.head().light_loads
-    # The third load touched one bucket, so the fourth found it due and rewrote all buckets it touched.
-    assert set(counts.values()) == {1}
-    assert len(store.landing().inputFiles()) <= 2 * len(counts)
+        counts = {len(loads) for loads in store.head().landing.values()}
+    # The third load gave one bucket a third load, so the fourth wrote all buckets anew.
+    assert counts == {2}
     assert {r[2] for r in shown(store.landing())} == {"2024-01-05 00:00:00"}
     assert store.flat().count() == 9
 
@@ -208,11 +258,51 @@ def test_a_second_writer_of_the_same_version_fails(spark, store):
     run_cycle(store, source_of(spark, {"hash": "a", "lastRefresh": day(1)}), AS_OF)
     rival = Snapshots(spark, store.root)
     head = store.head()
-    one = store.publish(Commit(**{**vars(head), "version": 2, "counts": {"one": 1}}))
+    one = store.publish(replace(head, version=2, counts={"one": 1}))
     for n in range(4):
         with pytest.raises(ConcurrentPublish):
-            rival.publish(Commit(**{**vars(head), "version": 2, "counts": {"other": n}}))
-    assert store.head() == one
+            rival.publish(replace(head, version=2, counts={"other": n}))
+    assert store.head() == one and store.versions() == [1, 2]
+    assert [r.version for r in store.history().collect()] == [1, 2]
+
+
+def test_what_a_failed_commit_left_does_not_block_its_version(spark, store):
+    Path(store.root, "commits", "version=1", "_temporary").mkdir(parents=True)
+    assert store.versions() == [] and store.head() == Commit()
+    assert run_cycle(store, source_of(spark, {"hash": "a", "lastRefresh": day(1)}), AS_OF).version == 1
+
+
+def test_a_new_checkpoint_at_an_old_path_loses_nothing(spark, tmp_path):
+    store = Snapshots(spark, str(tmp_path / "store"), buckets=4)
+    checkpoint = tmp_path / "checkpoint"
+    page(tmp_path / "one", 0, {"hash": "a"})
+    start_stream(store, str(tmp_path / "one"), str(checkpoint)).awaitTermination()
+    start_stream(store, str(tmp_path / "one"), f"{checkpoint}/").awaitTermination()
+    assert store.head().version == 1
+    checkpoint.rename(tmp_path / "old checkpoint")
+    page(tmp_path / "two", 0, {"hash": "b"})
+    start_stream(store, str(tmp_path / "two"), str(checkpoint)).awaitTermination()
+    assert {r.hash for r in store.landing().collect()} == {"a", "b"} and len(store.head().streams) == 2
+
+
+def test_totals_count_each_record_once(spark, tmp_path):
+    rows = [{"hash": k, "lastRefresh": day(1)} for k in "abc"]
+    for landing_first in (False, True):
+        store = Snapshots(spark, str(tmp_path / str(landing_first)), buckets=2)
+        run_cycle(store, lambda mark: source_of(spark, *(rows if mark is None else []))(None), AS_OF, landing_first=landing_first)
+        history = [(r.sent, r.inserted, r.total_sent) for r in store.history().orderBy("version").collect()]
+        assert history == ([(3, 0, 3), (0, 3, 3)] if landing_first else [(3, 3, 3)])
+
+
+def test_a_permissive_cycle_takes_what_it_can(spark, tmp_path):
+    store = Snapshots(spark, str(tmp_path / "store"), buckets=2)
+    page(tmp_path / "pages", 0, {"hash": "a", "lastRefresh": "soon", "pwNumber": "one"}, {"hash": "b", "lastRefresh": day(2)})
+    page(tmp_path / "pages", 1, body="{not json")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|CAST_INVALID_INPUT"):
+        run_cycle(store, page_folder(spark, str(tmp_path / "pages")), AS_OF)
+    report = run_cycle(store, page_folder(spark, str(tmp_path / "pages"), strict=False), AS_OF, strict=False)
+    assert (report.inserted, report.mark) == (2, utc(2024, 1, 2))
+    assert {(r.column, r.value) for r in quarantine(store.landing()).collect()} == {("lastrefresh", "soon"), ("pwnumber", "one")}
 
 
 def test_a_replayed_micro_batch_changes_nothing(spark, store):
@@ -295,7 +385,7 @@ def test_landing_published_first_is_not_loaded_twice(spark, store):
     assert store.head().streams == {"s": 0} and store.flat().count() == 0
     done = apply_batch(store, bad, "s", 0, strict=False, landing_first=True)
     assert done.version == 2 and store.landing().count() == store.flat().count() == 1
-    assert [(r.version, r.sent, r.inserted, r.total_sent) for r in store.history().collect()] == [(1, 1, 0, 1), (2, 0, 1, 1)]
+    assert [(r.version, r.sent, r.inserted, r.total_sent) for r in store.history().orderBy("version").collect()] == [(1, 1, 0, 1), (2, 0, 1, 1)]
 
 
 def test_stream_takes_a_bounded_number_of_files_per_batch(spark, tmp_path):

@@ -4,9 +4,10 @@ from decimal import Decimal
 import pytest
 from helpers import records, shown
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tidemark import FIELD_MAP, FLAT_SCHEMA, LANDING_SCHEMA
-from tidemark.operators.checks import key_violations, null_violations, quarantine, rounded_amounts
+from tidemark.operators.checks import fraction_digits, key_violations, null_violations, quarantine, rounded_amounts
 from tidemark.operators.flat import change_counts, changed_keys, flatten, flatten_whole, sync
 from tidemark.operators.landing import to_landing
 from tidemark.schema import create_tables
@@ -67,6 +68,28 @@ def test_overlong_fractions_are_rounded_and_reported(spark):
     assert {r.projectamount for r in flatten(rows).collect()} == {Decimal("1.0000000001")}
 
 
+@pytest.mark.parametrize(
+    "text, digits",
+    [("1", 0), ("2.00000000000", 0), ("1.5E-12", 13), ("1e-12", 12), ("-12345e-3", 3), ("120e-1", 0), ("0e-20", 0), ("1.5E3", 0), (".5", 1), ("x", None), ("", None)],
+)
+def test_fraction_digits_are_those_of_the_value(spark, text, digits):
+    assert spark.createDataFrame([(text,)], "t string").select(fraction_digits(F.col("t")).alias("n")).first().n == digits
+
+
+def test_amounts_are_reported_by_value(spark):
+    rows = landing(spark, {"hash": "a", "projectAmount": 1.5e-12}, {"hash": "b", "projectAmount": "2.00000000000"}, {"hash": "c", "projectAmount": "1.5E-12"})
+    assert {r.hash for r in rounded_amounts(rows).collect()} == {"a", "c"}
+
+
+def test_refreshes_that_are_no_instants_are_listed(spark):
+    recs = records(spark, {"hash": "a", "lastRefresh": "soon"}, {"hash": "b", "lastRefresh": ""})
+    rows = to_landing(recs, strict=False)
+    assert [tuple(r) for r in quarantine(rows).collect()] == [("a", "lastrefresh", "soon", "timestamp")]
+    assert {r.hash: r.lastrefresh for r in rows.collect()} == {"a": None, "b": None}
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        to_landing(recs).collect()
+
+
 def test_change_rule(spark):
     stored = narrow(
         spark, ("older", "2024-01-01"), ("unknown", None), ("newer", "2024-03-01"), ("same", "2024-02-01"),

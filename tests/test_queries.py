@@ -4,6 +4,8 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -14,13 +16,13 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry_points.queries().items() and ORACLES.items() <= entry_points.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, database, name):
-    query, sql = entry_points.queries()[name], entry_points.oracle_sql()[name]
-    assert compare.differences(spark, database, query, sql, SF) == []
+    assert compare.differences(spark, database, QUERIES[name], ORACLES[name], SF) == []
 
 
 def test_entry_runs(spark):

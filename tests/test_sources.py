@@ -7,9 +7,10 @@ from helpers import page, records, utc
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tidemark.operators.checks import unparsable
 from tidemark.schema import ENVELOPE_KEY, PAGE_CAP
 from tidemark.sources import extract_all, extract_pages, incremental, page as page_of
-from tidemark.sources import numbered, page_folder, pages, paging, read_lines, read_pages, unwrap
+from tidemark.sources import numbered, page_folder, pages, read_lines, read_pages, unwrap
 
 
 def hashes(recs):
@@ -78,20 +79,23 @@ def test_incremental_is_inclusive_and_drops_unknown_refreshes(spark):
     assert len(hashes(incremental(recs, None))) == 5
 
 
-def test_page_window_clamps_to_the_cap(spark):
+def test_page_window_and_its_size(spark):
     rows = spark.range(2500).select(F.lit(1).alias("same"), F.col("id"))
-    got = [r.id for r in page_of(rows, 100, 5000, ["same", "id"]).collect()]
-    assert got == list(range(100, 100 + PAGE_CAP))
+    got = [(r.position, r.id) for r in page_of(rows, 100, PAGE_CAP, ["same", "id"]).collect()]
+    assert got == [(i, i) for i in range(100, 100 + PAGE_CAP)]
     assert [r.id for r in page_of(rows, 2490, 1000, ["same", "id"]).collect()] == list(range(2490, 2500))
     assert page_of(rows, 2500, 1000, ["same", "id"]).collect() == []
+    for top in (0, PAGE_CAP + 1, 5000):
+        with pytest.raises(ValueError, match="a page holds"):
+            page_of(rows, 0, top, ["same", "id"])
 
 
-def test_deep_pages_are_found_by_position(spark, monkeypatch):
-    rows = spark.range(0, 5000, 1, 7).select((F.col("id") * 37 % 5000).alias("id"))
-    monkeypatch.setattr(paging, "TOP_K_ROWS", 1000)
-    got = sorted(r.id for r in page_of(rows, 3210, 40, ["id"]).collect())
-    assert got == list(range(3210, 3250))
-    assert page_of(rows, 5000, 40, ["id"]).collect() == []
+def test_shallow_and_deep_pages_are_in_order(spark, with_conf):
+    with_conf(spark__sql__shuffle__partitions="9", spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = spark.range(0, 45000, 1, 7).select((F.col("id") * 37 % 45000).alias("id"))
+    for skip in (0, 17, 44000, 44990):
+        got = [r.id for r in page_of(rows, skip, 900, ["id"]).collect()]
+        assert got == list(range(skip, min(skip + 900, 45000)))
 
 
 def test_every_row_gets_its_position_and_page(spark, with_conf):
@@ -106,20 +110,59 @@ def test_every_row_gets_its_position_and_page(spark, with_conf):
     assert placed == {(i // 1000, i % 1000): i for i in range(4321)}
 
 
-def test_page_folder_opens_only_files_landed_since_the_mark(spark, tmp_path):
-    page(tmp_path, 0, {"hash": "before", "lastRefresh": "2024-03-01T00:00:00Z"})
+def test_page_folder_opens_every_file_unless_asked_otherwise(spark, tmp_path):
+    page(tmp_path, 0, {"hash": "before", "lastRefresh": "2024-03-01T00:00:00Z"}, {"hash": "ahead", "lastRefresh": "2024-05-01T00:00:00Z"})
     page(tmp_path, 1, {"hash": "after", "lastRefresh": "2024-05-01T00:00:00Z"})
     for number, landed in ((0, utc(2024, 3, 2)), (1, utc(2024, 5, 2))):
         stamp = landed.timestamp()
         os.utime(tmp_path / f"page-{number:06d}.json", (stamp, stamp))
+    assert hashes(page_folder(spark, str(tmp_path))(utc(2024, 4, 1))) == ["ahead", "after"]
     source = page_folder(spark, str(tmp_path), slack=timedelta(hours=1))
-    assert hashes(source(None)) == ["before", "after"]
-    found = source(utc(2024, 4, 1))
-    assert hashes(found) == ["after"]
-    assert len(found.inputFiles()) == 1
+    assert hashes(source(None)) == ["before", "ahead", "after"]
+    assert hashes(source(utc(2024, 4, 1))) == ["after"]
     assert hashes(source(utc(2030, 1, 1))) == []
 
 
+def test_dates_in_names_do_not_hide_the_page_number(spark, tmp_path):
+    for day_, hour in (("2024-01-21", 2), ("2024-01-20", 1)):
+        for n in (2, 10, 1):
+            file = tmp_path / f"{day_}-page-{n:06d}.json"
+            file.write_text(json.dumps({ENVELOPE_KEY: [{"hash": f"{day_[-2:]}-{n}"}]}))
+            os.utime(file, (hour * 3600 + 11 - n, hour * 3600 + 11 - n))
+    assert hashes(unwrap(read_pages(spark, str(tmp_path)))) == ["20-1", "20-2", "20-10", "21-1", "21-2", "21-10"]
+
+
+def test_drops_of_equal_part_numbers_keep_their_order(spark, tmp_path):
+    """What Spark writes in one go is one series; a later write is a later one, whatever its part numbers."""
+    for step in (0, 1, 2):
+        rows = [(step * 100 + i, json.dumps({ENVELOPE_KEY: [{"hash": f"{step}-{i:02d}"}]})) for i in range(9)]
+        frame = spark.createDataFrame(rows, "n int, value string").repartitionByRange(3, "n").sortWithinPartitions("n")
+        frame.select("value").write.mode("append").text(str(tmp_path / "drops"))
+    found = hashes(unwrap(read_pages(spark, str(tmp_path / "drops"), per_line=True)))
+    assert found == [f"{step}-{i:02d}" for step in range(3) for i in range(9)]
+
+
+@pytest.mark.parametrize("per_line", [False, True])
+def test_files_without_an_order_are_refused(spark, tmp_path, per_line):
+    for folder in ("a", "b"):
+        page(tmp_path / folder, 1, {"hash": folder})
+    with pytest.raises(PySparkException, match="without an order"):
+        unwrap(read_pages(spark, str(tmp_path / "*"), per_line)).collect()
+
+
+def test_permissive_reading_leaves_out_what_is_not_json(spark, tmp_path):
+    page(tmp_path, 0, {"hash": "a"})
+    page(tmp_path, 1, body="{not json")
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "dump-0.jsonl").write_text('{"hash": "x"}\nnot json\n{"hash": "y"}\n')
+    pages_ = read_pages(spark, str(tmp_path / "*.json"))
+    assert hashes(unwrap(pages_, strict=False)) == ["a"]
+    assert [r.value for r in unparsable(pages_).collect()] == ["{not json"]
+    assert hashes(read_lines(spark, str(tmp_path / "lines"), strict=False)) == ["x", "y"]
+    recs = records(spark, {"hash": "a", "lastRefresh": "soon"}, {"hash": "b", "lastRefresh": "2024-01-02T00:00:00Z"})
+    assert hashes(incremental(recs, utc(2024, 1, 1), strict=False)) == ["b"]
+
+
 def test_extract_pages_fetches_every_offset_range(spark):
     total = 2345
 
@@ -130,8 +173,8 @@ def test_extract_pages_fetches_every_offset_range(spark):
     fetched = extract_pages(spark, fetch, 0, 24, top=100, pages_per_task=4)
     assert fetched.rdd.getNumPartitions() == 6
     assert hashes(unwrap(fetched)) == [str(i) for i in range(total)]
-    # The cap of the source clamps a larger page size.
-    assert hashes(unwrap(extract_pages(spark, fetch, 1, 1, top=99999))) == [str(i) for i in range(1000, 2000)]
+    with pytest.raises(ValueError, match="a page holds"):
+        extract_pages(spark, fetch, 1, 1, top=99999)
 
 
 @pytest.mark.parametrize("total, wave, waves", [(0, 2, 1), (150, 2, 1), (400, 2, 3), (450, 3, 2)])

@@ -31,6 +31,7 @@ def usable_key(raw: Column) -> Column:
     return F.when((kind == "STRING") | ~text.isin(*_EMPTY_NON_STRINGS), text)
 
 
-def refresh_instant(raw: Column) -> Column:
-    """The refresh instant of a record, NULL when missing or empty."""
-    return member_text(raw, REFRESH_MEMBER).cast("timestamp")
+def refresh_instant(raw: Column, strict: bool = True) -> Column:
+    """The refresh instant of a record, NULL when missing or empty; text that is none raises, or is NULL if not strict."""
+    text = member_text(raw, REFRESH_MEMBER)
+    return text.cast("timestamp") if strict else text.try_cast("timestamp")

@@ -1,9 +1,9 @@
 """Checks the storage format does not enforce: unique keys, non-null records, castable values."""
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions import member_text
-from tidemark.schema import FIELD_MAP
+from tidemark.schema import FIELD_MAP, REFRESH_MEMBER, Field
 
 
 def key_violations(table: DataFrame) -> DataFrame:
@@ -16,14 +16,22 @@ def null_violations(table: DataFrame) -> DataFrame:
     return table.where(F.col("hash").isNull() | F.col("raw").isNull())
 
 
+def unparsable(texts: DataFrame) -> DataFrame:
+    """Pages or lines that are not JSON, whole."""
+    return texts.where(F.col("value").isNotNull() & F.try_parse_json("value").isNull())
+
+
+def _entries(landing: DataFrame, found: list[Column]) -> DataFrame:
+    return landing.select("hash", F.explode(F.array_compact(F.array(*found))).alias("bad")).select("hash", "bad.*")
+
+
 def quarantine(landing: DataFrame) -> DataFrame:
-    """Every value that a strict flatten would refuse: ``(hash, column, value, type)``."""
-    raw = F.col("raw")
+    """Every value that a strict load would refuse: ``(hash, column, value, type)``."""
     found = []
-    for field in FIELD_MAP:
+    for field in (*FIELD_MAP, Field(REFRESH_MEMBER, "lastrefresh", T.TimestampType())):
         if isinstance(field.type, T.StringType):
             continue
-        text = member_text(raw, field.source)
+        text = member_text(F.col("raw"), field.source)
         refused = text.isNotNull() & text.try_cast(field.type).isNull()
         entry = F.struct(
             F.lit(field.column).alias("column"),
@@ -31,16 +39,28 @@ def quarantine(landing: DataFrame) -> DataFrame:
             F.lit(field.type.simpleString()).alias("type"),
         )
         found.append(F.when(refused, entry))
-    return landing.select("hash", F.explode(F.array_compact(F.array(*found))).alias("bad")).select("hash", "bad.*")
+    return _entries(landing, found)
+
+
+_NUMBER = r"^\s*[+-]?(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?\s*$"
+
+
+def fraction_digits(text: Column) -> Column:
+    """Fraction digits that a decimal text's value needs: 12 for 1.5E-11, none for 2.000; NULL if it is no number."""
+    whole, fraction, power = (F.regexp_extract(text, _NUMBER, k) for k in (1, 2, 3))
+    digits = F.concat(whole, fraction)
+    kept = F.rtrim(digits, F.lit("0"))
+    exponent = F.coalesce(power.try_cast("int"), F.lit(0))
+    needed = F.length(fraction) - exponent - (F.length(digits) - F.length(kept))
+    return F.when(text.rlike(_NUMBER) & (digits != ""), F.when(kept == "", 0).otherwise(F.greatest(needed, F.lit(0))))
 
 
 def rounded_amounts(landing: DataFrame) -> DataFrame:
-    """Amounts with more fraction digits than the flat column keeps: ``(hash, column, value)``."""
-    raw = F.col("raw")
+    """Amounts whose value has more fraction digits than the flat column keeps: ``(hash, column, value)``."""
     found = []
     for field in FIELD_MAP:
         if isinstance(field.type, T.DecimalType):
-            text = member_text(raw, field.source)
+            text = member_text(F.col("raw"), field.source)
             entry = F.struct(F.lit(field.column).alias("column"), text.alias("value"))
-            found.append(F.when(text.rlike(r"\.\d{%d,}" % (field.type.scale + 1)), entry))
-    return landing.select("hash", F.explode(F.array_compact(F.array(*found))).alias("bad")).select("hash", "bad.*")
+            found.append(F.when(fraction_digits(text) > field.type.scale, entry))
+    return _entries(landing, found)

@@ -14,17 +14,17 @@ def _check(policy: str) -> None:
         raise ValueError(f"unknown conflict policy: {policy}")
 
 
-def keyed(records: DataFrame) -> DataFrame:
+def keyed(records: DataFrame, strict: bool = True) -> DataFrame:
     """``(rec, ord)`` to ``(hash, raw, lastrefresh, ord)``; ``hash`` is NULL on unusable records."""
     rec = F.col("rec")
     return records.select(
-        usable_key(rec).alias("hash"), rec.alias("raw"), refresh_instant(rec).alias("lastrefresh"), "ord"
+        usable_key(rec).alias("hash"), rec.alias("raw"), refresh_instant(rec, strict).alias("lastrefresh"), "ord"
     )
 
 
-def to_landing(records: DataFrame) -> DataFrame:
+def to_landing(records: DataFrame, strict: bool = True) -> DataFrame:
     """The keyed records without those that carry no usable key."""
-    return keyed(records).where(F.col("hash").isNotNull())
+    return keyed(records, strict).where(F.col("hash").isNotNull())
 
 
 def fold(batch: DataFrame, policy: str = ARRIVAL, counted: bool = False) -> DataFrame:
@@ -68,22 +68,19 @@ def upsert(old: DataFrame, new: DataFrame, policy: str = ARRIVAL) -> DataFrame:
     )
 
 
-def upsert_small(old: DataFrame, new: DataFrame, policy: str = ARRIVAL) -> tuple[DataFrame, DataFrame]:
-    """The same merge for a batch whose keys are known to fit the broadcast limit.
+def replacing(old: DataFrame, new: DataFrame, policy: str = ARRIVAL) -> DataFrame:
+    """The rows of a folded batch as they are to stand in landing: combined with the rows they replace.
 
-    Returns ``(kept, merged)``: the untouched old rows, filtered in place without a shuffle,
-    and the batch rows combined with the rows they replace. Call only after measuring ``new``.
+    Old rows that no batch row meets are not returned, and old records are read only where the policy
+    may keep one. Sides are joined as their sizes suggest; a batch that fits the broadcast
+    limit meets the old rows in the tasks that read them.
     """
     _check(policy)
-    keys = F.broadcast(new.select("hash"))
-    kept = old.join(keys, "hash", "left_anti")
-    replaced = old.join(keys, "hash", "left_semi")
     if policy == ARRIVAL:
-        replaced = replaced.select("hash", "lastrefresh")
+        old = old.select("hash", "lastrefresh")
         raw = F.col("new.raw")
     else:
-        take = F.col("old.hash").isNull() | _replaces(policy)
-        raw = F.when(take, F.col("new.raw")).otherwise(F.col("old.raw"))
-    pairs = new.alias("new").join(replaced.alias("old"), F.col("old.hash") == F.col("new.hash"), "left")
-    merged = pairs.select(F.col("new.hash").alias("hash"), raw.alias("raw"), _refresh(policy).alias("lastrefresh"))
-    return kept, merged
+        raw = F.when(F.col("old.hash").isNull() | _replaces(policy), F.col("new.raw")).otherwise(F.col("old.raw"))
+    met = old.join(new.select("hash"), "hash", "left_semi")
+    pairs = new.alias("new").join(met.alias("old"), F.col("old.hash") == F.col("new.hash"), "left")
+    return pairs.select(F.col("new.hash").alias("hash"), raw.alias("raw"), _refresh(policy).alias("lastrefresh"))

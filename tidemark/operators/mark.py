@@ -1,6 +1,6 @@
 """The high-water mark of a landing table and the mark the next cycle starts from."""
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -32,3 +32,14 @@ def next_mark(landing: DataFrame, as_of: datetime, policy: str = RESUME) -> Data
     else:
         raise ValueError(f"unknown mark policy: {policy}")
     return high_water_mark(landing).select(mark.alias("mark"))
+
+
+def mark_after(latest: datetime | None, as_of: datetime, policy: str = RESUME) -> datetime:
+    """``next_mark`` for a latest refresh that is already known."""
+    zoned = as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
+    midnight = zoned.astimezone(timezone.utc).replace(hour=0, minute=0, second=0, microsecond=0)
+    if policy not in (RESUME, TODAY_GUARD):
+        raise ValueError(f"unknown mark policy: {policy}")
+    if latest is None:
+        return midnight
+    return latest if policy == RESUME else max(latest, midnight)

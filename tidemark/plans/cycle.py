@@ -11,9 +11,10 @@ from tidemark.operators import flat as flat_ops
 from tidemark.operators import landing as landing_ops
 from tidemark.operators import mark as mark_ops
 from tidemark.plans.snapshots import Commit, Snapshots
+from tidemark.schema import LANDING_SCHEMA
 from tidemark.session import broadcast_limit
 
-# After this many loads that left a bucket with more files than before, the next one rewrites them together.
+# Loads that a bucket of landing may hold beside its base; the next one merges them all into a new base.
 LIGHT_LOADS = 8
 
 # Memory of one broadcast (hash, refresh) row beside the text of its key: row header, pointers, map slot.
@@ -57,12 +58,17 @@ def _fits_broadcast(store: Snapshots, rows: int, key_bytes: int) -> bool:
 
 
 def ingest(
-    store: Snapshots, base: Commit, records: DataFrame, policy: str = landing_ops.ARRIVAL
-) -> tuple[Commit, dict[str, int]]:
-    """Fold records ``(rec, ord)`` and upsert them; returns the unpublished commit and counts."""
+    store: Snapshots, base: Commit, records: DataFrame, policy: str = landing_ops.ARRIVAL, strict: bool = True
+) -> tuple[Commit, dict[str, int], DataFrame | None]:
+    """Fold records ``(rec, ord)`` and upsert them: the unpublished commit, its counts, and its new rows if they are few.
+
+    A small batch is written as one more load of the buckets it touches: of landing, only the keys and
+    refreshes of those buckets are read. A large batch, or one that finds a bucket with many
+    loads, writes its buckets anew.
+    """
     buckets = base.buckets or store.buckets
     # Records without a key fold into one row with a NULL hash, which is counted and left out.
-    folded = landing_ops.fold(landing_ops.keyed(records), policy, counted=True)
+    folded = landing_ops.fold(landing_ops.keyed(records, strict), policy, counted=True)
     folded = folded.withColumn("bucket", bucket_of("hash", buckets))
     first = not base.landing
     if first:
@@ -77,6 +83,7 @@ def ingest(
             F.count(F.lit(1)).alias("keys"),
             F.sum("n_rows").alias("sent"),
             F.sum(F.octet_length("hash")).alias("key_bytes"),
+            F.unix_micros(F.max("lastrefresh")).alias("latest"),
         )
         .collect()
     )
@@ -87,50 +94,71 @@ def ingest(
         "distinct_keys": sum(r["keys"] for r in filled),
     }
     if not filled:
-        return base, counts
+        return base, counts, None
 
     touched = sorted(r.bucket for r in filled)
+    latest = {r.bucket: from_micros(r.latest) for r in filled if r.latest is not None}
     if first:
-        return replace(base, buckets=buckets, light_loads={}, landing=dict.fromkeys(touched, load)), counts
+        return replace(base, buckets=buckets, landing={b: [load] for b in touched}, marks=latest), counts, None
 
     batch = batch.where(F.col("hash").isNotNull()).drop("n_rows")
     old = store.read("landing", base, touched)
-    loads = {b: base.light_loads.get(b, 0) for b in touched}
+    held = {b: base.landing.get(b, []) for b in touched}
     small = _fits_broadcast(store, counts["distinct_keys"], sum(r.key_bytes for r in filled))
-    if small and max(loads.values()) < LIGHT_LOADS:
-        # The old rows stay in the task that read them: no shuffle of the table.
-        kept, resolved = landing_ops.upsert_small(old, batch, policy)
-        resolved = _rebalanced(resolved.withColumn("bucket", bucket_of("hash", buckets)))
-        merged, loads = kept.unionByName(resolved), {b: n + 1 for b, n in loads.items()}
+    if small and max(map(len, held.values())) <= LIGHT_LOADS:
+        # Only the rows that the batch replaces are looked at, in the tasks that read them.
+        resolved = landing_ops.replacing(old, batch, policy).withColumn("bucket", bucket_of("hash", buckets))
+        load = store.write("landing", _rebalanced(resolved))
+        held = {b: [*loads, load] for b, loads in held.items()}
+        new = store.read_load("landing", load, LANDING_SCHEMA)
     else:
         # One shuffle of each side, and none for the write.
         result = landing_ops.upsert(_by_key(old, buckets), _by_key(batch, buckets), policy)
-        merged, loads = result.withColumn("bucket", bucket_of("hash", buckets)), dict.fromkeys(touched, 0)
-    landing = {**base.landing, **dict.fromkeys(touched, store.write("landing", merged))}
-    return replace(base, light_loads={**base.light_loads, **loads}, landing=landing), counts
+        load = store.write("landing", result.withColumn("bucket", bucket_of("hash", buckets)))
+        held = dict.fromkeys(touched, [load])
+        new = None
+    marks = {**base.marks, **{b: max(at, base.marks.get(b, at)) for b, at in latest.items()}}
+    commit = replace(base, landing={**base.landing, **held}, marks=marks)
+    # A bucket's latest refresh can have been replaced by an older one only if the batch brought none as late.
+    unsure = [b for b in touched if b in base.marks and (b not in latest or latest[b] < base.marks[b])]
+    if unsure and policy == landing_ops.ARRIVAL:
+        rows = store.read("landing", commit, unsure).groupBy("bucket").agg(F.unix_micros(F.max("lastrefresh")).alias("latest"))
+        found = {r.bucket: from_micros(r.latest) for r in rows.collect() if r.latest is not None}
+        commit = replace(commit, marks={**{b: at for b, at in marks.items() if b not in unsure}, **found})
+    return commit, counts, new
 
 
 def sync(
-    store: Snapshots, base: Commit, null_is_oldest: bool = False, strict: bool = True
+    store: Snapshots,
+    base: Commit,
+    null_is_oldest: bool = False,
+    strict: bool = True,
+    before: Commit | None = None,
+    new: DataFrame | None = None,
 ) -> tuple[Commit, dict[str, int]]:
     """Bring the flat buckets that lag behind landing up to date; returns the unpublished commit.
 
-    A bucket whose landing rows did not change since its last sync cannot hold a changed key,
-    so only lagging buckets are compared, and only those with changes are rewritten.
+    ``new`` holds the landing rows that changed since ``before``. If flat was up to date then, no
+    other row can differ, so only their keys are looked up in flat. Otherwise all rows of the lagging
+    buckets are compared. Only buckets with changes are rewritten.
     """
     lagging = base.lagging()
     if not lagging:
         return base, {"inserted": 0, "updated": 0}
-    landing = store.read("landing", base, lagging)
-    synced = {**base.synced, **{b: base.landing[b] for b in lagging}}
+    synced = {**base.synced, **{b: base.landing[b][-1] for b in lagging}}
     if not any(b in base.flat for b in lagging):
         # Nothing to compare with: every row is new, and rows already lie in their buckets.
+        landing = store.read("landing", base, lagging)
         rows = flat_ops.flatten_whole(landing, strict).withColumn("bucket", bucket_of("hash", base.buckets))
         load = store.write("flat", rows)
         commit = replace(base, flat={**base.flat, **dict.fromkeys(lagging, load)}, synced=synced)
         return commit, {"inserted": landing.count(), "updated": 0}
 
+    owed = before is None or new is None or before.lagging()
+    landing = store.read("landing", base, lagging) if owed else new.withColumn("bucket", bucket_of("hash", base.buckets))
     narrow = store.read("flat", base, lagging).select("hash", "lastrefresh")
+    if not owed:
+        narrow = narrow.join(landing.select("hash"), "hash", "left_semi")
     keys = store.stage(
         flat_ops.changed_keys(landing.select("hash", "lastrefresh", "bucket"), narrow, null_is_oldest), "changed"
     )
@@ -147,12 +175,13 @@ def sync(
     if not per_bucket:
         return replace(base, synced=synced), counts
     dirty = sorted(r.bucket for r in per_bucket)
-    flat, landing = store.read("flat", base, dirty), store.read("landing", base, dirty)
+    flat = store.read("flat", base, dirty)
     bucket = bucket_of("hash", base.buckets)
-    light = all(base.light_loads.get(b) for b in dirty)
-    if light and _fits_broadcast(store, sum(counts.values()), sum(r.key_bytes for r in per_bucket)):
+    if _fits_broadcast(store, sum(counts.values()), sum(r.key_bytes for r in per_bucket)):
         kept, replaced = flat_ops.sync_parts(flat, landing, F.broadcast(keys), strict)
-        rows = kept.unionByName(_rebalanced(replaced.withColumn("bucket", bucket)))
+        rows = kept.unionByName(replaced.withColumn("bucket", bucket))
+        # A bucket's kept rows stay where they are read; its files come together as the write is rebalanced.
+        rows = _rebalanced(rows)
     else:
         flat, landing, keys = (_by_key(df, base.buckets) for df in (flat, landing, keys))
         kept, replaced = flat_ops.sync_parts(flat, landing, keys, strict)
@@ -165,7 +194,8 @@ def publish(store: Snapshots, head: Commit, commit: Commit, counts: dict[str, in
     """Publish if anything differs from the head."""
     if commit == head:
         return head
-    return store.publish(replace(commit, version=head.version + 1, counts=counts))
+    total = head.total_sent + counts.get("sent", 0)
+    return store.publish(replace(commit, version=head.version + 1, counts=counts, total_sent=total))
 
 
 def run_cycle(
@@ -187,22 +217,24 @@ def run_cycle(
     ``landing_first`` publishes landing before the sync, so a refused value holds back flat alone.
     """
     head = store.head()
-    base = replace(head, landing={}, flat={}, synced={}, buckets=0, light_loads={}) if mode == "replace" else head
+    empty = {"landing": {}, "flat": {}, "synced": {}, "marks": {}, "buckets": 0}
+    base = replace(head, **empty) if mode == "replace" else head
     totals = {"sent": 0, "rejected": 0, "distinct_keys": 0}
 
-    def load(commit: Commit, records: DataFrame) -> Commit:
-        commit, counts = ingest(store, commit, records, policy)
+    def load(commit: Commit, records: DataFrame) -> tuple[Commit, DataFrame | None]:
+        commit, counts, new = ingest(store, commit, records, policy, strict)
         for name in totals:
             totals[name] += counts[name]
-        return commit
+        return commit, new
 
-    commit = load(base, source(None)) if not base.landing else base
-    start = mark_ops.next_mark(store.read("landing", commit), as_of, mark_policy)
-    mark = from_micros(start.select(F.unix_micros("mark").alias("micros")).first().micros)
-    commit = load(commit, source(mark))
+    commit = load(base, source(None))[0] if not base.landing else base
+    mark = mark_ops.mark_after(commit.mark(), as_of, mark_policy)
+    before = commit
+    commit, new = load(commit, source(mark))
+    counts = dict(totals)
     if landing_first:
-        head = publish(store, head, commit, totals)
-        commit = head
-    commit, changed = sync(store, commit, null_is_oldest, strict)
-    done = publish(store, head, commit, {**totals, **changed})
+        head = commit = publish(store, head, commit, counts)
+        counts = {}
+    commit, changed = sync(store, commit, null_is_oldest, strict, before, new)
+    done = publish(store, head, commit, {**counts, **changed})
     return CycleReport(version=done.version, mark=mark, **totals, **changed)

@@ -1,24 +1,28 @@
 """Versioned landing and flat tables, published together by one commit row.
 
-Both tables are Parquet, split by a hash bucket of the key. A load writes only the buckets its
-batch touches into a folder of its own; a commit row then names, for every bucket of both
-tables, the load that holds it. Readers go through the newest commit, so they see either the
-whole cycle or nothing of it, and a failed load leaves only folders that no commit names.
+Both tables are Parquet, split by a hash bucket of the key. A load writes into folders of its own; a
+commit row then names, for every bucket of both tables, the loads that hold it. Readers go through
+the newest commit, so they see either the whole cycle or nothing of it, and a failed load leaves
+only folders that no commit names. A bucket of landing is a base load and the few loads after it,
+of which the newest row of a key counts; a bucket of flat is one load.
 
     <root>/landing/load=<id>/bucket=<n>/*.parquet
     <root>/flat/load=<id>/bucket=<n>/*.parquet
-    <root>/commits/*.parquet         one row per commit
+    <root>/commits/version=<n>/*.parquet         one row
 
-One writer at a time is assumed; of two that publish the same version, the later one fails.
+There is one writer at a time; a version that is there already is not written again.
 """
 
+import re
 import uuid
 from contextlib import nullcontext
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from tidemark.functions import from_micros
 from tidemark.schema import FLAT_SCHEMA, LANDING_SCHEMA
 from tidemark.session import prepare, whole_variants
 
@@ -30,10 +34,12 @@ LAYOUT = {"landing": ["lastrefresh"], "flat": ["stateabbr", "declarationdate"]}
 # Tables whose records are searched by member: their members are stored as columns too.
 SEARCHED = {"landing"}
 
+# Columns looked up by value that the file order does not help: Bloom filters say which row groups lack a value.
+LOOKED_UP = {"landing": [], "flat": ["disasternumber", "gmprojectid", "gmapplicantid"]}
+
 _COMMIT_ROW = (
-    "version long, attempt string, buckets int, light_loads map<int,int>,"
-    " landing map<int,string>, flat map<int,string>, synced map<int,string>,"
-    " streams map<string,long>, counts map<string,long>"
+    "version long, buckets int, landing map<int,array<string>>, flat map<int,string>, synced map<int,string>,"
+    " marks map<int,timestamp>, streams map<string,long>, counts map<string,long>, total_sent long"
 )
 
 
@@ -42,28 +48,32 @@ class Commit:
     """What one version of the two tables consists of. Maps go from bucket to load id."""
 
     version: int = 0
-    attempt: str = ""
     buckets: int = 0
-    light_loads: dict[int, int] = field(default_factory=dict)  # since a bucket's files were rewritten together
-    landing: dict[int, str] = field(default_factory=dict)
+    landing: dict[int, list[str]] = field(default_factory=dict)  # the base load of a bucket and the loads after it
     flat: dict[int, str] = field(default_factory=dict)
-    synced: dict[int, str] = field(default_factory=dict)  # landing load each flat bucket reflects
+    synced: dict[int, str] = field(default_factory=dict)  # newest landing load each flat bucket reflects
+    marks: dict[int, datetime] = field(default_factory=dict)  # latest refresh of each landing bucket
     streams: dict[str, int] = field(default_factory=dict)  # last batch applied per stream
     counts: dict[str, int] = field(default_factory=dict)
+    total_sent: int = 0  # by this version and all before it
 
     def lagging(self) -> list[int]:
         """Buckets whose landing rows changed since flat last looked at them."""
-        return sorted(b for b, load in self.landing.items() if self.synced.get(b) != load)
+        return sorted(b for b, loads in self.landing.items() if self.synced.get(b) != loads[-1])
+
+    def mark(self) -> datetime | None:
+        """The latest refresh in landing."""
+        return max(self.marks.values(), default=None)
 
 
 class ConcurrentPublish(RuntimeError):
-    """Another writer published the same version first."""
+    """The version is there already, so another writer is at work."""
 
 
 class Snapshots:
     """The tables under ``root``.
 
-    ``buckets`` is fixed by the first load. A bucket is what one small update rewrites, so aim
+    ``buckets`` is fixed by the first load. A bucket of flat is what one small update rewrites, so aim
     at one to four gigabytes each: 64 suits a few hundred gigabytes, some 30,000 suit 100 TB.
     """
 
@@ -74,43 +84,64 @@ class Snapshots:
 
     # -- reading ---------------------------------------------------------------------------
 
-    def _commits(self) -> DataFrame | None:
+    def _commits(self, *versions: int) -> DataFrame:
+        """Commit rows: of the given versions, or of all."""
+        base = f"{self.root}/commits"
+        paths = [f"{base}/version={v}" for v in versions] or [base]
+        return self.spark.read.schema(_COMMIT_ROW).option("basePath", base).parquet(*paths)
+
+    def versions(self) -> list[int]:
+        """Published versions, from the names of their files; none is opened."""
         try:
-            return self.spark.read.schema(_COMMIT_ROW).parquet(f"{self.root}/commits")
+            files = self._commits().inputFiles()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return None
+                return []
             raise
-
-    def _attempts(self, commits: DataFrame, version: int) -> DataFrame:
-        """Commit rows of one version, the one that counts first."""
-        published = F.col("_metadata.file_modification_time").alias("published")
-        return commits.where(F.col("version") == version).select("*", published).orderBy("published", "attempt")
+        return sorted({int(re.search(r"/version=(\d+)/", f)[1]) for f in files})
 
     def head(self) -> Commit:
         """The newest commit; an empty one if nothing was ever published."""
-        commits = self._commits()
-        # The version column alone is read of all commits, the bucket maps only of the newest.
-        newest = commits.agg(F.max("version")).first()[0] if commits is not None else None
-        if newest is None:
+        versions = self.versions()
+        if not versions:
             return Commit()
-        row = self._attempts(commits, newest).drop("published").first()
-        return Commit(**{k: v if v is not None else {} for k, v in row.asDict().items()})
+        instants = F.transform_values("marks", lambda _, at: F.unix_micros(at))
+        row = self._commits(versions[-1]).withColumn("marks", instants).first().asDict()
+        row["marks"] = {b: from_micros(at) for b, at in (row["marks"] or {}).items()}
+        return Commit(**{k: v if v is not None else {} for k, v in row.items()})
 
     def read(self, table: str, commit: Commit | None = None, buckets: list[int] | None = None) -> DataFrame:
         """A table as of a commit (default: the newest), optionally only some buckets.
 
-        Only the folders the commit names are listed. The result has a ``bucket`` column.
+        Only the folders the commit names are listed. The result has a ``bucket`` column. Of a key that
+        several loads hold, the newest row counts: rows of buckets with one load are passed on
+        as they are, the others meet by key. Those later loads hold little.
         """
         commit = self.head() if commit is None else commit
-        held: dict[int, str] = getattr(commit, table)
+        held: dict[int, list[str]] = {b: [x] if isinstance(x, str) else list(x) for b, x in getattr(commit, table).items()}
         wanted = held if buckets is None else {b: held[b] for b in buckets if b in held}
-        schema = T.StructType([*TABLES[table].fields, T.StructField("bucket", T.IntegerType())])
-        if not wanted:
-            return self.spark.createDataFrame([], schema)
+        plain = self._loads(table, {b: loads for b, loads in wanted.items() if len(loads) == 1})
+        layered = {b: loads for b, loads in wanted.items() if len(loads) > 1}
+        if not layered:
+            return plain.drop("load")
+        base = self._loads(table, {b: loads[:1] for b, loads in layered.items()}).drop("load")
+        later = self._loads(table, {b: loads[1:] for b, loads in layered.items()})
+        # A load's place in its bucket's list, as data: one short entry per load and bucket.
+        order = [(b, load, n) for b, loads in layered.items() for n, load in enumerate(loads)]
+        ordered = later.join(F.broadcast(self.spark.createDataFrame(order, "bucket int, load string, n int")), ["bucket", "load"])
+        newest = Window.partitionBy("hash").orderBy(F.desc("n"))
+        later = ordered.withColumn("n", F.row_number().over(newest)).where("n = 1").drop("n", "load").select(*base.columns)
+        return plain.drop("load").unionByName(base.join(later.select("hash"), "hash", "left_anti").select(*base.columns)).unionByName(later)
+
+    def _loads(self, table: str, wanted: dict[int, list[str]]) -> DataFrame:
+        """Rows of the given loads of each bucket, with ``load`` and ``bucket``."""
+        extra = [T.StructField("load", T.StringType()), T.StructField("bucket", T.IntegerType())]
+        schema = T.StructType([*TABLES[table].fields, *extra])
         base = f"{self.root}/{table}"
-        paths = [f"{base}/load={load}/bucket={b}" for b, load in sorted(wanted.items())]
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).drop("load")
+        paths = [f"{base}/load={load}/bucket={b}" for b, loads in sorted(wanted.items()) for load in loads]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
     def landing(self, commit: Commit | None = None) -> DataFrame:
         return self.read("landing", commit).drop("bucket")
@@ -124,6 +155,12 @@ class Snapshots:
         self.landing(commit).createOrReplaceTempView(landing)
         self.flat(commit).createOrReplaceTempView(flat)
 
+    def fill_tables(self, landing: str, flat: str) -> None:
+        """Overwrite catalog tables, such as ``create_tables`` makes, with the newest commit."""
+        commit = self.head()
+        for name, rows in ((landing, self.landing(commit)), (flat, self.flat(commit))):
+            rows.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=True)
+
     # -- writing ---------------------------------------------------------------------------
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
@@ -144,7 +181,10 @@ class Snapshots:
         load = uuid.uuid4().hex
         rows = df.sortWithinPartitions("bucket", *LAYOUT[table])
         with nullcontext() if table in SEARCHED else whole_variants(self.spark):
-            rows.write.partitionBy("bucket").parquet(f"{self.root}/{table}/load={load}")
+            writer = rows.write.partitionBy("bucket")
+            for column in LOOKED_UP[table]:
+                writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+            writer.parquet(f"{self.root}/{table}/load={load}")
         return load
 
     def read_load(self, table: str, load: str, schema: T.StructType) -> DataFrame:
@@ -153,37 +193,41 @@ class Snapshots:
 
     def publish(self, commit: Commit) -> Commit:
         """Make a commit the newest version. Its single row appears in one file, or not at all."""
-        mine = replace(commit, attempt=uuid.uuid4().hex)
-        row = self.spark.createDataFrame([tuple(vars(mine).values())], _COMMIT_ROW)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
-        if self._attempts(self._commits(), mine.version).select("attempt", "published").first().attempt != mine.attempt:
-            raise ConcurrentPublish(f"version {mine.version} of {self.root} was published by another writer")
-        return mine
+        if commit.version in self.versions():
+            raise ConcurrentPublish(f"version {commit.version} of {self.root} is there already")
+        row = tuple(vars(commit).values())
+        # What a writer left that failed before its file was there is overwritten.
+        rows = self.spark.createDataFrame([row], _COMMIT_ROW).drop("version").coalesce(1)
+        rows.write.mode("overwrite").parquet(f"{self.root}/commits/version={commit.version}")
+        return commit
 
     def history(self) -> DataFrame:
         """One row per version: its counts, and the running total of records sent."""
-        commits = self._commits()
-        if commits is None:
-            commits = self.spark.createDataFrame([], _COMMIT_ROW)
+        commits = self._commits() if self.versions() else self.spark.createDataFrame([], _COMMIT_ROW)
         names = ("sent", "rejected", "distinct_keys", "inserted", "updated")
         counts = [F.coalesce(F.col("counts")[n], F.lit(0).cast("long")).alias(n) for n in names]
-        so_far = Window.orderBy("version").rowsBetween(Window.unboundedPreceding, 0)
-        return commits.select("version", *counts).withColumn("total_sent", F.sum("sent").over(so_far))
+        return commits.select("version", *counts, "total_sent")
 
     def unreferenced(self, keep: int = 2) -> DataFrame:
-        """Load ids that older commits name and none of the newest ``keep`` does, per table.
+        """``(table, load)`` of every folder on disk that none of the newest ``keep`` commits names.
 
-        Nothing here deletes data: the caller decides when no reader needs those folders.
+        Also what failed cycles left, and staged intermediates. Nothing here deletes data: the caller
+        decides when no reader and no running cycle needs those folders.
         """
-        commits = self._commits()
-        if commits is None:
-            return self.spark.createDataFrame([], "table string, load string")
-        oldest_kept = self.head().version - keep + 1
-        named = None
-        for table in TABLES:
-            loads = commits.select(
-                "version", F.lit(table).alias("table"), F.explode(F.map_values(table)).alias("load")
-            )
-            named = loads if named is None else named.unionByName(loads)
-        last_use = named.groupBy("table", "load").agg(F.max("version").alias("last_version"))
-        return last_use.where(F.col("last_version") < oldest_kept).select("table", "load")
+        commits = self.versions()[-keep:]
+        named = self.spark.createDataFrame([], "table string, load string")
+        for table, loads in (("landing", F.flatten(F.map_values("landing"))), ("flat", F.map_values("flat"))):
+            if commits:
+                named = named.union(self._commits(*commits).select(F.lit(table), F.explode(loads)))
+        found = self.spark.createDataFrame([], "table string, load string")
+        for table in (*TABLES, "staged"):
+            files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+            try:
+                paths = files.load(f"{self.root}/{table}").select("path")
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                continue
+            folder = F.regexp_extract("path", rf"/{table}/(?:load=)?([^/]+)/", 1)
+            found = found.union(paths.select(F.lit(table), folder))
+        return found.distinct().join(named.distinct(), ["table", "load"], "left_anti")

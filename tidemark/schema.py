@@ -69,5 +69,6 @@ def create_tables(spark: SparkSession, landing: str, flat: str) -> None:
         (landing, LANDING_SCHEMA, LANDING_COMMENT),
         (flat, FLAT_SCHEMA, FLAT_COMMENT),
     ):
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+        required = {"raw": " NOT NULL"}
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}{required.get(f.name, '')}" for f in schema)
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet COMMENT '{comment}'")

@@ -1,10 +1,11 @@
-from tidemark.sources.extract import extract_all, extract_pages
+from tidemark.sources.extract import extract_all, extract_pages, extract_waves
 from tidemark.sources.pages import in_sequence, page_folder, page_stream, parse_records, read_lines, read_pages, unwrap
 from tidemark.sources.paging import incremental, numbered, page, pages
 
 __all__ = [
     "extract_all",
     "extract_pages",
+    "extract_waves",
     "in_sequence",
     "incremental",
     "numbered",

@@ -9,8 +9,9 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.schema import PAGE_CAP
+from tidemark.schema import ENVELOPE_KEY, PAGE_CAP
 from tidemark.sources.pages import unwrap
+from tidemark.sources.paging import page_size
 
 Fetch = Callable[[int, int], str]
 
@@ -22,7 +23,7 @@ def extract_pages(
 
     Write the result before use: each evaluation fetches again.
     """
-    size = min(top, PAGE_CAP)
+    size = page_size(top)
 
     def fetch_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -34,19 +35,31 @@ def extract_pages(
     return sequence.mapInArrow(fetch_all, "page_seq long, value string")
 
 
-def extract_all(
-    spark: SparkSession, fetch: Fetch, path: str, top: int = PAGE_CAP, wave: int = 256, pages_per_task: int = 16
+def extract_waves(
+    spark: SparkSession,
+    wave_of: Callable[[int, int], DataFrame],
+    path: str,
+    top: int = PAGE_CAP,
+    wave: int = 256,
+    key: str = ENVELOPE_KEY,
 ) -> DataFrame:
-    """Every page until a short or empty one, without knowing the total: waves of pages, each in parallel.
+    """Pages ``(page_seq, value)`` until a short, empty or missing one, without knowing the total.
 
-    The pages are kept under ``path``, which must be new and shared; read them back as often as needed.
+    ``wave_of(first, n)`` gives some pages, which are written under ``path`` (new, and shared) before they
+    are looked at; read them back as often as needed.
     """
-    size = min(top, PAGE_CAP)
-    first = 0
+    size, first = page_size(top), 0
     while True:
         folder = f"{path}/wave={first}"
-        extract_pages(spark, fetch, first, wave, top, pages_per_task).write.parquet(folder)
-        per_page = unwrap(spark.read.parquet(folder)).groupBy("ord.page_seq").count()
+        wave_of(first, wave).select("page_seq", "value").write.parquet(folder)
+        per_page = unwrap(spark.read.schema("page_seq long, value string").parquet(folder), key).groupBy("ord.page_seq").count()
         if per_page.where(F.col("count") >= size).count() < wave:
-            return spark.read.parquet(path).select("page_seq", "value")
+            return spark.read.schema("page_seq long, value string, wave long").parquet(path).select("page_seq", "value")
         first += wave
+
+
+def extract_all(
+    spark: SparkSession, fetch: Fetch, path: str, top: int = PAGE_CAP, wave: int = 256, pages_per_task: int = 16
+) -> DataFrame:
+    """Every page of a remote source until a short or empty one: waves of pages, each in parallel."""
+    return extract_waves(spark, lambda first, n: extract_pages(spark, fetch, first, n, top, pages_per_task), path, top, wave)

@@ -14,29 +14,58 @@ from tidemark.schema import ENVELOPE_KEY
 from tidemark.sources.paging import incremental
 
 
-def _sequence(file_name: Column) -> Column:
-    """The first run of digits in a file name, e.g. 12 for page-000012.json."""
-    digits = F.regexp_extract(file_name, r"(\d+)", 1)
-    return F.when(digits != "", digits.cast("long")).otherwise(
-        F.raise_error(F.concat(F.lit("page file name carries no sequence number: "), file_name)).cast("long")
+# Names that Spark gives the files of one write: number of the task, the write's id, number of the file.
+_SPARK_PART = r"^part-(\d+)-.*-c(\d+)"
+
+
+def _place(name: Column) -> tuple[Column, Column]:
+    """The series a file belongs to and its place there: 12 for page-000012.json.
+
+    The place is the last number of a name, or task and file number of a file that Spark wrote. What
+    is left of the name is the series, so the files of one write, or of one day, are one series.
+    """
+    by_spark = name.rlike(_SPARK_PART)
+    digits = F.regexp_extract(name, r"(\d+)\D*$", 1)
+    number = F.when(digits != "", digits.cast("long")).otherwise(
+        F.raise_error(F.concat(F.lit("page file name carries no sequence number: "), name)).cast("long")
     )
+    places = [F.regexp_extract(name, _SPARK_PART, k).cast("long") for k in (1, 2)]
+    place = F.when(by_spark, F.array(*places)).otherwise(F.array(number))
+    spark_rest = F.regexp_replace(name, r"^part-\d+-(.*)-c\d+", "$1")
+    return F.when(by_spark, spark_rest).otherwise(F.regexp_replace(name, r"\d+(\D*)$", "$1")), place
 
 
 def _landed(files: DataFrame) -> DataFrame:
+    series, place = _place(F.col("_metadata.file_name"))
     return files.select(
-        _sequence(F.col("_metadata.file_name")).alias("file_seq"),
+        series.alias("series"),
+        place.alias("place"),
+        F.col("_metadata.file_modification_time").alias("landed"),
+        F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("split_start"),
         "value",
     )
 
 
 def in_sequence(landed: DataFrame, per_line: bool = False) -> DataFrame:
-    """Rows of a text scan as pages ``(page_seq, value)``; blank lines are no pages."""
+    """Rows of a text scan as pages ``(page_seq, value)``; blank lines are no pages.
+
+    Series come in the order in which their first files landed, and files by their place in the series.
+    Two files with one place in one series have no order, which is an error. One short row per
+    series, and one per file, is all that this needs to know beforehand.
+    """
+    files = landed.groupBy("series", "place").agg(F.min("landed").alias("landed"), F.min("path").alias("a"), F.max("path").alias("b"))
+    tied = F.max(F.when(F.col("a") != F.col("b"), F.concat_ws(" and ", "a", "b")))
+    series = files.groupBy("series").agg(F.min("landed").alias("begun"), tied.alias("tied"))
+    message = F.concat(F.lit("files without an order between them: "), F.col("tied"))
+    begun = F.when(F.col("tied").isNull(), F.col("begun")).otherwise(F.raise_error(message).cast("timestamp"))
+    # The generated id only ever compares lines of one split of one file, where it grows with the line.
+    lines = landed.drop("landed").withColumn("line", F.monotonically_increasing_id() if per_line else F.lit(0))
+    known = lines.join(F.broadcast(series.select("series", begun.alias("begun"))), "series")
+    file = F.struct("begun", "series", "place")
     if not per_line:
-        return landed.select(F.col("file_seq").alias("page_seq"), "value")
-    # The generated id only ever compares lines of one split, where it grows with the line.
-    place = F.struct("file_seq", "split_start", F.monotonically_increasing_id().alias("line"))
-    return landed.select(place.alias("page_seq"), "value").where(F.trim("value") != "")
+        return known.select(file.alias("page_seq"), "value")
+    return known.select(F.struct(file.alias("file"), "split_start", "line").alias("page_seq"), "value").where(F.trim("value") != "")
 
 
 def read_pages(
@@ -53,19 +82,20 @@ def read_pages(
 
 
 def page_folder(
-    spark: SparkSession, path: str, per_line: bool = False, slack: timedelta = timedelta(days=1)
+    spark: SparkSession, path: str, per_line: bool = False, slack: timedelta | None = None, strict: bool = True
 ) -> Callable[[datetime | None], DataFrame]:
-    """A folder of landed pages as the source of a load cycle.
+    """A folder of landed pages as the source of a load cycle; every file is opened.
 
-    A record lands after it was refreshed, so records at or after the mark can only be in files
-    landed since; older files are not opened. ``slack`` allows for clocks that disagree.
+    With ``slack``, files that landed longer than that before the mark are skipped. Give it only
+    where every record lands after its refresh, by clocks that differ by less, and where copies
+    of files get new times: a record in a skipped file is never loaded.
     """
 
     def since(mark: datetime | None) -> DataFrame:
         if mark is None:
-            return unwrap(read_pages(spark, path, per_line))
-        landed = (mark - slack).strftime("%Y-%m-%dT%H:%M:%S")
-        return incremental(unwrap(read_pages(spark, path, per_line, landed)), mark)
+            return unwrap(read_pages(spark, path, per_line), strict=strict)
+        landed = None if slack is None else (mark - slack).strftime("%Y-%m-%dT%H:%M:%S")
+        return incremental(unwrap(read_pages(spark, path, per_line, landed), strict=strict), mark, strict)
 
     return since
 
@@ -80,30 +110,36 @@ def page_stream(
     return _landed(reader.load(path))
 
 
-def unwrap(pages: DataFrame, key: str = ENVELOPE_KEY) -> DataFrame:
+def _parsed(value: str, strict: bool) -> Column:
+    return F.parse_json(value) if strict else F.try_parse_json(value)
+
+
+def unwrap(pages: DataFrame, key: str = ENVELOPE_KEY, strict: bool = True) -> DataFrame:
     """Records of each page, from the array under ``key`` or from a bare array.
 
-    A page without that member gives no records; a page that is not JSON raises.
+    A page without that member gives no records. A page that is not JSON raises, or gives none if not
+    strict; ``checks.unparsable`` lists it.
     """
     records = F.coalesce(
         F.try_variant_get("body", f"$.{key}", "array<variant>"),
         F.try_variant_get("body", "$", "array<variant>"),
     )
-    bodies = pages.select("page_seq", F.parse_json("value").alias("body"))
+    bodies = pages.select("page_seq", _parsed("value", strict).alias("body"))
     return bodies.select("page_seq", F.posexplode(records).alias("pos", "rec")).select(
         "rec", F.struct("page_seq", "pos").alias("ord")
     )
 
 
-def parse_records(texts: DataFrame, ord_column: str) -> DataFrame:
-    """Rows with one JSON record in ``value`` to records ``(rec, ord)``.
+def parse_records(texts: DataFrame, ord_column: str, strict: bool = True) -> DataFrame:
+    """Rows with one JSON record in ``value`` to records ``(rec, ord)``; a text that is not JSON raises, or is left out.
 
     The one-element explode keeps later filters above the parse; pushed below it, a filter on
     a member would parse every text a second time.
     """
-    return texts.select(F.explode(F.array(F.parse_json("value"))).alias("rec"), F.col(ord_column).alias("ord"))
+    parsed = F.array_compact(F.array(_parsed("value", strict)))
+    return texts.select(F.explode(parsed).alias("rec"), F.col(ord_column).alias("ord"))
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """JSON-lines files, one record per line, split across tasks inside each file."""
-    return parse_records(in_sequence(_landed(spark.read.text(path)), per_line=True), "page_seq")
+    return parse_records(in_sequence(_landed(spark.read.text(path)), per_line=True), "page_seq", strict)

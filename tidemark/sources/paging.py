@@ -8,8 +8,11 @@ from tidemark.functions import instant, refresh_instant
 from tidemark.schema import PAGE_CAP
 from tidemark.session import written
 
-# Up to this many rows a window is a top-k, which one task merges; beyond it, rows are numbered.
-TOP_K_ROWS = 100_000
+def page_size(top: int, cap: int = PAGE_CAP) -> int:
+    """``top``, refused beyond the cap: a page that is shorter than asked for would look like the last one."""
+    if not 0 < top <= cap:
+        raise ValueError(f"a page holds 1 to {cap} records, not {top}")
+    return top
 
 
 def numbered(df: DataFrame, by: list[str]) -> DataFrame:
@@ -25,35 +28,37 @@ def numbered(df: DataFrame, by: list[str]) -> DataFrame:
     place = F.struct(file_no.alias("no"), piece.alias("piece")).alias("_file")
     placed = rows.select("*", place, F.col("_metadata.row_index").alias("_row"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # One short row per file just written, so sending them to every task is cheap.
     starts = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     starts = starts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     position = (F.col("_start") + F.col("_row")).alias("position")
-    return placed.join(starts, "_file").select(*df.columns, position)
+    return placed.join(F.broadcast(starts), "_file").select(*df.columns, position)
 
 
 def page(df: DataFrame, skip: int, top: int, by: list[str], cap: int = PAGE_CAP) -> DataFrame:
-    """Rows ``skip .. skip+min(top, cap)`` in the order of ``by``, which must be a total order."""
-    size = min(top, cap)
-    if skip + size <= TOP_K_ROWS:
-        return df.orderBy(*by).offset(skip).limit(size)
+    """Rows ``skip .. skip+top`` in the order of ``by``, which must be a total order, with their ``position``.
+
+    However deep the page lies, only its own rows are sorted a second time.
+    """
     position = F.col("position")
-    return numbered(df, by).where((position >= skip) & (position < skip + size)).select(*df.columns)
+    inside = (position >= skip) & (position < skip + page_size(top, cap))
+    return numbered(df, by).where(inside).orderBy("position")
 
 
 def pages(df: DataFrame, top: int, by: list[str], cap: int = PAGE_CAP) -> DataFrame:
     """Every row with its ``page_seq`` and ``pos``: all the pages a reader gets until a short one."""
-    size = min(top, cap)
+    size = page_size(top, cap)
     position = F.col("position")
     page_seq = F.expr(f"position div {size}").alias("page_seq")
     return numbered(df, by).select(*df.columns, page_seq, (position % size).cast("int").alias("pos"))
 
 
-def incremental(records: DataFrame, mark: datetime | None) -> DataFrame:
+def incremental(records: DataFrame, mark: datetime | None, strict: bool = True) -> DataFrame:
     """Records refreshed at or after the mark, re-ordered by refresh; everything if there is no mark.
 
     The boundary is inclusive: boundary rows are read again and the upsert absorbs them.
     """
     if mark is None:
         return records
-    refresh = refresh_instant(F.col("rec"))
+    refresh = refresh_instant(F.col("rec"), strict)
     return records.where(refresh >= instant(mark)).select("rec", F.struct(refresh.alias("refresh"), "ord").alias("ord"))

@@ -23,17 +23,20 @@ def apply_batch(
 ) -> Commit:
     """Apply one micro-batch. A batch the head already holds is not upserted again.
 
-    The commit row carries the batch id, so tables and progress move together: whatever fails
-    before the publish is redone from the checkpoint, whatever was published is skipped.
+    ``stream`` names the query that counts the batches. The commit row carries the batch id, so tables
+    and progress move together: whatever fails before the publish is redone from the
+    checkpoint, whatever was published is skipped.
     """
-    head = commit = store.head()
+    head = before = commit = store.head()
     counts: dict[str, int] = {}
+    new = None
     if commit.streams.get(stream, -1) < batch_id:
-        commit, counts = ingest(store, head, records, policy)
+        commit, counts, new = ingest(store, head, records, policy, strict)
         commit = replace(commit, streams={**commit.streams, stream: batch_id})
         if landing_first:
             head = commit = publish(store, head, commit, counts)
-    commit, changed = sync(store, commit, null_is_oldest, strict)
+            counts = {}
+    commit, changed = sync(store, commit, null_is_oldest, strict, before, new)
     return publish(store, head, commit, {**counts, **changed})
 
 
@@ -48,12 +51,17 @@ def start_stream(
 ) -> StreamingQuery:
     """Load new page files: once up to the present, or ``every`` interval (e.g. "24 hours").
 
-    Page files must land in sequence: batches take files by landing time, and the order inside
-    a batch comes from the file names. ``options`` are those of ``apply_batch``.
+    Batches take files by landing time; the order inside a batch is that of ``in_sequence``. Progress is
+    kept under the query's own id, which a new checkpoint gets anew, whatever its path.
+    ``options`` are those of ``apply_batch``.
     """
+    names: list[str] = []
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(store, unwrap(in_sequence(batch, per_line)), checkpoint, batch_id, **options)
+        if not names:
+            names.append(store.spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first().id)
+        records = unwrap(in_sequence(batch, per_line), strict=options.get("strict", True))
+        apply_batch(store, records, names[0], batch_id, **options)
 
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return (

@@ -1,5 +1,6 @@
 """Inputs that Spark derives from the given tables: JSON records, landing rows, a published store."""
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -134,6 +135,16 @@ def land_pages(pages: DataFrame, path: str) -> None:
     in_order.select("value").write.mode("append").text(path)
 
 
+def copied(store: Snapshots, root: str) -> Snapshots:
+    """A store of its own that starts where another one stands: its newest version is written as a first load."""
+    copy, head = Snapshots(store.spark, root, store.buckets), store.head()
+    loads = {table: copy.write(table, store.read(table, head)) for table in ("landing", "flat")}
+    landing = {b: [loads["landing"]] for b in head.landing}
+    synced = dict.fromkeys(head.flat, loads["landing"])
+    copy.publish(replace(head, version=1, landing=landing, flat=dict.fromkeys(head.flat, loads["flat"]), synced=synced))
+    return copy
+
+
 _stores: dict[tuple[str, str], str] = {}
 
 

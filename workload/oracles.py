@@ -162,6 +162,17 @@ bad AS (
 )"""
 )
 
+_TOTALS = """WITH e AS (
+  SELECT user_id, 1 + CAST(ts >= TIMESTAMP '2024-01-11' AS BIGINT) + CAST(ts >= TIMESTAMP '2024-01-21' AS BIGINT) AS version
+  FROM events
+), firsts AS (SELECT user_id, min(version) AS version FROM e GROUP BY user_id),
+loads AS (
+  SELECT version, count(*) AS sent, count(DISTINCT user_id) AS distinct_keys,
+    (SELECT count(*) FROM firsts f WHERE f.version = e.version) AS inserted,
+    CAST(sum(count(*)) OVER (ORDER BY version) AS BIGINT) AS total_sent
+  FROM e GROUP BY version
+)"""
+
 ORACLES = {
     "landing_build": f"""WITH{_FLAT}
 SELECT h AS hash, '{{' || {_RAW} || '}}' AS raw, lastrefresh FROM base JOIN flat ON hash = h""",
@@ -178,17 +189,31 @@ FROM base""",
     "landing_upsert_latest": _FOLD_LATEST,
     "landing_count": "SELECT count(DISTINCT user_id) AS n_rows FROM events",
     "high_water_mark": f"WITH{_FOLD} SELECT max(lastrefresh) AS mark FROM landing",
-    "next_mark_guard": """SELECT greatest(max(ts), TIMESTAMP '2024-01-20 00:00:00') AS mark FROM events
-WHERE event_type <> 'error' AND ts < TIMESTAMP '2024-01-16'""",
-    "next_mark_resume": """SELECT max(ts) AS mark FROM events
-WHERE event_type <> 'error' AND ts < TIMESTAMP '2024-01-16'""",
+    "next_mark_guard": """SELECT asked, greatest(max(ts), midnight) AS mark
+FROM events, (VALUES ('before', TIMESTAMP '2024-01-20'), ('after', TIMESTAMP '2024-03-01')) a(asked, midnight)
+WHERE event_type <> 'error' GROUP BY asked, midnight""",
+    "next_mark_resume": """SELECT asked, max(ts) AS mark FROM events, (VALUES ('before'), ('after')) a(asked)
+WHERE event_type <> 'error' GROUP BY asked""",
     "mark_filter": f"""WITH{_FOLD}
 SELECT chr(39) || strftime(greatest(max(lastrefresh), TIMESTAMP '2024-01-20 00:00:00'), '%Y-%m-%dT%H:%M:%S.%fZ') || chr(39)
   AS mark_text FROM landing""",
     "incremental_scan": """SELECT event_id, CAST(user_id AS VARCHAR) AS hash, ts AS lastrefresh FROM events
 WHERE event_type <> 'error' AND ts >= TIMESTAMP '2024-01-16'""",
     "page_window": f"""WITH{_FOLD}
-SELECT hash, lastrefresh FROM landing WHERE lastrefresh IS NOT NULL ORDER BY lastrefresh, hash LIMIT 25 OFFSET 40""",
+SELECT * FROM (SELECT hash, lastrefresh, row_number() OVER (ORDER BY lastrefresh NULLS FIRST, hash) - 1 AS position FROM landing)
+WHERE position BETWEEN 40 AND 64""",
+    "page_deep": _flat("""SELECT * FROM (
+  SELECT hash, lastrefresh, row_number() OVER (ORDER BY lastrefresh NULLS FIRST, hash) - 1 AS position FROM flat)
+WHERE position >= (SELECT count(*) * 3 // 4 FROM flat) AND position < (SELECT count(*) * 3 // 4 FROM flat) + 500"""),
+    "pages_fold": """SELECT CAST(user_id AS VARCHAR) AS hash, max(event_id) AS event_id,
+  arg_max(ts, event_id) FILTER (WHERE event_type <> 'error') AS lastrefresh
+FROM events GROUP BY user_id""",
+    "extract_dump": f"""WITH{_BASE}
+SELECT (o_orderkey - (SELECT min(o_orderkey) FROM base)) // 1000 AS page_seq, h AS hash FROM base""",
+    "ingest_permissive": _flat("""SELECT hash, CASE WHEN projectstatus <> 'Open' THEN lastrefresh END AS lastrefresh
+FROM flat WHERE gmprojectid // 1000 % 3 <> 1"""),
+    "unparsable_pages": """SELECT o_orderkey // 1000 AS page_seq, CAST(count(*) + 1 AS INTEGER) AS n_parts FROM orders
+WHERE o_orderkey // 1000 % 3 = 1 GROUP BY 1""",
     "paged_dump": _flat("""SELECT hash, lastrefresh, (place - 1) // 1000 AS page_seq,
   CAST((place - 1) % 1000 AS INTEGER) AS pos
 FROM (SELECT hash, lastrefresh, row_number() OVER (ORDER BY lastrefresh NULLS FIRST, hash) AS place FROM flat)"""),
@@ -209,14 +234,23 @@ SELECT count(*) FILTER (WHERE is_new) AS inserted, count(*) FILTER (WHERE NOT is
   CAST(arg_max(props ->> '$.k', event_id) AS INTEGER) AS k,
   arg_max(ts, event_id) FILTER (WHERE event_type <> 'error') AS lastrefresh
 FROM events GROUP BY user_id""",
-    "load_totals": """WITH e AS (
-  SELECT user_id, 1 + CAST(ts >= TIMESTAMP '2024-01-11' AS BIGINT) + CAST(ts >= TIMESTAMP '2024-01-21' AS BIGINT) AS version
-  FROM events
-), firsts AS (SELECT user_id, min(version) AS version FROM e GROUP BY user_id)
-SELECT version, count(*) AS sent, CAST(0 AS BIGINT) AS rejected, count(DISTINCT user_id) AS distinct_keys,
-  (SELECT count(*) FROM firsts f WHERE f.version = e.version) AS inserted,
-  CAST(sum(count(*)) OVER (ORDER BY version) AS BIGINT) AS total_sent
-FROM e GROUP BY version""",
+    "load_totals": f"""{_TOTALS}
+SELECT version, sent, CAST(0 AS BIGINT) AS rejected, distinct_keys, inserted, total_sent FROM loads""",
+    "load_totals_landing_first": f"""{_TOTALS}
+SELECT 2 * version - 1 AS version, sent, CAST(0 AS BIGINT) AS rejected, distinct_keys, CAST(0 AS BIGINT) AS inserted, total_sent
+FROM loads
+UNION ALL SELECT 2 * version, 0, 0, 0, inserted, total_sent FROM loads""",
+    "cycle_update": _flat("""SELECT hash, gmprojectid,
+  CASE WHEN gmprojectid % 100 = 1 THEN TIMESTAMP '2024-01-19' ELSE lastrefresh END AS lastrefresh,
+  CASE WHEN gmprojectid % 100 = 1 THEN 'Updated' ELSE county END AS county,
+  CASE WHEN gmprojectid % 100 = 1 AND gmprojectid % 13 <> 0 THEN 'Updated' ELSE county END AS flat_county
+FROM flat"""),
+    "absent_tables": """SELECT count(*) AS orders, count(*) AS not_in_landing, CAST(0 AS BIGINT) AS flat_rows,
+  CAST(NULL AS VARCHAR) AS flat_mark FROM orders""",
+    "empty_batch": f"""WITH{_BASE}
+SELECT count(*) AS landing, count(*) AS rejected, CAST(0 AS BIGINT) AS sent, true AS same FROM base""",
+    "failed_cycle": _flat("SELECT hash, lastrefresh, pwnumber FROM flat"),
+    "created_tables": _flat("SELECT hash, stateabbr, projectamount, lastrefresh FROM flat"),
     "refresh_range": _flat("""SELECT hash, lastrefresh FROM flat
 WHERE lastrefresh BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-12-31 12:00:00'"""),
     "json_contains": """SELECT event_id, CAST(user_id AS VARCHAR) AS hash FROM events
@@ -242,6 +276,8 @@ WHERE federalshare BETWEEN 200000 AND 250000 AND totalobligated >= 0"""),
 ORDER BY federalshare DESC NULLS LAST, hash LIMIT 100"""),
     "money_bottomk": _flat("""SELECT hash, totalobligated FROM flat
 ORDER BY totalobligated NULLS LAST, hash LIMIT 50"""),
+    "project_lookup": _flat("SELECT hash, gmprojectid, projectamount FROM flat WHERE gmprojectid = 1000"),
+    "applicant_lookup": _flat("SELECT hash, gmapplicantid, totalobligated FROM flat WHERE gmapplicantid = 77"),
     "project_join": _flat("""SELECT hash, gmprojectid, projectamount, o.o_orderkey, o.o_orderpriority
 FROM flat JOIN orders o ON o.o_orderkey = gmprojectid"""),
     "applicant_join": _flat("""SELECT hash, gmapplicantid, totalobligated, c.c_custkey, c.c_mktsegment
@@ -267,7 +303,8 @@ SELECT hash, 'disasternumber' AS "column", CASE WHEN too_large THEN '40000' ELSE
   'smallint' AS type FROM bad WHERE too_large OR not_a_number
 UNION ALL SELECT hash, 'declarationdate', '1996-13-45', 'date' FROM bad WHERE projectstatus = 'Pending'
 UNION ALL SELECT hash, 'projectamount', CAST(CAST(projectamount AS DECIMAL(18,2)) AS VARCHAR) || ' USD',
-  'decimal(38,10)' FROM bad WHERE projectsize = 'Large'""",
+  'decimal(38,10)' FROM bad WHERE projectsize = 'Large'
+UNION ALL SELECT hash, 'lastrefresh', 'later', 'timestamp' FROM bad WHERE projectstatus = 'Pending'""",
     "flatten_permissive": f"""WITH{_BAD}
 SELECT hash, CASE WHEN too_large OR not_a_number THEN NULL ELSE disasternumber END AS disasternumber,
   CASE WHEN projectstatus <> 'Pending' THEN declarationdate END AS declarationdate,
@@ -275,5 +312,6 @@ SELECT hash, CASE WHEN too_large OR not_a_number THEN NULL ELSE disasternumber E
   CAST(obligated_text AS DECIMAL(38,10)) AS totalobligated
 FROM bad""",
     "rounded_amounts": f"""WITH{_BAD}
-SELECT hash, 'totalobligated' AS "column", obligated_text AS value FROM bad""",
+SELECT hash, 'totalobligated' AS "column", obligated_text AS value FROM bad
+UNION ALL SELECT hash, 'mitigationamount', '1.5E-12' FROM bad WHERE gmprojectid % 4 = 0""",
 }

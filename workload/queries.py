@@ -3,15 +3,18 @@
 Instants are returned without a zone and records as JSON text, so that results compare by value.
 """
 
+import uuid
 from datetime import date, datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions import instant, quoted_iso
 from tidemark.operators import checks, flat as flat_ops, landing as landing_ops, mark as mark_ops, serve
 from tidemark.plans import Snapshots, run_cycle
+from tidemark.schema import create_tables
 from tidemark.session import prepare, scratch_path, written
-from tidemark.sources import incremental, page, pages, parse_records, unwrap
+from tidemark.sources import extract_waves, incremental, page, page_folder, pages, parse_records, unwrap
 from tidemark.streaming import start_stream
 from workload import inputs
 from workload.inputs import AS_OF
@@ -19,6 +22,9 @@ from workload.inputs import AS_OF
 # The first part of the events is already in landing; the second part is the new batch.
 SPLIT = datetime(2024, 1, 16)
 
+# A day after every refresh of the events.
+LATER = datetime(2024, 3, 1, 8)
+
 # Three drops of page files for the replay: events before, between and after these instants.
 DROPS = (datetime(2024, 1, 11), datetime(2024, 1, 21))
 
@@ -107,14 +113,21 @@ def high_water_mark(spark: SparkSession, sf: str) -> DataFrame:
     return plain(mark_ops.high_water_mark(landing_ops.fold(inputs.event_landing(spark, sf))))
 
 
+def _marks(spark: SparkSession, sf: str, policy: str) -> DataFrame:
+    """The next mark over all events, asked for on a day before and on a day after the latest refresh."""
+    landing, out = inputs.event_landing(spark, sf), None
+    for name, as_of in (("before", AS_OF), ("after", LATER)):
+        mark = plain(mark_ops.next_mark(landing, as_of, policy)).withColumn("asked", F.lit(name))
+        out = mark if out is None else out.unionByName(mark)
+    return out
+
+
 def next_mark_guard(spark: SparkSession, sf: str) -> DataFrame:
-    landing = inputs.event_landing(spark, sf).where(F.col("ts") < instant(SPLIT))
-    return plain(mark_ops.next_mark(landing, AS_OF, mark_ops.TODAY_GUARD))
+    return _marks(spark, sf, mark_ops.TODAY_GUARD)
 
 
 def next_mark_resume(spark: SparkSession, sf: str) -> DataFrame:
-    landing = inputs.event_landing(spark, sf).where(F.col("ts") < instant(SPLIT))
-    return plain(mark_ops.next_mark(landing, AS_OF, mark_ops.RESUME))
+    return _marks(spark, sf, mark_ops.RESUME)
 
 
 def mark_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,9 +148,69 @@ def incremental_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_window(spark: SparkSession, sf: str) -> DataFrame:
-    landing = landing_ops.fold(inputs.event_landing(spark, sf))
-    ordered = landing.where(F.col("lastrefresh").isNotNull())
-    return plain(page(ordered.select("hash", "lastrefresh"), 40, 25, ["lastrefresh", "hash"]))
+    """One page of all folded events; positions tell the order."""
+    landing = landing_ops.fold(inputs.event_landing(spark, sf)).select("hash", "lastrefresh")
+    return plain(page(landing, 40, 25, ["lastrefresh", "hash"]))
+
+
+def page_deep(spark: SparkSession, sf: str) -> DataFrame:
+    """A page three quarters into the whole published landing table, records without a refresh included."""
+    landing = inputs.published(spark, sf).landing().select("hash", "lastrefresh")
+    return plain(page(landing, landing.count() * 3 // 4, 500, ["lastrefresh", "hash"]))
+
+
+def _dropped(spark: SparkSession, sf: str, folder: str):
+    """Land the events as page files in three drops; yields after each."""
+    events, ts = inputs.table(spark, sf, "events"), F.col("ts")
+    first, second = (F.lit(str(t)).cast("timestamp_ntz") for t in DROPS)
+    for drop in (ts < first, (ts >= first) & (ts < second), ts >= second):
+        inputs.land_pages(inputs.pages_of(inputs.event_texts(events.where(drop))), folder)
+        yield
+
+
+def pages_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """Events that landed in three drops, read as one batch: the same as one fold over all of them."""
+    folder = scratch_path(prepare(spark), "drops")
+    for _ in _dropped(spark, sf, folder):
+        pass
+    landed = page_folder(spark, folder, per_line=True)(None)
+    folded = landing_ops.fold(landing_ops.to_landing(landed))
+    return plain(folded.select("hash", F.variant_get("raw", "$.event_id", "bigint").alias("event_id"), "lastrefresh"))
+
+
+def extract_dump(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages of a source, each fetched by its own task, until a short one.
+
+    The source is the given table: its records lie in order in the shared folder, a page is a range of them.
+    """
+    path = scratch_path(prepare(spark), "extract")
+    texts = inputs.record_texts(spark, sf)
+    # Order keys run on without a gap, so every page but the last is full.
+    least = texts.agg(F.min("seq")).first()[0]
+    inputs.pages_of(texts.withColumn("seq", F.col("seq") - least)).write.parquet(f"{path}/source")
+    source = spark.read.parquet(f"{path}/source")
+    rows = unwrap(
+        extract_waves(spark, lambda first, n: source.where(F.col("page_seq").between(first, first + n - 1)), f"{path}/pages", wave=64)
+    )
+    return rows.select(F.col("ord.page_seq").alias("page_seq"), F.variant_get("rec", "$.hash", "string").alias("hash"))
+
+
+def ingest_permissive(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages cut off in the middle and refreshes that are no instants do not stop a permissive load."""
+    members = inputs.record_members(spark, sf)
+    bad = members.withColumn("lastRefresh", F.expr("if(projectStatus = 'Open', 'soon', lastRefresh)"))
+    pages_ = inputs.pages_of(inputs.as_records(bad, "gmProjectId"))
+    cut = F.expr("if(page_seq % 3 = 1, substr(value, 1, length(value) - 1), value)")
+    landed = landing_ops.to_landing(unwrap(pages_.withColumn("value", cut), strict=False), strict=False)
+    return plain(landing_ops.fold(landed).select("hash", "lastrefresh"))
+
+
+def unparsable_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages that such a load leaves out."""
+    pages_ = inputs.pages_of(inputs.record_texts(spark, sf))
+    cut = F.expr("if(page_seq % 3 = 1, substr(value, 1, length(value) - 1), value)")
+    found = checks.unparsable(pages_.withColumn("value", cut))
+    return found.select("page_seq", F.size(F.split("value", '"gmProjectId"')).alias("n_parts"))
 
 
 def paged_dump(spark: SparkSession, sf: str) -> DataFrame:
@@ -215,15 +288,12 @@ def replace_load(spark: SparkSession, sf: str) -> DataFrame:
     return plain(store.landing().join(store.flat().select("hash", "stateabbr", "projectamount"), "hash").drop("raw"))
 
 
-def _replay(spark: SparkSession, sf: str) -> Snapshots:
+def _replay(spark: SparkSession, sf: str, **options) -> Snapshots:
     """Events land as page files in three drops; a stream loads each drop up to the present."""
     root = scratch_path(prepare(spark), "replay")
     store = Snapshots(spark, f"{root}/store", inputs.buckets(spark, sf))
-    events, ts = inputs.table(spark, sf, "events"), F.col("ts")
-    first, second = (F.lit(str(t)).cast("timestamp_ntz") for t in DROPS)
-    for drop in (ts < first, (ts >= first) & (ts < second), ts >= second):
-        inputs.land_pages(inputs.pages_of(inputs.event_texts(events.where(drop))), f"{root}/pages")
-        start_stream(store, f"{root}/pages", f"{root}/checkpoint", per_line=True).awaitTermination()
+    for _ in _dropped(spark, sf, f"{root}/pages"):
+        start_stream(store, f"{root}/pages", f"{root}/checkpoint", per_line=True, **options).awaitTermination()
     return store
 
 
@@ -244,6 +314,70 @@ def load_totals(spark: SparkSession, sf: str) -> DataFrame:
     return _replay(spark, sf).history().select("version", "sent", "rejected", "distinct_keys", "inserted", "total_sent")
 
 
+def load_totals_landing_first(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with landing published before flat: records count once, in landing's version."""
+    history = _replay(spark, sf, landing_first=True).history()
+    return history.select("version", "sent", "rejected", "distinct_keys", "inserted", "total_sent")
+
+
+def cycle_update(spark: SparkSession, sf: str) -> DataFrame:
+    """A small cycle on a large published store: every hundredth record comes again, refreshed and changed."""
+    store = inputs.copied(inputs.published(spark, sf), scratch_path(spark, "updated"))
+    members = inputs.record_members(spark, sf).where("gmProjectId % 100 = 1")
+    changed = members.withColumns({"lastRefresh": F.lit("2024-01-19T00:00:00Z"), "county": F.lit("Updated")})
+    batch = parse_records(inputs.as_records(changed, "gmProjectId"), "seq")
+    run_cycle(store, lambda mark: incremental(batch, mark), AS_OF)
+    both = store.landing().select("hash", "lastrefresh", F.variant_get("raw", "$.county", "string").alias("county"))
+    return plain(both.join(store.flat().select("hash", F.col("county").alias("flat_county"), "gmprojectid"), "hash"))
+
+
+def absent_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Before any load both tables read as empty, and no record is known: the given orders all are new."""
+    store = Snapshots(spark, scratch_path(prepare(spark), "absent"), inputs.buckets(spark, sf))
+    orders = inputs.table(spark, sf, "orders").select(F.md5(F.col("o_orderkey").cast("string").cast("binary")).alias("hash"))
+    landing, flat = store.landing(), store.flat()
+    return orders.agg(F.count(F.lit(1)).alias("orders")).crossJoin(
+        orders.join(landing, "hash", "left_anti").agg(F.count(F.lit(1)).alias("not_in_landing"))
+    ).crossJoin(flat.agg(F.count(F.lit(1)).alias("flat_rows"), F.max("lastrefresh").cast("string").alias("flat_mark")))
+
+
+def empty_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A cycle that is sent only records without a key publishes nothing and counts them."""
+    store = inputs.copied(inputs.published(spark, sf), scratch_path(spark, "empty"))
+    before = store.head()
+    keyless = inputs.record_members(spark, sf).withColumn("hash", F.lit(""))
+    batch = parse_records(inputs.as_records(keyless, "gmProjectId"), "seq")
+    report = run_cycle(store, lambda mark: batch, AS_OF)
+    same = store.head() == before
+    return store.landing().agg(F.count(F.lit(1)).alias("landing")).select(
+        "landing", F.lit(report.rejected).cast("long").alias("rejected"), F.lit(report.sent).cast("long").alias("sent"), F.lit(same).alias("same")
+    )
+
+
+def failed_cycle(spark: SparkSession, sf: str) -> DataFrame:
+    """A cycle that meets a value it must refuse leaves the published tables as they were."""
+    store = inputs.copied(inputs.published(spark, sf), scratch_path(spark, "failed"))
+    bad = inputs.record_members(spark, sf).withColumns({"lastRefresh": F.lit("2024-01-19T00:00:00Z"), "pwNumber": F.lit("many")})
+    batch = parse_records(inputs.as_records(bad, "gmProjectId"), "seq")
+    try:
+        run_cycle(store, lambda mark: batch, AS_OF)
+        raise AssertionError("the value was accepted")
+    except PySparkException as refused:
+        if "CAST_INVALID_INPUT" not in str(refused):
+            raise
+    return plain(store.flat().select("hash", "lastrefresh", "pwnumber"))
+
+
+def created_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The typed tables under their created names, filled with what was published."""
+    name = uuid.uuid4().hex[:12]
+    store = inputs.published(spark, sf)
+    create_tables(prepare(spark), f"landing_{name}", f"flat_{name}")
+    store.fill_tables(f"landing_{name}", f"flat_{name}")
+    flat = spark.table(f"flat_{name}").select("hash", "stateabbr", "projectamount")
+    return flat.join(spark.table(f"landing_{name}").select("hash", "lastrefresh"), "hash").transform(plain)
+
+
 # -- reports -----------------------------------------------------------------------------------
 
 
@@ -315,6 +449,16 @@ def money_bottomk(spark: SparkSession, sf: str) -> DataFrame:
     return serve.top_by(_flat(spark, sf).select("hash", "totalobligated"), "totalobligated", 50, largest=False)
 
 
+def project_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """One project by its id."""
+    return serve.slice_by(_flat(spark, sf), gmprojectid=1000).select("hash", "gmprojectid", "projectamount")
+
+
+def applicant_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """All projects of one applicant."""
+    return serve.slice_by(_flat(spark, sf), gmapplicantid=77).select("hash", "gmapplicantid", "totalobligated")
+
+
 def project_join(spark: SparkSession, sf: str) -> DataFrame:
     orders = inputs.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     flat = _flat(spark, sf).select("hash", "gmprojectid", "projectamount")
@@ -389,13 +533,19 @@ def _bad_landing(spark: SparkSession, sf: str) -> DataFrame:
             "declarationDate": F.expr("if(projectStatus = 'Pending', '1996-13-45', declarationDate)"),
             "projectAmount": F.expr("if(projectSize = 'Large', concat(projectAmount, ' USD'), string(projectAmount))"),
             "totalObligated": F.expr("concat(totalObligated, '123456789012')"),
+            "mitigationAmount": F.expr(
+                "case gmProjectId % 4 when 0 then '1.5E-12' when 1 then '2.00000000000' when 2 then '-12345e-3' else '0e-20' end"
+            ),
         }
     )
     return landing_ops.to_landing(parse_records(inputs.as_records(bad, "gmProjectId"), "seq"))
 
 
 def cast_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.quarantine(_bad_landing(spark, sf))
+    """Every refused value, refreshes included: those of pending projects are no instants."""
+    late = inputs.record_members(spark, sf).withColumn("lastRefresh", F.expr("if(projectStatus = 'Pending', 'later', lastRefresh)"))
+    late = landing_ops.to_landing(parse_records(inputs.as_records(late, "gmProjectId"), "seq"), strict=False)
+    return checks.quarantine(_bad_landing(spark, sf)).unionByName(checks.quarantine(late))
 
 
 def flatten_permissive(spark: SparkSession, sf: str) -> DataFrame:
@@ -425,6 +575,11 @@ QUERIES = {
         mark_filter,
         incremental_scan,
         page_window,
+        page_deep,
+        pages_fold,
+        extract_dump,
+        ingest_permissive,
+        unparsable_pages,
         paged_dump,
         changed_rows,
         changed_rows_null_oldest,
@@ -434,6 +589,12 @@ QUERIES = {
         replace_load,
         cycle_replay,
         load_totals,
+        load_totals_landing_first,
+        cycle_update,
+        absent_tables,
+        empty_batch,
+        failed_cycle,
+        created_tables,
         refresh_range,
         json_contains,
         json_contains_landing,
@@ -447,6 +608,8 @@ QUERIES = {
         money_range,
         money_topk,
         money_bottomk,
+        project_lookup,
+        applicant_lookup,
         project_join,
         applicant_join,
         bi_feed,
