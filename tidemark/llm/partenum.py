@@ -11,7 +11,11 @@ An empty part would be shared by many sets, so signatures of nothing are left ou
 parts, so that similar sets agree on one more part than the spare ones; a set with more empty choices than
 spare parts keeps its empty signatures, so no pair is lost.
 
-Equal sets are one node. The sets of a signature are first compared with the least of them; after components
+Most texts are like no other. A set is no more similar to any other than the share of its elements that some other set
+has, so sets whose share is below the threshold get no signatures. For that, packets of neighbouring texts send
+their distinct elements to ranges of hashes and are told, in that order, which of them are not theirs alone.
+
+Equal sets are one node. Sets are first compared with the least set of some of their signatures; after components
 are formed, only members of different components are paired. A set's own elements, which no other such
 member has, bound how similar it can be to any: most members drop out by that, and most pairs. Where a signature's members
 are in many components, each looks for partners by its rarest elements: of two similar sets,
@@ -34,10 +38,14 @@ from tidemark.llm.common import LOWER, PRINTED, hashed, keyed, mixed, ready, run
 from tidemark.llm.components import components
 from tidemark.session import written
 
-#: Texts whose signatures go out together, in bytes.
-FLUSH = 24 << 20
+#: Rows of a packet.
+PACKET = 4096
 #: Components that the members of a signature may be in and still be paired one by one.
 PAIRED = 16
+#: Sets that a set is compared with first, those that share most of its signatures.
+FIRST = 4
+#: Elements that a signature should have at least, of the smallest sets of its bands.
+ELEMENTS = 6
 
 
 def sets_of(column, size: int) -> list[np.ndarray]:
@@ -81,16 +89,18 @@ class Bands:
         k = (self.den - self.num) * 2 * self.highs[band] // (self.den + self.num)
         least = self.highs[max(0, band - 2)] + 1
         if k <= 6:
-            n1, n2, k2 = 1, (k + 2 if k else 1), k
-        else:
-            n2, k2 = (5, 2) if k <= 20 else (3, 1)
-            n1 = k // (k2 + 1) + 1
-        choices = np.array(list(combinations(range(n2), n2 - k2)))
-        spare = 0
-        if n1 > 1:
-            for _ in range(4):
-                empty = (n1 + spare) * len(choices) * exp(-least * (n2 - k2) / n2 / (n1 + spare))
-                spare = 0 if empty < 0.05 else ceil(empty + 3 * sqrt(empty))
+            n2, k2 = (k + 2, k) if k else (1, 0)
+            return 1, n2, np.array(list(combinations(range(n2), n2 - k2))), 0
+        # More enumeration gives signatures of more elements, which fewer unlike sets share.
+        for n2, k2 in ((3, 1), (5, 2), (7, 3)):
+            n1, spare = k // (k2 + 1) + 1, 0
+            choices = np.array(list(combinations(range(n2), n2 - k2)))
+            if least * (n2 - k2) / n2 / n1 >= ELEMENTS:
+                break
+        for _ in range(2):
+            empty = (n1 + spare) * len(choices) * exp(-least * (n2 - k2) / n2 / (n1 + spare))
+            # Any number of spare parts is right; many would make each part too small.
+            spare = 0 if empty < 0.05 or empty > n1 / 2 else ceil(empty + 2 * sqrt(empty))
         return n1 + spare, n2, choices, spare
 
     def signatures(self, own: np.ndarray) -> np.ndarray:
@@ -112,21 +122,6 @@ class Bands:
         return np.concatenate(out)
 
 
-def _keys(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
-            own = sets_of(batch.column("text"), size)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    **{c: batch.column(c) for c in ("row_file", "row_at", "doc_id")},
-                    "n_shingles": pa.array([len(x) for x in own], pa.int64()),
-                    "node": pa.array([key_of(x) if len(x) else None for x in own], pa.binary()),
-                }
-            )
-
-    return run
-
-
 def _planes(x: np.ndarray) -> bytes:
     """Numbers byte by byte, all first bytes first, so that compression finds the runs of zeros."""
     return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
@@ -137,39 +132,142 @@ def _from_planes(x: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
 
 
-def _blobs(size: int, num: int, den: int, buckets: int):
-    """Signatures of all sets of a stretch of texts, by range of signature: sorted, as differences, with the number of the set."""
+ASKED = "bucket int, packet long, row_from long, row_to long, elements binary, twice binary"
+
+
+def _elements_of(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct elements of some sets, and whether different ones of the sets have them. Equal sets count once."""
+    distinct = list({key_of(x): x for x in sets if len(x)}.values())
+    elements, counts = np.unique(np.concatenate(distinct), return_counts=True) if distinct else (np.zeros(0, np.uint64), np.zeros(0))
+    return elements, counts > 1
+
+
+def _cuts(elements: np.ndarray, buckets: int) -> np.ndarray:
+    """Where equal ranges of hashes begin among sorted hashes, and the end."""
+    inner = np.searchsorted(elements, (np.arange(1, buckets) * (2.0**64 / buckets)).astype(np.uint64))
+    return np.concatenate([[0], inner, [len(elements)]])
+
+
+def _asked(size: int, buckets: int):
+    """The distinct elements of each packet, by range: sorted, as differences."""
+
+    def flush(packet: int, rows: list[np.ndarray], sets: list[np.ndarray]) -> pa.RecordBatch:
+        elements, twice = _elements_of(sets)
+        cuts, out = _cuts(elements, buckets), []
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            own = elements[cuts[k] : cuts[k + 1]]
+            out.append((k, packet, int(rows[0][0]), int(rows[-1][-1]), _planes(np.diff(own, prepend=np.uint64(0))), np.packbits(twice[cuts[k] : cuts[k + 1]]).tobytes()))
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        names = ("bucket", "packet", "row_from", "row_to", "elements", "twice")
+        columns = list(zip(*out, strict=True)) or [()] * 6
+        return pa.RecordBatch.from_pydict({n: pa.array(c, t) for n, c, t in zip(names, columns, kinds, strict=True)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packet, rows, sets = None, [], []
+        for batch in sliced(batches, "text"):
+            packets, at = batch.column("packet").to_numpy(), batch.column("row_at").to_numpy()
+            cuts = np.flatnonzero(np.diff(packets)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(packets)], strict=True):
+                if rows and packets[a] != packet:
+                    yield flush(packet, rows, sets)
+                    rows, sets = [], []
+                packet = int(packets[a])
+                rows.append(at[a:b])
+                sets += sets_of(batch.column("text").slice(a, b - a), size)
+        if rows:
+            yield flush(packet, rows, sets)
+
+    return run
+
+
+def _answered(group: pa.Table) -> pa.Table:
+    """Of one range of hashes: per packet, which of its elements some other set has too."""
+    asked = [np.cumsum(_from_planes(x, "<u8")) for x in group.column("elements").to_pylist()]
+    twice = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(a)) for a, x in zip(asked, group.column("twice").to_pylist(), strict=True)]
+    elements = np.concatenate(asked)
+    order = np.argsort(elements)
+    ordered, flags = elements[order], np.concatenate(twice)[order] > 0
+    equal = ordered[1:] == ordered[:-1]
+    flags[1:] |= equal
+    flags[:-1] |= equal
+    # The first of several carries its own flag to the others only by being equal, so all have one now.
+    shared = np.empty(len(order), bool)
+    shared[order] = flags
+    ends = np.cumsum([len(x) for x in asked]).tolist()
+    bits = [np.packbits(shared[e - len(x) : e]).tobytes() for e, x in zip(ends, asked, strict=True)]
+    columns = {c: group.column(c) for c in ("bucket", "packet", "row_from", "row_to")}
+    return pa.table({**columns, "elements": pa.array([len(x) for x in asked], pa.int64()), "shared": pa.array(bits, pa.binary())})
+
+
+SIGNED = "row_file long, row_at long, doc_id long, n_shingles long, node binary, bucket int, nodes binary, signatures binary, owners binary"
+
+
+def _signed(size: int, num: int, den: int, buckets: int):
+    """Rows with their sets' keys; and signatures of the sets that may be similar to another, by range: sorted, as
+    differences, with the number of the set."""
+    types = {f.name: f.type for f in pa.schema([("row_file", pa.int64()), ("row_at", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("bucket", pa.int32()), ("nodes", pa.binary()), ("signatures", pa.binary()), ("owners", pa.binary())])}
+
+    def table_of(n: int, **given) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({c: pa.array(given[c], t) if c in given else pa.nulls(n, t) for c, t in types.items()})
 
     def flush(found: dict[bytes, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        nodes = np.frombuffer(b"".join(found), "S16") if found else np.zeros(0, "S16")
+        nodes = np.frombuffer(b"".join(found), np.uint8).reshape(-1, 16)
         signatures = np.concatenate(list(found.values()))
         owner = np.repeat(np.arange(len(found), dtype="<u4"), [len(x) for x in found.values()])
         order = np.argsort(signatures)
         signatures, owner = signatures[order].astype("<u8"), owner[order]
-        cuts = np.searchsorted(signatures, (np.arange(1, buckets) * (2.0**64 / buckets)).astype(np.uint64))
-        rows = []
-        for k, (a, b) in enumerate(zip([0, *cuts.tolist()], [*cuts.tolist(), len(signatures)], strict=True)):
+        cuts, rows = _cuts(signatures, buckets).tolist(), []
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
             if b > a:
                 own, local = np.unique(owner[a:b], return_inverse=True)
-                keys = nodes.view(np.uint8).reshape(-1, 16)[own].tobytes()
-                rows.append((k, keys, _planes(np.diff(signatures[a:b], prepend=np.uint64(0))), _planes(local.astype("<u4"))))
-        columns = zip(*rows, strict=True)
-        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-        names = ("bucket", "nodes", "signatures", "owners")
-        yield pa.RecordBatch.from_pydict({n: pa.array(c, t) for n, c, t in zip(names, columns, kinds, strict=True)})
+                rows.append((k, nodes[own].tobytes(), _planes(np.diff(signatures[a:b], prepend=np.uint64(0))), _planes(local.astype("<u4"))))
+        if rows:
+            bucket, keys, deltas, owners = zip(*rows, strict=True)
+            yield table_of(len(rows), bucket=bucket, nodes=keys, signatures=deltas, owners=owners)
+
+    def packet_of(bands: Bands, batches: list[pa.RecordBatch], told: dict[int, tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        parts = [sets_of(b.column("text"), size) for b in batches]
+        elements, _ = _elements_of([x for p in parts for x in p])
+        shared = [np.unpackbits(np.frombuffer(told[k][1], np.uint8), count=told[k][0]) for k in sorted(told)]
+        shared, found = np.concatenate(shared) if shared else np.zeros(0, np.uint8), {}
+        for batch, own in zip(batches, parts, strict=True):
+            keys = [key_of(x) if len(x) else None for x in own]
+            columns = {c: batch.column(c) for c in ("row_file", "doc_id")}
+            yield table_of(len(own), **columns, row_at=batch.column("row_from"), n_shingles=[len(x) for x in own], node=keys)
+            for key, x in zip(keys, own, strict=True):
+                if key is not None and key not in found:
+                    have = int(shared[np.searchsorted(elements, x)].sum())
+                    found[key] = bands.signatures(x) if den * have >= num * len(x) else np.zeros(0, np.uint64)
+        yield from flush({k: v for k, v in found.items() if len(v)} or {bytes(16): np.zeros(0, np.uint64)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, found, held = Bands(num, den), {}, 0
+        # Rows come by packet: what it is told, by the rows that asked together, then its texts.
+        bands, packet, told, held, upto = Bands(num, den), None, {}, [], -1
         for batch in sliced(batches, "text"):
-            for own in sets_of(batch.column("text"), size):
-                if len(own) and (key := key_of(own)) not in found:
-                    found[key] = bands.signatures(own)
-            held += batch.column("text").nbytes
-            if held >= FLUSH and found:
-                yield from flush(found)
-                found, held = {}, 0
-        if found:
-            yield from flush(found)
+            packets, rows = (batch.column(c).to_numpy() for c in ("packet", "row_from"))
+            kinds = batch.column("kind").to_numpy()
+            cuts = np.flatnonzero((np.diff(kinds) != 0) | (np.diff(packets) != 0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(kinds)], strict=True):
+                if packets[a] != packet:
+                    if held:
+                        yield from packet_of(bands, held, told.get(upto, {}))
+                    packet, told, held, upto = packets[a], {}, [], -1
+                if kinds[a] == 0:
+                    some = batch.slice(a, b - a)
+                    for to, bucket, n, bits in zip(*(some.column(c).to_pylist() for c in ("row_to", "bucket", "elements", "shared")), strict=True):
+                        told.setdefault(to, {})[bucket] = (n, bits)
+                    continue
+                while a < b:
+                    if held and rows[a] > upto:
+                        yield from packet_of(bands, held, told.get(upto, {}))
+                        held = []
+                    # Rows that asked together end with the first row_to that is not before them; texts without words asked nothing.
+                    upto = min((to for to in told if to >= rows[a]), default=int(rows[b - 1]))
+                    end = a + int(np.searchsorted(rows[a:b], upto, side="right"))
+                    held.append(batch.slice(a, end - a))
+                    a = end
+        if held:
+            yield from packet_of(bands, held, told.get(upto, {}))
 
     return run
 
@@ -198,14 +296,15 @@ def _shared(group: pa.Table) -> pa.Table:
     def column(which: np.ndarray) -> pa.Array:
         return pa.array([bytes(x) for x in keys[which]], pa.binary())
 
-    kept = several & (np.repeat(size, size) > 2)
-    pairs = np.unique(np.stack([pivot, owners], axis=1)[several & (pivot != owners)], axis=0)
+    kept = several
+    pairs, shares = np.unique(np.stack([pivot, owners], axis=1)[several & (pivot != owners)], axis=0, return_counts=True)
     n = len(pairs)
     return pa.table(
         {
             "signature": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(signatures[kept].view(np.int64))]),
             "u": pa.concat_arrays([column(pairs[:, 0]), pa.nulls(int(kept.sum()), pa.binary())]),
             "v": pa.concat_arrays([column(pairs[:, 1]), column(owners[kept])]),
+            "shares": pa.concat_arrays([pa.array(shares), pa.nulls(int(kept.sum()), pa.int64())]),
         }
     )
 
@@ -259,13 +358,25 @@ class Join:
         spark = ready(docs.sparkSession)
         self.size, self.num, self.den = size, num, den
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        rows = keyed(self.docs, "doc_id", "text")
-        self.rows = written(rows.mapInArrow(_keys(size), "row_file long, row_at long, doc_id long, n_shingles long, node binary"), "sets")
-        buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-        blobs = docs.select("text").mapInArrow(_blobs(size, num, den, buckets), "bucket int, nodes binary, signatures binary, owners binary")
-        self.found = written(blobs.groupBy("bucket").applyInArrow(_shared, "signature long, u binary, v binary"), "shared")
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        packet = F.xxhash64("row_file", F.expr(f"row_at div {PACKET}")).alias("packet")
+        rows = keyed(self.docs, "doc_id", "text").select("*", packet)
+        asked = rows.select("row_at", "packet", "text").mapInArrow(_asked(size, buckets), ASKED)
+        answers = written(
+            asked.groupBy("bucket").applyInArrow(_answered, "bucket int, packet long, row_from long, row_to long, elements long, shared binary"), "answers"
+        )
+        texts = rows.select("packet", F.lit(1).alias("kind"), F.col("row_at").alias("row_from"), "row_file", "doc_id", "text")
+        both = answers.withColumn("kind", F.lit(0)).unionByName(texts, allowMissingColumns=True)
+        both = both.repartition("packet").sortWithinPartitions("packet", "kind", "row_from")
+        signed = written(both.mapInArrow(_signed(size, num, den, 2 * buckets), SIGNED), "sets")
+        self.rows = signed.where("bucket IS NULL").select("row_file", "row_at", "doc_id", "n_shingles", "node")
+        blobs = signed.where("bucket IS NOT NULL").select("bucket", "nodes", "signatures", "owners")
+        self.found = written(blobs.groupBy("bucket").applyInArrow(_shared, "signature long, u binary, v binary, shares long"), "shared")
         self.members = self.found.where("signature IS NOT NULL").select("signature", F.col("v").alias("node"))
-        self.candidates = self.found.where("signature IS NULL").select("u", "v").distinct()
+        # The least set of each signature is met first, by each other set up to a few times; the rest waits for the components.
+        pairs = self.found.where("signature IS NULL").groupBy("u", "v").agg(F.sum("shares").alias("shares"))
+        most = Window.partitionBy("v").orderBy(F.desc("shares"), "u")
+        self.candidates = written(pairs.withColumn("at", F.row_number().over(most)).where(F.col("at") <= FIRST).select("u", "v"), "first")
 
     def _sets(self, nodes: DataFrame) -> DataFrame:
         """``(node, own)`` of the given nodes, each made anew from the text of one of its rows."""
