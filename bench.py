@@ -27,6 +27,8 @@ QUERY_RUNS = (
     "fold_last_write",
     "landing_upsert",
     "incremental_scan",
+    "page_deep",
+    "paged_dump",
     "changed_rows",
     "flat_sync",
     "refresh_range",
@@ -35,6 +37,7 @@ QUERY_RUNS = (
     "slice_state_incident",
     "slice_date_state",
     "money_range",
+    "project_lookup",
     "money_topk",
     "project_join",
     "applicant_join",
@@ -45,7 +48,7 @@ QUERY_RUNS = (
 )
 
 # Whole load cycles, which write and publish tables: timed once after the queries above.
-CYCLE_RUNS = ("replace_load", "cycle_replay")
+CYCLE_RUNS = ("replace_load", "cycle_update", "cycle_replay")
 
 
 def timed(spark: SparkSession, name: str, sf_dir: str) -> float:

@@ -2,6 +2,7 @@
 
 import json
 import re
+from datetime import date
 
 import pytest
 from helpers import formatted, plan, records
@@ -11,7 +12,7 @@ from tidemark.operators import flat as flat_ops, landing as landing_ops, serve
 from tidemark.plans import Snapshots
 from tidemark.session import SETTINGS, broadcast_limit, scratch_path, shared_dir
 from tidemark.sources import page as page_of
-from tidemark.sources import read_lines
+from tidemark.sources import parse_records, read_lines
 from tidemark.streaming import apply_batch
 from workload import inputs, queries
 
@@ -114,6 +115,53 @@ def test_large_upsert_shuffles_each_side_once_and_writes_whole_buckets(spark, tm
     assert {r.pwnumber for r in store.flat().collect()} == {2} and store.flat().count() == 300
 
 
+def scanned_rows(df) -> int:
+    """Rows that the scan of an executed query gave; row groups that statistics or filters rule out give none."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    while node.children().size():
+        node = node.children().apply(0)
+    return node.metrics().apply("numOutputRows").value()
+
+
+def test_row_groups_are_skipped(spark, tmp_path):
+    """Dates and states by the order of the files, ids and disasters by Bloom filters; amounts by neither."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.setInt("parquet.block.size", 32 << 10)
+    try:
+        store = Snapshots(spark, str(tmp_path / "store"), buckets=1)
+        rows = spark.range(8000).select(
+            F.to_json(
+                F.struct(
+                    F.col("id").cast("string").alias("hash"),
+                    F.concat(F.lit("S"), F.col("id") % 4).alias("stateAbbreviation"),
+                    F.expr("date_add(date'2000-01-01', cast(id % 3000 as int))").cast("string").alias("declarationDate"),
+                    (F.col("id") * 7 % 4001).alias("disasterNumber"),
+                    (F.col("id") * 31 % 8009).alias("gmProjectId"),
+                    (F.col("id") * 13 % 8009).alias("projectAmount"),
+                )
+            ).alias("value"),
+            F.col("id").alias("seq"),
+        )
+        apply_batch(store, parse_records(rows, "seq"), "s", 0)
+    finally:
+        hadoop.unset("parquet.block.size")
+    total = store.flat().count()
+    assert total == 8000 == scanned_rows(store.flat().select("hash"))
+    found = {
+        "state": serve.slice_by(store.flat(), stateabbr="S1"),
+        "state and date": serve.slice_by(store.flat(), stateabbr="S1", declarationdate=(date(2001, 1, 1), date(2001, 2, 1))),
+        "project": serve.slice_by(store.flat(), gmprojectid=31),
+        "disaster": serve.slice_by(store.flat(), disasternumber=7),
+        "amount": serve.slice_by(store.flat(), projectamount=(1000, 1300)),
+    }
+    read = {name: scanned_rows(df.select("hash")) for name, df in found.items()}
+    assert found["project"].count() == 1 and found["disaster"].count() == 2
+    assert read["state"] < 0.5 * total and read["state and date"] < 0.2 * total
+    assert read["project"] < 0.2 * total and read["disaster"] < 0.3 * total
+    assert read["amount"] > 0.5 * total
+
+
 def test_hot_ids_are_split_in_lookups(spark, with_conf):
     """One id holds a third of the rows; the join splits its partition and loses nothing."""
     with_conf(
