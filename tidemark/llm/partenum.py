@@ -41,7 +41,7 @@ from tidemark.session import written
 #: Rows of a packet.
 PACKET = 4096
 #: Components that the members of a signature may be in and still be paired one by one.
-PAIRED = 16
+PAIRED = 4
 #: Sets that a set is compared with first, those that share most of its signatures.
 FIRST = 4
 #: Elements that a signature should have at least, of the smallest sets of its bands.
@@ -342,11 +342,11 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _across(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs ``(u, v)`` of one signature's members that are in different components and may be similar by what they share."""
-    columns = ("node", "root", "size", "shared")
+    """Pairs ``(u, v)`` of one signature's members that are in different components and may have enough in common: at most
+    the lesser of what either may share (``most``)."""
+    columns = ("node", "root", "size", "most")
     left, right = (members.select("signature", *(F.col(c).alias(f"{side}_{c}") for c in columns)) for side in "uv")
-    both = F.least("u_shared", "v_shared")
-    may = den * both >= num * (F.col("u_size") + F.col("v_size") - both)
+    may = (num + den) * F.least("u_most", "v_most") >= num * (F.col("u_size") + F.col("v_size"))
     met = (left["signature"] == right["signature"]) & (F.col("u_node") < F.col("v_node")) & (F.col("u_root") != F.col("v_root"))
     return left.join(right, met & may).select(F.col("u_node").alias("u"), F.col("v_node").alias("v")).distinct()
 
@@ -403,12 +403,12 @@ class Join:
         open_ = written(open_, "open")
         elements = self._elements(open_.select("node", "root").distinct())
         held = elements.groupBy("element").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-        shares = elements.join(held, "element").groupBy("node").agg(F.first("size").alias("size"), F.count(F.lit(1)).alias("shared"))
-        able = shares.where(F.col("shared") * self.den >= F.col("size") * self.num)
+        shares = elements.join(held, "element").groupBy("node").agg(F.first("size").alias("size"), F.count(F.lit(1)).alias("most"))
+        able = shares.where(F.col("most") * self.den >= F.col("size") * self.num)
         live = self._parted(open_.join(able, "node")).withColumn("many", F.col("parts") > PAIRED)
         live = written(live, "live")
         few = _across(live.where("NOT many"), self.num, self.den)
-        many = live.where("many").select("node", "root", "size", "shared").distinct()
+        many = live.where("many").select("node", "root").distinct()
         pairs = few.union(_across(self._rarest(many), self.num, self.den)).distinct().join(self.candidates, ["u", "v"], "left_anti")
         more = written(self._linked(pairs), "links")
         return components(links.union(more)) if not more.isEmpty() else roots
@@ -424,8 +424,11 @@ class Join:
         return written(rows.mapInArrow(_elements, "element long, size long, node binary, root binary"), "elements")
 
     def _rarest(self, nodes: DataFrame) -> DataFrame:
-        """``(signature, node, root, size, shared)``: of each node the rarest elements that another of them may share."""
-        rows = self._elements(nodes.select("node", "root"))
+        """``(signature, node, root, size, most)``: of each node the rarest elements that another of them may share.
+
+        If one of them is the first that two sets share, they share no more than it and what comes behind it.
+        """
+        rows = self._elements(nodes)
         held = rows.groupBy("element").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
         # Elements that no other node has come first; only the places they leave need a look.
         by_node = Window.partitionBy("node")
@@ -433,8 +436,8 @@ class Join:
             "*", F.row_number().over(by_node.orderBy("held", "element")).alias("at"), F.count(F.lit(1)).over(by_node).alias("common")
         )
         looked = F.expr(f"size - (size * {self.num} + {self.den - 1}) div {self.den} + 1 - (size - common)")
-        found = ranked.where(F.col("at") <= looked).select(F.col("element").alias("signature"), "node")
-        return found.join(nodes, "node")
+        most = (F.col("common") - F.col("at") + 1).alias("most")
+        return ranked.where(F.col("at") <= looked).select(F.col("element").alias("signature"), "node", "root", "size", most)
 
     def linked(self) -> DataFrame:
         """Per row: ``row_file, row_at, doc_id, n_shingles, component_id``."""
