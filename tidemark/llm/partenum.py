@@ -392,13 +392,23 @@ class Join:
 
     def roots(self) -> DataFrame:
         """``(node, root)`` of every set that links with another."""
-        nodes = self.candidates.select(F.col("u").alias("node")).union(self.candidates.select(F.col("v").alias("node")))
-        self.sets = written(self._sets(nodes), "set-hashes")
+        self.sets = written(self._sets(self.members.select("node")), "set-hashes")
         links = written(self._linked(self.candidates), "links")
         roots = components(links)
-        # Members of one signature that the first comparisons left in different components.
-        labelled = self.members.join(roots, "node", "left").select("signature", "node", F.coalesce("root", "node").alias("root"))
-        labelled = written(labelled, "members")
+        labelled = self._labelled(roots)
+        # Then with the member that most others share signatures with, in the middle of its group.
+        sizes = labelled.groupBy("signature").agg(F.count(F.lit(1)).alias("n"))
+        weights = labelled.join(sizes, "signature").groupBy("node").agg(F.sum("n").alias("weight"))
+        middles = labelled.join(weights, "node").groupBy("signature").agg(F.max_by(F.struct("node", "root"), F.struct("weight", "node")).alias("m"))
+        met = labelled.join(middles, "signature").where("root != m.root").select(F.least("node", "m.node").alias("u"), F.greatest("node", "m.node").alias("v"), "node")
+        most = Window.partitionBy("node").orderBy(F.desc("shares"), "u", "v")
+        met = met.groupBy("u", "v", "node").agg(F.count(F.lit(1)).alias("shares")).withColumn("at", F.row_number().over(most))
+        middle = written(met.where(F.col("at") <= FIRST).select("u", "v").distinct().join(self.candidates, ["u", "v"], "left_anti"), "middle")
+        done = self.candidates.union(middle)
+        links = written(links.union(self._linked(middle)), "links")
+        roots = components(links)
+        # Members of one signature that these comparisons left in different components.
+        labelled = self._labelled(roots)
         open_ = self._parted(labelled).where("parts > 1").select("signature", "node", "root")
         open_ = written(open_, "open")
         elements = self._elements(open_.select("node", "root").distinct())
@@ -409,10 +419,15 @@ class Join:
         live = written(live, "live")
         few = _across(live.where("NOT many"), self.num, self.den)
         many = live.where("many").select("node", "root").distinct()
-        pairs = few.union(_across(self._rarest(many), self.num, self.den)).distinct().join(self.candidates, ["u", "v"], "left_anti")
+        pairs = few.union(_across(self._rarest(many), self.num, self.den)).distinct().join(done, ["u", "v"], "left_anti")
         more = written(self._linked(pairs), "links")
         return components(links.union(more)) if not more.isEmpty() else roots
 
+    def _labelled(self, roots: DataFrame) -> DataFrame:
+        """``(signature, node, root)`` of all members of signatures."""
+        labelled = self.members.join(roots, "node", "left").select("signature", "node", F.coalesce("root", "node").alias("root"))
+        return written(labelled, "members")
+
     def _parted(self, members: DataFrame) -> DataFrame:
         """Add the number of components that the members of each signature are in."""
         roots = members.groupBy("signature", "root").agg(F.count(F.lit(1)).alias("n"))
