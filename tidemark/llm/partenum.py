@@ -15,8 +15,8 @@ Most texts are like no other. A set is no more similar to any other than the sha
 has, so sets whose share is below the threshold get no signatures. For that, packets of neighbouring texts send
 their distinct elements to ranges of hashes and are told, in that order, which of them are not theirs alone.
 
-Equal sets are one node. Sets are first compared with the least set of some of their signatures; after components
-are formed, only members of different components are paired. A set's own elements, which no other such
+Equal sets are one node. Sets are first compared with the least sets of some of their signatures, then with those in the
+middle of them; after components are formed, only members of different components are paired. A set's own elements, which no other such
 member has, bound how similar it can be to any: most members drop out by that, and most pairs. Where a signature's members
 are in many components, each looks for partners by its rarest elements: of two similar sets,
 the rarest ``size - ceil(threshold * size) + 1`` elements of each, in one common order, have one in common.
@@ -290,13 +290,17 @@ def _shared(group: pa.Table) -> pa.Table:
     signatures, owners = signatures[new], owners[new]
     _, first, size = np.unique(signatures, return_index=True, return_counts=True)
     several = np.repeat(size > 1, size)
+    # Many signatures have the same sets; one of them stands for all.
+    alike = mixed(np.add.reduceat(mixed(owners.astype(np.uint64) + np.uint64(1)), first) + size.astype(np.uint64))
+    one = np.zeros(len(size), bool)
+    one[np.unique(np.where(size > 1, alike, 0), return_index=True)[1]] = True
     pivot = np.repeat(owners[first], size)
     keys = nodes.view(np.uint8).reshape(-1, 16)
 
     def column(which: np.ndarray) -> pa.Array:
         return pa.array([bytes(x) for x in keys[which]], pa.binary())
 
-    kept = several
+    kept = several & np.repeat(one, size)
     pairs, shares = np.unique(np.stack([pivot, owners], axis=1)[several & (pivot != owners)], axis=0, return_counts=True)
     n = len(pairs)
     return pa.table(
