@@ -1,5 +1,6 @@
 """Shared parts: session set-up, row keys, written steps, and words and hashes of whole Arrow batches."""
 
+import ctypes
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -64,8 +65,23 @@ def texts_of(column) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def _release() -> None:
+    """Give memory that a task has freed back to the system; workers live on, and executors are counted with them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of each piece have at most ``limit`` bytes, or are one text."""
+    try:
+        yield from _sliced(batches, column, limit)
+    finally:
+        _release()
+
+
+def _sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes)

@@ -17,9 +17,9 @@ from tidemark.llm.common import hashed, texts_of
 #: A space before more white space, in the widest sense: the byte-level rule joins such runs.
 ODD = r"[ \x01][\x01\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200F}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]|\x01"
 #: Pieces that a worker remembers, at most, and how many are encoded in one call.
-REMEMBERED, JOINED = 1_400_000, 500
+REMEMBERED, JOINED = 500_000, 500
 #: Bytes of text for one call of ``encode``: the more at once, the fewer distinct pieces.
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: Stands between pieces that are encoded in one call and drop their spaces.
 MARK = "\x01"
 #: Words that are letters before U+0180 and then marks: one or two parts for the word tokenizer, and lower case is all that its
@@ -39,7 +39,7 @@ def encoder(path: str, spaced: bool) -> "Encoder":
 class Memory:
     """An open hash table from pieces, known by two hashes, to the numbers of their encodings; whole arrays at a time."""
 
-    def __init__(self, bits: int = 21):
+    def __init__(self, bits: int = 20):
         self.mask = np.uint64((1 << bits) - 1)
         self.keys, self.checks = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint64)
         self.slots = np.full(1 << bits, -1, np.int32)
