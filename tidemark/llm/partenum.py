@@ -39,7 +39,7 @@ from tidemark.llm.components import components
 from tidemark.session import written
 
 #: Rows of a packet.
-PACKET = 4096
+PACKET = 2048
 #: Components that the members of a signature may be in and still be paired one by one.
 PAIRED = 4
 #: Sets that a set is compared with first, those that share most of its signatures.
