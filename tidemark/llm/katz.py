@@ -5,8 +5,7 @@ training counts, to buckets by their hashes; there counts are added up and store
 told the counts of what it asked for, in the order in which it asked. Words are told their backoff weight as well.
 Nothing of the vocabulary goes through the driver or to all tasks: only how many n-grams have each small count.
 
-Counts up to ``LARGE`` are discounted by Good-Turing, as Katz has it; bigrams seen fewer than ``LEAST`` times count as
-unseen. The words seen and one unknown word share probability 1; so do they after any word:
+Counts up to ``LARGE`` are discounted by Good-Turing, as Katz has it, from bigrams seen once on. The words seen and one unknown word share probability 1; so do they after any word:
 
     P(w | h) = d(c(hw)) c(hw) / c(h)          if hw is in the model
              = a(h) P(w)                      else,   a(h) = (1 - sum P(w | h)) / (1 - sum P(w)) over the w in the model
@@ -29,7 +28,7 @@ from tidemark.llm.common import LOWER, PRINTED, hashed, keyed, mixed, ready, run
 from tidemark.session import written
 
 LARGE = 5
-LEAST = 2
+LEAST = 1
 #: Rows of a packet, and ways that the bigrams of one word are dealt out, as a word can hold a third of them.
 PACKET, SALTS = 4096, 8
 START, END = np.uint64(0x5354415254000001), np.uint64(0x454E440000000001)
