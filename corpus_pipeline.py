@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontaminate, packing, quality, suffixes
-from tidemark.llm.common import keyed, ready, table
+from tidemark.llm.common import keyed, placed, ready, table
 from tidemark.llm.partenum import Join
 from tidemark.session import written
 
@@ -55,11 +55,13 @@ def _without(found: DataFrame, without_spans) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
+    docs = placed(docs)
     return _kept(docs, quality.judged(docs).where("kept"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, the one with the smallest ``doc_id`` stays; documents without words all do."""
+    docs = placed(docs)
     rows = written(Join(docs, WORDS, NUM, DEN).linked(), "linked")
     first = rows.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "row_file", "row_at")).alias("row"))
     alone = rows.where("root IS NULL").select("row_file", "row_at")

@@ -40,17 +40,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` if its rows have a place in input files, else a written copy that has. Steps that join by row share one."""
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return written(docs, "rows")
+    return docs
+
+
 def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     """``(row_file, row_at, *columns)``: a key of each row that no second pass changes.
 
-    It is the place in the input files; rows that come from no file are written first.
+    It is the place in the input files; rows that come from no file raise, and go through ``placed`` once before.
     ``doc_id`` serves as no key, for rows may repeat.
     """
-    place = [F.xxhash64("_metadata.file_path").alias("row_file"), F.col("_metadata.row_index").alias("row_at")]
-    try:
-        return docs.select(*place, *columns)
-    except AnalysisException:
-        return written(docs.select(*columns), "rows").select(*place, *columns)
+    return docs.select(F.xxhash64("_metadata.file_path").alias("row_file"), F.col("_metadata.row_index").alias("row_at"), *columns)
 
 
 def texts_of(column) -> tuple[np.ndarray, np.ndarray]:

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import ALPHANUMERIC, LOWER, hashed, keyed, ready, runs, sliced, table, texts_of
+from tidemark.llm.common import ALPHANUMERIC, LOWER, hashed, keyed, placed, ready, runs, sliced, table, texts_of
 from tidemark.session import written
 
 WINDOW = 10
@@ -216,7 +216,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[tuple[list, list]]:
 def scanned(docs: DataFrame, benchmark: DataFrame, *columns: str, window: int = WINDOW) -> DataFrame:
     """Per document: ``columns``, ``n_words``, ``spans`` (of hit words, merged, as ``[from, to]``) and ``items`` (sorted ids)."""
     ready(docs.sparkSession)
-    out = []
+    docs, out = placed(docs.select(*dict.fromkeys([*columns, "text"]))), []
     for k, (ids, texts) in enumerate(_blocks(benchmark)):
         first = k == 0
         rows = keyed(docs, *dict.fromkeys([*columns, "text"])) if first else keyed(docs, "text")

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import LOWER, PRINTED, hashed, keyed, mixed, ready, runs, sliced, table, texts_of
+from tidemark.llm.common import LOWER, PRINTED, hashed, keyed, mixed, placed, ready, runs, sliced, table, texts_of
 from tidemark.session import written
 
 LARGE = 5
@@ -386,7 +386,7 @@ def scored(docs: DataFrame) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
     packet = F.xxhash64("row_file", F.expr(f"row_at div {PACKET}")).alias("packet")
-    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = keyed(placed(docs.select("doc_id", "text")), F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = rows.select("doc_id", "text", held_out.alias("held_out"), packet, "row_at")
     sent = rows.mapInArrow(_sent(buckets), SENT)
     counts = written(sent.groupBy("kind", "bucket").applyInArrow(_counted, COUNTED), "katz-counts")

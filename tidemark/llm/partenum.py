@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import LOWER, PRINTED, hashed, keyed, mixed, ready, runs, sliced, table, texts_of, windows
+from tidemark.llm.common import LOWER, PRINTED, hashed, keyed, mixed, placed, ready, runs, sliced, table, texts_of, windows
 from tidemark.llm.components import components
 from tidemark.session import written
 
@@ -361,7 +361,7 @@ class Join:
     def __init__(self, docs: DataFrame, size: int, num: int, den: int):
         spark = ready(docs.sparkSession)
         self.size, self.num, self.den = size, num, den
-        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        self.docs = placed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         packet = F.xxhash64("row_file", F.expr(f"row_at div {PACKET}")).alias("packet")
         rows = keyed(self.docs, "doc_id", "text").select("*", packet)

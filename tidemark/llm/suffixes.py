@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import as_signed, hashed, keyed, mixed, ready, sliced, table, texts_of
+from tidemark.llm.common import as_signed, hashed, keyed, mixed, placed, ready, sliced, table, texts_of
 from tidemark.session import written
 
 LENGTH = 400
@@ -332,7 +332,7 @@ def _merge(length: int):
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``(row_file, row_at, spans)`` of the rows of ``docs`` that have bytes to remove: ``[from, to]`` in bytes, not yet merged."""
+    """``(row_file, row_at, spans)`` of the rows of ``docs`` (``placed``) that have bytes to remove: ``[from, to]`` in bytes, not yet merged."""
     spark = ready(docs.sparkSession)
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     prints = keyed(docs, "text").mapInArrow(_fingerprints(length, buckets), "bucket int, prints binary, row_file binary, row_at binary, places binary")
@@ -378,6 +378,7 @@ def without_spans(text: str, spans: list[list[int]]) -> str:
 
 def with_spans(docs: DataFrame, *columns: str, length: int = LENGTH) -> DataFrame:
     """Every row of ``docs`` with its spans to remove, NULL where there are none."""
+    docs = placed(docs.select(*dict.fromkeys([*columns, "text"])))
     spans = repeated_spans(docs, length)
     return keyed(docs, *columns).join(spans, ["row_file", "row_at"], "left").drop("row_file", "row_at")
 
