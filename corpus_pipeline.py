@@ -54,9 +54,10 @@ def _without(found: DataFrame, without_spans) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go, and boilerplate lines are taken out of the texts of the others."""
     docs = placed(docs)
-    return _kept(docs, quality.judged(docs).where("kept"))
+    kept = quality.judged(docs).where("kept").select("row_file", "row_at", F.col("common_lines").alias("spans"))
+    return _without(keyed(_whole(docs), "doc").join(kept, ["row_file", "row_at"]), quality.without_lines)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 Lines are normalised (words in lower case, single spaces) and hashed. Per host, here ``source``, the distinct
 documents that hold a line are counted; exact copies of a text count once, or a copied document would make its own
 lines common. Lines in more than ``MOST_SHARE`` of a host's documents, and in more than ``MOST_DOCS``, are
-boilerplate. A document that keeps less than ``LEAST_KEPT`` of its words, or fewer than ``LEAST_WORDS``, without
+boilerplate, and are taken out of the texts, each with its line feed. A document that keeps less than ``LEAST_KEPT`` of its words, or fewer than ``LEAST_WORDS``, without
 them is depleted and rejected.
 
 NULL texts have no words and fail the base rule; a NULL source is a host of its own, the empty name. Repeated
@@ -58,6 +58,32 @@ def repeated(hashes: np.ndarray, first: np.ndarray, size: int = REPEAT_WINDOW) -
     return _per_text(np.cumsum(covered[:-1]) > 0, first)
 
 
+def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of all lines: each begins at its text's start or after a line feed."""
+    starts = np.sort(np.concatenate([offsets[:-1], np.flatnonzero(data[: offsets[-1]] == 10) + 1]), kind="stable")
+    return starts, np.append(starts[1:], offsets[-1])
+
+
+def line_hashes(folded: np.ndarray, from_: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Hashes of lines that have words, of the hashes of their words in lower case."""
+    if not len(from_):
+        return np.zeros(0, np.uint64)
+    place = np.arange(len(folded)) - np.repeat(from_, to - from_)
+    return mixed(np.add.reduceat(mixed(folded + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), from_))
+
+
+def without_lines(text: str, lines: list[int]) -> str:
+    """Take out the lines with these hashes."""
+    data, offsets = texts_of(pa.array([text]))
+    starts, ends, _ = runs(PRINTED[data[: offsets[-1]]], offsets)
+    line_starts, line_ends = lines_of(data, offsets)
+    from_, to = np.searchsorted(starts, line_starts), np.searchsorted(starts, line_ends)
+    worded = np.flatnonzero(to > from_)
+    own = as_signed(line_hashes(hashed(LOWER[data], starts, ends), from_[worded], to[worded]))
+    gone = set(worded[np.isin(own, np.array(lines, np.int64))].tolist())
+    return "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
+
+
 def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, "text"):
         data, offsets = texts_of(batch.column("text"))
@@ -67,10 +93,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n_words = np.diff(first)
         small = LOWER[data]
         words, folded = hashed(data, starts, ends), hashed(small, starts, ends)
-        # Lines: each begins at its text's start or after a line feed.
-        breaks = np.flatnonzero(body == 10)
-        line_starts = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
-        line_ends = np.append(line_starts[1:], offsets[-1])
+        line_starts, line_ends = lines_of(data, offsets)
         from_, to = np.searchsorted(starts, line_starts), np.searchsorted(starts, line_ends)
         worded = np.flatnonzero(to > from_)
         from_, to = from_[worded], to[worded]
@@ -80,11 +103,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         exact = mixed(hashed(data, line_starts[worded], stop) ^ mixed(line_text.astype(np.uint64)))
         _, firsts = np.unique(exact, return_index=True)
         dup_lines = np.bincount(line_text, minlength=n) - np.bincount(line_text[firsts], minlength=n)
-        if len(worded):
-            place = np.arange(len(folded)) - np.repeat(from_, to - from_)
-            line = mixed(np.add.reduceat(mixed(folded + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), from_))
-        else:
-            line = np.zeros(0, np.uint64)
+        line = line_hashes(folded, from_, to)
         own, firsts, which = np.unique(mixed(line ^ mixed(line_text.astype(np.uint64))), return_index=True, return_inverse=True)
         weights = np.bincount(which, weights=to - from_, minlength=len(own)).astype(np.int64)
         order = np.argsort(line_text[firsts], kind="stable")
@@ -109,7 +128,8 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def judged(docs: DataFrame, share: float = MOST_SHARE, least_docs: int = MOST_DOCS) -> DataFrame:
-    """Per row its key, the base counts, ``base_failed``, ``n_common_words`` (in boilerplate lines) and ``kept``."""
+    """Per row its key, the base counts, ``base_failed``, ``n_common_words`` (in boilerplate lines), their hashes
+    ``common_lines`` (NULL if none) and ``kept``."""
     ready(docs.sparkSession)
     docs = placed(docs.select("doc_id", "text", "source"))
     rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("source", F.lit("")).alias("source"))
@@ -118,7 +138,8 @@ def judged(docs: DataFrame, share: float = MOST_SHARE, least_docs: int = MOST_DO
     hosts = facts.groupBy("source").agg(F.count_distinct("text_hash").alias("docs"))
     counted = lines.groupBy("source", "line").agg(F.count_distinct("text_hash").alias("n"))
     common = counted.where(F.col("n") > least_docs).join(hosts, "source").where(F.col("n") > share * F.col("docs"))
-    lost = lines.join(common.select("source", "line"), ["source", "line"]).groupBy("row_file", "row_at").agg(F.sum("words").alias("lost"))
+    lost = lines.join(common.select("source", "line"), ["source", "line"]).groupBy("row_file", "row_at")
+    lost = lost.agg(F.sum("words").alias("lost"), F.collect_set("line").alias("common_lines"))
     out = facts.drop("lines", "text_hash").join(lost, ["row_file", "row_at"], "left")
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     left = F.col("n_words") - F.col("n_common_words")
@@ -127,7 +148,23 @@ def judged(docs: DataFrame, share: float = MOST_SHARE, least_docs: int = MOST_DO
     return out.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
+def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, lines = batch.column("text").to_pylist(), batch.column("common_lines").to_pylist()
+        clean = pa.array([without_lines(t, x) if x else t for t, x in zip(texts, lines, strict=True)], pa.string())
+        rest = [c for c in batch.schema.names if c not in ("text", "common_lines")]
+        yield pa.RecordBatch.from_pydict({**{c: batch.column(c) for c in rest}, "clean_text": clean})
+
+
+def cleaned(docs: DataFrame, share: float = MOST_SHARE, least_docs: int = MOST_DOCS) -> DataFrame:
+    """What ``judged`` gives per row, without the key, and ``clean_text``: the text without its boilerplate lines."""
+    docs = placed(docs.select("doc_id", "text", "source"))
+    found = judged(docs, share, least_docs).join(keyed(docs, "text"), ["row_file", "row_at"]).drop("row_file", "row_at", "source")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.drop("text", "common_lines").schema)
+    return found.mapInArrow(_clean, f"{schema}, clean_text string")
+
+
 def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judged(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_common_words"
+    return cleaned(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_common_words", "clean_text"
     )
