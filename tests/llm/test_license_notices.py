@@ -1,0 +1,104 @@
+"""Every rule on the standard wording and wrapping of its licence's notice."""
+
+import pytest
+
+from tidemark.llm import licenses
+
+MIT = '''MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+'''
+WARRANTY = '''
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+'''
+GPL = '''    This program is free software{0} you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation{1} {2}
+
+    This program is distributed in the hope that it will be useful,
+'''
+LATER = "either version {} of the License, or\n    (at your option) any later version."
+APACHE = '''   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+'''
+BSD = '''Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+'''
+ENDORSE = '''
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+'''
+MPL = '''This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+'''
+CC = "This work is licensed under a\nCreative Commons Attribution{} 4.0 International License."
+BRIEF = "This work is licensed under CC {} 4.0. To view a copy of this license, visit"
+
+CASES = [
+    (BSD + ENDORSE, "BSD-3-Clause"),
+    (BSD, "BSD-2-Clause"),
+    (MIT + WARRANTY, "MIT"),
+    (MIT, "MIT"),
+    (MIT + WARRANTY.replace("\nTHE SOFTWARE", "NO WARRANTY\nTHE SOFTWARE"), "MIT"),
+    (GPL.format(":", ",", LATER.format(3)), "GPL-3.0-or-later"),
+    (GPL.format(":", ";", LATER.format(3)), "GPL-3.0-or-later"),
+    (GPL.format(";", ";", LATER.format(2)), "GPL-2.0-or-later"),
+    (GPL.format(";", ",", LATER.format(2)), "GPL-2.0-or-later"),
+    (GPL.format(":", ",", "version 3."), "GPL-3.0-only"),
+    (GPL.format(";", ";", "version 2 of the License."), "GPL-2.0-only"),
+    ("This work is licensed under the GNU General Public License,\nVersion 3.", "GPL-3.0-only"),
+    ("This work is licensed under the GNU General Public License,\nVersion 2.", "GPL-2.0-only"),
+    (APACHE, "Apache-2.0"),
+    (APACHE.replace("at\n\n", "at\n").replace("http:", "https:"), "Apache-2.0"),
+    ("HEAD\nReleased under the MIT License.", "MIT"),
+    ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    (MPL, "MPL-2.0"),
+    *((t.format(n), f"CC-{s}-4.0") for s, n in (("BY", ""), ("BY-NC", "-NonCommercial"), ("BY-SA", "-ShareAlike")) for t in (CC, BRIEF) for n in [n if t is CC else s]),
+]
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(CASES)], "k int, text string")
+    return {r["k"]: (r["licenses"], r["unmatched"], r["sentence_ids"]) for r in licenses.recognised(docs).collect()}
+
+
+def test_every_notice_is_recognised_whole(found):
+    assert {k: x[:2] for k, x in found.items()} == {k: ([licence], 0) for k, (_, licence) in enumerate(CASES)}
+
+
+def test_every_rule_has_a_notice(found):
+    assert {licence for _, licence in (*licenses.NOTICE_RULES, *licenses.RULES)} == {licence for _, licence in CASES}
+    assert all("mit-warranty" in x[2] for k, x in found.items() if "MERCHANTABILITY" in CASES[k][0])
+
+
+def test_further_sentences_are_normal_and_anchored():
+    for sentence in licenses.NOTICES:
+        assert sentence == " ".join(sentence.split()).lower() and any(a in sentence for a in licenses.ANCHORS), sentence

@@ -1,8 +1,8 @@
 """Operator 6: licence recognition by sentences and ordered rules over their identifiers.
 
 A text is cut into sentences: after ``. ! ? ; :`` and white space, before a line that begins in upper case,
-and at blank lines. Normalised sentences (letters and digits in lower case, single spaces) that are known
-become identifiers. Rules then match identifier sequences, in order: what an earlier rule matched is
+and at blank lines, but not within ``v. 2``. Normalised sentences (letters and digits in lower case, single spaces)
+that are known become identifiers, longer ones first; a known sentence may go on over lines that begin in upper case. Rules then match identifier sequences, in order: what an earlier rule matched is
 taken out before the next one looks.
 
 Everything happens within a row, so nothing is shuffled. Texts without any anchor word, which every known
@@ -81,14 +81,65 @@ CUTS = (
 )
 
 
+_TERMS = (
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free"
+    " software foundation"
+)
+
+# Further wordings of the standard notices, which the SQL does not have.
+NOTICES = {
+    **SENTENCES,
+    **{
+        f"{_TERMS} either version {v} of the license or at your option any later version": f"gpl{v}-terms-later"
+        for v in (2, 3)
+    },
+    **{f"{_TERMS} version {v}": f"gpl{v}-terms-only" for v in (2, 3)},
+    **{f"{_TERMS} version {v} of the license": f"gpl{v}-terms-only" for v in (2, 3)},
+    "version 2 of the license": "gpl2-version",
+    "version 3 of the license": "gpl3-version",
+    "you may obtain a copy of the license at http www apache org licenses license 2 0": "apache-copy",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0": "apache-copy",
+    **{
+        sentence: f"cc-{short}-ref"
+        for short, name in (("by", "attribution"), ("by-nc", "attribution noncommercial"), ("by-sa", "attribution sharealike"))
+        for sentence in (
+            f"this work is licensed under cc {short.replace('-', ' ')} 4 0",
+            f"this work is licensed under a creative commons {name} 4 0 international license",
+        )
+    },
+}
+
+# Rules for them, before the others.
+NOTICE_RULES = (
+    (("gpl-free", "gpl3-terms-later"), "GPL-3.0-or-later"),
+    (("gpl-free", "gpl2-terms-later"), "GPL-2.0-or-later"),
+    (("gpl-free", "gpl3-terms-only"), "GPL-3.0-only"),
+    (("gpl-free", "gpl2-terms-only"), "GPL-2.0-only"),
+    (("gpl-free", "gpl-terms", "gpl3-version"), "GPL-3.0-only"),
+    (("gpl-free", "gpl-terms", "gpl2-version"), "GPL-2.0-only"),
+)
+
+#: To words between cuts: \x01, or \x02 before a line that begins in upper case, which may also go on with a sentence.
+STEPS = (
+    ("\x02", " "),
+    (rf"([!?;:]|(?<![{SPACE}][vV])\.|\.(?![{SPACE}]+[0-9]))[{SPACE}]+", "$1\x01"),
+    CUTS[1],
+    (rf"\n[{SPACE}]*([A-Z])", "\x02$1"),
+    ("[^A-Za-z0-9\x01\x02]+", " "),
+    (" ?([\x01\x02]) ?", "$1"),
+    ("\x02*\x01[\x01\x02]*", "\x01"),
+    ("\x02+", "\x02"),
+)
+
+
 def sentence_ids(text: Column) -> Column:
     """The identifiers of a text's known sentences, in order."""
-    for pattern, by in CUTS:
+    for pattern, by in STEPS:
         text = F.regexp_replace(text, pattern, by)
-    normal = F.transform(F.split(text, "\x01"), lambda s: F.trim(F.lower(F.regexp_replace(s, "[^A-Za-z0-9]+", " "))))
-    known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
-    found = F.transform(normal, lambda s: F.try_element_at(known, s))
-    return F.filter(found, lambda x: x.isNotNull())
+    text = F.concat(F.lit("\x01"), F.trim(F.lower(text)), F.lit("\x01"))
+    for sentence in sorted(NOTICES, key=lambda s: (-len(s.split()), s)):
+        text = F.regexp_replace(text, f"(?<=[\x01\x02]){sentence.replace(' ', '[ \x02]')}(?=[\x01\x02])", f"<{NOTICES[sentence]}>")
+    return F.regexp_extract_all(text, F.lit("<([a-z0-9-]+)>"), F.lit(1))
 
 
 def recognised(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -98,7 +149,7 @@ def recognised(docs: DataFrame, text: str = "text") -> DataFrame:
     out = docs.withColumn("sentence_ids", F.when(may, sentence_ids(F.col(text))).otherwise(none))
     rest = F.when(F.size("sentence_ids") > 0, F.concat(F.lit("<"), F.array_join("sentence_ids", "><"), F.lit(">"))).otherwise("")
     out = out.withColumns({"_rest": rest, "licenses": none})
-    for sequence, licence in RULES:
+    for sequence, licence in (*NOTICE_RULES, *RULES):
         pattern = "(" + "".join(f"<{x}>" for x in sequence) + ")+"
         has = F.col("_rest").rlike(pattern)
         out = out.withColumns(
