@@ -2,7 +2,8 @@
 
 Records hash into thousands of slots; bytes are summed per slot; a stored, versioned map says which shard
 holds each slot. Rebalancing edits the map and never a record's slot: a new version differs only in the
-slots that move. The law that holds is ``bytes``: shard sizes near equal.
+slots that move. The law that holds is ``bytes``: shard sizes near equal. The query stores the map and, as version 2,
+its edit for one more shard; ``rebalanced_shard`` is each row's shard under that.
 
 A record's slot comes from its ``doc_id`` and the checksum of its text, so rows that share a ``doc_id`` spread
 too. NULL texts have size 1 and the checksum of no bytes. Repeated rows are all placed. An empty table
@@ -115,8 +116,10 @@ def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     rows = written(records(docs), "shard-records")
     loads = slot_loads(rows)
-    slot_map = store(spark, scratch_path(spark, "slot-map"), 1, assign(loads, SHARDS), loads)
-    return sharded(rows, slot_map).select(
+    path, placed = scratch_path(spark, "slot-map"), assign(loads, SHARDS)
+    slot_map = store(spark, path, 1, placed, loads)
+    grown = store(spark, path, 2, grow(placed, loads, SHARDS), loads).select("vslot", F.col("shard").alias("rebalanced_shard"))
+    return sharded(rows, slot_map).join(F.broadcast(grown), "vslot").select(
         "doc_id",
         "size",
         "text_crc32",
@@ -124,4 +127,5 @@ def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard",
         F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
+        "rebalanced_shard",
     )
