@@ -168,14 +168,13 @@ class Katz:
                 self.pairs.update(zip(["<s>", *words], words, strict=False))
                 self.heads.update(["<s>", *words[:-1]])
         self.n, self.v = sum(self.words.values()), len(self.words)
-        self.by_word, self.by_pair = discounts(Counter(self.words.values())), discounts(Counter(self.pairs.values()), 2)
+        self.by_word, self.by_pair = discounts(Counter(self.words.values())), discounts(Counter(self.pairs.values()))
         kept = sum(c * (1 - self.by_word[c]) for c in self.words.values() if c <= 5)
         self.unknown = max(kept / self.n, 1 / (self.n + 1)) if self.n else 1.0
         self.scale = (1 - self.unknown) / (1 - kept / self.n) if self.n else 1.0
         seen = defaultdict(list)
         for (h, w), c in self.pairs.items():
-            if c > 1:
-                seen[h].append((w, c))
+            seen[h].append((w, c))
         self.weights = {}
         for h, own in seen.items():
             mass = sum(self.discounted(c, self.by_pair) for _, c in own) / self.heads[h]
@@ -189,7 +188,7 @@ class Katz:
         return self.discounted(self.words[w], self.by_word) * self.scale / self.n if self.words[w] else self.unknown
 
     def p(self, h, w):
-        if self.pairs[h, w] > 1:
+        if self.pairs[h, w]:
             return self.discounted(self.pairs[h, w], self.by_pair) * self.weights[h][1] / self.heads[h]
         return self.weights.get(h, (1.0, 1.0))[0] * self.word(w)
 
@@ -198,3 +197,58 @@ class Katz:
             base = sum(math.log10((self.words[w] + 0.5) / (self.n + 0.5 * (self.v + 1))) for w in words)
             score = sum(math.log10(self.p(h, w)) for h, w in zip(["<s>", *words], words, strict=False))
             yield doc_id, held, len(words), sum(self.words[w] > 0 for w in words), self.n, round(base, 6), round(score, 6)
+
+
+def prefix_nodes(rows):
+    """Rows ``(conv_id, turn, role, text)``; equal turns of one conversation come in the order of their digests."""
+    own = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+            own[conv_id].append((turn is not None, turn or 0, digest, role, text))
+    own = {c: [t[3:] for t in sorted(turns)] for c, turns in own.items()}
+    members = defaultdict(list)
+    ends = defaultdict(list)
+    for c in sorted(own):
+        h = zlib.crc32(str(c).encode()) % 4
+        origin = c - int(math.fmod(c, 20))
+        turns = (*own.get(origin, [])[:h], *own[c][h:])
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(c)
+        ends[turns].append(c)
+    children = defaultdict(list)
+    for path in members:
+        if path:
+            children[path[:-1]].append(path)
+    leaves, saved = {}, {}
+    for path in sorted(members, key=len, reverse=True):
+        words = len(PRINTED.findall(path[-1][1])) if path else 0
+        saved[path] = (len(members[path]) - 1) * words + sum(saved[c] for c in children[path])
+        leaves[path] = sum(leaves[c] for c in children[path]) or 1
+    for path, m in members.items():
+        parent = members[path[:-1]][0] if path else None
+        digest = hashlib.sha256(",".join(map(str, ends[path])).encode()).hexdigest()
+        yield m[0], len(path), parent, len(m), len(children[path]), leaves[path], saved[path], digest
+
+
+def token_counts(rows):
+    from tokenizers import Tokenizer
+
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode
+    for doc_id, text in rows:
+        n = len(encode(text or "", add_special_tokens=False).ids)
+        yield doc_id, len((text or "").encode()), n, n > 1024
+
+
+def whitened(rows, wanted=16):
+    """Rows ``(vec_id, vector)``: per usable row its deviation and whitened values, in doubles; n; shares of the variance."""
+    rows = [(v, [math.floor(64 * c) + 1_000_000 for c in e]) for v, e in rows if e is not None and all(c is not None and math.isfinite(c) for c in e)]
+    x = np.array([e for _, e in rows], np.int64)
+    points = np.unique(x, axis=0)
+    n, total = len(points), points.sum(0)
+    centred = (n * points - total) / n
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    keep = [k for k in range(len(values))[::-1] if values[k] > 1e-9 * values[-1]][:wanted]
+    deviations = n * x - total
+    return [v for v, _ in rows], (deviations**2).sum(1).tolist(), deviations / n @ vectors[:, keep] / np.sqrt(values[keep]), n, values[keep] / values.sum()
