@@ -8,11 +8,14 @@ import duckdb
 import pytest
 from pyspark.sql import types as T
 
+from tidemark.llm import prefix_trie
 from tidemark.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long, row_at string, node int, spans string, packet long"
 BENCHMARK = "item_id long, text string"
+CONVERSATIONS = "conv_id long, turn long, role string, text string, head string, ids int, n long, words string"
+EMBEDDINGS = "vec_id long, embedding array<float>, label int, y string, component int, deviation long"
 PAGES = "page_id long, url string, html string, host string, label int"
 
 random.seed(7)
@@ -46,12 +49,37 @@ def awkward(spark, tmp_path_factory):
     words = prose(90, 12).split()
     items = [(1, " ".join(words[3:30])), (2, "three little words"), (3, None), (4, ""), (None, prose(90, 13)), (5, prose(40, 14)), (5, prose(40, 15)), (10, " ".join(words[5:25]))]
     pages = [(k, u, "", "h", 1) for k, u in enumerate(URLS)] + [(None, None, None, None, None), (0, URLS[0], "", "h", 1)]
+    spark.createDataFrame(awkward_turns(), CONVERSATIONS).repartition(5).write.parquet(f"{folder}/conversations.parquet")
+    spark.createDataFrame(awkward_vectors(), EMBEDDINGS).repartition(3).write.parquet(f"{folder}/embeddings.parquet")
     spark.createDataFrame(rows, DOCUMENTS).repartition(5).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(items, BENCHMARK).write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame(pages, PAGES).write.parquet(f"{folder}/pages.parquet")
     return folder
 
 
+def awkward_turns():
+    """Copies, shared beginnings, a missing origin, negative and NULL keys, NULL and equal turns, empty and long texts."""
+    rows = []
+    for c in (*range(-45, 130), 1000, 4097, 4103, 9000, None):
+        kind = 0 if c is None else abs(c) % 6
+        first = ["Be kind", "one two three"][: 1 + kind % 2]
+        rest = [prose(5, 7), prose(6, kind)] if kind < 4 else [prose(3, 1000 + (c or 0)), "", None, "é " * 3000]
+        rows += [(c, k, ("system", "user", None)[k % 3], t) for k, t in enumerate([*first, *rest])]
+    rows += [(7, None, "user", "comes first"), (7, 1, "user", "an equal turn"), (8, 0, None, None), (8, 0, None, None), (None, None, None, None)]
+    rows += [(c, 0, "user", "alone") for c in (5001, 5002, 5003, 5004, 5005)]
+    return [(*r, "x", 1, 2, "y") for r in rows if r[0] is None or r[0] not in (20, 40)]
+
+
+def awkward_vectors():
+    own = random.Random(3)
+    vectors = [[own.gauss(0, 1) * (k + 1) for k in range(20)] for _ in range(60)]
+    for v in vectors:
+        v[4] = 0.25  # no variance
+    vectors += [vectors[0]] * 40 + [vectors[1]] * 3 + [None, [None, *vectors[2][1:]], [float("nan"), *vectors[2][1:]], [float("inf"), *vectors[2][1:]]]
+    rows = [(k if k % 7 else None, v, 1, "x", 2, 3) for k, v in enumerate(vectors)]
+    return [*rows, rows[3], rows[3], (3, vectors[9], None, None, None, None)]
+
+
 URLS = [
     "https://a.ORG/x", "http://example.org/es/1?q=1", "http://www.example.org/en/15", "http://example.org/en/2", "https://notexample.org/es/",
     "http://shop.com/fr/1", "http://shop.com/de/1#a", "http://shop.com", "http://org", "http://org/", "no scheme", "", "x://y://z/fr/",
@@ -63,7 +91,7 @@ URLS = [
 @pytest.fixture(scope="module")
 def empty(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
-    for name, schema in (("documents", DOCUMENTS), ("benchmark", BENCHMARK), ("pages", PAGES)):
+    for name, schema in (("documents", DOCUMENTS), ("benchmark", BENCHMARK), ("pages", PAGES), ("conversations", CONVERSATIONS), ("embeddings", EMBEDDINGS)):
         spark.createDataFrame([], schema).write.parquet(f"{folder}/{name}.parquet")
     return folder
 
@@ -222,3 +250,36 @@ def test_op10_rules_and_verdicts(spark, folder):
 def test_results_have_a_schema_without_rows(spark, empty):
     kinds = {f.name: f.dataType for f in QUERIES["op3_virtual_slots"](spark, empty).schema}
     assert kinds["grown_shard"] == T.IntegerType() and kinds["slot"] == T.LongType()
+
+
+def test_op11_nodes(spark, folder):
+    got = result(spark, "op11_burst_trie", folder, *prefix_trie.NODE)
+    assert Counter(got) == Counter(brute.prefix_nodes(table(folder, "conv_id, turn, role, text", "conversations")))
+
+
+@pytest.mark.parametrize("limit", [1, 4, 30])
+def test_op11_bursting_does_not_matter(spark, awkward, limit):
+    conversations = prefix_trie.rebuilt(prefix_trie.in_turns(prefix_trie.table(spark, awkward, "conversations")))
+    got = [tuple(r) for r in prefix_trie.trie(conversations, limit).collect()]
+    assert Counter(got) == Counter(brute.prefix_nodes(table(awkward, "conv_id, turn, role, text", "conversations")))
+
+
+def test_op12_counts_tokens(spark, folder):
+    got = result(spark, "op12_rank_merging", folder, "doc_id", "n_bytes", "n_tokens", "over_limit")
+    assert Counter(got) == Counter(brute.token_counts(table(folder, "doc_id, text")))
+
+
+def test_op13_whitens(spark, folder):
+    columns = ("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+    got = result(spark, "op13_exact_polynomial", folder, *columns)
+    ids, deviations, values, n, explained = brute.whitened(table(folder, "vec_id, embedding", "embeddings"))
+    assert {g[2] for g in got} == {n} and all(g[5] == pytest.approx(explained[g[1] - 1], rel=1e-9) for g in got)
+    (error,) = {g[6] for g in got}
+    assert 0 <= error < 1e-9
+    for k in range(values.shape[1]):
+        own = sorted(((g[0] is not None, g[0] or 0, g[3]), g[4]) for g in got if g[1] == k + 1)
+        want = sorted(((v is not None, v or 0, d), w) for v, d, w in zip(ids, deviations, values[:, k].tolist(), strict=True))
+        assert [o[0] for o in own] == [w[0] for w in want]
+        sign = 1 if sum(o[1] * w[1] for o, w in zip(own, want, strict=True)) > 0 else -1
+        assert [sign * o[1] for o in own] == pytest.approx([w[1] for w in want], abs=1e-8) or sorted(sign * o[1] for o in own) == pytest.approx(sorted(w[1] for w in want), abs=1e-8)
+    assert len(got) == len(ids) * values.shape[1]
