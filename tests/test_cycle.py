@@ -6,16 +6,18 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
-from helpers import page, records, shown, utc
+from helpers import page, plan, records, shown, utc
 from pyspark.sql import functions as F
 
+from tidemark.operators import flat as flat_ops, landing as landing_ops
 from tidemark.operators.checks import quarantine
 from tidemark.operators.landing import LATEST_REFRESH, fold, to_landing
 from tidemark.operators.mark import TODAY_GUARD
-from tidemark.plans import Commit, Snapshots, cycle, run_cycle
+from tidemark.plans import Commit, Snapshots, cycle, run_cycle, snapshots
 from tidemark.plans.snapshots import ConcurrentPublish
-from tidemark.sources import incremental, page_folder
+from tidemark.sources import incremental, page_folder, parse_records
 from tidemark.streaming import apply_batch, start_stream
+from workload import inputs
 
 AS_OF = datetime(2024, 1, 20, 10, 30)
 
@@ -120,8 +122,8 @@ def test_a_small_batch_writes_and_compares_only_its_own_keys(spark, tmp_path, mo
     run_cycle(store, source_of(spark, *rows), AS_OF)
     before, reads, read = store.head(), [], Snapshots.read
 
-    def noted(self, table, commit=None, buckets=None):
-        reads.append((table, read(self, table, commit, buckets)))
+    def noted(self, table, *args, **options):
+        reads.append((table, read(self, table, *args, **options)))
         return reads[-1][1]
 
     monkeypatch.setattr(Snapshots, "read", noted)
@@ -135,6 +137,51 @@ def test_a_small_batch_writes_and_compares_only_its_own_keys(spark, tmp_path, mo
     assert store.flat().where("county = 'X'").count() == store.landing().where("lastrefresh > '2024-01-02'").count() == 10
 
 
+def test_a_sync_writes_what_changed(spark, tmp_path):
+    """One key in a hundred of 15,000 records: flat's load holds those rows, and readers see the table as a rewrite would leave it."""
+    published = inputs.published(spark, "/root/testdata/sf0.01")
+    store = inputs.copied(published, str(tmp_path / "s"))
+    base = {loads[0] for loads in store.head().flat.values()}
+    whole = sum(written_bytes(store, "flat", load) for load in base)
+    assert store.flat().count() == 15000 and whole < 5_000_000
+    members = inputs.record_members(spark, "/root/testdata/sf0.01").where("gmProjectId % 100 = 1")
+    batch = parse_records(inputs.as_records(members.withColumns({"lastRefresh": F.lit(day(19)), "county": F.lit("X")}), "gmProjectId"), "seq")
+    # A flat row without a refresh is never replaced.
+    known = published.flat().where("lastrefresh IS NOT NULL").select("hash")
+    expected = flat_ops.flatten(landing_ops.fold(landing_ops.to_landing(batch))).join(known, "hash", "left_semi")
+    before = store.head()
+    run_cycle(store, lambda mark: batch, AS_OF)
+    after = store.head()
+    assert all(after.flat[b][0] == before.flat[b][0] for b in before.flat)
+    (load,) = {x for loads in after.flat.values() for x in loads[1:]}
+    changed = expected.count()
+    assert after.late[load] == changed == spark.read.parquet(f"{store.root}/flat/load={load}").count()
+    assert written_bytes(store, "flat", load) + written_bytes(store, "replaced", load) < 0.1 * whole
+    kept = published.flat().join(expected.select("hash"), "hash", "left_anti").select(*expected.columns)
+    assert shown(store.flat()) == shown(kept.unionByName(expected))
+    assert store.flat(before).where("county = 'X'").count() == 0
+
+
+def test_layered_reads_shuffle_nothing_and_stay_within_a_broadcast(spark, tmp_path, with_conf):
+    """Places of replaced rows add up over loads; the load that would pass the limit is merged instead."""
+    store = Snapshots(spark, str(tmp_path / "s"), buckets=2)
+    everything = [{"hash": f"k{i}", "lastRefresh": day(1)} for i in range(300)]
+    apply_batch(store, records(spark, *everything), "s", 0)
+    with_conf(spark__sql__autoBroadcastJoinThreshold=str(100_000))
+    merged = 0
+    for n in range(1, 6):
+        apply_batch(store, records(spark, *({**r, "lastRefresh": day(n + 1)} for r in everything[n * 10 : n * 10 + 100])), "s", n)
+        head = store.head()
+        assert sum(head.late.values()) * snapshots._PLACE_BYTES <= 100_000
+        merged += n > 1 and any(len(loads) == 1 for held in (head.landing, head.flat) for loads in held.values())
+        for df in (store.landing(), store.flat()):
+            assert "Exchange" not in plan(df).replace("BroadcastExchange", "")
+            assert df.count() == 300
+    assert 0 < merged < 5
+    newest = {r.hash: r.lastrefresh.day for r in store.flat().select("hash", "lastrefresh").collect()}
+    assert newest == {f"k{i}": max([1] + [n + 1 for n in range(1, 6) if n * 10 <= i < n * 10 + 100]) for i in range(300)}
+
+
 def test_the_mark_is_the_latest_refresh_in_landing(spark, store):
     run_cycle(store, source_of(spark, {"hash": "a", "lastRefresh": day(9)}, {"hash": "b", "lastRefresh": day(3)}), AS_OF)
     assert store.head().mark() == utc(2024, 1, 9)
@@ -156,7 +203,7 @@ def test_files_are_ordered_and_carry_statistics(spark, tmp_path, with_conf, thre
         ]
         apply_batch(store, records(spark, *rows), "s", first)
     for table, column in (("landing", "lastrefresh"), ("flat", "stateabbr")):
-        for path in store.read(table).inputFiles():
+        for path in (f for f in store.read(table).inputFiles() if f"/{table}/" in f):
             file = pq.ParquetFile(path.removeprefix("file://"))
             group = file.metadata.row_group(0)
             leaves = {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
@@ -171,8 +218,9 @@ def test_loads_nothing_needs_are_listed(spark, tmp_path, monkeypatch):
         run_cycle(store, source_of(spark, {"hash": "k", "lastRefresh": day(n)}), AS_OF)
     listed = sorted(r.table for r in store.unreferenced(keep=3).collect() if r.table != "staged")
     assert listed == []
-    # Landing's newest version is made of all three loads; of flat only the newest counts.
-    assert [r.table for r in store.unreferenced(keep=1).collect() if r.table != "staged"] == ["flat", "flat"]
+    # The newest version of either table is made of all three loads, and of the places that the later ones replace.
+    assert [r.table for r in store.unreferenced(keep=1).collect() if r.table != "staged"] == []
+    assert {p.name.removeprefix("load=") for p in Path(store.root, "replaced").iterdir()} == set(store.head().late)
     staged = {p.name for p in Path(store.root, "staged").iterdir()}
     assert {r.load for r in store.unreferenced().collect() if r.table == "staged"} == staged
 
@@ -184,7 +232,7 @@ def test_loads_nothing_needs_are_listed(spark, tmp_path, monkeypatch):
     with pytest.raises(OSError):
         run_cycle(store, source_of(spark, {"hash": "k", "lastRefresh": day(4)}), AS_OF)
     left = {(r.table, r.load) for r in store.unreferenced().collect()} - before
-    assert {table for table, _ in left} == {"landing", "flat", "staged"}
+    assert {table for table, _ in left} == {"landing", "flat", "replaced", "staged"}
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10485760"])

@@ -3,14 +3,17 @@ import os
 from datetime import datetime, timedelta
 
 import pytest
-from helpers import page, records, utc
+from helpers import page, records, shown, utc
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.operators.checks import unparsable
+from tidemark.operators.landing import fold, to_landing
+from tidemark.plans import Snapshots
 from tidemark.schema import ENVELOPE_KEY, PAGE_CAP
 from tidemark.sources import extract_all, extract_pages, incremental, page as page_of
 from tidemark.sources import numbered, page_folder, pages, read_lines, read_pages, unwrap
+from tidemark.streaming import start_stream
 
 
 def hashes(recs):
@@ -187,3 +190,49 @@ def test_extract_all_stops_at_a_short_page(spark, tmp_path, total, wave, waves):
     found = extract_all(spark, fetch, str(path), top=100, wave=wave)
     assert hashes(unwrap(found)) == [str(i) for i in range(total)]
     assert len(list(path.glob("wave=*"))) == waves
+
+
+def landed_at(folder, name, second, *rows):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(json.dumps(list(rows)))
+    os.utime(folder / name, (1_700_000_000 + second,) * 2)
+
+
+def last_of_a(spark, folder, **options):
+    return fold(to_landing(page_folder(spark, str(folder), **options)(None))).select(F.variant_get("raw", "$.n", "int").alias("n")).first().n
+
+
+def test_series_that_landed_at_one_instant_have_no_order(spark, tmp_path):
+    """Random ids of writes, and days copied in one second: refused, or ordered by name when asked."""
+    for folder, names in (("ids", ("part-00000-zzz-c000.json", "part-00000-aaa-c000.json")), ("days", ("2024-01-21-page-1", "2024-01-22-page-1"))):
+        for n, name in enumerate(names):
+            landed_at(tmp_path / folder, name, 0, {"hash": "a", "n": n})
+        with pytest.raises(PySparkException, match="without an order between them: .* and "):
+            last_of_a(spark, tmp_path / folder)
+    assert last_of_a(spark, tmp_path / "days", by_name=True) == 1
+    assert last_of_a(spark, tmp_path / "ids", by_name=True) == 0
+
+
+def test_streams_and_batches_agree_where_series_overlap(spark, tmp_path):
+    for second, name in enumerate(("a-1", "b-1", "a-2", "c-7")):
+        landed_at(tmp_path / "pages", f"{name}.json", second, {"hash": "a", "n": second}, {"hash": name, "n": second})
+    stores = []
+    for files in (1, 2, None):
+        store = Snapshots(spark, str(tmp_path / f"store-{files}"), buckets=2)
+        start_stream(store, str(tmp_path / "pages"), str(tmp_path / f"checkpoint-{files}"), files_per_batch=files).awaitTermination()
+        stores.append(shown(store.landing()))
+    batch = fold(to_landing(page_folder(spark, str(tmp_path / "pages"))(None)))
+    assert stores[0] == stores[1] == stores[2] == shown(batch.select("hash", "raw", "lastrefresh"))
+    assert last_of_a(spark, tmp_path / "pages") == 3
+
+
+def test_a_file_that_lands_before_its_predecessor(spark, tmp_path):
+    """Alone, a series comes by place; among others that overlap it nothing says which file came first."""
+    landed_at(tmp_path / "alone", "a-2.json", 0, {"hash": "a", "n": 2})
+    landed_at(tmp_path / "alone", "a-1.json", 5, {"hash": "a", "n": 1})
+    assert last_of_a(spark, tmp_path / "alone") == 2
+    landed_at(tmp_path / "alone", "b-1.json", 9, {"hash": "a", "n": 3})
+    assert last_of_a(spark, tmp_path / "alone") == 3
+    landed_at(tmp_path / "alone", "b-0.json", 3, {"hash": "a", "n": 4})
+    with pytest.raises(PySparkException, match="without an order"):
+        last_of_a(spark, tmp_path / "alone")

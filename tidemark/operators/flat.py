@@ -24,13 +24,13 @@ def flatten_whole(landing: DataFrame, strict: bool = True) -> DataFrame:
     return texts.select("hash", "lastrefresh", *columns, "raw")
 
 
-def changed_keys(landing: DataFrame, flat: DataFrame, null_is_oldest: bool = False) -> DataFrame:
-    """Keys the flat table lacks or holds an older refresh of: landing's columns plus ``is_new``.
+def changed_keys(landing: DataFrame, flat: DataFrame, null_is_oldest: bool = False, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Keys the flat table lacks or holds an older refresh of: landing's columns, ``is_new`` and flat's ``carried`` columns.
 
     Pass narrow inputs: the join then shuffles keys and instants, not records. A flat row with
     no refresh is never replaced (NULL compares as unknown) unless ``null_is_oldest``.
     """
-    known = flat.select(F.col("hash").alias("flat_hash"), F.col("lastrefresh").alias("flat_refresh"))
+    known = flat.select(F.col("hash").alias("flat_hash"), F.col("lastrefresh").alias("flat_refresh"), *carried)
     newer = F.col("lastrefresh") > F.col("flat_refresh")
     if null_is_oldest:
         newer = newer | F.col("flat_refresh").isNull()
@@ -38,7 +38,7 @@ def changed_keys(landing: DataFrame, flat: DataFrame, null_is_oldest: bool = Fal
     return (
         landing.join(known, F.col("hash") == F.col("flat_hash"), "left")
         .where(is_new | (F.col("lastrefresh").isNotNull() & newer))
-        .select(*landing.columns, is_new.alias("is_new"))
+        .select(*landing.columns, is_new.alias("is_new"), *carried)
     )
 
 

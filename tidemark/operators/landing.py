@@ -68,19 +68,23 @@ def upsert(old: DataFrame, new: DataFrame, policy: str = ARRIVAL) -> DataFrame:
     )
 
 
+def replaced(old: DataFrame, new: DataFrame, policy: str = ARRIVAL) -> DataFrame:
+    """The old rows whose keys a folded batch has. Old records are read only where the policy may keep one.
+
+    A batch that fits the broadcast limit meets the old rows in the tasks that read them.
+    """
+    _check(policy)
+    met = old.drop("raw") if policy == ARRIVAL else old
+    return met.join(new.select("hash"), "hash", "left_semi")
+
+
 def replacing(old: DataFrame, new: DataFrame, policy: str = ARRIVAL) -> DataFrame:
     """The rows of a folded batch as they are to stand in landing: combined with the rows they replace.
 
-    Old rows that no batch row meets are not returned, and old records are read only where the policy
-    may keep one. Sides are joined as their sizes suggest; a batch that fits the broadcast
-    limit meets the old rows in the tasks that read them.
+    Old rows that no batch row meets are not returned. Sides are joined as their sizes suggest.
     """
-    _check(policy)
-    if policy == ARRIVAL:
-        old = old.select("hash", "lastrefresh")
-        raw = F.col("new.raw")
-    else:
-        raw = F.when(F.col("old.hash").isNull() | _replaces(policy), F.col("new.raw")).otherwise(F.col("old.raw"))
-    met = old.join(new.select("hash"), "hash", "left_semi")
-    pairs = new.alias("new").join(met.alias("old"), F.col("old.hash") == F.col("new.hash"), "left")
+    pairs = new.alias("new").join(replaced(old, new, policy).alias("old"), F.col("old.hash") == F.col("new.hash"), "left")
+    raw = F.col("new.raw")
+    if policy != ARRIVAL:
+        raw = F.when(F.col("old.hash").isNull() | _replaces(policy), raw).otherwise(F.col("old.raw"))
     return pairs.select(F.col("new.hash").alias("hash"), raw.alias("raw"), _refresh(policy).alias("lastrefresh"))

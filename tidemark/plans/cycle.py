@@ -10,11 +10,11 @@ from tidemark.functions import from_micros
 from tidemark.operators import flat as flat_ops
 from tidemark.operators import landing as landing_ops
 from tidemark.operators import mark as mark_ops
-from tidemark.plans.snapshots import Commit, Snapshots
+from tidemark.plans.snapshots import PLACE, Commit, Snapshots
 from tidemark.schema import LANDING_SCHEMA
 from tidemark.session import broadcast_limit
 
-# Loads that a bucket of landing may hold beside its base; the next one merges them all into a new base.
+# Loads that a bucket may hold beside its base; the next one merges them all into a new base.
 LIGHT_LOADS = 8
 
 # Memory of one broadcast (hash, refresh) row beside the text of its key: row header, pointers, map slot.
@@ -53,8 +53,11 @@ def _by_key(df: DataFrame, buckets: int) -> DataFrame:
     return df.repartition(buckets, "hash")
 
 
-def _fits_broadcast(store: Snapshots, rows: int, key_bytes: int) -> bool:
-    return rows * _ROW_OVERHEAD + key_bytes <= broadcast_limit(store.spark)
+def _fits_above(store: Snapshots, base: Commit, table: str, buckets: list[int], rows: int, key_bytes: int) -> bool:
+    """May these rows go on top of what the buckets hold? Their keys, and the places they replace, must fit a broadcast."""
+    crowded = any(len(getattr(base, table).get(b, [])) > LIGHT_LOADS for b in buckets)
+    small = rows * _ROW_OVERHEAD + key_bytes <= broadcast_limit(store.spark)
+    return small and not crowded and store.fits_above(base, rows)
 
 
 def ingest(
@@ -99,26 +102,26 @@ def ingest(
     touched = sorted(r.bucket for r in filled)
     latest = {r.bucket: from_micros(r.latest) for r in filled if r.latest is not None}
     if first:
-        return replace(base, buckets=buckets, landing={b: [load] for b in touched}, marks=latest), counts, None
+        return replace(base, buckets=buckets, marks=latest).with_load("landing", touched, load), counts, None
 
     batch = batch.where(F.col("hash").isNotNull()).drop("n_rows")
-    old = store.read("landing", base, touched)
-    held = {b: base.landing.get(b, []) for b in touched}
-    small = _fits_broadcast(store, counts["distinct_keys"], sum(r.key_bytes for r in filled))
-    if small and max(map(len, held.values())) <= LIGHT_LOADS:
+    marks = {**base.marks, **{b: max(at, base.marks.get(b, at)) for b, at in latest.items()}}
+    if _fits_above(store, base, "landing", touched, counts["distinct_keys"], sum(r.key_bytes for r in filled)):
         # Only the rows that the batch replaces are looked at, in the tasks that read them.
-        resolved = landing_ops.replacing(old, batch, policy).withColumn("bucket", bucket_of("hash", buckets))
+        met = store.stage(landing_ops.replaced(store.read("landing", base, touched, placed=True), batch, policy), "met")
+        resolved = landing_ops.replacing(met, batch, policy).withColumn("bucket", bucket_of("hash", buckets))
         load = store.write("landing", _rebalanced(resolved))
-        held = {b: [*loads, load] for b, loads in held.items()}
+        replaced = met.count()
+        if replaced:
+            store.write_replaced(load, met)
         new = store.read_load("landing", load, LANDING_SCHEMA)
     else:
         # One shuffle of each side, and none for the write.
+        old = store.read("landing", base, touched)
         result = landing_ops.upsert(_by_key(old, buckets), _by_key(batch, buckets), policy)
         load = store.write("landing", result.withColumn("bucket", bucket_of("hash", buckets)))
-        held = dict.fromkeys(touched, [load])
-        new = None
-    marks = {**base.marks, **{b: max(at, base.marks.get(b, at)) for b, at in latest.items()}}
-    commit = replace(base, landing={**base.landing, **held}, marks=marks)
+        replaced = new = None
+    commit = replace(base, marks=marks).with_load("landing", touched, load, replaced)
     # A bucket's latest refresh can have been replaced by an older one only if the batch brought none as late.
     unsure = [b for b in touched if b in base.marks and (b not in latest or latest[b] < base.marks[b])]
     if unsure and policy == landing_ops.ARRIVAL:
@@ -140,7 +143,8 @@ def sync(
 
     ``new`` holds the landing rows that changed since ``before``. If flat was up to date then, no
     other row can differ, so only their keys are looked up in flat. Otherwise all rows of the lagging
-    buckets are compared. Only buckets with changes are rewritten.
+    buckets are compared. Few changed rows become one more load of their buckets; many, or one load too many, and
+    the buckets with changes are written anew.
     """
     lagging = base.lagging()
     if not lagging:
@@ -150,18 +154,18 @@ def sync(
         # Nothing to compare with: every row is new, and rows already lie in their buckets.
         landing = store.read("landing", base, lagging)
         rows = flat_ops.flatten_whole(landing, strict).withColumn("bucket", bucket_of("hash", base.buckets))
-        load = store.write("flat", rows)
-        commit = replace(base, flat={**base.flat, **dict.fromkeys(lagging, load)}, synced=synced)
-        return commit, {"inserted": landing.count(), "updated": 0}
+        n_rows = landing.count()
+        load = store.write("flat", rows, n_rows * 5 // (4 * len(lagging)))
+        commit = replace(base, synced=synced).with_load("flat", lagging, load)
+        return commit, {"inserted": n_rows, "updated": 0}
 
     owed = before is None or new is None or before.lagging()
     landing = store.read("landing", base, lagging) if owed else new.withColumn("bucket", bucket_of("hash", base.buckets))
-    narrow = store.read("flat", base, lagging).select("hash", "lastrefresh")
+    narrow = store.read("flat", base, lagging, placed=True).select("hash", "lastrefresh", *PLACE)
     if not owed:
         narrow = narrow.join(landing.select("hash"), "hash", "left_semi")
-    keys = store.stage(
-        flat_ops.changed_keys(landing.select("hash", "lastrefresh", "bucket"), narrow, null_is_oldest), "changed"
-    )
+    changed = flat_ops.changed_keys(landing.select("hash", "lastrefresh", "bucket"), narrow, null_is_oldest, PLACE[1:])
+    keys = store.stage(changed, "changed")
     per_bucket = (
         keys.groupBy("bucket")
         .agg(
@@ -175,19 +179,22 @@ def sync(
     if not per_bucket:
         return replace(base, synced=synced), counts
     dirty = sorted(r.bucket for r in per_bucket)
-    flat = store.read("flat", base, dirty)
     bucket = bucket_of("hash", base.buckets)
-    if _fits_broadcast(store, sum(counts.values()), sum(r.key_bytes for r in per_bucket)):
-        kept, replaced = flat_ops.sync_parts(flat, landing, F.broadcast(keys), strict)
-        rows = kept.unionByName(replaced.withColumn("bucket", bucket))
-        # A bucket's kept rows stay where they are read; its files come together as the write is rebalanced.
-        rows = _rebalanced(rows)
+    replaced = None
+    if _fits_above(store, base, "flat", dirty, sum(counts.values()), sum(r.key_bytes for r in per_bucket)):
+        # Only changed rows are written; the rows they replace are named by their places.
+        rows = flat_ops.flatten_whole(landing.join(F.broadcast(keys.select("hash")), "hash", "left_semi"), strict)
+        load = store.write("flat", _rebalanced(rows.withColumn("bucket", bucket)), max(r.inserted + r.updated for r in per_bucket))
+        replaced = counts["updated"]
+        if replaced:
+            store.write_replaced(load, keys.where(~F.col("is_new")))
     else:
+        flat = store.read("flat", base, dirty)
         flat, landing, keys = (_by_key(df, base.buckets) for df in (flat, landing, keys))
-        kept, replaced = flat_ops.sync_parts(flat, landing, keys, strict)
-        rows = kept.unionByName(replaced.withColumn("bucket", bucket))
-    load = store.write("flat", rows)
-    return replace(base, flat={**base.flat, **dict.fromkeys(dirty, load)}, synced=synced), counts
+        kept, new_rows = flat_ops.sync_parts(flat, landing, keys, strict)
+        n_rows = store.read("landing", base, dirty).count()
+        load = store.write("flat", kept.unionByName(new_rows.withColumn("bucket", bucket)), n_rows * 5 // (4 * len(dirty)))
+    return replace(base, synced=synced).with_load("flat", dirty, load, replaced), counts
 
 
 def publish(store: Snapshots, head: Commit, commit: Commit, counts: dict[str, int]) -> Commit:
@@ -217,7 +224,7 @@ def run_cycle(
     ``landing_first`` publishes landing before the sync, so a refused value holds back flat alone.
     """
     head = store.head()
-    empty = {"landing": {}, "flat": {}, "synced": {}, "marks": {}, "buckets": 0}
+    empty = {"landing": {}, "flat": {}, "synced": {}, "marks": {}, "late": {}, "buckets": 0}
     base = replace(head, **empty) if mode == "replace" else head
     totals = {"sent": 0, "rejected": 0, "distinct_keys": 0}
 

@@ -3,11 +3,13 @@
 Both tables are Parquet, split by a hash bucket of the key. A load writes into folders of its own; a
 commit row then names, for every bucket of both tables, the loads that hold it. Readers go through
 the newest commit, so they see either the whole cycle or nothing of it, and a failed load leaves
-only folders that no commit names. A bucket of landing is a base load and the few loads after it,
-of which the newest row of a key counts; a bucket of flat is one load.
+only folders that no commit names. A bucket is a base load and the few loads after it. A later load holds new
+and changed rows alone; beside it stands where the rows lie that it replaces, so that readers leave those
+out without comparing keys, and rows that did not change are not written again.
 
     <root>/landing/load=<id>/bucket=<n>/*.parquet
     <root>/flat/load=<id>/bucket=<n>/*.parquet
+    <root>/replaced/load=<id>/*.parquet          places of rows in earlier loads
     <root>/commits/version=<n>/*.parquet         one row
 
 There is one writer at a time; a version that is there already is not written again.
@@ -16,7 +18,7 @@ There is one writer at a time; a version that is there already is not written ag
 import re
 import uuid
 from contextlib import nullcontext
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from tidemark.functions import from_micros
 from tidemark.schema import FLAT_SCHEMA, LANDING_SCHEMA
-from tidemark.session import prepare, whole_variants
+from tidemark.session import broadcast_limit, prepare, whole_variants
 
 TABLES = {"landing": LANDING_SCHEMA, "flat": FLAT_SCHEMA}
 
@@ -37,9 +39,15 @@ SEARCHED = {"landing"}
 # Columns looked up by value that the file order does not help: Bloom filters say which row groups lack a value.
 LOOKED_UP = {"landing": [], "flat": ["disasternumber", "gmprojectid", "gmapplicantid"]}
 
+# Where a row lies. File names repeat from bucket to bucket.
+PLACE = ("bucket", "file", "row")
+
+# Memory of one place in a broadcast: row header, pointers, map slot, the name of the file.
+_PLACE_BYTES = 224
+
 _COMMIT_ROW = (
-    "version long, buckets int, landing map<int,array<string>>, flat map<int,string>, synced map<int,string>,"
-    " marks map<int,timestamp>, streams map<string,long>, counts map<string,long>, total_sent long"
+    "version long, buckets int, landing map<int,array<string>>, flat map<int,array<string>>, synced map<int,string>,"
+    " marks map<int,timestamp>, streams map<string,long>, counts map<string,long>, total_sent long, late map<string,long>"
 )
 
 
@@ -50,12 +58,21 @@ class Commit:
     version: int = 0
     buckets: int = 0
     landing: dict[int, list[str]] = field(default_factory=dict)  # the base load of a bucket and the loads after it
-    flat: dict[int, str] = field(default_factory=dict)
+    flat: dict[int, list[str]] = field(default_factory=dict)
     synced: dict[int, str] = field(default_factory=dict)  # newest landing load each flat bucket reflects
     marks: dict[int, datetime] = field(default_factory=dict)  # latest refresh of each landing bucket
     streams: dict[str, int] = field(default_factory=dict)  # last batch applied per stream
     counts: dict[str, int] = field(default_factory=dict)
     total_sent: int = 0  # by this version and all before it
+    late: dict[str, int] = field(default_factory=dict)  # rows that each load after a base replaces
+
+    def with_load(self, table: str, buckets: list[int], load: str, replaced: int | None = None) -> "Commit":
+        """A load as the new base of its buckets, or, with the number of rows it replaces, on top of what they hold."""
+        held = getattr(self, table)
+        held = {**held, **{b: [load] if replaced is None else [*held.get(b, []), load] for b in buckets}}
+        commit = replace(self, **{table: held}, late=self.late if not replaced else {**self.late, load: replaced})
+        above = {x for name in TABLES for loads in getattr(commit, name).values() for x in loads[1:]}
+        return replace(commit, late={x: n for x, n in commit.late.items() if x in above})
 
     def lagging(self) -> list[int]:
         """Buckets whose landing rows changed since flat last looked at them."""
@@ -73,7 +90,7 @@ class ConcurrentPublish(RuntimeError):
 class Snapshots:
     """The tables under ``root``.
 
-    ``buckets`` is fixed by the first load. A bucket of flat is what one small update rewrites, so aim
+    ``buckets`` is fixed by the first load. A bucket is what a merge rewrites, so aim
     at one to four gigabytes each: 64 suits a few hundred gigabytes, some 30,000 suit 100 TB.
     """
 
@@ -110,38 +127,44 @@ class Snapshots:
         row["marks"] = {b: from_micros(at) for b, at in (row["marks"] or {}).items()}
         return Commit(**{k: v if v is not None else {} for k, v in row.items()})
 
-    def read(self, table: str, commit: Commit | None = None, buckets: list[int] | None = None) -> DataFrame:
+    def read(self, table: str, commit: Commit | None = None, buckets: list[int] | None = None, placed: bool = False) -> DataFrame:
         """A table as of a commit (default: the newest), optionally only some buckets.
 
-        Only the folders the commit names are listed. The result has a ``bucket`` column. Of a key that
-        several loads hold, the newest row counts: rows of buckets with one load are passed on
-        as they are, the others meet by key. Those later loads hold little.
+        Only the folders the commit names are listed. The result has a ``bucket`` column and, if ``placed``, the other
+        columns of ``PLACE``. Rows of buckets with one load are passed on as they are. Of the others, those that later
+        loads replace are left out where they are read; their places fit a broadcast, or the load would have been merged.
         """
         commit = self.head() if commit is None else commit
-        held: dict[int, list[str]] = {b: [x] if isinstance(x, str) else list(x) for b, x in getattr(commit, table).items()}
+        held: dict[int, list[str]] = getattr(commit, table)
         wanted = held if buckets is None else {b: held[b] for b in buckets if b in held}
-        plain = self._loads(table, {b: loads for b, loads in wanted.items() if len(loads) == 1})
+        columns = [*TABLES[table].names, *(PLACE if placed else PLACE[:1])]
+        plain = {b: loads for b, loads in wanted.items() if len(loads) == 1}
+        rows = self._loads(table, plain, placed).select(*columns)
         layered = {b: loads for b, loads in wanted.items() if len(loads) > 1}
         if not layered:
-            return plain.drop("load")
-        base = self._loads(table, {b: loads[:1] for b, loads in layered.items()}).drop("load")
-        later = self._loads(table, {b: loads[1:] for b, loads in layered.items()})
-        # A load's place in its bucket's list, as data: one short entry per load and bucket.
-        order = [(b, load, n) for b, loads in layered.items() for n, load in enumerate(loads)]
-        ordered = later.join(F.broadcast(self.spark.createDataFrame(order, "bucket int, load string, n int")), ["bucket", "load"])
-        newest = Window.partitionBy("hash").orderBy(F.desc("n"))
-        later = ordered.withColumn("n", F.row_number().over(newest)).where("n = 1").drop("n", "load").select(*base.columns)
-        return plain.drop("load").unionByName(base.join(later.select("hash"), "hash", "left_anti").select(*base.columns)).unionByName(later)
-
-    def _loads(self, table: str, wanted: dict[int, list[str]]) -> DataFrame:
-        """Rows of the given loads of each bucket, with ``load`` and ``bucket``."""
-        extra = [T.StructField("load", T.StringType()), T.StructField("bucket", T.IntegerType())]
-        schema = T.StructType([*TABLES[table].fields, *extra])
+            return rows
+        replacing = sorted({x for loads in layered.values() for x in loads[1:]} & set(commit.late))
+        left = self._loads(table, layered, placed or bool(replacing))
+        if replacing:
+            left = left.join(F.broadcast(self._replaced(replacing)), list(PLACE), "left_anti")
+        return rows.unionByName(left.select(*columns)) if plain else left.select(*columns)
+
+    def _replaced(self, loads: list[str]) -> DataFrame:
+        base = f"{self.root}/replaced"
+        return self.spark.read.schema("bucket int, file string, row long").parquet(*(f"{base}/load={x}" for x in loads))
+
+    def _loads(self, table: str, wanted: dict[int, list[str]], placed: bool) -> DataFrame:
+        """Rows of the given loads of each bucket, with ``bucket`` and, if ``placed``, ``file`` and ``row``."""
+        schema = T.StructType([*TABLES[table].fields, T.StructField("bucket", T.IntegerType())])
         base = f"{self.root}/{table}"
         paths = [f"{base}/load={load}/bucket={b}" for b, loads in sorted(wanted.items()) for load in loads]
         if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+            none = self.spark.createDataFrame([], schema)
+            return none.selectExpr("*", "'' AS file", "0L AS row") if placed else none
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+        if not placed:
+            return rows
+        return rows.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
 
     def landing(self, commit: Commit | None = None) -> DataFrame:
         return self.read("landing", commit).drop("bucket")
@@ -173,10 +196,11 @@ class Snapshots:
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def write(self, table: str, df: DataFrame) -> str:
+    def write(self, table: str, df: DataFrame, per_bucket: int | None = None) -> str:
         """Write rows (with a ``bucket`` column) as a new load and return its id.
 
-        Columns beyond the table's are written too; only ``read_load`` shows them.
+        Columns beyond the table's are written too; only ``read_load`` shows them. ``per_bucket`` is about how many rows a
+        bucket gets: Bloom filters are made for as many values, where the default is a megabyte each.
         """
         load = uuid.uuid4().hex
         rows = df.sortWithinPartitions("bucket", *LAYOUT[table])
@@ -184,9 +208,19 @@ class Snapshots:
             writer = rows.write.partitionBy("bucket")
             for column in LOOKED_UP[table]:
                 writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+                if per_bucket is not None:
+                    writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", str(max(64, per_bucket)))
             writer.parquet(f"{self.root}/{table}/load={load}")
         return load
 
+    def write_replaced(self, load: str, places: DataFrame) -> None:
+        """Write where the rows lie that a load replaces; call it before the commit that names the load."""
+        places.select(*PLACE).coalesce(1).write.parquet(f"{self.root}/replaced/load={load}")
+
+    def fits_above(self, commit: Commit, rows: int) -> bool:
+        """May a load that replaces so many rows go on top of others, or would readers have too much to leave out?"""
+        return (rows + sum(commit.late.values())) * _PLACE_BYTES <= broadcast_limit(self.spark)
+
     def read_load(self, table: str, load: str, schema: T.StructType) -> DataFrame:
         """One load as it was written, whether or not a commit names it."""
         return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/load={load}")
@@ -216,11 +250,11 @@ class Snapshots:
         """
         commits = self.versions()[-keep:]
         named = self.spark.createDataFrame([], "table string, load string")
-        for table, loads in (("landing", F.flatten(F.map_values("landing"))), ("flat", F.map_values("flat"))):
+        for table, loads in (*((t, F.flatten(F.map_values(t))) for t in TABLES), ("replaced", F.map_keys("late"))):
             if commits:
                 named = named.union(self._commits(*commits).select(F.lit(table), F.explode(loads)))
         found = self.spark.createDataFrame([], "table string, load string")
-        for table in (*TABLES, "staged"):
+        for table in (*TABLES, "replaced", "staged"):
             files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
             try:
                 paths = files.load(f"{self.root}/{table}").select("path")

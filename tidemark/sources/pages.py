@@ -8,15 +8,18 @@ as lines (of pages or of single records), which Spark splits inside a file.
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.schema import ENVELOPE_KEY
+from tidemark.session import written
 from tidemark.sources.paging import incremental
 
 
 # Names that Spark gives the files of one write: number of the task, the write's id, number of the file.
 _SPARK_PART = r"^part-(\d+)-.*-c(\d+)"
 
+_FILE = "struct<begun: timestamp, landed: timestamp, series: string, place: array<bigint>>"
+
 
 def _place(name: Column) -> tuple[Column, Column]:
     """The series a file belongs to and its place there: 12 for page-000012.json.
@@ -47,29 +50,57 @@ def _landed(files: DataFrame) -> DataFrame:
     )
 
 
-def in_sequence(landed: DataFrame, per_line: bool = False) -> DataFrame:
+def _ordered(files: DataFrame, by_name: bool) -> DataFrame:
+    """``(series, place, file)``: an order over files, which raises where there is none."""
+    path = Window.partitionBy("series", "place")
+    twins = F.when(F.min("path").over(path) != F.max("path").over(path), F.concat_ws(" and ", F.min("path").over(path), F.max("path").over(path)))
+    if by_name:
+        file = F.struct(F.lit(None).cast("timestamp").alias("begun"), F.lit(None).cast("timestamp").alias("landed"), "series", "place")
+        return files.select("series", "place", file.alias("file"), twins.alias("tied"))
+    # Series that overlap in time make a group: a new one begins after all before it have ended. One short row per series.
+    before = Window.orderBy("begun", "series").rowsBetween(Window.unboundedPreceding, -1)
+    series = files.groupBy("series").agg(F.min("landed").alias("begun"), F.max("landed").alias("ended"))
+    ended = F.max("ended").over(before)
+    apart = series.withColumn("first", F.when(ended.isNull() | (F.col("begun") > ended), F.col("begun")))
+    group = apart.withColumn("group", F.max("first").over(Window.orderBy("begun", "series")))
+    alone = F.count(F.lit(1)).over(Window.partitionBy("group")) == 1
+    known = files.join(group.select("series", "group", alone.alias("alone")), "series")
+    # Within a group files come as they landed; a series of its own may land in any order and comes by place.
+    landed = F.when(~F.col("alone"), F.col("landed"))
+    at_once = Window.partitionBy("group", "landed")
+    in_place = Window.partitionBy("series").orderBy("place")
+    unclear = F.when(
+        ~F.col("alone") & (F.min("series").over(at_once) != F.max("series").over(at_once)),
+        F.concat_ws(" and ", F.min("path").over(at_once), F.max("path").over(at_once)),
+    ).when(~F.col("alone") & (F.lag("landed").over(in_place) > F.col("landed")), F.concat_ws(" and ", F.lag("path").over(in_place), F.col("path")))
+    file = F.struct(F.col("group").alias("begun"), landed.alias("landed"), "series", "place")
+    return known.select("series", "place", file.alias("file"), F.coalesce(twins, unclear).alias("tied"))
+
+
+def in_sequence(landed: DataFrame, per_line: bool = False, by_name: bool = False) -> DataFrame:
     """Rows of a text scan as pages ``(page_seq, value)``; blank lines are no pages.
 
-    Series come in the order in which their first files landed, and files by their place in the series.
-    Two files with one place in one series have no order, which is an error. One short row per
-    series, and one per file, is all that this needs to know beforehand.
+    Series come in the order in which they landed, and files by their place in the series. Files of series that overlap in time
+    come as they landed, which is how a stream meets them. Two files with one place in one series, files of
+    different series that landed at one instant, and a file that overlaps another series and landed before its own predecessor
+    have no order, which is an error. ``by_name`` orders series by their names instead, whenever they landed.
+    One short row per series, and one per file, is all that this needs to know beforehand.
     """
-    files = landed.groupBy("series", "place").agg(F.min("landed").alias("landed"), F.min("path").alias("a"), F.max("path").alias("b"))
-    tied = F.max(F.when(F.col("a") != F.col("b"), F.concat_ws(" and ", "a", "b")))
-    series = files.groupBy("series").agg(F.min("landed").alias("begun"), tied.alias("tied"))
+    files = landed.groupBy("series", "place", "path").agg(F.min("landed").alias("landed"))
     message = F.concat(F.lit("files without an order between them: "), F.col("tied"))
-    begun = F.when(F.col("tied").isNull(), F.col("begun")).otherwise(F.raise_error(message).cast("timestamp"))
+    checked = F.when(F.col("tied").isNull(), F.col("file")).otherwise(F.raise_error(message).cast(_FILE))
+    # Written, so that its size is known: it is sent to where the pages are read if it fits the broadcast limit.
+    order = written(_ordered(files, by_name).select("series", "place", checked.alias("file")).distinct(), "order")
     # The generated id only ever compares lines of one split of one file, where it grows with the line.
     lines = landed.drop("landed").withColumn("line", F.monotonically_increasing_id() if per_line else F.lit(0))
-    known = lines.join(F.broadcast(series.select("series", begun.alias("begun"))), "series")
-    file = F.struct("begun", "series", "place")
+    known = lines.join(order, ["series", "place"])
     if not per_line:
-        return known.select(file.alias("page_seq"), "value")
-    return known.select(F.struct(file.alias("file"), "split_start", "line").alias("page_seq"), "value").where(F.trim("value") != "")
+        return known.select(F.col("file").alias("page_seq"), "value")
+    return known.select(F.struct("file", "split_start", "line").alias("page_seq"), "value").where(F.trim("value") != "")
 
 
 def read_pages(
-    spark: SparkSession, path: str, per_line: bool = False, modified_after: str | None = None
+    spark: SparkSession, path: str, per_line: bool = False, modified_after: str | None = None, by_name: bool = False
 ) -> DataFrame:
     """Landed pages as ``(page_seq, value)``: one page per file, or one per line of a file.
 
@@ -78,11 +109,11 @@ def read_pages(
     reader = spark.read.format("text").option("wholetext", not per_line)
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
-    return in_sequence(_landed(reader.load(path)), per_line)
+    return in_sequence(_landed(reader.load(path)), per_line, by_name)
 
 
 def page_folder(
-    spark: SparkSession, path: str, per_line: bool = False, slack: timedelta | None = None, strict: bool = True
+    spark: SparkSession, path: str, per_line: bool = False, slack: timedelta | None = None, strict: bool = True, by_name: bool = False
 ) -> Callable[[datetime | None], DataFrame]:
     """A folder of landed pages as the source of a load cycle; every file is opened.
 
@@ -93,9 +124,9 @@ def page_folder(
 
     def since(mark: datetime | None) -> DataFrame:
         if mark is None:
-            return unwrap(read_pages(spark, path, per_line), strict=strict)
+            return unwrap(read_pages(spark, path, per_line, by_name=by_name), strict=strict)
         landed = None if slack is None else (mark - slack).strftime("%Y-%m-%dT%H:%M:%S")
-        return incremental(unwrap(read_pages(spark, path, per_line, landed), strict=strict), mark, strict)
+        return incremental(unwrap(read_pages(spark, path, per_line, landed, by_name), strict=strict), mark, strict)
 
     return since
 

@@ -47,6 +47,7 @@ def start_stream(
     every: str | None = None,
     per_line: bool = False,
     files_per_batch: int | None = None,
+    by_name: bool = False,
     **options,
 ) -> StreamingQuery:
     """Load new page files: once up to the present, or ``every`` interval (e.g. "24 hours").
@@ -60,7 +61,7 @@ def start_stream(
     def step(batch: DataFrame, batch_id: int) -> None:
         if not names:
             names.append(store.spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first().id)
-        records = unwrap(in_sequence(batch, per_line), strict=options.get("strict", True))
+        records = unwrap(in_sequence(batch, per_line, by_name), strict=options.get("strict", True))
         apply_batch(store, records, names[0], batch_id, **options)
 
     trigger = {"availableNow": True} if every is None else {"processingTime": every}

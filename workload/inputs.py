@@ -138,10 +138,13 @@ def land_pages(pages: DataFrame, path: str) -> None:
 def copied(store: Snapshots, root: str) -> Snapshots:
     """A store of its own that starts where another one stands: its newest version is written as a first load."""
     copy, head = Snapshots(store.spark, root, store.buckets), store.head()
-    loads = {table: copy.write(table, store.read(table, head)) for table in ("landing", "flat")}
-    landing = {b: [loads["landing"]] for b in head.landing}
+    loads = {}
+    for table in ("landing", "flat"):
+        rows = store.read(table, head)
+        loads[table] = copy.write(table, rows, rows.count() * 5 // (4 * max(1, len(head.flat))))
+    held = {table: {b: [load] for b in getattr(head, table)} for table, load in loads.items()}
     synced = dict.fromkeys(head.flat, loads["landing"])
-    copy.publish(replace(head, version=1, landing=landing, flat=dict.fromkeys(head.flat, loads["flat"]), synced=synced))
+    copy.publish(replace(head, version=1, **held, synced=synced, late={}))
     return copy
 
 
