@@ -56,19 +56,28 @@ def start_stream(
     kept under the query's own id, which a new checkpoint gets anew, whatever its path.
     ``options`` are those of ``apply_batch``.
     """
+    pages_ = page_stream(store.spark, pages, per_line, files_per_batch)
+    return _started(store, pages_, lambda batch: in_sequence(batch, per_line, by_name), checkpoint, every, options)
+
+
+def start_source_stream(
+    store: Snapshots, source: str, checkpoint: str, every: str | None = None, settings: dict | None = None, **options
+) -> StreamingQuery:
+    """Load what is refreshed in a registered paged source: once up to the present, or ``every`` interval.
+
+    The checkpoint keeps the mark. ``settings`` are options of the source, ``options`` those of ``apply_batch``.
+    """
+    pages = store.spark.readStream.format(source).options(**(settings or {})).load()
+    return _started(store, pages, lambda batch: batch, checkpoint, every, options)
+
+
+def _started(store: Snapshots, pages: DataFrame, ordered, checkpoint: str, every: str | None, options: dict) -> StreamingQuery:
     names: list[str] = []
 
     def step(batch: DataFrame, batch_id: int) -> None:
         if not names:
             names.append(store.spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first().id)
-        records = unwrap(in_sequence(batch, per_line, by_name), strict=options.get("strict", True))
-        apply_batch(store, records, names[0], batch_id, **options)
+        apply_batch(store, unwrap(ordered(batch), strict=options.get("strict", True)), names[0], batch_id, **options)
 
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    return (
-        page_stream(store.spark, pages, per_line, files_per_batch)
-        .writeStream.foreachBatch(step)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    return pages.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -210,6 +210,14 @@ WHERE position >= (SELECT count(*) * 3 // 4 FROM flat) AND position < (SELECT co
 FROM events GROUP BY user_id""",
     "extract_dump": f"""WITH{_BASE}
 SELECT (o_orderkey - (SELECT min(o_orderkey) FROM base)) // 1000 AS page_seq, h AS hash FROM base""",
+    "extract_source": _flat("""SELECT hash, (place - 1) // 500 AS page_seq, CAST((place - 1) % 500 AS INTEGER) AS pos
+FROM (SELECT hash, row_number() OVER (ORDER BY lastrefresh, gmprojectid) AS place FROM flat
+WHERE lastrefresh >= TIMESTAMP '1996-06-01')"""),
+    "extract_stream": _flat("""SELECT hash, gmprojectid,
+  CASE WHEN gmprojectid % 100 = 1 THEN TIMESTAMP '2024-01-19' WHEN incidenttype IN ('URGENT', 'LOW') THEN lastrefresh
+    ELSE TIMESTAMP '2024-01-10' END AS lastrefresh,
+  CASE WHEN gmprojectid % 100 = 1 THEN 'Updated' ELSE county END AS county
+FROM flat"""),
     "ingest_permissive": _flat("""SELECT hash, CASE WHEN projectstatus <> 'Open' THEN lastrefresh END AS lastrefresh
 FROM flat WHERE gmprojectid // 1000 % 3 <> 1"""),
     "unparsable_pages": """SELECT o_orderkey // 1000 AS page_seq, CAST(count(*) + 1 AS INTEGER) AS n_parts FROM orders

@@ -6,7 +6,7 @@ Instants are returned without a zone and records as JSON text, so that results c
 import uuid
 from datetime import date, datetime
 
-from pyspark.errors import PySparkException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions import instant, quoted_iso
@@ -14,10 +14,11 @@ from tidemark.operators import checks, flat as flat_ops, landing as landing_ops,
 from tidemark.plans import Snapshots, run_cycle
 from tidemark.schema import create_tables
 from tidemark.session import prepare, scratch_path, written
-from tidemark.sources import extract_waves, incremental, page, page_folder, pages, parse_records, unwrap
-from tidemark.streaming import start_stream
+from tidemark.sources import incremental, page, page_folder, pages, parse_records, register_source, unwrap
+from tidemark.streaming import start_source_stream, start_stream
 from workload import inputs
 from workload.inputs import AS_OF
+from workload.source import FolderClient, land_source
 
 # The first part of the events is already in landing; the second part is the new batch.
 SPLIT = datetime(2024, 1, 16)
@@ -178,21 +179,74 @@ def pages_fold(spark: SparkSession, sf: str) -> DataFrame:
     return plain(folded.select("hash", F.variant_get("raw", "$.event_id", "bigint").alias("event_id"), "lastrefresh"))
 
 
+def _source(spark: SparkSession, path: str) -> str:
+    """A registered source over a folder that ``land_source`` fills; its name is its own."""
+    name = f"source_{uuid.uuid4().hex[:12]}"
+    register_source(spark, name, FolderClient(path))
+    return name
+
+
+def _with_refresh(texts: DataFrame) -> DataFrame:
+    return texts.select("seq", "value", F.get_json_object("value", "$.lastRefresh").cast("timestamp").alias("refresh"))
+
+
 def extract_dump(spark: SparkSession, sf: str) -> DataFrame:
-    """All pages of a source, each fetched by its own task, until a short one.
+    """All pages of a source of all records, in the order of their keys: offset ranges, each fetched by its own task."""
+    path = scratch_path(prepare(spark), "extract")
+    land_source(_with_refresh(inputs.record_texts(spark, sf)), f"{path}/1", ["seq"])
+    landed = spark.read.format(_source(spark, path)).option("pagesPerTask", 4).load()
+    rows = unwrap(written(landed, "pages"))
+    return rows.select(F.col("ord.page_seq").alias("page_seq"), F.variant_get("rec", "$.hash", "string").alias("hash"))
 
-    The source is the given table: its records lie in order in the shared folder, a page is a range of them.
+
+def extract_source(spark: SparkSession, sf: str) -> DataFrame:
+    """The records refreshed since an instant, as a source in the order of refresh pages them."""
+    path = scratch_path(prepare(spark), "extract")
+    land_source(_with_refresh(inputs.record_texts(spark, sf)), f"{path}/1", ["refresh", "seq"])
+    landed = spark.read.format(_source(spark, path)).options(since="1996-06-01T00:00:00Z", top=500, pagesPerTask=2).load()
+    rows = unwrap(written(landed, "pages"))
+    return rows.select(
+        F.col("ord.page_seq").alias("page_seq"), F.col("ord.pos").alias("pos"), F.variant_get("rec", "$.hash", "string").alias("hash")
+    )
+
+
+def extract_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """A source that changes between three runs of a stream, the second of which is stopped before it publishes.
+
+    Urgent and low records are there at first, then the others come, and at last every hundredth record again, changed.
+    The mark, the batch that was stopped and what was loaded by then are in the checkpoint and the tables.
     """
     path = scratch_path(prepare(spark), "extract")
-    texts = inputs.record_texts(spark, sf)
-    # Order keys run on without a gap, so every page but the last is full.
-    least = texts.agg(F.min("seq")).first()[0]
-    inputs.pages_of(texts.withColumn("seq", F.col("seq") - least)).write.parquet(f"{path}/source")
-    source = spark.read.parquet(f"{path}/source")
-    rows = unwrap(
-        extract_waves(spark, lambda first, n: source.where(F.col("page_seq").between(first, first + n - 1)), f"{path}/pages", wave=64)
+    store = Snapshots(spark, f"{path}/store", inputs.buckets(spark, sf))
+    source = _source(spark, f"{path}/source")
+    members = inputs.record_members(spark, sf)
+    early = F.coalesce(F.col("incidentType").isin("URGENT", "LOW"), F.lit(False))
+    later = members.withColumn("lastRefresh", F.when(early, F.col("lastRefresh")).otherwise(F.lit("2024-01-10T00:00:00.000Z")))
+    changed = {"lastRefresh": F.lit("2024-01-19T00:00:00.000Z"), "county": F.lit("Updated")}
+    again = F.col("gmProjectId") % 100 == 1
+    states = (
+        members.where(early),
+        later,
+        later.withColumns({name: F.when(again, value).otherwise(F.col(name)) for name, value in changed.items()}),
     )
-    return rows.select(F.col("ord.page_seq").alias("page_seq"), F.variant_get("rec", "$.hash", "string").alias("hash"))
+    for n, state in enumerate(states):
+        land_source(_with_refresh(inputs.as_records(state, "gmProjectId")), f"{path}/source/{n}", ["refresh", "seq"])
+
+        def stopped(commit):
+            raise ConnectionError("stopped before it publishes")
+
+        if n == 1:
+            broken = Snapshots(spark, store.root)
+            broken.publish = stopped
+            try:
+                start_source_stream(broken, source, f"{path}/checkpoint").awaitTermination()
+                raise AssertionError("the stream was not stopped")
+            except StreamingQueryException as error:
+                if "stopped before it publishes" not in str(error):
+                    raise
+        start_source_stream(store, source, f"{path}/checkpoint").awaitTermination()
+    landing = store.landing().select("hash", "lastrefresh", F.variant_get("raw", "$.county", "string").alias("county"))
+    return plain(landing.join(store.flat().select("hash", "gmprojectid"), "hash"))
 
 
 def ingest_permissive(spark: SparkSession, sf: str) -> DataFrame:
@@ -578,6 +632,8 @@ QUERIES = {
         page_deep,
         pages_fold,
         extract_dump,
+        extract_source,
+        extract_stream,
         ingest_permissive,
         unparsable_pages,
         paged_dump,
