@@ -44,3 +44,20 @@ def formatted(df) -> str:
     """The plan with untruncated scan details."""
     jvm = df.sparkSession._jvm
     return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def scanned_rows(df) -> int:
+    """Rows that the scans of an executed query gave; what statistics, indexes or filters rule out gives none."""
+    df.collect()
+    waiting, total = [df._jdf.queryExecution().executedPlan()], 0
+    while waiting:
+        node = waiting.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            waiting.append(node.executedPlan())
+            continue
+        if node.nodeName().startswith(("BroadcastExchange", "BroadcastQueryStage")):
+            continue
+        if not node.children().size() and node.metrics().contains("numOutputRows"):
+            total += node.metrics().apply("numOutputRows").value()
+        waiting += [node.children().apply(k) for k in range(node.children().size())]
+    return total

@@ -6,14 +6,14 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
-from helpers import page, plan, records, shown, utc
+from helpers import page, plan, records, scanned_rows, shown, utc
 from pyspark.sql import functions as F
 
 from tidemark.operators import flat as flat_ops, landing as landing_ops
 from tidemark.operators.checks import quarantine
 from tidemark.operators.landing import LATEST_REFRESH, fold, to_landing
 from tidemark.operators.mark import TODAY_GUARD
-from tidemark.plans import Commit, Snapshots, cycle, run_cycle, snapshots
+from tidemark.plans import Commit, Snapshots, cycle, ranges, run_cycle, snapshots
 from tidemark.plans.snapshots import ConcurrentPublish
 from tidemark.sources import incremental, page_folder, parse_records
 from tidemark.streaming import apply_batch, start_stream
@@ -232,7 +232,7 @@ def test_loads_nothing_needs_are_listed(spark, tmp_path, monkeypatch):
     with pytest.raises(OSError):
         run_cycle(store, source_of(spark, {"hash": "k", "lastRefresh": day(4)}), AS_OF)
     left = {(r.table, r.load) for r in store.unreferenced().collect()} - before
-    assert {table for table, _ in left} == {"landing", "flat", "replaced", "staged"}
+    assert {table for table, _ in left} == {"landing", "flat", "replaced", "counted", "staged"}
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10485760"])
@@ -463,3 +463,34 @@ def test_stored_records_survive_rewrites_unchanged(spark, store):
         run_cycle(store, source_of(spark, *again), AS_OF)
     text = store.flat().where("hash = 'odd'").select(F.to_json("raw").alias("t")).first().t
     assert json.loads(text) == odd
+
+
+def test_a_deep_page_reads_the_hours_that_hold_it(spark, tmp_path):
+    """At the default size of row groups, with replaced rows, unknown refreshes and a hot hour."""
+    store = Snapshots(spark, str(tmp_path / "s"), buckets=2)
+    rows = spark.range(120_000).select(
+        F.to_json(
+            F.struct(
+                F.md5(F.col("id").cast("string").cast("binary")).alias("hash"),
+                F.when(F.col("id") % 50 == 0, None)
+                .when(F.col("id") % 29 == 0, F.lit("2020-05-05T05:05:05Z"))
+                .otherwise(F.concat(F.date_format(F.timestamp_seconds(F.lit(1_500_000_000) + F.col("id") * 997), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+                .alias("lastRefresh"),
+            )
+        ).alias("value"),
+        F.col("id").alias("seq"),
+    )
+    apply_batch(store, parse_records(rows, "seq"), "s", 0)
+    again = rows.where("seq % 997 = 5").withColumn("value", F.regexp_replace("value", '"lastRefresh":"[^"]*"', '"lastRefresh":"2030-01-01T00:00:00Z"'))
+    apply_batch(store, parse_records(again, "seq"), "s", 1)
+    assert store.head().late
+    order = [r.hash for r in store.landing().orderBy(F.asc_nulls_first("lastrefresh"), "hash").select("hash").collect()]
+    for skip in (0, 2390, 60_000, 90_000, 119_800):
+        got = [(r.position, r.hash) for r in store.page(skip, 300).collect()]
+        assert got == list(zip(range(skip, skip + 300), order[skip : skip + 300], strict=False))
+    assert store.page(120_000, 10).collect() == []
+    counted = {r.bucket: r.n for r in store.counted(store.head()).groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    assert counted == {r.bucket: r["count"] for r in store.read("landing").groupBy("bucket").count().collect()}
+    span = ranges.span(store.counted(store.head()), 90_000, 300)
+    left = store.landing().select("hash", "lastrefresh").where(span.holds("lastrefresh"))
+    assert scanned_rows(left) < 0.05 * 120_000

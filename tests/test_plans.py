@@ -5,7 +5,7 @@ import re
 from datetime import date
 
 import pytest
-from helpers import formatted, plan, records
+from helpers import formatted, plan, records, scanned_rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import flat as flat_ops, landing as landing_ops, serve
@@ -115,15 +115,6 @@ def test_large_upsert_shuffles_each_side_once_and_writes_whole_buckets(spark, tm
     assert {r.pwnumber for r in store.flat().collect()} == {2} and store.flat().count() == 300
 
 
-def scanned_rows(df) -> int:
-    """Rows that the scan of an executed query gave; row groups that statistics or filters rule out give none."""
-    df.collect()
-    node = df._jdf.queryExecution().executedPlan()
-    while node.children().size():
-        node = node.children().apply(0)
-    return node.metrics().apply("numOutputRows").value()
-
-
 def test_row_groups_are_skipped(spark, tmp_path):
     """Dates and states by the order of the files, ids and disasters by Bloom filters; amounts by neither."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()

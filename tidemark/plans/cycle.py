@@ -78,6 +78,7 @@ def ingest(
         # The first batch is the table: it is written once, straight into its buckets.
         load = store.write("landing", _rebalanced(folded))
         batch = store.read_load("landing", load, folded.schema)
+        store.write_counts(load, batch)
     else:
         batch = store.stage(folded, "batch")
     per_bucket = (
@@ -115,12 +116,14 @@ def ingest(
         if replaced:
             store.write_replaced(load, met)
         new = store.read_load("landing", load, LANDING_SCHEMA)
+        store.write_counts(load, new.withColumn("bucket", bucket_of("hash", buckets)), met)
     else:
         # One shuffle of each side, and none for the write.
         old = store.read("landing", base, touched)
         result = landing_ops.upsert(_by_key(old, buckets), _by_key(batch, buckets), policy)
         load = store.write("landing", result.withColumn("bucket", bucket_of("hash", buckets)))
         replaced = new = None
+        store.write_counts(load, store.read("landing", base.with_load("landing", touched, load), touched))
     commit = replace(base, marks=marks).with_load("landing", touched, load, replaced)
     # A bucket's latest refresh can have been replaced by an older one only if the batch brought none as late.
     unsure = [b for b in touched if b in base.marks and (b not in latest or latest[b] < base.marks[b])]

@@ -10,6 +10,7 @@ out without comparing keys, and rows that did not change are not written again.
     <root>/landing/load=<id>/bucket=<n>/*.parquet
     <root>/flat/load=<id>/bucket=<n>/*.parquet
     <root>/replaced/load=<id>/*.parquet          places of rows in earlier loads
+    <root>/counted/load=<id>/*.parquet           rows of landing per bucket and hour of refresh
     <root>/commits/version=<n>/*.parquet         one row
 
 There is one writer at a time; a version that is there already is not written again.
@@ -25,8 +26,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.functions import from_micros
+from tidemark.plans import ranges
 from tidemark.schema import FLAT_SCHEMA, LANDING_SCHEMA
 from tidemark.session import broadcast_limit, prepare, whole_variants
+from tidemark.sources.paging import page, page_size
 
 TABLES = {"landing": LANDING_SCHEMA, "flat": FLAT_SCHEMA}
 
@@ -39,6 +42,9 @@ SEARCHED = {"landing"}
 # Columns looked up by value that the file order does not help: Bloom filters say which row groups lack a value.
 LOOKED_UP = {"landing": [], "flat": ["disasternumber", "gmprojectid", "gmapplicantid"]}
 
+# Rows that a reader takes or skips at once, inside a row group: few, so that a range of refreshes reads little else.
+PAGE_ROWS = 1000
+
 # Where a row lies. File names repeat from bucket to bucket.
 PLACE = ("bucket", "file", "row")
 
@@ -205,7 +211,7 @@ class Snapshots:
         load = uuid.uuid4().hex
         rows = df.sortWithinPartitions("bucket", *LAYOUT[table])
         with nullcontext() if table in SEARCHED else whole_variants(self.spark):
-            writer = rows.write.partitionBy("bucket")
+            writer = rows.write.partitionBy("bucket").option("parquet.page.row.count.limit", PAGE_ROWS)
             for column in LOOKED_UP[table]:
                 writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
                 if per_bucket is not None:
@@ -217,6 +223,37 @@ class Snapshots:
         """Write where the rows lie that a load replaces; call it before the commit that names the load."""
         places.select(*PLACE).coalesce(1).write.parquet(f"{self.root}/replaced/load={load}")
 
+    def write_counts(self, load: str, rows: DataFrame, replaced: DataFrame | None = None) -> None:
+        """Write how many rows of landing a load adds per bucket and hour, less those that it replaces."""
+        counted = ranges.counts(rows, ranges.COUNTED["landing"])
+        if replaced is not None:
+            counted = counted.unionByName(ranges.counts(replaced, ranges.COUNTED["landing"], -1))
+        counted.coalesce(1).write.parquet(f"{self.root}/counted/load={load}")
+
+    def counted(self, commit: Commit) -> DataFrame:
+        """``(bucket, at, n)`` of the loads that the buckets of landing hold in a commit."""
+        loads = {x for held in commit.landing.values() for x in held}
+        if not loads:
+            return self.spark.createDataFrame([], ranges.SCHEMA)
+        base = f"{self.root}/counted"
+        rows = self.spark.read.schema(f"{ranges.SCHEMA}, load string").option("basePath", base).parquet(*(f"{base}/load={x}" for x in sorted(loads)))
+        held = self._commits(commit.version).select(F.explode("landing").alias("bucket", "loads"))
+        return rows.join(held.select("bucket", F.explode("loads").alias("load")), ["bucket", "load"], "left_semi").drop("load")
+
+    def page(self, skip: int, top: int, columns: tuple[str, ...] = ranges.PAGED_BY) -> DataFrame:
+        """One page of the newest landing table in the order of refresh and key, with ``position``.
+
+        The counts of the loads say which hours hold it; only those are read and put in order.
+        """
+        commit = self.head()
+        size = page_size(top)
+        span = ranges.span(self.counted(commit), skip, size)
+        rows = self.landing(commit).select(*dict.fromkeys([*columns, *ranges.PAGED_BY]))
+        if span is None:
+            return rows.limit(0).withColumn("position", F.lit(0).cast("long")).select(*columns, "position")
+        found = page(rows.where(span.holds(ranges.PAGED_BY[0])), skip - span.before, size, list(ranges.PAGED_BY))
+        return found.select(*columns, (F.col("position") + span.before).alias("position"))
+
     def fits_above(self, commit: Commit, rows: int) -> bool:
         """May a load that replaces so many rows go on top of others, or would readers have too much to leave out?"""
         return (rows + sum(commit.late.values())) * _PLACE_BYTES <= broadcast_limit(self.spark)
@@ -250,11 +287,11 @@ class Snapshots:
         """
         commits = self.versions()[-keep:]
         named = self.spark.createDataFrame([], "table string, load string")
-        for table, loads in (*((t, F.flatten(F.map_values(t))) for t in TABLES), ("replaced", F.map_keys("late"))):
+        for table, loads in (*((t, F.flatten(F.map_values(t))) for t in TABLES), ("replaced", F.map_keys("late")), ("counted", F.flatten(F.map_values("landing")))):
             if commits:
                 named = named.union(self._commits(*commits).select(F.lit(table), F.explode(loads)))
         found = self.spark.createDataFrame([], "table string, load string")
-        for table in (*TABLES, "replaced", "staged"):
+        for table in (*TABLES, "replaced", "counted", "staged"):
             files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
             try:
                 paths = files.load(f"{self.root}/{table}").select("path")

@@ -22,16 +22,14 @@ _FILE = "struct<begun: timestamp, landed: timestamp, series: string, place: arra
 
 
 def _place(name: Column) -> tuple[Column, Column]:
-    """The series a file belongs to and its place there: 12 for page-000012.json.
+    """The series a file belongs to and its place there: 12 for page-000012.json, -1 for a name without a number.
 
     The place is the last number of a name, or task and file number of a file that Spark wrote. What
     is left of the name is the series, so the files of one write, or of one day, are one series.
     """
     by_spark = name.rlike(_SPARK_PART)
     digits = F.regexp_extract(name, r"(\d+)\D*$", 1)
-    number = F.when(digits != "", digits.cast("long")).otherwise(
-        F.raise_error(F.concat(F.lit("page file name carries no sequence number: "), name)).cast("long")
-    )
+    number = F.when(digits != "", digits.cast("long")).otherwise(F.lit(-1))
     places = [F.regexp_extract(name, _SPARK_PART, k).cast("long") for k in (1, 2)]
     place = F.when(by_spark, F.array(*places)).otherwise(F.array(number))
     spark_rest = F.regexp_replace(name, r"^part-\d+-(.*)-c\d+", "$1")
@@ -87,10 +85,12 @@ def in_sequence(landed: DataFrame, per_line: bool = False, by_name: bool = False
     One short row per series, and one per file, is all that this needs to know beforehand.
     """
     files = landed.groupBy("series", "place", "path").agg(F.min("landed").alias("landed"))
-    message = F.concat(F.lit("files without an order between them: "), F.col("tied"))
-    checked = F.when(F.col("tied").isNull(), F.col("file")).otherwise(F.raise_error(message).cast(_FILE))
+    nameless = F.when(F.element_at("place", 1) < 0, F.concat(F.lit("page file name carries no sequence number: "), "series"))
+    message = F.coalesce(nameless, F.concat(F.lit("files without an order between them: "), F.col("tied")))
     # Written, so that its size is known: it is sent to where the pages are read if it fits the broadcast limit.
-    order = written(_ordered(files, by_name).select("series", "place", checked.alias("file")).distinct(), "order")
+    order = written(_ordered(files, by_name).select("series", "place", "file", message.alias("message")).distinct(), "order")
+    checked = F.when(F.col("message").isNull(), F.col("file")).otherwise(F.raise_error("message").cast(_FILE))
+    order = order.select("series", "place", checked.alias("file"))
     # The generated id only ever compares lines of one split of one file, where it grows with the line.
     lines = landed.drop("landed").withColumn("line", F.monotonically_increasing_id() if per_line else F.lit(0))
     known = lines.join(order, ["series", "place"])

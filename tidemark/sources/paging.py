@@ -1,6 +1,7 @@
 """Offset pages and refresh-filtered extracts over any table of records."""
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -38,11 +39,17 @@ def numbered(df: DataFrame, by: list[str]) -> DataFrame:
 def page(df: DataFrame, skip: int, top: int, by: list[str], cap: int = PAGE_CAP) -> DataFrame:
     """Rows ``skip .. skip+top`` in the order of ``by``, which must be a total order, with their ``position``.
 
-    However deep the page lies, only its own rows are sorted a second time.
+    However deep the page lies, only its own rows are sorted a second time. Only ``by`` is sorted and written; the page's
+    other columns are looked up by it, and its rows are at most ``cap``.
     """
     position = F.col("position")
     inside = (position >= skip) & (position < skip + page_size(top, cap))
-    return numbered(df, by).where(inside).orderBy("position")
+    found = numbered(df.select(*by), by).where(inside)
+    if set(df.columns) - set(by):
+        keys = F.broadcast(found.select("position", *(F.col(c).alias(f"_by_{c}") for c in by)))
+        same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by))
+        found = df.join(keys, same)
+    return found.select(*df.columns, "position").orderBy("position")
 
 
 def pages(df: DataFrame, top: int, by: list[str], cap: int = PAGE_CAP) -> DataFrame:

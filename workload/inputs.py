@@ -142,6 +142,7 @@ def copied(store: Snapshots, root: str) -> Snapshots:
     for table in ("landing", "flat"):
         rows = store.read(table, head)
         loads[table] = copy.write(table, rows, rows.count() * 5 // (4 * max(1, len(head.flat))))
+    copy.write_counts(loads["landing"], store.read("landing", head))
     held = {table: {b: [load] for b in getattr(head, table)} for table, load in loads.items()}
     synced = dict.fromkeys(head.flat, loads["landing"])
     copy.publish(replace(head, version=1, **held, synced=synced, late={}))

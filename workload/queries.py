@@ -156,8 +156,8 @@ def page_window(spark: SparkSession, sf: str) -> DataFrame:
 
 def page_deep(spark: SparkSession, sf: str) -> DataFrame:
     """A page three quarters into the whole published landing table, records without a refresh included."""
-    landing = inputs.published(spark, sf).landing().select("hash", "lastrefresh")
-    return plain(page(landing, landing.count() * 3 // 4, 500, ["lastrefresh", "hash"]))
+    store = inputs.published(spark, sf)
+    return plain(store.page(store.landing().count() * 3 // 4, 500))
 
 
 def _dropped(spark: SparkSession, sf: str, folder: str):
