@@ -89,7 +89,7 @@ def in_sequence(landed: DataFrame, per_line: bool = False, by_name: bool = False
     message = F.coalesce(nameless, F.concat(F.lit("files without an order between them: "), F.col("tied")))
     # Written, so that its size is known: it is sent to where the pages are read if it fits the broadcast limit.
     order = written(_ordered(files, by_name).select("series", "place", "file", message.alias("message")).distinct(), "order")
-    checked = F.when(F.col("message").isNull(), F.col("file")).otherwise(F.raise_error("message").cast(_FILE))
+    checked = F.when(F.col("message").isNull(), F.col("file")).otherwise(F.raise_error(F.col("message")).cast(_FILE))
     order = order.select("series", "place", checked.alias("file"))
     # The generated id only ever compares lines of one split of one file, where it grows with the line.
     lines = landed.drop("landed").withColumn("line", F.monotonically_increasing_id() if per_line else F.lit(0))
