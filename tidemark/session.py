@@ -21,6 +21,7 @@ SETTINGS = {
 }
 
 _local_dirs: dict[str, str] = {}
+_noted: list[list[str]] = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -48,7 +49,30 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other call returns."""
-    return f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    for paths in _noted:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def noting_scratch():
+    """Within this block, the list it gives gets every scratch path that is handed out."""
+    paths: list[str] = []
+    _noted.append(paths)
+    try:
+        yield paths
+    finally:
+        _noted[:] = [other for other in _noted if other is not paths]
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders. Only for tables that nothing reads any more, also not to make lost rows anew."""
+    for path in paths:
+        if f"/tidemark/{spark.sparkContext.applicationId}/" not in path:
+            raise ValueError(f"{path} is no scratch folder")
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @contextmanager
