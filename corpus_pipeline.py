@@ -8,6 +8,7 @@ which the second stage keeps one. An empty table stays empty. Further columns ar
 """
 
 from collections.abc import Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm import decontaminate, packing, quality, suffixes
 from tidemark.llm.common import keyed, placed, ready, table
 from tidemark.llm.partenum import Join
-from tidemark.session import written
+from tidemark.session import discard, noting_scratch, written
 
 #: Near copies: sets of five-word n-grams with a similarity of 0.8 or more.
 WORDS, NUM, DEN = 5, 80, 100
@@ -53,6 +54,29 @@ def _without(found: DataFrame, without_spans) -> DataFrame:
     return found.select("doc", "spans").mapInArrow(_cut(without_spans), f"doc {kind}").select("doc.*")
 
 
+#: Tables that stages wrote on their way, by application. A stage's result is written before the next stage begins, which needs none of them.
+_left: dict[str, list[str]] = {}
+
+
+def _stage(step):
+    """Before a stage begins, delete what earlier ones left; its documents must not be read from there."""
+
+    @wraps(step)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        left = _left.setdefault(spark.sparkContext.applicationId, [])
+        read = {file.rsplit("/", 2)[-2] for file in docs.inputFiles()}
+        if not any(path.rsplit("/", 1)[-1] in read for path in left):
+            discard(spark, left)
+            left.clear()
+        with noting_scratch() as paths:
+            kept = step(spark, docs, sf_dir)
+        left += paths
+        return kept
+
+    return run
+
+
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go, and boilerplate lines are taken out of the texts of the others."""
     docs = placed(docs)
@@ -60,6 +84,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _without(keyed(_whole(docs), "doc").join(kept, ["row_file", "row_at"]), quality.without_lines)
 
 
+@_stage
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, the one with the smallest ``doc_id`` stays; documents without words all do."""
     docs = placed(docs)
@@ -69,17 +94,20 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _kept(docs, first.select("row.row_file", "row.row_at").union(alone))
 
 
+@_stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 400 bytes and more that stand anywhere else too are taken out of the texts."""
     return _without(suffixes.with_spans(_whole(docs), "doc"), suffixes.without_spans)
 
 
+@_stage
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words within benchmark phrases are taken out of the texts."""
     found = decontaminate.scanned(_whole(docs), table(spark, sf_dir, "benchmark"), "doc")
     return _without(found, decontaminate.without_spans)
 
 
+@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces in sequences of at most 2048 tokens."""
     return packing.packed_rows(docs)
@@ -100,8 +128,13 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     docs = table(spark, sf_dir, "documents")
+    before: list[str] = []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        kept = stage(spark, docs, sf_dir)
+        with noting_scratch() as paths:
+            docs = written(kept, name.replace(" ", "-"))
+        discard(spark, before)
+        before = paths
     return docs
 
 
