@@ -31,6 +31,8 @@ LARGE = 5
 LEAST = 1
 #: Rows of a packet, and ways that the bigrams of one word are dealt out, as a word can hold a third of them.
 PACKET, SALTS = 4096, 8
+#: Tokens that a packet asks for at once: it asks in stretches of so many, or of one text.
+STRETCH = 2_000_000
 START, END = np.uint64(0x5354415254000001), np.uint64(0x454E440000000001)
 
 WORD, ASKED, BIGRAM, TOLD, SMALL = range(5)
@@ -143,7 +145,10 @@ def _sent(buckets: int):
             some = order[cuts[k] : cuts[k + 1]]
             h, w = own.pairs(some)
             heads, sizes = np.unique(h, return_counts=True)
-            rows.append((TOLD, k, *head, rising(heads), planes(sizes.astype("<u4")), planes(w.astype("<u8")), planes(times[some].astype("<u4"))))
+            # Second words by their numbers in a list of the different ones, which come again and again.
+            seconds, which = np.unique(w, return_inverse=True)
+            told = np.concatenate([[len(seconds)], which]).astype("<u4")
+            rows.append((TOLD, k, *head, rising(heads), planes(sizes.astype("<u4")), planes(told) + rising(seconds), planes(times[some].astype("<u4"))))
         kinds = (pa.int32(), pa.int32(), *[pa.int64()] * 3, *[pa.binary()] * 4)
         names = ("kind", "bucket", "packet", "row_from", "row_to", "a", "b", "c", "d")
         return pa.RecordBatch.from_pydict({n: pa.array(x, t) for n, x, t in zip(names, zip(*rows, strict=True), kinds, strict=True)})
@@ -154,7 +159,7 @@ def _sent(buckets: int):
             packets, at = batch.column("packet").to_numpy(), batch.column("row_at").to_numpy()
             cuts = np.flatnonzero(np.diff(packets)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(packets)], strict=True):
-                if parts and packets[a] != packet:
+                if parts and (packets[a] != packet or sum(len(p[0]) for p in parts) >= STRETCH):
                     yield flush(packet, rows, parts)
                     rows, parts = [], []
                 packet = int(packets[a])
@@ -168,6 +173,12 @@ def _sent(buckets: int):
     return run
 
 
+def second_words(x: bytes, n: int) -> np.ndarray:
+    """The second words of ``n`` bigrams, from the number of different ones, a number for each bigram, and the different ones."""
+    told = numbers(x[: 4 * (n + 1)], "<u4")
+    return risen(x[4 * (n + 1) :])[told[1:]]
+
+
 COUNTED = "kind int, bucket int, packet long, row_from long, row_to long, h long, w long, n long, a binary"
 
 
@@ -191,7 +202,7 @@ def _counted(group: pa.Table) -> pa.Table:
         return pa.concat_tables([_rows(WORD, len(distinct), h=distinct.view(np.int64), n=total), _rows(ASKED, group.num_rows, a=sent["a"], **asker)])
     heads = [np.repeat(risen(a), numbers(b, "<u4")) for a, b in zip(sent["a"], sent["b"], strict=True)]
     sizes = [len(x) for x in heads]
-    h, w = np.concatenate(heads), np.concatenate([numbers(c, "<u8") for c in sent["c"]])
+    h, w = np.concatenate(heads), np.concatenate([second_words(c, n) for c, n in zip(sent["c"], sizes, strict=True)])
     counts = np.concatenate([numbers(d, "<u4") for d in sent["d"]]).astype(np.int64)
     pairs = pair(h, w)
     order = np.argsort(pairs)
@@ -199,10 +210,13 @@ def _counted(group: pa.Table) -> pa.Table:
     first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
     total = np.add.reduceat(counts, first)
     small = np.bincount(total[total <= LARGE + 1], minlength=LARGE + 2)
-    kept = order[first][total >= LEAST]
+    kept, times = order[first][total >= LEAST], total[total >= LEAST]
+    # Bigrams of one first word side by side take less room.
+    by_head = np.lexsort((w[kept], h[kept]))
+    kept, times = kept[by_head], times[by_head]
     out = [
         _rows(SMALL, LARGE + 1, h=np.arange(1, LARGE + 2), n=small[1:]),
-        _rows(BIGRAM, len(kept), h=h[kept].view(np.int64), w=w[kept].view(np.int64), n=total[total >= LEAST]),
+        _rows(BIGRAM, len(kept), h=h[kept].view(np.int64), w=w[kept].view(np.int64), n=times),
     ]
     # Back to the order in which they came, to tell each packet about its own.
     every = np.empty(len(order), np.int64)
@@ -347,7 +361,7 @@ def _scores(buckets: int, tokens: int, types: int, by_word: list[float], word_sc
             at = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come by packet: first what it is told, by the rows that asked together, then its documents.
+        # Rows come by packet, and within it by stretch: what the rows that asked together are told, then their documents.
         packet, told, held, upto = None, {}, [], -1
         for batch in sliced(batches, "text"):
             kinds, packets, rows = (batch.column(c).to_numpy() for c in ("kind", "packet", "row_from"))
@@ -358,6 +372,9 @@ def _scores(buckets: int, tokens: int, types: int, by_word: list[float], word_sc
                         yield from score(held, told[upto])
                     packet, told, held, upto = packets[a], {}, [], -1
                 if kinds[a] != SMALL:
+                    if held:
+                        yield from score(held, told[upto])
+                        told, held, upto = {}, [], -1
                     some = batch.slice(a, b - a)
                     for to, kind, bucket, *blobs in zip(*(some.column(c).to_pylist() for c in ("row_to", "kind", "bucket", *"abcd")), strict=True):
                         told.setdefault(to, {})[kind, bucket] = blobs
@@ -400,7 +417,7 @@ def scored(docs: DataFrame) -> DataFrame:
     told = counts.where(F.col("kind") == TOLD).select(*asker, "a", F.lit(TOLD).alias("kind"))
     told = answers.withColumn("kind", F.lit(ASKED)).unionByName(told, allowMissingColumns=True)
     texts = rows.select("packet", F.lit(SMALL).alias("kind"), F.col("row_at").alias("row_from"), "doc_id", "held_out", "text")
-    both = told.unionByName(texts, allowMissingColumns=True).repartition("packet").sortWithinPartitions("packet", "kind", "row_from")
+    both = told.unionByName(texts, allowMissingColumns=True).repartition("packet").sortWithinPartitions("packet", "row_from", "kind")
     parts = (model.tokens, model.types, model.word_discounts, model.word_scale, model.unknown, model.bigram_discounts)
     return both.mapInArrow(_scores(buckets, *parts), SCORED)
 
