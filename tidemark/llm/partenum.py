@@ -36,10 +36,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.common import LOWER, PRINTED, hashed, keyed, mixed, placed, ready, runs, sliced, table, texts_of, windows
 from tidemark.llm.components import components
-from tidemark.session import written
+from tidemark.session import discard, noting_scratch, written
 
-#: Rows of a packet.
-PACKET = 2048
+#: Rows of a packet, and bytes of elements that it asks for at once: it asks in stretches of so many, or of one text.
+PACKET, STRETCH = 2048, 8 << 20
 #: Components that the members of a signature may be in and still be paired one by one.
 PAIRED = 4
 #: Sets that a set is compared with first, those that share most of its signatures.
@@ -168,7 +168,7 @@ def _asked(size: int, buckets: int):
             packets, at = batch.column("packet").to_numpy(), batch.column("row_at").to_numpy()
             cuts = np.flatnonzero(np.diff(packets)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(packets)], strict=True):
-                if rows and packets[a] != packet:
+                if rows and (packets[a] != packet or sum(x.nbytes for x in sets) >= STRETCH):
                     yield flush(packet, rows, sets)
                     rows, sets = [], []
                 packet = int(packets[a])
@@ -241,7 +241,7 @@ def _signed(size: int, num: int, den: int, buckets: int):
         yield from flush({k: v for k, v in found.items() if len(v)} or {bytes(16): np.zeros(0, np.uint64)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come by packet: what it is told, by the rows that asked together, then its texts.
+        # Rows come by packet, and within it by stretch: what the rows that asked together are told, then their texts.
         bands, packet, told, held, upto = Bands(num, den), None, {}, [], -1
         for batch in sliced(batches, "text"):
             packets, rows = (batch.column(c).to_numpy() for c in ("packet", "row_from"))
@@ -253,6 +253,9 @@ def _signed(size: int, num: int, den: int, buckets: int):
                         yield from packet_of(bands, held, told.get(upto, {}))
                     packet, told, held, upto = packets[a], {}, [], -1
                 if kinds[a] == 0:
+                    if held:
+                        yield from packet_of(bands, held, told.get(upto, {}))
+                        told, held, upto = {}, [], -1
                     some = batch.slice(a, b - a)
                     for to, bucket, n, bits in zip(*(some.column(c).to_pylist() for c in ("row_to", "bucket", "elements", "shared")), strict=True):
                         told.setdefault(to, {})[bucket] = (n, bits)
@@ -366,13 +369,15 @@ class Join:
         packet = F.xxhash64("row_file", F.expr(f"row_at div {PACKET}")).alias("packet")
         rows = keyed(self.docs, "doc_id", "text").select("*", packet)
         asked = rows.select("row_at", "packet", "text").mapInArrow(_asked(size, buckets), ASKED)
-        answers = written(
-            asked.groupBy("bucket").applyInArrow(_answered, "bucket int, packet long, row_from long, row_to long, elements long, shared binary"), "answers"
-        )
+        with noting_scratch() as passed:
+            answers = written(
+                asked.groupBy("bucket").applyInArrow(_answered, "bucket int, packet long, row_from long, row_to long, elements long, shared binary"), "answers"
+            )
         texts = rows.select("packet", F.lit(1).alias("kind"), F.col("row_at").alias("row_from"), "row_file", "doc_id", "text")
         both = answers.withColumn("kind", F.lit(0)).unionByName(texts, allowMissingColumns=True)
-        both = both.repartition("packet").sortWithinPartitions("packet", "kind", "row_from")
+        both = both.repartition("packet").sortWithinPartitions("packet", "row_from", "kind")
         signed = written(both.mapInArrow(_signed(size, num, den, 2 * buckets), SIGNED), "sets")
+        discard(spark, passed)
         self.rows = signed.where("bucket IS NULL").select("row_file", "row_at", "doc_id", "n_shingles", "node")
         blobs = signed.where("bucket IS NOT NULL").select("bucket", "nodes", "signatures", "owners")
         self.found = written(blobs.groupBy("bucket").applyInArrow(_shared, "signature long, u binary, v binary, shares long"), "shared")
