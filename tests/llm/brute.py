@@ -23,7 +23,6 @@ def encoder(name):
     from tokenizers import Tokenizer
 
     out = Tokenizer.from_file(public_tokenizers.path(name))
-    out.encode_special_tokens = True
     return lambda text: out.encode(text or "", add_special_tokens=False).ids
 
 

@@ -18,7 +18,7 @@ from tidemark.llm.tokens import encoder
 @pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_pieces_encode_like_whole_texts(name, spaced):
     rng = random.Random(1)
-    parts = ["a", "b", " ", "  ", "\n", "\t", ".", "'s", "don't", "é", "\u00a0", "\u3000", "1", "\x01", " \n", "\u0301", "<|endoftext|>", "İ", "Σ", "日本", "🙂", "\r\n", "\x85"]
+    parts = ["a", "b", " ", "  ", "\n", "\t", ".", "'s", "don't", "é", "\u00a0", "\u3000", "1", "\x01", " \n", "\u0301", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "İ", "Σ", "日本", "🙂", "\r\n", "\x85"]
     texts = [None, "", " ", "  "] + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 40))) for _ in range(2000)]
     ids, counts = encoder(public_tokenizers.path(name), spaced).encode(pa.array(texts))
     plain, at = brute.encoder(name), 0

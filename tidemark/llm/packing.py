@@ -22,12 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.common import ready, sliced, table
-from tidemark.llm.tokens import SLICE, encoder, with_end
+from tidemark.llm.tokens import SLICE, encoder, forget, with_end
 from tidemark.session import written
 
 CAPACITY = 2048
 
-PIECES = "part int, doc_id long, piece int, start long, length int, local_rank long, ids binary"
+PIECES = "part int, doc_id long, piece int, start long, length int, local_rank long, ids binary, ids_crc32 long"
 
 
 @dataclass
@@ -118,7 +118,7 @@ def _pieces(path: str, spaced: bool, end: int, capacity: int):
             coder = encoder(path, spaced)
             ids, counts = with_end(*coder.encode(batch.column("text")), end)
             kind = "<u2" if max(end, coder.tokenizer.get_vocab_size()) < 1 << 16 else "<u4"
-            data = memoryview(ids.astype(kind).tobytes())
+            data, wide = memoryview(ids.astype(kind).tobytes()), memoryview(ids.astype("<u4").tobytes())
             width = np.dtype(kind).itemsize
             n_pieces = -(-counts // capacity)
             doc = np.repeat(np.arange(len(counts)), n_pieces)
@@ -143,6 +143,7 @@ def _pieces(path: str, spaced: bool, end: int, capacity: int):
                         [bytes(data[width * a : width * (a + n)]) for a, n in zip(at.tolist(), length.tolist(), strict=True)],
                         pa.binary(),
                     ),
+                    "ids_crc32": pa.array([zlib.crc32(wide[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist(), strict=True)], pa.int64()),
                 }
             )
 
@@ -175,6 +176,7 @@ def _placed(pieces: DataFrame, plan: tuple[np.ndarray, ...], columns: tuple[str,
     keys = (lengths << 44) + ranks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             length, rank = (batch.column(c).to_numpy().astype(np.int64) for c in ("length", "rank"))
             row = np.searchsorted(keys, (length << 44) + rank, side="right") - 1
@@ -186,24 +188,12 @@ def _placed(pieces: DataFrame, plan: tuple[np.ndarray, ...], columns: tuple[str,
     return ranked.mapInArrow(run, f"{schema}, sequence_id long, offset long")
 
 
-def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("part", "doc_id", "piece", "start", "length", "local_rank")
-    for batch in batches:
-        crcs = []
-        for length, ids in zip(batch.column("length").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-            crcs.append(zlib.crc32(np.frombuffer(ids, f"<u{len(ids) // length}").astype("<u4").tobytes()))
-        out = {c: batch.column(c) for c in names}
-        yield pa.RecordBatch.from_pydict({**out, "ids_crc32": pa.array(crcs, pa.int64())})
-
-
 def packed_rows(docs: DataFrame) -> DataFrame:
     """Per piece its place and the checksum of its ids, with the word-level tokenizer and end id 0."""
     import public_tokenizers
 
     done = pack(docs, public_tokenizers.path("word_bpe_49k.json"), end=0)
-    checked = done.pieces.mapInArrow(_crc, PIECES.replace("ids binary", "ids_crc32 long"))
-    placed = Packing(checked, done.plan, done.n_sequences).places("ids_crc32")
-    return placed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+    return done.places("ids_crc32").select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
 
 
 def op9_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Both tokenizers cut a text before any rule joins characters, and never join across a space that a
 non-space follows (byte-level: the space belongs to the next piece; word ends: spaces are dropped). So a
-text's ids are the ids of its pieces in order. Texts for which that is not certain are encoded whole.
+text's ids are the ids of its pieces in order. Texts for which that is not certain are encoded whole, and so are those that
+hold the name of a special token, which gives that token's id, as the library has it by default.
 """
 
 import os
@@ -74,9 +75,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
         vocabulary = self.tokenizer.get_vocab()
+        names = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = f"(?i:{'|'.join(names)})" if names else None
         # Ids that begin a piece (byte-level: those with a leading space), or that stand between two.
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         if spaced:
@@ -87,7 +89,6 @@ class Encoder:
             self.ends = np.zeros(len(self.edge), bool)
             self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
             self.bare = Tokenizer.from_file(path)
-            self.bare.encode_special_tokens = True
             self.bare.normalizer = None
         self.memory = Memory()
         self.starts = np.zeros(1024, np.int64)
@@ -147,10 +148,12 @@ class Encoder:
         """All ids (uint32) and the number of ids of each text. NULL counts as empty."""
         frozen = (self.n_slots, self.n_ids) if self.n_slots >= REMEMBERED else None
         texts = texts.cast(pa.string()).fill_null("")
-        pieces = texts
+        odd = pc.match_substring_regex(texts, self.special) if self.special else pa.repeat(False, len(texts))
         if self.spaced:
-            odd = pc.match_substring_regex(texts, ODD)
-            pieces = pc.replace_substring(pc.if_else(odd, "", texts), " ", "\x01 ")
+            odd = pc.or_(odd, pc.match_substring_regex(texts, ODD))
+        pieces = pc.if_else(odd, "", texts)
+        if self.spaced:
+            pieces = pc.replace_substring(pieces, " ", "\x01 ")
         pieces = pc.split_pattern(pieces, "\x01" if self.spaced else " ")
         offsets = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
         coded = pieces.flatten().dictionary_encode()
@@ -174,7 +177,7 @@ class Encoder:
         if frozen is None:
             self.memory.add(keys[new], checks[new], slots[new])
         indices = coded.indices
-        if self.spaced and pc.any(odd).as_py():
+        if pc.any(odd).as_py():
             whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
             slots = np.concatenate([slots, self._put_each(texts.take(pa.array(whole)).to_pylist())])
             indices = indices.to_numpy().copy()
@@ -191,6 +194,11 @@ class Encoder:
         return taken.flatten().to_numpy().astype(np.uint32), np.diff(ends[offsets])
 
 
+def forget() -> None:
+    """Give up the encoders of this worker process, for tasks that need none."""
+    _encoders.clear()
+
+
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Append one id to each text."""
     ends = np.cumsum(counts + 1)
