@@ -58,6 +58,16 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(F.xxhash64("_metadata.file_path").alias("row_file"), F.col("_metadata.row_index").alias("row_at"), *columns)
 
 
+#: Bytes of text whose hashes meet in one group of a shuffle; what a group takes in memory is some ten times as much.
+GROUP = 6 << 20
+
+
+def groups_for(docs: DataFrame) -> int:
+    """How many groups the hashes of all texts are dealt to: by their bytes, and no fewer than the session has partitions."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // GROUP))
+
+
 def texts_of(column) -> tuple[np.ndarray, np.ndarray]:
     """A text column as ``(bytes, offsets)``; NULL is empty. Sixteen zero bytes follow the last text."""
     if isinstance(column, pa.ChunkedArray):
@@ -70,7 +80,7 @@ def texts_of(column) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def _release() -> None:
+def release() -> None:
     """Give memory that a task has freed back to the system; workers live on, and executors are counted with them."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -83,7 +93,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE) -
     try:
         yield from _sliced(batches, column, limit)
     finally:
-        _release()
+        release()
 
 
 def _sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:

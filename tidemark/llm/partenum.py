@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import LOWER, PRINTED, hashed, keyed, mixed, placed, ready, runs, sliced, table, texts_of, windows
+from tidemark.llm.common import LOWER, PRINTED, groups_for, hashed, keyed, mixed, placed, ready, release, runs, sliced, table, texts_of, windows
 from tidemark.llm.components import components
 from tidemark.session import discard, noting_scratch, written
 
@@ -182,6 +182,7 @@ def _asked(size: int, buckets: int):
 
 def _answered(group: pa.Table) -> pa.Table:
     """Of one range of hashes: per packet, which of its elements some other set has too."""
+    release()
     asked = [np.cumsum(_from_planes(x, "<u8")) for x in group.column("elements").to_pylist()]
     twice = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(a)) for a, x in zip(asked, group.column("twice").to_pylist(), strict=True)]
     elements = np.concatenate(asked)
@@ -277,6 +278,7 @@ def _signed(size: int, num: int, den: int, buckets: int):
 
 def _shared(group: pa.Table) -> pa.Table:
     """Of one range of signatures: those that several sets have, with their sets."""
+    release()
     nodes, signatures, owners, base = [], [], [], 0
     for keys, deltas, local in zip(*(group.column(c).to_pylist() for c in ("nodes", "signatures", "owners")), strict=True):
         nodes.append(np.frombuffer(keys, np.uint8).reshape(-1, 16))
@@ -365,7 +367,7 @@ class Join:
         spark = ready(docs.sparkSession)
         self.size, self.num, self.den = size, num, den
         self.docs = placed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = groups_for(self.docs)
         packet = F.xxhash64("row_file", F.expr(f"row_at div {PACKET}")).alias("packet")
         rows = keyed(self.docs, "doc_id", "text").select("*", packet)
         asked = rows.select("row_at", "packet", "text").mapInArrow(_asked(size, buckets), ASKED)
