@@ -62,10 +62,10 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
 GROUP = 6 << 20
 
 
-def groups_for(docs: DataFrame) -> int:
-    """How many groups the hashes of all texts are dealt to: by their bytes, and no fewer than the session has partitions."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // GROUP))
+def groups_for(docs: DataFrame, *sizes: int) -> list[int]:
+    """How many groups of at most so many bytes of text all texts make, each time no fewer than the session has partitions."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return [max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // size)) for size in sizes]
 
 
 def texts_of(column) -> tuple[np.ndarray, np.ndarray]:

@@ -34,12 +34,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import LOWER, PRINTED, groups_for, hashed, keyed, mixed, placed, ready, release, runs, sliced, table, texts_of, windows
+from tidemark.llm.common import GROUP, LOWER, PRINTED, groups_for, hashed, keyed, mixed, placed, ready, release, runs, sliced, table, texts_of, windows
 from tidemark.llm.components import components
 from tidemark.session import discard, noting_scratch, written
 
 #: Rows of a packet, and bytes of elements that it asks for at once: it asks in stretches of so many, or of one text.
 PACKET, STRETCH = 2048, 8 << 20
+#: Bytes of text whose signatures meet in one group. Each group is told the sets of every stretch that it has signatures of, so fewer
+#: and larger groups take less disk.
+SIGNATURE_GROUP = 24 << 20
 #: Components that the members of a signature may be in and still be paired one by one.
 PAIRED = 4
 #: Sets that a set is compared with first, those that share most of its signatures.
@@ -367,7 +370,7 @@ class Join:
         spark = ready(docs.sparkSession)
         self.size, self.num, self.den = size, num, den
         self.docs = placed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-        buckets = groups_for(self.docs)
+        buckets, signature_buckets = groups_for(self.docs, GROUP, SIGNATURE_GROUP)
         packet = F.xxhash64("row_file", F.expr(f"row_at div {PACKET}")).alias("packet")
         rows = keyed(self.docs, "doc_id", "text").select("*", packet)
         asked = rows.select("row_at", "packet", "text").mapInArrow(_asked(size, buckets), ASKED)
@@ -378,7 +381,7 @@ class Join:
         texts = rows.select("packet", F.lit(1).alias("kind"), F.col("row_at").alias("row_from"), "row_file", "doc_id", "text")
         both = answers.withColumn("kind", F.lit(0)).unionByName(texts, allowMissingColumns=True)
         both = both.repartition("packet").sortWithinPartitions("packet", "row_from", "kind")
-        signed = written(both.mapInArrow(_signed(size, num, den, 2 * buckets), SIGNED), "sets")
+        signed = written(both.mapInArrow(_signed(size, num, den, signature_buckets), SIGNED), "sets")
         discard(spark, passed)
         self.rows = signed.where("bucket IS NULL").select("row_file", "row_at", "doc_id", "n_shingles", "node")
         blobs = signed.where("bucket IS NOT NULL").select("bucket", "nodes", "signatures", "owners")
