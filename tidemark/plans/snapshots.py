@@ -123,13 +123,21 @@ class Snapshots:
             raise
         return sorted({int(re.search(r"/version=(\d+)/", f)[1]) for f in files})
 
+    def paths(self, pattern: str) -> list[str]:
+        """Files under the root that match a pattern."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
+        found = place.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(place)
+        return [str(f.getPath()) for f in found or []]
+
     def head(self) -> Commit:
         """The newest commit; an empty one if nothing was ever published."""
         versions = self.versions()
-        if not versions:
-            return Commit()
+        return self.commit(versions[-1]) if versions else Commit()
+
+    def commit(self, version: int) -> Commit:
+        """A published commit."""
         instants = F.transform_values("marks", lambda _, at: F.unix_micros(at))
-        row = self._commits(versions[-1]).withColumn("marks", instants).first().asDict()
+        row = self._commits(version).withColumn("marks", instants).first().asDict()
         row["marks"] = {b: from_micros(at) for b, at in (row["marks"] or {}).items()}
         return Commit(**{k: v if v is not None else {} for k, v in row.items()})
 
@@ -145,22 +153,23 @@ class Snapshots:
         wanted = held if buckets is None else {b: held[b] for b in buckets if b in held}
         columns = [*TABLES[table].names, *(PLACE if placed else PLACE[:1])]
         plain = {b: loads for b, loads in wanted.items() if len(loads) == 1}
-        rows = self._loads(table, plain, placed).select(*columns)
+        rows = self.loads(table, plain, placed).select(*columns)
         layered = {b: loads for b, loads in wanted.items() if len(loads) > 1}
         if not layered:
             return rows
         replacing = sorted({x for loads in layered.values() for x in loads[1:]} & set(commit.late))
-        left = self._loads(table, layered, placed or bool(replacing))
+        left = self.loads(table, layered, placed or bool(replacing))
         if replacing:
-            left = left.join(F.broadcast(self._replaced(replacing)), list(PLACE), "left_anti")
+            left = left.join(F.broadcast(self.replaced(replacing)), list(PLACE), "left_anti")
         return rows.unionByName(left.select(*columns)) if plain else left.select(*columns)
 
-    def _replaced(self, loads: list[str]) -> DataFrame:
+    def replaced(self, loads: list[str]) -> DataFrame:
+        """The places of rows that the given loads replace."""
         base = f"{self.root}/replaced"
         return self.spark.read.schema("bucket int, file string, row long").parquet(*(f"{base}/load={x}" for x in loads))
 
-    def _loads(self, table: str, wanted: dict[int, list[str]], placed: bool) -> DataFrame:
-        """Rows of the given loads of each bucket, with ``bucket`` and, if ``placed``, ``file`` and ``row``."""
+    def loads(self, table: str, wanted: dict[int, list[str]], placed: bool = False) -> DataFrame:
+        """All rows, also replaced ones, of the given loads of each bucket, with ``bucket`` and, if ``placed``, ``file`` and ``row``."""
         schema = T.StructType([*TABLES[table].fields, T.StructField("bucket", T.IntegerType())])
         base = f"{self.root}/{table}"
         paths = [f"{base}/load={load}/bucket={b}" for b, loads in sorted(wanted.items()) for load in loads]

@@ -298,6 +298,13 @@ FROM flat GROUP BY stateabbr, projectsize"""),
   {_MEASURES} FROM flat GROUP BY ALL"""),
     "rollup_status": _flat("""SELECT projectstatus, projectprocessstep, count(*) AS projects,
   CAST(sum(projectamount) AS DECIMAL(38,10)) AS project_amount FROM flat GROUP BY ALL"""),
+    "rollup_after_update": _flat("""SELECT stateabbr,
+  CASE WHEN gmprojectid % 100 = 1 AND gmprojectid % 13 <> 0 THEN 'Moved' ELSE incidenttype END AS incidenttype,
+  count(*) AS projects,
+  sum(CASE WHEN gmprojectid % 100 <> 1 OR gmprojectid % 13 = 0 THEN totalobligated
+    WHEN gmprojectid % 3 <> 0 THEN totalobligated + 1 END) AS total_obligated,
+  sum(federalshare) AS federal_share
+FROM flat GROUP BY 1, 2"""),
     "topk_disasters": _flat(f"""SELECT disasternumber, {_MEASURES} FROM flat GROUP BY disasternumber
 ORDER BY total_obligated DESC NULLS LAST, disasternumber LIMIT 25"""),
     "state_obligated": _flat("""SELECT stateabbr, count(*) AS projects,

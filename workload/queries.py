@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tidemark.functions import instant, quoted_iso
 from tidemark.operators import checks, flat as flat_ops, landing as landing_ops, mark as mark_ops, serve
-from tidemark.plans import Snapshots, run_cycle
+from tidemark.plans import Snapshots, rollups, run_cycle
 from tidemark.schema import create_tables
 from tidemark.session import prepare, scratch_path, written
 from tidemark.sources import incremental, page, page_folder, pages, parse_records, register_source, unwrap
@@ -547,6 +547,18 @@ def rollup_status(spark: SparkSession, sf: str) -> DataFrame:
     return serve.rollup_status(_flat(spark, sf))
 
 
+def rollup_after_update(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored rollups brought up to date after a small cycle that moves every hundredth project to another incident and amount."""
+    store = inputs.copied(inputs.published(spark, sf), scratch_path(spark, "rolled"))
+    rollups.refresh(store)
+    members = inputs.record_members(spark, sf).where("gmProjectId % 100 = 1")
+    amount = F.when(F.col("gmProjectId") % 3 == 0, None).otherwise(F.col("totalObligated") + 1).cast("decimal(18,2)")
+    changed = members.withColumns({"lastRefresh": F.lit("2024-01-19T00:00:00Z"), "incidentType": F.lit("Moved"), "totalObligated": amount})
+    batch = parse_records(inputs.as_records(changed, "gmProjectId"), "seq")
+    run_cycle(store, lambda mark: batch, AS_OF)
+    return rollups.rollup(store, "state_incident")
+
+
 def topk_disasters(spark: SparkSession, sf: str) -> DataFrame:
     return serve.top_disasters(_flat(spark, sf), 25)
 
@@ -672,6 +684,7 @@ QUERIES = {
         rollup_state_incident,
         rollup_month_state,
         rollup_status,
+        rollup_after_update,
         topk_disasters,
         state_obligated,
         key_violations,
