@@ -26,7 +26,7 @@ no rows. Other columns are not read.
 """
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 from math import ceil, exp, sqrt
 
@@ -43,6 +43,8 @@ PACKET, STRETCH = 2048, 8 << 20
 #: Bytes of text whose signatures meet in one group. Each group is told the sets of every stretch that it has signatures of, so fewer
 #: and larger groups take less disk.
 SIGNATURE_GROUP = 24 << 20
+#: Shuffles that the signatures are dealt over, one after the other.
+PARTS = 2
 #: Components that the members of a signature may be in and still be paired one by one.
 PAIRED = 4
 #: Sets that a set is compared with first, those that share most of its signatures.
@@ -381,11 +383,19 @@ class Join:
         texts = rows.select("packet", F.lit(1).alias("kind"), F.col("row_at").alias("row_from"), "row_file", "doc_id", "text")
         both = answers.withColumn("kind", F.lit(0)).unionByName(texts, allowMissingColumns=True)
         both = both.repartition("packet").sortWithinPartitions("packet", "row_from", "kind")
-        signed = written(both.mapInArrow(_signed(size, num, den, signature_buckets), SIGNED), "sets")
+        with noting_scratch() as used:
+            signed = written(both.mapInArrow(_signed(size, num, den, signature_buckets), SIGNED), "sets")
         discard(spark, passed)
-        self.rows = signed.where("bucket IS NULL").select("row_file", "row_at", "doc_id", "n_shingles", "node")
+        rows = signed.where("bucket IS NULL").select("row_file", "row_at", "doc_id", "n_shingles", "node")
+        self.rows = written(rows, "rows")
+        # One part of the groups after the other: what is shuffled for the first is gone before the second.
         blobs = signed.where("bucket IS NOT NULL").select("bucket", "nodes", "signatures", "owners")
-        self.found = written(blobs.groupBy("bucket").applyInArrow(_shared, "signature long, u binary, v binary, shares long"), "shared")
+        parts = [
+            written(blobs.where(F.col("bucket") % PARTS == k).groupBy("bucket").applyInArrow(_shared, "signature long, u binary, v binary, shares long"), "shared")
+            for k in range(PARTS)
+        ]
+        discard(spark, used)
+        self.found = reduce(DataFrame.unionByName, parts)
         self.members = self.found.where("signature IS NOT NULL").select("signature", F.col("v").alias("node"))
         # The least set of each signature is met first, by each other set up to a few times; the rest waits for the components.
         pairs = self.found.where("signature IS NULL").groupBy("u", "v").agg(F.sum("shares").alias("shares"))
