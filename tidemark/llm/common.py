@@ -1,7 +1,7 @@
 """Shared parts: session set-up, row keys, written steps, and words and hashes of whole Arrow batches."""
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -88,8 +88,20 @@ def release() -> None:
         trim(0)
 
 
+def freeing(f: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """A function of a group that gives back the memory it took once it is done."""
+
+    def run(group: pa.Table) -> pa.Table:
+        out = f(group)
+        release()
+        return out
+
+    return run
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of each piece have at most ``limit`` bytes, or are one text."""
+    release()
     try:
         yield from _sliced(batches, column, limit)
     finally:

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import GROUP, LOWER, PRINTED, groups_for, hashed, keyed, mixed, placed, ready, release, runs, sliced, table, texts_of, windows
+from tidemark.llm.common import GROUP, LOWER, PRINTED, freeing, groups_for, hashed, keyed, mixed, placed, ready, release, runs, sliced, table, texts_of, windows
 from tidemark.llm.components import components
 from tidemark.session import discard, noting_scratch, written
 
@@ -187,7 +187,6 @@ def _asked(size: int, buckets: int):
 
 def _answered(group: pa.Table) -> pa.Table:
     """Of one range of hashes: per packet, which of its elements some other set has too."""
-    release()
     asked = [np.cumsum(_from_planes(x, "<u8")) for x in group.column("elements").to_pylist()]
     twice = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(a)) for a, x in zip(asked, group.column("twice").to_pylist(), strict=True)]
     elements = np.concatenate(asked)
@@ -283,7 +282,6 @@ def _signed(size: int, num: int, den: int, buckets: int):
 
 def _shared(group: pa.Table) -> pa.Table:
     """Of one range of signatures: those that several sets have, with their sets."""
-    release()
     nodes, signatures, owners, base = [], [], [], 0
     for keys, deltas, local in zip(*(group.column(c).to_pylist() for c in ("nodes", "signatures", "owners")), strict=True):
         nodes.append(np.frombuffer(keys, np.uint8).reshape(-1, 16))
@@ -342,6 +340,7 @@ def _similar(num: int, den: int):
                 linked.append(den * both >= num * (len(a) + len(b) - both))
             keep = pa.array(linked, pa.bool_())
             yield pa.RecordBatch.from_pydict({c: batch.column(c).filter(keep) for c in ("u", "v")})
+        release()
 
     return run
 
@@ -353,6 +352,7 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         which = pa.array(np.repeat(np.arange(len(own)), sizes))
         columns = {"element": pa.array(np.concatenate(own)), "size": pa.array(np.repeat(sizes, sizes))}
         yield pa.RecordBatch.from_pydict({**columns, **{c: batch.column(c).take(which) for c in ("node", "root")}})
+    release()
 
 
 def _across(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -378,7 +378,7 @@ class Join:
         asked = rows.select("row_at", "packet", "text").mapInArrow(_asked(size, buckets), ASKED)
         with noting_scratch() as passed:
             answers = written(
-                asked.groupBy("bucket").applyInArrow(_answered, "bucket int, packet long, row_from long, row_to long, elements long, shared binary"), "answers"
+                asked.groupBy("bucket").applyInArrow(freeing(_answered), "bucket int, packet long, row_from long, row_to long, elements long, shared binary"), "answers"
             )
         texts = rows.select("packet", F.lit(1).alias("kind"), F.col("row_at").alias("row_from"), "row_file", "doc_id", "text")
         both = answers.withColumn("kind", F.lit(0)).unionByName(texts, allowMissingColumns=True)
@@ -391,7 +391,7 @@ class Join:
         # One part of the groups after the other: what is shuffled for the first is gone before the second.
         blobs = signed.where("bucket IS NOT NULL").select("bucket", "nodes", "signatures", "owners")
         parts = [
-            written(blobs.where(F.col("bucket") % PARTS == k).groupBy("bucket").applyInArrow(_shared, "signature long, u binary, v binary, shares long"), "shared")
+            written(blobs.where(F.col("bucket") % PARTS == k).groupBy("bucket").applyInArrow(freeing(_shared), "signature long, u binary, v binary, shares long"), "shared")
             for k in range(PARTS)
         ]
         discard(spark, used)

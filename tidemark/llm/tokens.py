@@ -20,7 +20,7 @@ ODD = r"[ \x01][\x01\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x
 #: Pieces that a worker remembers, at most, and how many are encoded in one call.
 REMEMBERED, JOINED = 500_000, 500
 #: Bytes of text for one call of ``encode``: the more at once, the fewer distinct pieces.
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Stands between pieces that are encoded in one call and drop their spaces.
 MARK = "\x01"
 #: Words that are letters before U+0180 and then marks: one or two parts for the word tokenizer, and lower case is all that its
