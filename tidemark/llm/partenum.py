@@ -39,7 +39,7 @@ from tidemark.llm.components import components
 from tidemark.session import discard, noting_scratch, written
 
 #: Rows of a packet, and bytes of elements that it asks for at once: it asks in stretches of so many, or of one text.
-PACKET, STRETCH = 2048, 8 << 20
+PACKET, STRETCH = 2048, 4 << 20
 #: Bytes of text whose signatures meet in one group. Each group is told the sets of every stretch that it has signatures of, so fewer
 #: and larger groups take less disk.
 SIGNATURE_GROUP = 24 << 20
