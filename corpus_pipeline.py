@@ -103,7 +103,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 @_stage
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words within benchmark phrases are taken out of the texts."""
-    found = decontaminate.scanned(_whole(docs), table(spark, sf_dir, "benchmark"), "doc")
+    # Written in between: two Python functions in one task would need twice the workers, which stay.
+    found = written(decontaminate.scanned(_whole(docs), table(spark, sf_dir, "benchmark"), "doc"), "scanned")
     return _without(found, decontaminate.without_spans)
 
 
