@@ -10,6 +10,7 @@ from tidemark.functions import from_micros
 from tidemark.operators import flat as flat_ops
 from tidemark.operators import landing as landing_ops
 from tidemark.operators import mark as mark_ops
+from tidemark.plans import curve
 from tidemark.plans.snapshots import PLACE, Commit, Snapshots
 from tidemark.schema import LANDING_SCHEMA
 from tidemark.session import broadcast_limit
@@ -158,7 +159,8 @@ def sync(
         landing = store.read("landing", base, lagging)
         rows = flat_ops.flatten_whole(landing, strict).withColumn("bucket", bucket_of("hash", base.buckets))
         n_rows = landing.count()
-        load = store.write("flat", rows, n_rows * 5 // (4 * len(lagging)))
+        sample = flat_ops.flatten(curve.sampled(landing, n_rows), strict=False)
+        load = store.write("flat", rows, n_rows * 5 // (4 * len(lagging)), sample)
         commit = replace(base, synced=synced).with_load("flat", lagging, load)
         return commit, {"inserted": n_rows, "updated": 0}
 
@@ -196,7 +198,8 @@ def sync(
         flat, landing, keys = (_by_key(df, base.buckets) for df in (flat, landing, keys))
         kept, new_rows = flat_ops.sync_parts(flat, landing, keys, strict)
         n_rows = store.read("landing", base, dirty).count()
-        load = store.write("flat", kept.unionByName(new_rows.withColumn("bucket", bucket)), n_rows * 5 // (4 * len(dirty)))
+        sample = curve.sampled(store.read("flat", base, dirty), n_rows)
+        load = store.write("flat", kept.unionByName(new_rows.withColumn("bucket", bucket)), n_rows * 5 // (4 * len(dirty)), sample)
     return replace(base, synced=synced).with_load("flat", dirty, load, replaced), counts
 
 

@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.functions import from_micros
-from tidemark.plans import ranges
+from tidemark.plans import curve, ranges
 from tidemark.schema import FLAT_SCHEMA, LANDING_SCHEMA
 from tidemark.session import broadcast_limit, prepare, whole_variants
 from tidemark.sources.paging import page, page_size
@@ -42,8 +42,9 @@ SEARCHED = {"landing"}
 # Columns looked up by value that the file order does not help: Bloom filters say which row groups lack a value.
 LOOKED_UP = {"landing": [], "flat": ["disasternumber", "gmprojectid", "gmapplicantid"]}
 
-# Rows that a reader takes or skips at once, inside a row group: few, so that a range of refreshes reads little else.
-PAGE_ROWS = 1000
+# Rows that a reader takes or skips at once, inside a row group: few, so that a range of refreshes reads little else. Flat's
+# order serves four columns, each of which gets a share of the pages' number only, so its pages are smaller.
+PAGE_ROWS = {"landing": 1000, "flat": 250}
 
 # Where a row lies. File names repeat from bucket to bucket.
 PLACE = ("bucket", "file", "row")
@@ -211,16 +212,22 @@ class Snapshots:
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def write(self, table: str, df: DataFrame, per_bucket: int | None = None) -> str:
+    def write(self, table: str, df: DataFrame, per_bucket: int | None = None, sample: DataFrame | None = None) -> str:
         """Write rows (with a ``bucket`` column) as a new load and return its id.
 
+        With a ``sample`` of them, they lie along the curve that its quantiles give, else in the order of ``LAYOUT`` alone.
+
         Columns beyond the table's are written too; only ``read_load`` shows them. ``per_bucket`` is about how many rows a
         bucket gets: Bloom filters are made for as many values, where the default is a megabyte each.
         """
         load = uuid.uuid4().hex
-        rows = df.sortWithinPartitions("bucket", *LAYOUT[table])
+        if sample is None:
+            rows = df.sortWithinPartitions("bucket", *LAYOUT[table])
+        else:
+            placed = curve.along(df, curve.edges(sample), "on_curve")
+            rows = placed.sortWithinPartitions("bucket", "on_curve", *LAYOUT[table]).drop("on_curve")
         with nullcontext() if table in SEARCHED else whole_variants(self.spark):
-            writer = rows.write.partitionBy("bucket").option("parquet.page.row.count.limit", PAGE_ROWS)
+            writer = rows.write.partitionBy("bucket").option("parquet.page.row.count.limit", PAGE_ROWS[table])
             for column in LOOKED_UP[table]:
                 writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
                 if per_bucket is not None:

@@ -9,7 +9,7 @@ from tidemark import ENVELOPE_KEY, prepare
 from tidemark.functions import iso_instant
 from tidemark.operators.flat import flatten
 from tidemark.operators.landing import to_landing
-from tidemark.plans import Snapshots, run_cycle
+from tidemark.plans import Snapshots, curve, run_cycle
 from tidemark.schema import PAGE_CAP
 from tidemark.session import scratch_path
 from tidemark.sources import incremental, parse_records
@@ -141,7 +141,9 @@ def copied(store: Snapshots, root: str) -> Snapshots:
     loads = {}
     for table in ("landing", "flat"):
         rows = store.read(table, head)
-        loads[table] = copy.write(table, rows, rows.count() * 5 // (4 * max(1, len(head.flat))))
+        n_rows = rows.count()
+        sample = curve.sampled(rows, n_rows) if table == "flat" else None
+        loads[table] = copy.write(table, rows, n_rows * 5 // (4 * max(1, len(head.flat))), sample)
     copy.write_counts(loads["landing"], store.read("landing", head))
     held = {table: {b: [load] for b in getattr(head, table)} for table, load in loads.items()}
     synced = dict.fromkeys(head.flat, loads["landing"])
