@@ -254,3 +254,40 @@ def test_url_trees_learn_their_labels(spark):
     assert {r["verdict"] for r in rows} == {"allow", "block"}
     again = {(r["page_id"], r["verdict"]) for r in url_filter.judged(pages.repartition(7)).collect()}
     assert again == {(r["page_id"], r["verdict"]) for r in rows}
+
+
+def test_a_url_is_not_described_by_labels_of_its_host(spark):
+    """Other labels on one host change the rates of other hosts' rows, and of unlabelled ones, but none of its own labelled rows."""
+    from tidemark.llm import url_filter
+
+    def rates(labels):
+        urls = [(f"h{k % 5}.example", f"s{k % 2}", labels(k), k % 5 if k % 5 < 4 else 6) for k in range(40)]
+        rows = spark.createDataFrame([(k, h, "example", s, "", label, f) for k, (h, s, label, f) in enumerate(urls)], "page_id long, host_two string, host_end string, segment string, ending string, label string, fold int")
+        columns = ["page_id", *(f"{x}_rate" for x in url_filter.SUFFIXES)]
+        return {r["page_id"]: tuple(r)[1:] for r in url_filter.with_rates(rows).select(*columns).collect()}
+
+    def usual(k):
+        return None if k >= 35 else ("block" if k % 2 else "allow")
+
+    before, after = rates(usual), rates(lambda k: "block" if k % 5 == 2 and usual(k) else usual(k))
+    assert len(before) == len(after) == 40
+    for k in range(40):
+        assert (before[k] == after[k]) == (k % 5 == 2 and k < 35)
+    # By hand: h0 s0 has 4 labelled rows of its own; segment s0 elsewhere: all allowed, smoothed by the rate of other hosts.
+    others = [k for k in range(35) if k % 5 != 0]
+    rate = sum(k % 2 for k in others) / len(others)
+    n = sum(k % 2 == 0 for k in others)
+    assert before[0][url_filter.SUFFIXES.index("segment")] == pytest.approx(20 * rate / (n + 20))
+    assert before[0][url_filter.SUFFIXES.index("host_two")] == pytest.approx(rate)
+
+
+def test_held_out_error_counts_one_fold(spark):
+    from tidemark.llm import url_filter
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    found = url_filter.held_out_error(pages)
+    lexical = url_filter.lexical(pages).where("label IS NOT NULL")
+    aside = lexical.where(lexical["fold"] == url_filter.FOLDS - 1)
+    for counts in found.values():
+        assert counts["urls"] == aside.count() > 0 and counts["to_block"] == aside.where("label = 'block'").count()
+        assert 0 <= counts["errors"] <= counts["urls"]
