@@ -6,6 +6,7 @@ from collections import Counter
 from dataclasses import dataclass
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import shown
 from pyspark import cloudpickle
@@ -141,3 +142,36 @@ def test_a_stream_survives_stops_and_equals_one_fold(spark, tmp_path, monkeypatc
     register_source(spark, "listed_whole", Listed(str(path)))
     whole = fold(to_landing(unwrap(spark.read.format("listed_whole").load())))
     assert shown(store.landing()) == shown(whole.select("hash", "raw", "lastrefresh")) and store.flat().count() == 32
+
+
+def test_a_page_opens_its_own_file_and_little_of_it(spark, tmp_path):
+    import workload.source as source
+
+    texts = spark.range(0, 6000, 1, 6).select(
+        F.col("id").alias("seq"),
+        F.concat(F.lit('{"hash":"'), "id", F.lit('","pad":"'), F.repeat(F.md5(F.col("id").cast("string").cast("binary")), 20), F.lit('"}')).alias("value"),
+        F.when(F.col("id") >= 100, F.timestamp_micros(F.col("id") * 1000000)).alias("refresh"),
+    )
+    folder = str(tmp_path / "source")
+    for state in ("1", "2"):
+        source.land_source(texts, f"{folder}/{state}", ["refresh", "seq"])
+    client = source.FolderClient(folder)
+
+    def hashes(skip, top, since=None):
+        return [int(r["hash"]) for r in json.loads(client.fetch(skip, top, since))[ENVELOPE_KEY]]
+
+    assert hashes(0, 1000) == [*range(1000)] and hashes(5990, 1000) == [*range(5990, 6000)] and hashes(6000, 1) == []
+    for since, first in (("1970-01-01T00:00:00+00:00", 100), ("1970-01-01T00:50:00+00:00", 3000), ("1970-01-02T00:00:00+00:00", 6000)):
+        assert hashes(0, 500, since) == [*range(first, min(first + 500, 6000))]
+    (path,) = {source._newest(folder)}
+    assert path.endswith("/2")
+    files = [p for p in Path(path, "rows").iterdir() if p.suffix == ".parquet"]
+    groups = [pq.read_metadata(f).row_group(k).num_rows for f in files for k in range(pq.read_metadata(f).num_row_groups)]
+    assert sum(groups) == 6000 and max(groups) <= 2500
+    # A page of the first file is found although the files behind it are gone.
+    mine = {h.file for h in source._held(path) if h.first < 10}
+    for f in files:
+        if f.name not in mine:
+            f.write_bytes(b"")
+    source._records.cache_clear()
+    assert hashes(0, 10) == [*range(10)]

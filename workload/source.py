@@ -14,23 +14,78 @@ from tidemark.sources.paging import numbered
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
+# Bytes of a row group: what a request for a page, or for a single record, has to read.
+_GROUP_BYTES = 1 << 20
+
 
 def land_source(texts: DataFrame, path: str, by: list[str]) -> None:
-    """Write records ``(value, refresh)`` with their positions in a total order; a later path under the same folder takes over."""
+    """Write records ``(value, refresh)`` with their positions in a total order; a later path under the same folder takes over.
+
+    Row groups are small, and beside the records stands which positions and refreshes each file holds, so that a
+    page is found without opening the other files.
+    """
     rows = numbered(texts, by).select("position", F.unix_micros("refresh").alias("refresh"), "value")
-    rows.write.parquet(path)
+    # Texts are only carried along: their bounds would be most of a footer.
+    options = {"parquet.block.size": str(_GROUP_BYTES), "parquet.column.statistics.enabled#value": "false"}
+    rows.write.options(**options).parquet(f"{path}/rows")
+    kept = rows.sparkSession.read.schema("position long, refresh long").parquet(f"{path}/rows")
+    held = kept.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.min("position").alias("first"), F.max("position").alias("last"), F.count(F.lit(1)).alias("n"), F.count("refresh").alias("known"),
+        F.min("refresh").alias("oldest"), F.max("refresh").alias("latest"),
+    )
+    # One short row per file.
+    held.coalesce(1).write.parquet(f"{path}/held")
+
+
+@dataclass(frozen=True)
+class Held:
+    """A file of records: its positions, how many refreshes it has and knows, and the ends of these."""
+
+    file: str
+    first: int
+    last: int
+    n: int
+    known: int
+    oldest: int | None
+    latest: int | None
+
+
+def _system(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
 
 
 @lru_cache(maxsize=4)
-def _records(path: str) -> ds.Dataset:
-    system, place = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
-    return ds.dataset([f.path for f in system.get_file_info(fs.FileSelector(place)) if f.path.endswith(".parquet")], filesystem=system)
+def _held(path: str) -> list[Held]:
+    """The files of a state, by their first position."""
+    system, place = _system(f"{path}/held")
+    rows = ds.dataset([f.path for f in system.get_file_info(fs.FileSelector(place)) if f.path.endswith(".parquet")], filesystem=system)
+    return sorted((Held(**r) for r in rows.to_table().to_pylist()), key=lambda h: h.first)
+
+
+@lru_cache(maxsize=8)
+def _records(path: str, file: str) -> ds.Dataset:
+    system, place = _system(f"{path}/rows/{file}")
+    return ds.dataset([place], filesystem=system, format="parquet")
+
+
+@lru_cache(maxsize=16)
+def _before(path: str, instant: int) -> int:
+    """Records refreshed before an instant, or unknown when. Only files that lie on both sides of it are looked into."""
+    refresh, n = pc.field("refresh"), 0
+    for held in _held(path):
+        if held.latest is None or held.latest < instant:
+            n += held.n
+        elif held.oldest >= instant:
+            n += held.n - held.known
+        else:
+            n += _records(path, held.file).count_rows(filter=refresh.is_null() | (refresh < instant), use_threads=False)
+    return n
 
 
 def _newest(folder: str) -> str:
-    system, place = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
-    done = [i.path for i in system.get_file_info(fs.FileSelector(place, recursive=True)) if i.base_name == "_SUCCESS"]
-    return f"{folder}/{max(done).split('/')[-2]}"
+    system, place = _system(folder)
+    done = [i.path for i in system.get_file_info(fs.FileSelector(place, recursive=True)) if i.path.endswith("/held/_SUCCESS")]
+    return f"{folder}/{max(done).split('/')[-3]}"
 
 
 @dataclass(frozen=True)
@@ -40,13 +95,15 @@ class FolderClient:
     folder: str
 
     def fetch(self, skip: int, top: int, since: str | None) -> str:
-        rows = _records(_newest(self.folder))
-        first = 0
+        path = _newest(self.folder)
+        first = skip
         if since is not None:
-            instant = (datetime.fromisoformat(since) - _EPOCH) // timedelta(microseconds=1)
-            refresh = pc.field("refresh")
-            first = rows.count_rows(filter=refresh.is_null() | (refresh < instant))
+            first += _before(path, (datetime.fromisoformat(since) - _EPOCH) // timedelta(microseconds=1))
         at = pc.field("position")
-        found = rows.to_table(columns=["position", "value"], filter=(at >= first + skip) & (at < first + skip + top))
-        values = found.sort_by("position").column("value").to_pylist()
-        return f'{{"{ENVELOPE_KEY}":[{",".join(values)}]}}'
+        inside = (at >= first) & (at < first + top)
+        found: list[tuple[int, str]] = []
+        for held in _held(path):
+            if held.first < first + top and held.last >= first:
+                rows = _records(path, held.file).to_table(columns=["position", "value"], filter=inside, use_threads=False)
+                found += zip(rows.column("position").to_pylist(), rows.column("value").to_pylist(), strict=True)
+        return f'{{"{ENVELOPE_KEY}":[{",".join(value for _, value in sorted(found))}]}}'
