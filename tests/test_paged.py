@@ -149,7 +149,7 @@ def test_a_page_opens_its_own_file_and_little_of_it(spark, tmp_path):
 
     texts = spark.range(0, 6000, 1, 6).select(
         F.col("id").alias("seq"),
-        F.concat(F.lit('{"hash":"'), "id", F.lit('","pad":"'), F.repeat(F.md5(F.col("id").cast("string").cast("binary")), 20), F.lit('"}')).alias("value"),
+        F.concat(F.lit('{"hash":"'), "id", F.lit('","pad":"'), *(F.sha2(F.concat("id", F.lit(f" {k}")), 256) for k in range(10)), F.lit('"}')).alias("value"),
         F.when(F.col("id") >= 100, F.timestamp_micros(F.col("id") * 1000000)).alias("refresh"),
     )
     folder = str(tmp_path / "source")

@@ -15,7 +15,7 @@ from tidemark.sources.paging import numbered
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 # Bytes of a row group: what a request for a page, or for a single record, has to read.
-_GROUP_BYTES = 1 << 20
+_GROUP_BYTES = 1 << 18
 
 
 def land_source(texts: DataFrame, path: str, by: list[str]) -> None:
