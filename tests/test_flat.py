@@ -2,7 +2,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from helpers import records, shown
+from helpers import formatted, records, shown
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -143,3 +143,22 @@ def test_tables_are_created_once_with_comments(spark):
         assert "one row per hash" in detail["Comment"]
     flatten(landing(spark, {"hash": "a"})).write.insertInto("flat_t")
     assert shown(spark.table("flat_t").select("hash", "raw")) == {("a", '{"hash":"a"}')}
+
+
+def test_checks_open_each_record_once_and_keep_every_odd_value(spark):
+    rows = [
+        {"hash": "a", "projectAmount": "1.5E-11", "federalShareObligated": "1.00000000000", "totalObligated": " 0.12345678901 "},
+        {"hash": "b", "projectAmount": 2.5, "federalShareObligated": "-1e-11", "totalObligated": "x.123456789012", "disasterNumber": "40000"},
+        {"hash": "c", "projectAmount": "123456789012", "mitigationAmount": ".00000000001", "lastRefresh": "soon"},
+    ]
+    landing = to_landing(records(spark, *rows), strict=False)
+    bare = spark.sql("SELECT 'd' AS hash, parse_json('[1]') AS raw, cast(null as timestamp) AS lastrefresh")
+    landing = landing.select("hash", "raw", "lastrefresh").unionByName(bare)
+    rounded, refused = rounded_amounts(landing), quarantine(landing)
+    assert shown(rounded.select("hash", "column")) == {
+        ("a", "projectamount"), ("a", "totalobligated"), ("b", "federalshare"), ("c", "mitigationamount")
+    }
+    assert shown(refused.select("hash", "column")) == {("b", "totalobligated"), ("b", "disasternumber"), ("c", "lastrefresh")}
+    for found in (rounded, refused):
+        # Once for each side of the union.
+        assert formatted(found.select("hash", "column")).count(" AS member#") == 2

@@ -2,7 +2,6 @@
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions import member_text
 from tidemark.schema import FIELD_MAP, REFRESH_MEMBER, Field
 
 
@@ -21,6 +20,12 @@ def unparsable(texts: DataFrame) -> DataFrame:
     return texts.where(F.col("value").isNotNull() & F.try_parse_json("value").isNull())
 
 
+def _texts(landing: DataFrame, members: list[str]) -> DataFrame:
+    """Rows with their members as texts, read in one pass; a record that is no object has none."""
+    texts = F.try_variant_get(F.col("raw"), "$", "struct<" + ", ".join(f"`{m}`: string" for m in members) + ">")
+    return landing.select("hash", texts.alias("member"))
+
+
 def _entries(landing: DataFrame, found: list[Column]) -> DataFrame:
     return landing.select("hash", F.explode(F.array_compact(F.array(*found))).alias("bad")).select("hash", "bad.*")
 
@@ -28,10 +33,9 @@ def _entries(landing: DataFrame, found: list[Column]) -> DataFrame:
 def quarantine(landing: DataFrame) -> DataFrame:
     """Every value that a strict load would refuse: ``(hash, column, value, type)``."""
     found = []
-    for field in (*FIELD_MAP, Field(REFRESH_MEMBER, "lastrefresh", T.TimestampType())):
-        if isinstance(field.type, T.StringType):
-            continue
-        text = member_text(F.col("raw"), field.source)
+    fields = [f for f in (*FIELD_MAP, Field(REFRESH_MEMBER, "lastrefresh", T.TimestampType())) if not isinstance(f.type, T.StringType)]
+    for field in fields:
+        text = F.nullif(F.col("member")[field.source], F.lit(""))
         refused = text.isNotNull() & text.try_cast(field.type).isNull()
         entry = F.struct(
             F.lit(field.column).alias("column"),
@@ -39,7 +43,7 @@ def quarantine(landing: DataFrame) -> DataFrame:
             F.lit(field.type.simpleString()).alias("type"),
         )
         found.append(F.when(refused, entry))
-    return _entries(landing, found)
+    return _entries(_texts(landing, list(dict.fromkeys(f.source for f in fields))), found)
 
 
 _NUMBER = r"^\s*[+-]?(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?\s*$"
@@ -55,12 +59,18 @@ def fraction_digits(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER) & (digits != ""), F.when(kept == "", 0).otherwise(F.greatest(needed, F.lit(0))))
 
 
+def _may_need(text: Column, digits: int) -> Column:
+    """False only for texts that certainly need no more fraction digits than these: a look at the text, before it is taken apart."""
+    point = F.instr(text, ".")
+    return text.contains("e") | text.contains("E") | ((point > 0) & (F.length(text) - point > digits))
+
+
 def rounded_amounts(landing: DataFrame) -> DataFrame:
     """Amounts whose value has more fraction digits than the flat column keeps: ``(hash, column, value)``."""
     found = []
-    for field in FIELD_MAP:
-        if isinstance(field.type, T.DecimalType):
-            text = member_text(F.col("raw"), field.source)
-            entry = F.struct(F.lit(field.column).alias("column"), text.alias("value"))
-            found.append(F.when(fraction_digits(text) > field.type.scale, entry))
-    return _entries(landing, found)
+    fields = [f for f in FIELD_MAP if isinstance(f.type, T.DecimalType)]
+    for field in fields:
+        text = F.nullif(F.col("member")[field.source], F.lit(""))
+        entry = F.struct(F.lit(field.column).alias("column"), text.alias("value"))
+        found.append(F.when(_may_need(text, field.type.scale) & (fraction_digits(text) > field.type.scale), entry))
+    return _entries(_texts(landing, [f.source for f in fields]), found)
