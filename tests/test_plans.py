@@ -5,7 +5,7 @@ import re
 from datetime import date
 
 import pytest
-from helpers import formatted, plan, records, scanned_rows
+from helpers import formatted, plan, records, scanned_rows, shown
 from pyspark.sql import functions as F
 
 from tidemark.operators import flat as flat_ops, landing as landing_ops, serve
@@ -189,3 +189,35 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
+
+
+def test_a_first_load_is_shuffled_once(spark, tmp_path):
+    store = Snapshots(spark, str(tmp_path / "store"), buckets=3)
+    plans, write = [], store.write
+
+    def keep(table, df, *rows):
+        plans.append((table, plan(df)))
+        return write(table, df, *rows)
+
+    store.write = keep
+    apply_batch(store, records(spark, *({"hash": f"k{i}", "lastRefresh": "2024-01-01T00:00:00Z"} for i in range(300))), "s", 1)
+    table, landing = plans[0]
+    assert table == "landing" and landing.count("Exchange ") == 1 and "hashpartitioning(hash" in landing
+    assert store.landing().count() == store.flat().count() == 300
+
+
+def test_records_are_spread_by_their_number(spark, tmp_path, monkeypatch):
+
+
+    n = 400
+    spark.range(n).selectExpr(
+        "id + 1 AS o_orderkey", "1L AS o_custkey", "'O' AS o_orderstatus", "cast(id AS double) AS o_totalprice",
+        "timestamp_ntz'1996-01-02 00:00:00' AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT 1L AS c_custkey, 'c' AS c_name, 3 AS c_nationkey, 1.5D AS c_acctbal, 'AUTO' AS c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("SELECT 3 AS n_nationkey, 'N' AS n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    few = shown(inputs.record_members(spark, str(tmp_path)))
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(inputs, "TASK_ROWS", n // (4 * cores))
+    members = inputs.record_members(spark, str(tmp_path))
+    assert members.rdd.getNumPartitions() >= 4 * cores and shown(members) == few and len(few) == n

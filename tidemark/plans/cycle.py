@@ -13,11 +13,14 @@ from tidemark.operators import mark as mark_ops
 from tidemark.plans import curve
 from tidemark.plans.snapshots import PLACE, Commit, Snapshots
 from tidemark.schema import LANDING_SCHEMA
-from tidemark.session import broadcast_limit
+from tidemark.session import TASK_ROWS, broadcast_limit, settings
 
 # Loads that a bucket may hold beside its base; the next one merges them all into a new base.
 LIGHT_LOADS = 8
 
+# Tasks that fold a first batch into one bucket, if it is as large as buckets should be; adaptive execution joins small ones.
+FIRST_PARTS = 16
+
 # Memory of one broadcast (hash, refresh) row beside the text of its key: row header, pointers, map slot.
 _ROW_OVERHEAD = 96
 
@@ -44,14 +47,27 @@ def _rebalanced(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "bucket")
 
 
-def _by_key(df: DataFrame, buckets: int) -> DataFrame:
-    """One partition per bucket, for both sides of a join on the key.
+def _by_key(df: DataFrame, buckets: int, parts: int = 1) -> DataFrame:
+    """``parts`` partitions per bucket, for both sides of a join on the key.
 
-    ``repartition`` places a row by the same hash as ``bucket_of``, so the joined rows already lie
-    in their buckets and are written without another shuffle. Keys are unique on either side,
+    ``repartition`` places a row by the same hash as ``bucket_of``, and a multiple of the buckets divides each of them, so
+    the joined rows already lie in their buckets and are written without another shuffle. Keys are unique on either side,
     hence partitions are even. The result does not depend on it: rows carry their bucket.
     """
-    return df.repartition(buckets, "hash")
+    return df.repartition(buckets * parts, "hash")
+
+
+def _parts(rows: int, buckets: list[int]) -> int:
+    """Partitions per bucket that hold so many rows, so that none has more than a task sorts in memory."""
+    return max(1, -(-rows // (max(1, len(buckets)) * TASK_ROWS)))
+
+
+def _folded_by_bucket(df: DataFrame, buckets: int):
+    """Settings under which a fold leaves its rows in their buckets, several partitions each, so that they are not shuffled again."""
+    spark = df.sparkSession
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled", "true") == "true"
+    parts = max(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // buckets), FIRST_PARTS if adaptive else 1)
+    return settings(spark, spark__sql__shuffle__partitions=buckets * parts)
 
 
 def _fits_above(store: Snapshots, base: Commit, table: str, buckets: list[int], rows: int, key_bytes: int) -> bool:
@@ -77,7 +93,8 @@ def ingest(
     first = not base.landing
     if first:
         # The first batch is the table: it is written once, straight into its buckets.
-        load = store.write("landing", _rebalanced(folded))
+        with _folded_by_bucket(folded, buckets):
+            load = store.write("landing", folded)
         batch = store.read_load("landing", load, folded.schema)
         store.write_counts(load, batch)
     else:
@@ -121,7 +138,8 @@ def ingest(
     else:
         # One shuffle of each side, and none for the write.
         old = store.read("landing", base, touched)
-        result = landing_ops.upsert(_by_key(old, buckets), _by_key(batch, buckets), policy)
+        parts = _parts(old.count() + counts["distinct_keys"], touched)
+        result = landing_ops.upsert(_by_key(old, buckets, parts), _by_key(batch, buckets, parts), policy)
         load = store.write("landing", result.withColumn("bucket", bucket_of("hash", buckets)))
         replaced = new = None
         store.write_counts(load, store.read("landing", base.with_load("landing", touched, load), touched))
@@ -195,9 +213,10 @@ def sync(
             store.write_replaced(load, keys.where(~F.col("is_new")))
     else:
         flat = store.read("flat", base, dirty)
-        flat, landing, keys = (_by_key(df, base.buckets) for df in (flat, landing, keys))
-        kept, new_rows = flat_ops.sync_parts(flat, landing, keys, strict)
         n_rows = store.read("landing", base, dirty).count()
+        parts = _parts(n_rows, dirty)
+        flat, landing, keys = (_by_key(df, base.buckets, parts) for df in (flat, landing, keys))
+        kept, new_rows = flat_ops.sync_parts(flat, landing, keys, strict)
         sample = curve.sampled(store.read("flat", base, dirty), n_rows)
         load = store.write("flat", kept.unionByName(new_rows.withColumn("bucket", bucket)), n_rows * 5 // (4 * len(dirty)), sample)
     return replace(base, synced=synced).with_load("flat", dirty, load, replaced), counts

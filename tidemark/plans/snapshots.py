@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from tidemark.functions import from_micros
 from tidemark.plans import curve, ranges
 from tidemark.schema import FLAT_SCHEMA, LANDING_SCHEMA
-from tidemark.session import broadcast_limit, prepare, whole_variants
+from tidemark.session import TASK_ROWS, broadcast_limit, prepare, small_splits, whole_variants
 from tidemark.sources.paging import page, page_size
 
 TABLES = {"landing": LANDING_SCHEMA, "flat": FLAT_SCHEMA}
@@ -197,8 +197,9 @@ class Snapshots:
     def fill_tables(self, landing: str, flat: str) -> None:
         """Overwrite catalog tables, such as ``create_tables`` makes, with the newest commit."""
         commit = self.head()
-        for name, rows in ((landing, self.landing(commit)), (flat, self.flat(commit))):
-            rows.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=True)
+        with small_splits(self.spark):
+            for name, rows in ((landing, self.landing(commit)), (flat, self.flat(commit))):
+                rows.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=True)
 
     # -- writing ---------------------------------------------------------------------------
 
@@ -218,7 +219,7 @@ class Snapshots:
         With a ``sample`` of them, they lie along the curve that its quantiles give, else in the order of ``LAYOUT`` alone.
 
         Columns beyond the table's are written too; only ``read_load`` shows them. ``per_bucket`` is about how many rows a
-        bucket gets: Bloom filters are made for as many values, where the default is a megabyte each.
+        bucket gets: Bloom filters are made for as many values, or for those of a task's file, where the default is a megabyte each.
         """
         load = uuid.uuid4().hex
         if sample is None:
@@ -226,12 +227,12 @@ class Snapshots:
         else:
             placed = curve.along(df, curve.edges(sample), "on_curve")
             rows = placed.sortWithinPartitions("bucket", "on_curve", *LAYOUT[table]).drop("on_curve")
-        with nullcontext() if table in SEARCHED else whole_variants(self.spark):
+        with small_splits(df.sparkSession), nullcontext() if table in SEARCHED else whole_variants(self.spark):
             writer = rows.write.partitionBy("bucket").option("parquet.page.row.count.limit", PAGE_ROWS[table])
             for column in LOOKED_UP[table]:
                 writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
                 if per_bucket is not None:
-                    writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", str(max(64, per_bucket)))
+                    writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", str(max(64, min(per_bucket, 2 * TASK_ROWS))))
             writer.parquet(f"{self.root}/{table}/load={load}")
         return load
 

@@ -11,7 +11,7 @@ from tidemark.operators.flat import flatten
 from tidemark.operators.landing import to_landing
 from tidemark.plans import Snapshots, curve, run_cycle
 from tidemark.schema import PAGE_CAP
-from tidemark.session import scratch_path
+from tidemark.session import TASK_ROWS, scratch_path
 from tidemark.sources import incremental, parse_records
 
 AS_OF = datetime(2024, 1, 20, 10, 30)
@@ -34,12 +34,17 @@ def _iso(instant_ntz: str) -> Column:
 
 def record_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order, with the members of a source record as columns."""
+    orders = table(spark, sf_dir, "orders")
     base = (
-        spread(table(spark, sf_dir, "orders"))
+        spread(orders)
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .withColumn("amt", F.col("o_totalprice").cast("decimal(18,2)"))
     )
+    # A record is many times the row it comes from, so rows are spread by their number while they are narrow.
+    tasks = -(-orders.count() // TASK_ROWS)
+    if tasks > spark.sparkContext.defaultParallelism:
+        base = base.repartition(tasks, "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     key = F.col("o_orderkey")
     return base.select(
         F.md5(key.cast("string").cast("binary")).alias("hash"),

@@ -13,7 +13,7 @@ from tidemark.functions import instant, quoted_iso
 from tidemark.operators import checks, flat as flat_ops, landing as landing_ops, mark as mark_ops, serve
 from tidemark.plans import Snapshots, rollups, run_cycle
 from tidemark.schema import create_tables
-from tidemark.session import prepare, scratch_path, written
+from tidemark.session import prepare, scratch_path, small_splits, whole_variants, written
 from tidemark.sources import incremental, page, page_folder, pages, parse_records, register_source, unwrap
 from tidemark.streaming import start_source_stream, start_stream
 from workload import inputs
@@ -287,8 +287,9 @@ def _landing_and_old_flat(spark: SparkSession, sf: str) -> tuple[DataFrame, Data
     key = (prepare(spark).sparkContext.applicationId, sf)
     if key not in _sync_tables:
         paths = scratch_path(spark, "landing"), scratch_path(spark, "flat")
-        landing_ops.to_landing(inputs.records(spark, sf)).drop("ord").write.parquet(paths[0])
-        flat = flat_ops.flatten(spark.read.parquet(paths[0]))
+        with whole_variants(spark):
+            landing_ops.to_landing(inputs.records(spark, sf)).drop("ord").write.parquet(paths[0])
+        flat = flat_ops.flatten_whole(spark.read.parquet(paths[0]))
         refresh = F.expr(
             "case incidenttype when 'URGENT' then lastrefresh - interval 1 day when 'HIGH' then null"
             " when 'MEDIUM' then lastrefresh + interval 1 day else lastrefresh end"
@@ -296,7 +297,8 @@ def _landing_and_old_flat(spark: SparkSession, sf: str) -> tuple[DataFrame, Data
         before = flat.where(F.col("projectstatus") != "Pending").withColumn("lastrefresh", refresh)
         # Old amounts differ, so that a replaced row is told from a kept one.
         amount = (F.col("projectamount") + 1).cast("decimal(38,10)")
-        before.withColumn("projectamount", amount).write.parquet(paths[1])
+        with small_splits(spark), whole_variants(spark):
+            before.withColumn("projectamount", amount).write.parquet(paths[1])
         _sync_tables[key] = paths
     landing, flat = _sync_tables[key]
     return spark.read.parquet(landing), spark.read.parquet(flat)
