@@ -13,7 +13,7 @@ from tidemark.operators import mark as mark_ops
 from tidemark.plans import curve
 from tidemark.plans.snapshots import PLACE, Commit, Snapshots
 from tidemark.schema import LANDING_SCHEMA
-from tidemark.session import TASK_ROWS, broadcast_limit, settings
+from tidemark.session import SPLIT_BYTES, TASK_ROWS, broadcast_limit, settings
 
 # Loads that a bucket may hold beside its base; the next one merges them all into a new base.
 LIGHT_LOADS = 8
@@ -67,7 +67,9 @@ def _folded_by_bucket(df: DataFrame, buckets: int):
     spark = df.sparkSession
     adaptive = spark.conf.get("spark.sql.adaptive.enabled", "true") == "true"
     parts = max(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // buckets), FIRST_PARTS if adaptive else 1)
-    return settings(spark, spark__sql__shuffle__partitions=buckets * parts)
+    # A task sorts its records twice, to fold them and to write them, so it gets less than by default.
+    advised = {"spark__sql__adaptive__advisoryPartitionSizeInBytes": SPLIT_BYTES // 2}
+    return settings(spark, spark__sql__shuffle__partitions=buckets * parts, **advised)
 
 
 def _fits_above(store: Snapshots, base: Commit, table: str, buckets: list[int], rows: int, key_bytes: int) -> bool:
