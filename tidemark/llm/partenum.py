@@ -34,17 +34,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import GROUP, LOWER, PRINTED, freeing, groups_for, hashed, keyed, mixed, placed, ready, release, runs, sliced, table, texts_of, windows
+from tidemark.llm.common import GROUP, LOWER, PRINTED, freeing, groups_for, hashed, keyed, mixed, placed, ready, releasing, runs, sliced, table, texts_of, windows
 from tidemark.llm.components import components
-from tidemark.session import discard, noting_scratch, written
+from tidemark.session import discard, noting_scratch, settings, written
 
 #: Rows of a packet, and bytes of elements that it asks for at once: it asks in stretches of so many, or of one text.
 PACKET, STRETCH = 2048, 4 << 20
 #: Bytes of text whose signatures meet in one group. Each group is told the sets of every stretch that it has signatures of, so fewer
-#: and larger groups take less disk.
-SIGNATURE_GROUP = 24 << 20
+#: and larger groups take less disk; what a group takes in memory is some twenty times as much.
+SIGNATURE_GROUP = 5 << 20
+#: Signatures of a group that are put in order at once.
+ORDERED = 1 << 18
+#: Rows of signatures that a scan reads at once, where the default is thousands: each has tens of kilobytes. Their pages end by size.
+BLOBS, BLOB_PAGES = 64, {"parquet.page.size.row.check.min": "4"}
 #: Shuffles that the signatures are dealt over, one after the other.
-PARTS = 2
+PARTS = 4
 #: Components that the members of a signature may be in and still be paired one by one.
 PAIRED = 4
 #: Sets that a set is compared with first, those that share most of its signatures.
@@ -132,7 +136,7 @@ def _planes(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
 
 
-def _from_planes(x: bytes, kind: str) -> np.ndarray:
+def _from_planes(x: bytes | pa.Buffer, kind: str) -> np.ndarray:
     width = np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
 
@@ -280,36 +284,54 @@ def _signed(size: int, num: int, den: int, buckets: int):
     return run
 
 
+def _met(signatures: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Signatures that several sets have, and those sets, in order. Each array is sorted, so one narrow range after the other is put together."""
+    low, high = min(int(x[0]) for x in signatures), max(int(x[-1]) for x in signatures)
+    steps = -(-sum(map(len, signatures)) // ORDERED)
+    edges = np.array([low + (high - low) * k // steps for k in range(1, steps)], np.uint64)
+    cuts = [[0, *np.searchsorted(x, edges).tolist(), len(x)] for x in signatures]
+    for k in range(steps):
+        signature = np.concatenate([x[c[k] : c[k + 1]] for x, c in zip(signatures, cuts, strict=True)])
+        owner = np.concatenate([x[c[k] : c[k + 1]] for x, c in zip(owners, cuts, strict=True)])
+        order = np.lexsort((owner, signature))
+        signature, owner = signature[order], owner[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (signature[1:] != signature[:-1]) | (owner[1:] != owner[:-1])
+        signature, owner = signature[new], owner[new]
+        several = np.zeros(len(signature), bool)
+        several[1:] = signature[1:] == signature[:-1]
+        several[:-1] |= several[1:]
+        yield signature[several], owner[several].astype(np.int64)
+
+
 def _shared(group: pa.Table) -> pa.Table:
     """Of one range of signatures: those that several sets have, with their sets."""
     nodes, signatures, owners, base = [], [], [], 0
-    for keys, deltas, local in zip(*(group.column(c).to_pylist() for c in ("nodes", "signatures", "owners")), strict=True):
-        nodes.append(np.frombuffer(keys, np.uint8).reshape(-1, 16))
-        signatures.append(np.cumsum(_from_planes(deltas, "<u8")))
-        owners.append(_from_planes(local, "<u4").astype(np.int64) + base)
+    for keys, deltas, local in zip(*(group.column(c) for c in ("nodes", "signatures", "owners")), strict=True):
+        nodes.append(np.frombuffer(keys.as_buffer(), np.uint8).reshape(-1, 16))
+        signatures.append(np.cumsum(_from_planes(deltas.as_buffer(), "<u8")))
+        owners.append(_from_planes(local.as_buffer(), "<u4") + np.uint32(base))
         base += len(nodes[-1])
     # Equal sets from several stretches become one number, in the order of their keys.
     nodes, same = np.unique(np.concatenate(nodes).view(">u8").reshape(-1, 2), axis=0, return_inverse=True)
-    signatures, owners = np.concatenate(signatures), same.reshape(-1)[np.concatenate(owners)]
-    order = np.lexsort((owners, signatures))
-    signatures, owners = signatures[order], owners[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (signatures[1:] != signatures[:-1]) | (owners[1:] != owners[:-1])
-    signatures, owners = signatures[new], owners[new]
+    same = same.reshape(-1).astype(np.uint32)
+    for k, own in enumerate(owners):
+        owners[k] = same[own]
+    signatures, owners = map(np.concatenate, zip(*_met(signatures, owners), strict=True))
     _, first, size = np.unique(signatures, return_index=True, return_counts=True)
-    several = np.repeat(size > 1, size)
     # Many signatures have the same sets; one of them stands for all.
     alike = mixed(np.add.reduceat(mixed(owners.astype(np.uint64) + np.uint64(1)), first) + size.astype(np.uint64))
     one = np.zeros(len(size), bool)
-    one[np.unique(np.where(size > 1, alike, 0), return_index=True)[1]] = True
+    one[np.unique(alike, return_index=True)[1]] = True
     pivot = np.repeat(owners[first], size)
     keys = nodes.view(np.uint8).reshape(-1, 16)
 
     def column(which: np.ndarray) -> pa.Array:
-        return pa.array([bytes(x) for x in keys[which]], pa.binary())
+        ends = np.arange(0, 16 * len(which) + 1, 16, dtype=np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(which), [None, pa.py_buffer(ends), pa.py_buffer(keys[which].tobytes())])
 
-    kept = several & np.repeat(one, size)
-    pairs, shares = np.unique(np.stack([pivot, owners], axis=1)[several & (pivot != owners)], axis=0, return_counts=True)
+    kept = np.repeat(one, size)
+    pairs, shares = np.unique(np.stack([pivot, owners], axis=1)[pivot != owners], axis=0, return_counts=True)
     n = len(pairs)
     return pa.table(
         {
@@ -340,7 +362,6 @@ def _similar(num: int, den: int):
                 linked.append(den * both >= num * (len(a) + len(b) - both))
             keep = pa.array(linked, pa.bool_())
             yield pa.RecordBatch.from_pydict({c: batch.column(c).filter(keep) for c in ("u", "v")})
-        release()
 
     return run
 
@@ -352,7 +373,6 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         which = pa.array(np.repeat(np.arange(len(own)), sizes))
         columns = {"element": pa.array(np.concatenate(own)), "size": pa.array(np.repeat(sizes, sizes))}
         yield pa.RecordBatch.from_pydict({**columns, **{c: batch.column(c).take(which) for c in ("node", "root")}})
-    release()
 
 
 def _across(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -375,7 +395,7 @@ class Join:
         buckets, signature_buckets = groups_for(self.docs, GROUP, SIGNATURE_GROUP)
         packet = F.xxhash64("row_file", F.expr(f"row_at div {PACKET}")).alias("packet")
         rows = keyed(self.docs, "doc_id", "text").select("*", packet)
-        asked = rows.select("row_at", "packet", "text").mapInArrow(_asked(size, buckets), ASKED)
+        asked = rows.select("row_at", "packet", "text").mapInArrow(releasing(_asked(size, buckets)), ASKED)
         with noting_scratch() as passed:
             answers = written(
                 asked.groupBy("bucket").applyInArrow(freeing(_answered), "bucket int, packet long, row_from long, row_to long, elements long, shared binary"), "answers"
@@ -384,16 +404,17 @@ class Join:
         both = answers.withColumn("kind", F.lit(0)).unionByName(texts, allowMissingColumns=True)
         both = both.repartition("packet").sortWithinPartitions("packet", "row_from", "kind")
         with noting_scratch() as used:
-            signed = written(both.mapInArrow(_signed(size, num, den, signature_buckets), SIGNED), "sets")
+            signed = written(both.mapInArrow(releasing(_signed(size, num, den, signature_buckets)), SIGNED), "sets", **BLOB_PAGES)
         discard(spark, passed)
         rows = signed.where("bucket IS NULL").select("row_file", "row_at", "doc_id", "n_shingles", "node")
         self.rows = written(rows, "rows")
         # One part of the groups after the other: what is shuffled for the first is gone before the second.
         blobs = signed.where("bucket IS NOT NULL").select("bucket", "nodes", "signatures", "owners")
-        parts = [
-            written(blobs.where(F.col("bucket") % PARTS == k).groupBy("bucket").applyInArrow(freeing(_shared), "signature long, u binary, v binary, shares long"), "shared")
-            for k in range(PARTS)
-        ]
+        with settings(spark, spark__sql__parquet__columnarReaderBatchSize=BLOBS):
+            parts = [
+                written(blobs.where(F.col("bucket") % PARTS == k).groupBy("bucket").applyInArrow(freeing(_shared), "signature long, u binary, v binary, shares long"), "shared")
+                for k in range(PARTS)
+            ]
         discard(spark, used)
         self.found = reduce(DataFrame.unionByName, parts)
         self.members = self.found.where("signature IS NOT NULL").select("signature", F.col("v").alias("node"))
@@ -407,12 +428,12 @@ class Join:
         first = self.rows.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("row_file", "row_at")).alias("row"))
         wanted = first.join(nodes.distinct(), "node", "left_semi").select("node", "row.row_file", "row.row_at")
         texts = keyed(self.docs, "text").join(wanted, ["row_file", "row_at"]).select("node", "text")
-        return texts.mapInArrow(_set_blobs(self.size), "node binary, own binary")
+        return texts.mapInArrow(releasing(_set_blobs(self.size)), "node binary, own binary")
 
     def _linked(self, pairs: DataFrame) -> DataFrame:
         a = self.sets.select(F.col("node").alias("u"), F.col("own").alias("a"))
         b = self.sets.select(F.col("node").alias("v"), F.col("own").alias("b"))
-        return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(_similar(self.num, self.den), "u binary, v binary")
+        return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(releasing(_similar(self.num, self.den)), "u binary, v binary")
 
     def roots(self) -> DataFrame:
         """``(node, root)`` of every set that links with another."""
@@ -460,7 +481,7 @@ class Join:
     def _elements(self, nodes: DataFrame) -> DataFrame:
         """``(element, size, node, root)`` of the sets of some nodes."""
         rows = self.sets.join(nodes, "node").select("node", "root", "own")
-        return written(rows.mapInArrow(_elements, "element long, size long, node binary, root binary"), "elements")
+        return written(rows.mapInArrow(releasing(_elements), "element long, size long, node binary, root binary"), "elements")
 
     def _rarest(self, nodes: DataFrame) -> DataFrame:
         """``(signature, node, root, size, most)``: of each node the rarest elements that another of them may share.

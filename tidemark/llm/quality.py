@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import LOWER, PRINTED, as_signed, hashed, keyed, mixed, placed, ready, runs, sliced, table, texts_of, windows
+from tidemark.llm.common import LOWER, PRINTED, as_signed, hashed, keyed, mixed, placed, ready, releasing, runs, sliced, table, texts_of, windows
 from tidemark.session import written
 
 MOST_SHARE, MOST_DOCS = 0.10, 50
@@ -133,7 +133,7 @@ def judged(docs: DataFrame, share: float = MOST_SHARE, least_docs: int = MOST_DO
     ready(docs.sparkSession)
     docs = placed(docs.select("doc_id", "text", "source"))
     rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("source", F.lit("")).alias("source"))
-    facts = written(rows.mapInArrow(_facts, FACTS), "quality-facts")
+    facts = written(rows.mapInArrow(releasing(_facts), FACTS), "quality-facts")
     lines = facts.select("row_file", "row_at", "source", "text_hash", F.inline("lines"))
     hosts = facts.groupBy("source").agg(F.count_distinct("text_hash").alias("docs"))
     counted = lines.groupBy("source", "line").agg(F.count_distinct("text_hash").alias("n"))
