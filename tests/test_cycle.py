@@ -494,3 +494,67 @@ def test_a_deep_page_reads_the_hours_that_hold_it(spark, tmp_path):
     span = ranges.span(store.counted(store.head()), 90_000, 300)
     left = store.landing().select("hash", "lastrefresh").where(span.holds("lastrefresh"))
     assert scanned_rows(left) < 0.05 * 120_000
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+
+def test_a_write_leaves_no_shuffle_behind(spark, tmp_path):
+    import time
+
+    store = Snapshots(spark, str(tmp_path / "s"), buckets=2)
+    before = shuffle_files(spark)
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("hash"), F.parse_json(F.lit("{}")).alias("raw"), F.lit(None).cast("timestamp").alias("lastrefresh"))
+    store.stage(rows.repartition(3, "hash"), "x")
+    store.write("landing", rows.repartition(3, "hash").withColumn("bucket", F.lit(0)))
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
+def test_a_merge_goes_by_groups_of_buckets_and_shuffles_flat_once(spark, tmp_path, with_conf, monkeypatch):
+    """With more shuffle partitions than buckets the join takes the buckets' partitions; each bucket is a group of its own here."""
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="50")
+    monkeypatch.setattr(cycle, "MERGED_AT_ONCE", 1)
+    store = Snapshots(spark, str(tmp_path / "s"), buckets=3)
+    plans, write = [], store.write
+
+    def keep(table, df, *rows):
+        plans.append((table, plan(df)))
+        return write(table, df, *rows)
+
+    apply_batch(store, records(spark, *({"hash": f"k{i}", "lastRefresh": day(1), "pwNumber": 1} for i in range(300))), "s", 0)
+    store.write = keep
+    apply_batch(store, records(spark, *({"hash": f"k{i}", "lastRefresh": day(2), "pwNumber": 2} for i in range(200, 400))), "s", 1)
+    head = store.head()
+    assert [t for t, _ in plans] == ["landing"] * 3 + ["flat"] * 3
+    for held in (head.landing, head.flat):
+        assert [len(loads) for loads in held.values()] == [1, 1, 1] and len({loads[0] for loads in held.values()}) == 3
+    for table, text in plans:
+        assert text.count("Exchange hashpartitioning(hash") <= (2 if table == "landing" else 4) and ", 50)" not in text
+    found = {r.hash: r.pwnumber for r in store.flat().select("hash", "pwnumber").collect()}
+    assert found == {f"k{i}": 1 if i < 200 else 2 for i in range(400)} and store.landing().count() == store.flat().count() == 400
+    assert sum(r.n for r in store.counted(head).collect()) == 400
+
+
+def test_new_rows_are_put_on_top_however_many_they_are(spark, tmp_path, with_conf):
+    """Keys beyond the broadcast limit: only places of replaced rows have to fit it, and those of few rows do."""
+    store = Snapshots(spark, str(tmp_path / "s"), buckets=2)
+    apply_batch(store, records(spark, *({"hash": f"k{i}", "lastRefresh": day(1), "pwNumber": 1} for i in range(100))), "s", 0)
+    with_conf(spark__sql__autoBroadcastJoinThreshold="20000")
+    base = store.head()
+    apply_batch(store, records(spark, *({"hash": f"k{i}", "lastRefresh": day(2), "pwNumber": 2} for i in range(95, 600))), "s", 1)
+    head = store.head()
+    for table in ("landing", "flat"):
+        now, was = getattr(head, table), getattr(base, table)
+        assert all(len(now[b]) == 2 and now[b][0] == was[b][0] for b in was)
+    assert sorted(head.late.values()) == [5, 5] and head.counts["inserted"] == 500 and head.counts["updated"] == 5
+    found = {r.hash: r.pwnumber for r in store.flat().select("hash", "pwnumber").collect()}
+    assert found == {f"k{i}": 1 if i < 95 else 2 for i in range(600)} and store.flat().count() == store.landing().count() == 600
+    # Many replaced rows are merged.
+    apply_batch(store, records(spark, *({"hash": f"k{i}", "lastRefresh": day(3), "pwNumber": 3} for i in range(400))), "s", 2)
+    assert {len(loads) for held in (store.head().landing, store.head().flat) for loads in held.values()} == {1}
+    assert store.flat().where("pwnumber = 3").count() == 400 and store.flat().count() == 600

@@ -1,6 +1,7 @@
 """One load cycle: extract, fold, upsert landing, sync flat, publish both as one version."""
 
 from collections.abc import Callable
+from contextlib import nullcontext
 from dataclasses import dataclass, replace
 from datetime import datetime
 
@@ -11,9 +12,9 @@ from tidemark.operators import flat as flat_ops
 from tidemark.operators import landing as landing_ops
 from tidemark.operators import mark as mark_ops
 from tidemark.plans import curve
-from tidemark.plans.snapshots import PLACE, Commit, Snapshots
+from tidemark.plans.snapshots import PAGE_ROWS, PLACE, Commit, Snapshots
 from tidemark.schema import LANDING_SCHEMA
-from tidemark.session import SPLIT_BYTES, TASK_ROWS, broadcast_limit, settings
+from tidemark.session import TASK_ROWS, broadcast_limit, settings, small_shuffles, whole_variants
 
 # Loads that a bucket may hold beside its base; the next one merges them all into a new base.
 LIGHT_LOADS = 8
@@ -21,6 +22,10 @@ LIGHT_LOADS = 8
 # Tasks that fold a first batch into one bucket, if it is as large as buckets should be; adaptive execution joins small ones.
 FIRST_PARTS = 16
 
+# Rows for each core that are merged at once, if buckets are smaller. What a merge shuffles stays on disk until its rows are
+# written, so a large table is merged some buckets after the other.
+MERGED_AT_ONCE = 10 * TASK_ROWS
+
 # Memory of one broadcast (hash, refresh) row beside the text of its key: row header, pointers, map slot.
 _ROW_OVERHEAD = 96
 
@@ -62,21 +67,35 @@ def _parts(rows: int, buckets: list[int]) -> int:
     return max(1, -(-rows // (max(1, len(buckets)) * TASK_ROWS)))
 
 
+def _groups(store: Snapshots, buckets: list[int], rows: int) -> list[list[int]]:
+    """Buckets that are merged together, of all that so many rows lie in."""
+    n = max(1, -(-rows // (MERGED_AT_ONCE * store.spark.sparkContext.defaultParallelism)))
+    size = max(1, len(buckets) // n)
+    return [buckets[k : k + size] for k in range(0, len(buckets), size)]
+
+
+def _of(df: DataFrame, buckets: list[int]) -> DataFrame:
+    return df.where(F.col("bucket").isin(buckets))
+
+
 def _folded_by_bucket(df: DataFrame, buckets: int):
     """Settings under which a fold leaves its rows in their buckets, several partitions each, so that they are not shuffled again."""
     spark = df.sparkSession
     adaptive = spark.conf.get("spark.sql.adaptive.enabled", "true") == "true"
     parts = max(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // buckets), FIRST_PARTS if adaptive else 1)
-    # A task sorts its records twice, to fold them and to write them, so it gets less than by default.
-    advised = {"spark__sql__adaptive__advisoryPartitionSizeInBytes": SPLIT_BYTES // 2}
-    return settings(spark, spark__sql__shuffle__partitions=buckets * parts, **advised)
+    return small_shuffles(spark, spark__sql__shuffle__partitions=buckets * parts)
 
 
-def _fits_above(store: Snapshots, base: Commit, table: str, buckets: list[int], rows: int, key_bytes: int) -> bool:
-    """May these rows go on top of what the buckets hold? Their keys, and the places they replace, must fit a broadcast."""
-    crowded = any(len(getattr(base, table).get(b, [])) > LIGHT_LOADS for b in buckets)
+def _fits_above(store: Snapshots, base: Commit, table: str, buckets: list[int], rows: int, key_bytes: int, replaced: Callable[[], int]) -> bool:
+    """May these rows go on top of what the buckets hold?
+
+    The places they replace must fit a broadcast. They do if the keys of all rows and as many places fit; else the rows that are
+    ``replaced`` are counted, which takes keys alone: however many rows are new, nothing has to be merged for them.
+    """
+    if any(len(getattr(base, table).get(b, [])) > LIGHT_LOADS for b in buckets) or not store.fits_above(base, 0):
+        return False
     small = rows * _ROW_OVERHEAD + key_bytes <= broadcast_limit(store.spark)
-    return small and not crowded and store.fits_above(base, rows)
+    return small and store.fits_above(base, rows) or store.fits_above(base, replaced())
 
 
 def ingest(
@@ -100,7 +119,9 @@ def ingest(
         batch = store.read_load("landing", load, folded.schema)
         store.write_counts(load, batch)
     else:
-        batch = store.stage(folded, "batch")
+        # In the order of buckets, so that a merge of some reads little else.
+        with small_shuffles(folded.sparkSession):
+            batch = store.stage(folded.sortWithinPartitions("bucket"), "batch")
     per_bucket = (
         batch.groupBy("bucket")
         .agg(
@@ -127,25 +148,38 @@ def ingest(
 
     batch = batch.where(F.col("hash").isNotNull()).drop("n_rows")
     marks = {**base.marks, **{b: max(at, base.marks.get(b, at)) for b, at in latest.items()}}
-    if _fits_above(store, base, "landing", touched, counts["distinct_keys"], sum(r.key_bytes for r in filled)):
+    old = store.read("landing", base, touched, placed=True)
+
+    def n_replaced() -> int:
+        # Where the policy may keep old records, what is replaced is not known from keys alone.
+        return counts["distinct_keys"] if policy != landing_ops.ARRIVAL else landing_ops.replaced(old, batch, policy).count()
+
+    if _fits_above(store, base, "landing", touched, counts["distinct_keys"], sum(r.key_bytes for r in filled), n_replaced):
         # Only the rows that the batch replaces are looked at, in the tasks that read them.
-        met = store.stage(landing_ops.replaced(store.read("landing", base, touched, placed=True), batch, policy), "met")
+        met = store.stage(landing_ops.replaced(old, batch, policy), "met")
         resolved = landing_ops.replacing(met, batch, policy).withColumn("bucket", bucket_of("hash", buckets))
-        load = store.write("landing", _rebalanced(resolved))
+        # Less than a page of a bucket is read whole anyway, and columns of members would be more than its records.
+        brief = counts["distinct_keys"] < PAGE_ROWS["landing"] * len(touched)
+        with whole_variants(store.spark) if brief else nullcontext():
+            load = store.write("landing", _rebalanced(resolved))
         replaced = met.count()
         if replaced:
             store.write_replaced(load, met)
         new = store.read_load("landing", load, LANDING_SCHEMA)
         store.write_counts(load, new.withColumn("bucket", bucket_of("hash", buckets)), met)
+        commit = replace(base, marks=marks).with_load("landing", touched, load, replaced)
     else:
         # One shuffle of each side, and none for the write.
-        old = store.read("landing", base, touched)
-        parts = _parts(old.count() + counts["distinct_keys"], touched)
-        result = landing_ops.upsert(_by_key(old, buckets, parts), _by_key(batch, buckets, parts), policy)
-        load = store.write("landing", result.withColumn("bucket", bucket_of("hash", buckets)))
-        replaced = new = None
-        store.write_counts(load, store.read("landing", base.with_load("landing", touched, load), touched))
-    commit = replace(base, marks=marks).with_load("landing", touched, load, replaced)
+        new, commit = None, replace(base, marks=marks)
+        n_rows = old.count() + counts["distinct_keys"]
+        parts = _parts(n_rows, touched)
+        for group in _groups(store, touched, n_rows):
+            both = (_by_key(df, buckets, parts) for df in (store.read("landing", base, group), _of(batch, group)))
+            result = landing_ops.upsert(*both, policy).withColumn("bucket", bucket_of("hash", buckets))
+            with settings(store.spark, spark__sql__shuffle__partitions=buckets * parts):
+                load = store.write("landing", result)
+            commit = commit.with_load("landing", group, load)
+            store.write_counts(load, store.read("landing", commit, group))
     # A bucket's latest refresh can have been replaced by an older one only if the batch brought none as late.
     unsure = [b for b in touched if b in base.marks and (b not in latest or latest[b] < base.marks[b])]
     if unsure and policy == landing_ops.ARRIVAL:
@@ -205,23 +239,38 @@ def sync(
         return replace(base, synced=synced), counts
     dirty = sorted(r.bucket for r in per_bucket)
     bucket = bucket_of("hash", base.buckets)
-    replaced = None
-    if _fits_above(store, base, "flat", dirty, sum(counts.values()), sum(r.key_bytes for r in per_bucket)):
+    n_changed, key_bytes = sum(counts.values()), sum(r.key_bytes for r in per_bucket)
+    if _fits_above(store, base, "flat", dirty, n_changed, key_bytes, lambda: counts["updated"]):
         # Only changed rows are written; the rows they replace are named by their places.
-        rows = flat_ops.flatten_whole(landing.join(F.broadcast(keys.select("hash")), "hash", "left_semi"), strict)
-        load = store.write("flat", _rebalanced(rows.withColumn("bucket", bucket)), max(r.inserted + r.updated for r in per_bucket))
+        most = max(r.inserted + r.updated for r in per_bucket)
+        if n_changed * _ROW_OVERHEAD + key_bytes <= broadcast_limit(store.spark):
+            rows = flat_ops.flatten_whole(landing.join(F.broadcast(keys.select("hash")), "hash", "left_semi"), strict)
+            load = store.write("flat", _rebalanced(rows.withColumn("bucket", bucket)), most)
+        else:
+            # So many rows lie along the curve like a base, and in their buckets after the join.
+            parts = _parts(n_changed, dirty)
+            taken = _by_key(landing, base.buckets, parts).join(_by_key(keys.select("hash"), base.buckets, parts), "hash", "left_semi")
+            sample = flat_ops.flatten(curve.sampled(landing, landing.count()), strict=False)
+            with settings(store.spark, spark__sql__shuffle__partitions=base.buckets * parts):
+                load = store.write("flat", flat_ops.flatten_whole(taken, strict).withColumn("bucket", bucket), most, sample)
         replaced = counts["updated"]
         if replaced:
             store.write_replaced(load, keys.where(~F.col("is_new")))
+        commit = replace(base, synced=synced).with_load("flat", dirty, load, replaced)
     else:
-        flat = store.read("flat", base, dirty)
+        commit = replace(base, synced=synced)
         n_rows = store.read("landing", base, dirty).count()
         parts = _parts(n_rows, dirty)
-        flat, landing, keys = (_by_key(df, base.buckets, parts) for df in (flat, landing, keys))
-        kept, new_rows = flat_ops.sync_parts(flat, landing, keys, strict)
         sample = curve.sampled(store.read("flat", base, dirty), n_rows)
-        load = store.write("flat", kept.unionByName(new_rows.withColumn("bucket", bucket)), n_rows * 5 // (4 * len(dirty)), sample)
-    return replace(base, synced=synced).with_load("flat", dirty, load, replaced), counts
+        for group in _groups(store, dirty, n_rows):
+            rows = store.read("landing", base, group) if owed else _of(landing, group)
+            sides = (_by_key(df, base.buckets, parts) for df in (store.read("flat", base, group), rows, _of(keys, group)))
+            kept, new_rows = flat_ops.sync_parts(*sides, strict)
+            # As many partitions for the joins, or Spark shuffles the rows once for them and again for the buckets.
+            with settings(store.spark, spark__sql__shuffle__partitions=base.buckets * parts):
+                load = store.write("flat", kept.unionByName(new_rows.withColumn("bucket", bucket)), n_rows * 5 // (4 * len(dirty)), sample)
+            commit = commit.with_load("flat", group, load)
+    return commit, counts
 
 
 def publish(store: Snapshots, head: Commit, commit: Commit, counts: dict[str, int]) -> Commit:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from tidemark.functions import from_micros
 from tidemark.plans import curve, ranges
 from tidemark.schema import FLAT_SCHEMA, LANDING_SCHEMA
-from tidemark.session import TASK_ROWS, broadcast_limit, prepare, small_splits, whole_variants
+from tidemark.session import CODEC, TASK_ROWS, broadcast_limit, compiled, prepare, shuffles_deleted, small_splits, whole_variants
 from tidemark.sources.paging import page, page_size
 
 TABLES = {"landing": LANDING_SCHEMA, "flat": FLAT_SCHEMA}
@@ -209,8 +209,8 @@ class Snapshots:
         Read through the store's own session: a stream hands its batches over in another one.
         """
         path = f"{self.root}/staged/{name}-{uuid.uuid4().hex}"
-        with whole_variants(df.sparkSession):
-            df.write.parquet(path)
+        with whole_variants(df.sparkSession), shuffles_deleted(df.sparkSession):
+            df.write.option("compression", CODEC).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def write(self, table: str, df: DataFrame, per_bucket: int | None = None, sample: DataFrame | None = None) -> str:
@@ -227,8 +227,9 @@ class Snapshots:
         else:
             placed = curve.along(df, curve.edges(sample), "on_curve")
             rows = placed.sortWithinPartitions("bucket", "on_curve", *LAYOUT[table]).drop("on_curve")
-        with small_splits(df.sparkSession), nullcontext() if table in SEARCHED else whole_variants(self.spark):
-            writer = rows.write.partitionBy("bucket").option("parquet.page.row.count.limit", PAGE_ROWS[table])
+        session = df.sparkSession
+        with small_splits(session), shuffles_deleted(session), compiled(session), nullcontext() if table in SEARCHED else whole_variants(session):
+            writer = rows.write.partitionBy("bucket").option("parquet.page.row.count.limit", PAGE_ROWS[table]).option("compression", CODEC)
             for column in LOOKED_UP[table]:
                 writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
                 if per_bucket is not None:

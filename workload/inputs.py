@@ -35,15 +35,16 @@ def _iso(instant_ntz: str) -> Column:
 def record_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order, with the members of a source record as columns."""
     orders = table(spark, sf_dir, "orders")
+    # A record is many times the row it comes from, so rows are spread by their number while they are narrow.
+    tasks = -(-orders.count() // TASK_ROWS)
+    many = tasks > spark.sparkContext.defaultParallelism
     base = (
-        spread(orders)
+        (orders if many else spread(orders))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .withColumn("amt", F.col("o_totalprice").cast("decimal(18,2)"))
     )
-    # A record is many times the row it comes from, so rows are spread by their number while they are narrow.
-    tasks = -(-orders.count() // TASK_ROWS)
-    if tasks > spark.sparkContext.defaultParallelism:
+    if many:
         base = base.repartition(tasks, "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     key = F.col("o_orderkey")
     return base.select(
