@@ -175,3 +175,31 @@ def test_a_page_opens_its_own_file_and_little_of_it(spark, tmp_path):
             f.write_bytes(b"")
     source._records.cache_clear()
     assert hashes(0, 10) == [*range(10)]
+
+
+@pytest.mark.parametrize("n", [1, 5119, 5120, 5121, 1_000_003])
+@pytest.mark.parametrize("open_end", [False, True])
+def test_a_long_source_has_a_bounded_number_of_tasks(n, open_end):
+    from tidemark.sources.paged import MOST_TASKS
+
+    parts = Requests(None, Settings(top=5, pages_per_task=2)).ranges(n, None, open_end)
+    assert len(parts) <= MOST_TASKS and all(p.first % 10 == 0 for p in parts)
+    assert [p.end for p in parts[:-1]] == [p.first for p in parts[1:]] and parts[-1].end == (None if open_end else n)
+    assert n > 10 * MOST_TASKS or len(parts) == -(-n // 10)
+
+
+def test_a_source_is_landed_by_one_write(spark, tmp_path):
+    """Records are rendered once they are in order, and written nowhere else; ties and unknown refreshes keep their places."""
+    import workload.source as source
+    from tidemark.session import noting_scratch
+
+    rows = spark.range(0, 5000, 1, 5).select(F.col("id"), F.when(F.col("id") % 3 != 0, F.timestamp_seconds(F.col("id") % 7)).alias("refresh"))
+    with noting_scratch() as paths:
+        source.land_source(rows, str(tmp_path / "s" / "1"), ["refresh", "id"], lambda r: r.select("refresh", F.to_json(F.struct("id")).alias("value")))
+    assert paths == []
+    order = [k for _, k in sorted((k % 7 if k % 3 else -1, k) for k in range(5000))]
+    client = source.FolderClient(str(tmp_path / "s"))
+    found = [r["id"] for skip in range(0, 6000, 700) for r in json.loads(client.fetch(skip, 700, None))[ENVELOPE_KEY]]
+    assert found == order and json.loads(client.fetch(5000, 10, None))[ENVELOPE_KEY] == []
+    since = "1970-01-01T00:00:05+00:00"
+    assert [r["id"] for r in json.loads(client.fetch(0, 1000, since))[ENVELOPE_KEY]] == [k for k in order if k % 3 and k % 7 >= 5][:1000]

@@ -8,7 +8,7 @@ found by a few requests for single records, at offsets that double and then halv
     pages = spark.read.format("projects").option("since", "2024-01-15T00:00:00Z").load()
     records = unwrap(pages)
 
-Options: ``top`` records a page, ``pages_per_task``, ``since`` (records refreshed then or later), ``attempts`` a request,
+Options: ``top`` records a page, ``pages_per_task`` (a multiple of it beyond ``MOST_TASKS`` tasks), ``since`` (records refreshed then or later), ``attempts`` a request,
 ``pause`` (seconds before the second attempt, doubled for each further one), ``key`` of the records in a page.
 """
 
@@ -31,6 +31,9 @@ SCHEMA = "page_seq long, value string"
 
 LONGEST_PAUSE = 60.0
 
+# Tasks of one read. Each costs a Python worker some hundredths of a second before its first request, more than a short range takes.
+MOST_TASKS = 512
+
 
 class Client(Protocol):
     """Asks for pages. It runs on executors, so it must be picklable, and a lost task repeats its requests."""
@@ -106,6 +109,7 @@ class Requests:
     def ranges(self, n: int, since: str | None, open_end: bool) -> list[Range]:
         """Whole pages, some for each task."""
         step = self.settings.top * self.settings.pages_per_task
+        step *= max(1, -(-n // (step * MOST_TASKS)))
         out = [Range(a, min(a + step, n), since) for a in range(0, n, step)]
         if open_end:
             out = [*out[:-1], Range(out[-1].first if out else 0, None, since)]

@@ -3,7 +3,7 @@
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions import instant, refresh_instant
 from tidemark.schema import PAGE_CAP
@@ -16,6 +16,13 @@ def page_size(top: int, cap: int = PAGE_CAP) -> int:
     return top
 
 
+def file_place(name: Column) -> Column:
+    """Where the rows of a file lie in a sorted write: number of the task, number of its file."""
+    file_no = F.regexp_extract(name, r"part-(\d+)", 1).cast("long")
+    piece = F.regexp_extract(name, r"-c(\d+)\.", 1).cast("long")
+    return F.struct(file_no.alias("no"), piece.alias("piece"))
+
+
 def numbered(df: DataFrame, by: list[str]) -> DataFrame:
     """Every row with its ``position`` (from 0) in the order of ``by``, which must be total.
 
@@ -23,11 +30,7 @@ def numbered(df: DataFrame, by: list[str]) -> DataFrame:
     the rows of the files before it. Nothing but the row count per file meets in one task.
     """
     rows = written(df.orderBy(*by), "numbered")
-    name = F.col("_metadata.file_name")
-    file_no = F.regexp_extract(name, r"part-(\d+)", 1).cast("long")
-    piece = F.regexp_extract(name, r"-c(\d+)\.", 1).cast("long")
-    place = F.struct(file_no.alias("no"), piece.alias("piece")).alias("_file")
-    placed = rows.select("*", place, F.col("_metadata.row_index").alias("_row"))
+    placed = rows.select("*", file_place(F.col("_metadata.file_name")).alias("_file"), F.col("_metadata.row_index").alias("_row"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     # One short row per file just written, so sending them to every task is cheap.
     starts = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))

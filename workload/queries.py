@@ -186,14 +186,20 @@ def _source(spark: SparkSession, path: str) -> str:
     return name
 
 
-def _with_refresh(texts: DataFrame) -> DataFrame:
-    return texts.select("seq", "value", F.get_json_object("value", "$.lastRefresh").cast("timestamp").alias("refresh"))
+def _land(members: DataFrame, path: str, by_refresh: bool) -> None:
+    """Land records as a source in the order of their ids, or of their refreshes and ids; rendered once they are in order."""
+    rows = members.withColumn("refresh", F.col("lastRefresh").cast("timestamp"))
+
+    def render(in_order: DataFrame) -> DataFrame:
+        return in_order.select("refresh", F.to_json(F.struct(*members.columns), {"ignoreNullFields": "false"}).alias("value"))
+
+    land_source(rows, path, [*(["refresh"] if by_refresh else []), "gmProjectId"], render)
 
 
 def extract_dump(spark: SparkSession, sf: str) -> DataFrame:
     """All pages of a source of all records, in the order of their keys: offset ranges, each fetched by its own task."""
     path = scratch_path(prepare(spark), "extract")
-    land_source(_with_refresh(inputs.record_texts(spark, sf)), f"{path}/1", ["seq"])
+    _land(inputs.record_members(spark, sf), f"{path}/1", by_refresh=False)
     landed = spark.read.format(_source(spark, path)).option("pagesPerTask", 4).load()
     rows = unwrap(written(landed, "pages"))
     return rows.select(F.col("ord.page_seq").alias("page_seq"), F.variant_get("rec", "$.hash", "string").alias("hash"))
@@ -202,7 +208,7 @@ def extract_dump(spark: SparkSession, sf: str) -> DataFrame:
 def extract_source(spark: SparkSession, sf: str) -> DataFrame:
     """The records refreshed since an instant, as a source in the order of refresh pages them."""
     path = scratch_path(prepare(spark), "extract")
-    land_source(_with_refresh(inputs.record_texts(spark, sf)), f"{path}/1", ["refresh", "seq"])
+    _land(inputs.record_members(spark, sf), f"{path}/1", by_refresh=True)
     landed = spark.read.format(_source(spark, path)).options(since="1996-06-01T00:00:00Z", top=500, pagesPerTask=2).load()
     rows = unwrap(written(landed, "pages"))
     return rows.select(
@@ -230,7 +236,7 @@ def extract_stream(spark: SparkSession, sf: str) -> DataFrame:
         later.withColumns({name: F.when(again, value).otherwise(F.col(name)) for name, value in changed.items()}),
     )
     for n, state in enumerate(states):
-        land_source(_with_refresh(inputs.as_records(state, "gmProjectId")), f"{path}/source/{n}", ["refresh", "seq"])
+        _land(state, f"{path}/source/{n}", by_refresh=True)
 
         def stopped(commit):
             raise ConnectionError("stopped before it publishes")

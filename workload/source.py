@@ -1,16 +1,20 @@
 """A paged source over records that Spark wrote: what the registered queries extract from."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
 import pyarrow.fs as fs
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark import ENVELOPE_KEY
-from tidemark.sources.paging import numbered
+from tidemark.session import CODEC, shuffles_deleted, small_shuffles
+from tidemark.sources.paging import file_place
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -18,22 +22,26 @@ _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _GROUP_BYTES = 1 << 18
 
 
-def land_source(texts: DataFrame, path: str, by: list[str]) -> None:
-    """Write records ``(value, refresh)`` with their positions in a total order; a later path under the same folder takes over.
+def land_source(rows: DataFrame, path: str, by: list[str], render: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Write records ``(value, refresh)`` in a total order; a later path under the same folder takes over.
 
-    Row groups are small, and beside the records stands which positions and refreshes each file holds, so that a
-    page is found without opening the other files.
+    With ``render``, rows are sorted as they are and rendered to records where they are written, once. Row groups are small, and beside
+    the records stands which positions and refreshes each file holds, so that a page is found without opening the other
+    files. A record's position is that of its file's first record and its place in the file.
     """
-    rows = numbered(texts, by).select("position", F.unix_micros("refresh").alias("refresh"), "value")
-    # Texts are only carried along: their bounds would be most of a footer.
-    options = {"parquet.block.size": str(_GROUP_BYTES), "parquet.column.statistics.enabled#value": "false"}
-    rows.write.options(**options).parquet(f"{path}/rows")
-    kept = rows.sparkSession.read.schema("position long, refresh long").parquet(f"{path}/rows")
+    in_order = rows.orderBy(*by)
+    kept = (render(in_order) if render else in_order).select(F.unix_micros("refresh").alias("refresh"), "value")
+    # Texts are only carried along: their bounds would be most of a footer, and no two are equal.
+    options = {"parquet.block.size": str(_GROUP_BYTES), "parquet.column.statistics.enabled#value": "false", "parquet.enable.dictionary#value": "false"}
+    with small_shuffles(rows.sparkSession), shuffles_deleted(rows.sparkSession):
+        kept.write.options(compression=CODEC, **options).parquet(f"{path}/rows")
+    kept = rows.sparkSession.read.schema("refresh long").parquet(f"{path}/rows")
     held = kept.groupBy(F.col("_metadata.file_name").alias("file")).agg(
-        F.min("position").alias("first"), F.max("position").alias("last"), F.count(F.lit(1)).alias("n"), F.count("refresh").alias("known"),
-        F.min("refresh").alias("oldest"), F.max("refresh").alias("latest"),
-    )
+        F.count(F.lit(1)).alias("n"), F.count("refresh").alias("known"), F.min("refresh").alias("oldest"), F.max("refresh").alias("latest")
+    )
     # One short row per file.
+    until = F.sum("n").over(Window.orderBy(file_place(F.col("file"))))
+    held = held.withColumns({"first": until - F.col("n"), "last": until - 1})
     held.coalesce(1).write.parquet(f"{path}/held")
 
 
@@ -63,9 +71,20 @@ def _held(path: str) -> list[Held]:
 
 
 @lru_cache(maxsize=8)
-def _records(path: str, file: str) -> ds.Dataset:
+def _records(path: str, file: str) -> tuple[pq.ParquetFile, list[int]]:
+    """A file and where its row groups begin, its end included."""
     system, place = _system(f"{path}/rows/{file}")
-    return ds.dataset([place], filesystem=system, format="parquet")
+    opened = pq.ParquetFile(place, filesystem=system)
+    sizes = (opened.metadata.row_group(k).num_rows for k in range(opened.num_row_groups))
+    return opened, [0, *accumulate(sizes)]
+
+
+def _values(path: str, file: str, first: int, end: int) -> list[str]:
+    """Records of a file by their places. Only the row groups that hold them are read."""
+    opened, starts = _records(path, file)
+    groups = [k for k in range(opened.num_row_groups) if starts[k] < end and starts[k + 1] > first]
+    column = opened.read_row_groups(groups, columns=["value"], use_threads=False).column("value")
+    return column.slice(first - starts[groups[0]], end - first).to_pylist()
 
 
 @lru_cache(maxsize=16)
@@ -78,14 +97,17 @@ def _before(path: str, instant: int) -> int:
         elif held.oldest >= instant:
             n += held.n - held.known
         else:
-            n += _records(path, held.file).count_rows(filter=refresh.is_null() | (refresh < instant), use_threads=False)
+            system, place = _system(f"{path}/rows/{held.file}")
+            rows = ds.dataset([place], filesystem=system, format="parquet")
+            n += rows.count_rows(filter=refresh.is_null() | (refresh < instant), use_threads=False)
     return n
 
 
 def _newest(folder: str) -> str:
     system, place = _system(folder)
-    done = [i.path for i in system.get_file_info(fs.FileSelector(place, recursive=True)) if i.path.endswith("/held/_SUCCESS")]
-    return f"{folder}/{max(done).split('/')[-3]}"
+    states = sorted((i.base_name for i in system.get_file_info(fs.FileSelector(place)) if i.type == fs.FileType.Directory), reverse=True)
+    done = (s for s in states if system.get_file_info(f"{place}/{s}/held/_SUCCESS").type == fs.FileType.File)
+    return f"{folder}/{next(done)}"
 
 
 @dataclass(frozen=True)
@@ -99,11 +121,9 @@ class FolderClient:
         first = skip
         if since is not None:
             first += _before(path, (datetime.fromisoformat(since) - _EPOCH) // timedelta(microseconds=1))
-        at = pc.field("position")
-        inside = (at >= first) & (at < first + top)
-        found: list[tuple[int, str]] = []
+        found: list[str] = []
         for held in _held(path):
-            if held.first < first + top and held.last >= first:
-                rows = _records(path, held.file).to_table(columns=["position", "value"], filter=inside, use_threads=False)
-                found += zip(rows.column("position").to_pylist(), rows.column("value").to_pylist(), strict=True)
-        return f'{{"{ENVELOPE_KEY}":[{",".join(value for _, value in sorted(found))}]}}'
+            begin, end = max(first, held.first), min(first + top, held.last + 1)
+            if begin < end:
+                found += _values(path, held.file, begin - held.first, end - held.first)
+        return f'{{"{ENVELOPE_KEY}":[{",".join(found)}]}}'
