@@ -63,8 +63,12 @@ def _by_key(df: DataFrame, buckets: int, parts: int = 1) -> DataFrame:
 
 
 def _parts(rows: int, buckets: list[int]) -> int:
-    """Partitions per bucket that hold so many rows, so that none has more than a task sorts in memory."""
-    return max(1, -(-rows // (max(1, len(buckets)) * TASK_ROWS)))
+    """Partitions per bucket that hold so many rows, so that each has about what a task sorts in memory.
+
+    Not fewer rows: each partition is a file, and the more rows lie along the curve in one file, the more of its pages are skipped.
+    """
+    most = max(1, len(buckets)) * TASK_ROWS
+    return max(1, (rows + most // 2) // most)
 
 
 def _groups(store: Snapshots, buckets: list[int], rows: int) -> list[list[int]]:
@@ -214,7 +218,10 @@ def sync(
         rows = flat_ops.flatten_whole(landing, strict).withColumn("bucket", bucket_of("hash", base.buckets))
         n_rows = landing.count()
         sample = flat_ops.flatten(curve.sampled(landing, n_rows), strict=False)
-        load = store.write("flat", rows, n_rows * 5 // (4 * len(lagging)), sample)
+        # No more tasks than buckets for the sake of the cores alone: each task writes files of its own, see _parts.
+        tasks = min(len(lagging), store.spark.sparkContext.defaultParallelism)
+        with settings(store.spark, spark__sql__files__minPartitionNum=tasks, spark__sql__files__openCostInBytes=1 << 16):
+            load = store.write("flat", rows, n_rows * 5 // (4 * len(lagging)), sample)
         commit = replace(base, synced=synced).with_load("flat", lagging, load)
         return commit, {"inserted": n_rows, "updated": 0}
 
